@@ -89,10 +89,15 @@ def learn_categories(df: DataFrame, columns: Sequence[str] = S.CATEGORICAL_FEATU
 
 
 def prepare(df: DataFrame, test_share: float = 0.2) -> DataFrame:
-    """Age rule, row id and stratified split of the long labelled table."""
+    """Age rule, row id and stratified split of the long labelled table.
+
+    Training reads the result many times, so it is checkpointed: written once to the
+    shared folder, from where lost executors' parts are read again.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
     # a patient may serve a target on several index dates
     marked = age_safety(df).withColumn(ROW_ID, F.concat_ws("|", "PATIENT_ID", "INDEX_DATE", "LABEL"))
-    return metrics.stratified_split(marked, ROW_ID, test_share)
+    return metrics.stratified_split(marked, ROW_ID, test_share).checkpoint()
 
 
 def _stages(numeric: Sequence[str], settings: TreeSettings) -> Pipeline:
@@ -202,12 +207,13 @@ def experiment_comparison(prepared: DataFrame, targets: Sequence[str] = S.TARGET
     parts = []
     for feature_set in FEATURE_SETS:
         _, scored = train_score(prepared, targets, feature_set, settings)
+        result = evaluate(scored)
         parts.append(
-            evaluate(scored).select(
+            result.select(
                 "TARGET_NAME",
                 F.lit(feature_set).alias("FEATURE_SET"),
                 F.lit(MODEL_NAME).alias("MODEL"),
-                *[c for c in evaluate(scored).columns if c != "TARGET_NAME"],
+                *result.columns[1:],
             )
         )
     return reduce(DataFrame.unionByName, parts)

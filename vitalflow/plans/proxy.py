@@ -7,6 +7,7 @@ are plain SQL that both Spark and the checking engine read; `{name}` stands for
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -198,6 +199,26 @@ RAW_SQL = {
 TABLES = ["customer", "orders", "lineitem", "part", "events"]
 
 
+class Lazy(Mapping):
+    """A mapping whose DataFrames are declared on first use."""
+
+    def __init__(self, names: Iterable[str], build: Callable[[str], DataFrame]):
+        self._names, self._build, self._made = list(names), build, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._made:
+            self._made[name] = self._build(name)
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 class Clinic:
     """All views over one folder of sample tables, built lazily and never cached."""
 
@@ -223,8 +244,8 @@ class Clinic:
         return G.SILVER_FROM_BRONZE[entity](self.bronze(entity), AS_OF)
 
     @cached_property
-    def gold(self) -> dict[str, DataFrame]:
-        return {e: G.GOLD_FROM_SILVER[e](self.silver(e)) for e in S.ENTITIES}
+    def gold(self) -> Mapping[str, DataFrame]:
+        return Lazy(S.ENTITIES, lambda e: G.GOLD_FROM_SILVER[e](self.silver(e)))
 
     @property
     def patients(self) -> DataFrame:
@@ -239,8 +260,10 @@ class Clinic:
         return F.lit(AS_OF).cast("timestamp")
 
     @cached_property
-    def rt(self) -> dict[str, DataFrame]:
-        return events.realtime_tables(events.dedup_events(self.events), self.now)
+    def rt(self) -> Mapping[str, DataFrame]:
+        good = events.ingest(events.dedup_events(self.events), self.now)
+        kinds = {table: t for t, table in S.EVENT_TABLES.items()}
+        return Lazy(S.REALTIME_SCHEMAS, lambda table: events.parse_type(good, kinds[table], self.now))
 
     @cached_property
     def features(self) -> DataFrame:
