@@ -717,6 +717,11 @@ FROM (SELECT DISTINCT TARGET_NAME FROM scores) t LEFT JOIN (
 ON r.TARGET_NAME = t.TARGET_NAME""", doubles=("ROC_AUC", "PR_AUC", "PREVALENCE", "LIFT"))
 
 
+def _percent(x: str) -> str:
+    # as decimals: binary scaling would turn 51.849999999999994 into a tie
+    return f"CAST(round(CAST({x} * 100 AS DECIMAL(30, 18)), 1) AS DOUBLE)"
+
+
 def _tier(none: str, high: str, middle: str, low: str) -> str:
     return (f"CASE WHEN PROBABILITY IS NULL THEN '{none}' WHEN PROBABILITY >= 0.7 THEN '{high}' "
             f"WHEN PROBABILITY >= 0.4 THEN '{middle}' ELSE '{low}' END")
@@ -725,18 +730,18 @@ def _tier(none: str, high: str, middle: str, low: str) -> str:
 _BODY["risk_tiers"] = show(
     f"""SELECT PATIENT_ID, TARGET_NAME, PROBABILITY, {_tier('unavailable', 'high', 'moderate', 'low')} AS TIER,
   {_tier('Model Unavailable', '🔴 High Risk', '🟡 Moderate Risk', '🟢 Low Risk')} AS LABEL,
-  {_tier('gray', 'red', 'orange', 'green')} AS COLOR, round(PROBABILITY * 100, 1) AS PCT,
-  CASE WHEN PROBABILITY IS NOT NULL THEN greatest(0.0::DOUBLE, least(100.0::DOUBLE, round(PROBABILITY * 100, 1))) END AS BAR
+  {_tier('gray', 'red', 'orange', 'green')} AS COLOR, {_percent('PROBABILITY')} AS PCT,
+  CASE WHEN PROBABILITY IS NOT NULL THEN greatest(0.0::DOUBLE, least(100.0::DOUBLE, {_percent('PROBABILITY')})) END AS BAR
 FROM risk_before""", doubles=("PROBABILITY",))
 _BODY["models_found_missing"] = """
 SELECT PATIENT_ID, coalesce(string_agg(TARGET_NAME, ', ' ORDER BY TARGET_NAME) FILTER (PROBABILITY IS NOT NULL), '') AS MODELS_FOUND,
   coalesce(string_agg(TARGET_NAME, ', ' ORDER BY TARGET_NAME) FILTER (PROBABILITY IS NULL), '') AS MODELS_MISSING
 FROM risk_before GROUP BY PATIENT_ID"""
-_BODY["risk_delta"] = """
-SELECT PATIENT_ID, TARGET_NAME, round(b * 100, 1) AS BEFORE_PCT, round(a * 100, 1) AS AFTER_PCT, round(d, 6) AS DELTA,
+_BODY["risk_delta"] = f"""
+SELECT PATIENT_ID, TARGET_NAME, {_percent('b')} AS BEFORE_PCT, {_percent('a')} AS AFTER_PCT, round(d, 6) AS DELTA,
   CASE WHEN d > 0.005 THEN '▲' WHEN d < -0.005 THEN '▼' ELSE '—' END AS DIRECTION,
-  CASE WHEN d IS NULL THEN '—' WHEN d > 0.005 THEN '+' || CAST(round(d * 100, 1) AS VARCHAR) || '%'
-    WHEN d < -0.005 THEN CAST(round(d * 100, 1) AS VARCHAR) || '%' ELSE 'No change' END AS CHANGE
+  CASE WHEN d IS NULL THEN '—' WHEN d > 0.005 THEN '+' || CAST({_percent('d')} AS VARCHAR) || '%'
+    WHEN d < -0.005 THEN CAST({_percent('d')} AS VARCHAR) || '%' ELSE 'No change' END AS CHANGE
 FROM (SELECT coalesce(x.PATIENT_ID, y.PATIENT_ID) AS PATIENT_ID, coalesce(x.TARGET_NAME, y.TARGET_NAME) AS TARGET_NAME,
     x.PROBABILITY AS b, y.PROBABILITY AS a, y.PROBABILITY - x.PROBABILITY AS d
   FROM risk_before x FULL JOIN risk_after y ON x.PATIENT_ID = y.PATIENT_ID AND x.TARGET_NAME = y.TARGET_NAME)"""
