@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vitalflow.functions import exact_median, hash_key, keep_top, running_totals, split_row_number
-from vitalflow.functions.ranking import expand_copies
+from vitalflow.functions.ranking import count_copies
 
 
 def _skewed(spark, n=3000):
@@ -21,12 +21,18 @@ def _skewed(spark, n=3000):
     return spark.createDataFrame(rows, "k string, v int, w int")
 
 
+def _numbered(df):
+    return df.withColumn("h", hash_key("k", "v", "w")).withColumn("p", F.substring("h", 1, 1))
+
+
 @pytest.mark.parametrize("copies", [False, True])
 def test_split_row_number_equals_window(spark, copies):
-    df = _skewed(spark).withColumn("h", hash_key("k", "v", "w")).withColumn("p", F.substring("h", 1, 1))
-    got = split_row_number(df, ["k"], ["p"], [F.col("h")], "n", copies=copies)
-    window = Window.partitionBy("k").orderBy("p", "h")
-    want = df.withColumn("n", F.row_number().over(window))
+    df = _skewed(spark)
+    if copies:
+        got = split_row_number(_numbered(count_copies(df, "t")), ["k"], ["p"], [F.col("h")], "n", "t")
+    else:
+        got = split_row_number(_numbered(df), ["k"], ["p"], [F.col("h")], "n")
+    want = _numbered(df).withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("p", "h")))
     columns = ["k", "v", "w", "n"]
 
     def rows(x):
@@ -36,11 +42,13 @@ def test_split_row_number_equals_window(spark, copies):
     assert rows(got) == rows(want)
 
 
-def test_expand_copies_in_chunks(spark):
-    df = spark.createDataFrame([("a", 25, 1), ("b", 1, 5), ("c", 10, 3)], "x string, n bigint, f bigint")
-    rows = expand_copies(df, "n", "f", "i", chunk=10).collect()
-    by = {x: sorted(r["i"] for r in rows if r["x"] == x) for x in "abc"}
-    assert by == {"a": list(range(1, 26)), "b": [5], "c": list(range(3, 13))}
+def test_many_copies_are_cut_into_parts(spark):
+    df = spark.createDataFrame([("a", "x", 25), ("a", "y", 1), ("b", "x", 10)], "k string, v string, t bigint")
+    tagged = df.withColumn("p", F.lit("0"))
+    rows = split_row_number(tagged, ["k"], ["p"], [F.col("v")], "n", "t", chunk=10).collect()
+    assert sorted(r["n"] for r in rows if r["k"] == "a") == list(range(1, 27))
+    assert sorted(r["n"] for r in rows if r["k"] == "b") == list(range(1, 11))
+    assert sum(r["v"] == "y" for r in rows) == 1
 
 
 @pytest.mark.parametrize("descending", [False, True])

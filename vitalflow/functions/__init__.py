@@ -8,6 +8,7 @@ from .cleaning import (  # noqa: F401
     reason_defaults,
 )
 from .ranking import (  # noqa: F401
+    count_copies,
     exact_median,
     hash_key,
     keep_top,

@@ -38,34 +38,9 @@ def keep_top(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n).drop(rank)
 
 
-def expand_copies(
-    df: DataFrame, copies: str, first: str, name: str, chunk: int = COPY_CHUNK
-) -> DataFrame:
-    """Turn a row that stands for `copies` equal rows back into that many rows.
-
-    `name` numbers them from `first` upwards. A row with more than `chunk` copies is cut
-    into chunks that are spread over the cluster before they are written out.
-    """
-    rest = [c for c in df.columns if c not in (copies, first)]
-    last = F.col(first) + F.col(copies) - 1
-    few = df.filter(F.col(copies) <= chunk).select(
-        *rest, F.explode(F.sequence(F.col(first), last)).alias(name)
-    )
-    start = "__start"
-    starts = F.sequence(F.col(first), last, F.lit(chunk).cast("bigint"))
-    many = (
-        df.filter(F.col(copies) > chunk)
-        .withColumn("__last", last)
-        .withColumn(start, F.explode(starts))
-        .repartition(F.col(start), F.md5(F.to_json(F.struct(*rest))))
-        .select(
-            *rest,
-            F.explode(
-                F.sequence(F.col(start), F.least(F.col("__last"), F.col(start) + chunk - 1))
-            ).alias(name),
-        )
-    )
-    return few.unionByName(many)
+def count_copies(df: DataFrame, times: str) -> DataFrame:
+    """Distinct rows with how often each occurs; equal rows are combined before the shuffle."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(times))
 
 
 def split_row_number(
@@ -74,41 +49,52 @@ def split_row_number(
     piece: Sequence[str],
     order: Sequence[Column],
     name: str,
-    copies: bool = False,
+    times: str | None = None,
+    chunk: int = COPY_CHUNK,
 ) -> DataFrame:
     """row_number() over (keys order by piece, order), computed piece by piece.
 
     `piece` columns must be non-null. The keys may hold nulls, which form one group as in a
-    window. Only piece counts, not rows, are brought together per key. Set `copies` when
-    fully equal rows may be frequent: they are then counted before the shuffle and written
-    out again at the end.
+    window. Only piece counts, not rows, are brought together per key.
+
+    With `times` each row stands for that many equal rows, which are numbered and written
+    out. A row with more than `chunk` copies is first cut into parts; each part is a piece
+    of its own, so the copies of one row are spread too. Later parts stand behind the rest
+    of their piece.
     """
-    group, base, times = "__group", "__base", "__times"
-    # one non-null text per key, so that the join below is a plain equi-join on the
-    # same columns as the window and needs no second shuffle of the rows
-    if copies:
-        rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(times))
+    group, base, first, part = "__group", "__base", "__first", "__part"
+    given = [c for c in df.columns if c != times]
+    # One text per key, so that the join below is a plain equi-join on the same columns as
+    # the window and needs no second shuffle of the rows. It is declared non-null: a null
+    # filter inferred from the join would sit on one side only and keep Spark from sharing
+    # the exchange that both sides start from.
+    key = F.coalesce(F.md5(F.to_json(F.struct(*keys))), F.lit(""))
+    tagged = df.withColumn(group, key)
+    pieces = list(piece)
+    inside = Window.partitionBy(group, *pieces).orderBy(*order)
+    if times is None:
+        size, local = F.count(F.lit(1)), F.row_number().over(inside)
     else:
-        rows = df.withColumn(times, F.lit(1).cast("bigint"))
-    tagged = rows.withColumn(group, F.to_json(F.struct(*keys)))
-    sizes = tagged.groupBy(group, *piece).agg(F.sum(times).alias("__n"))
-    before = Window.partitionBy(group).orderBy(*piece).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        group, *piece, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(base)
-    )
-    inside = Window.partitionBy(group, *piece).orderBy(*order)
-    if not copies:
-        ranked = tagged.withColumn(name, F.row_number().over(inside))
-        return ranked.join(offsets, [group, *piece]).select(
-            *df.columns, (F.col(base) + F.col(name)).alias(name)
+        parts = F.sequence(F.lit(0), F.floor((F.col(times) - 1) / chunk))
+        left = F.col(times) - F.col(part) * chunk
+        tagged = tagged.withColumn(part, F.explode(parts)).withColumn(
+            times, F.least(left, F.lit(chunk))
         )
-    first = "__first"
-    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = tagged.withColumn(first, F.sum(times).over(running) - F.col(times) + 1)
-    placed = ranked.join(offsets, [group, *piece]).select(
-        *df.columns, times, (F.col(base) + F.col(first)).alias(first)
+        pieces.append(part)
+        inside = Window.partitionBy(group, *pieces).orderBy(*order)
+        running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        size, local = F.sum(times), F.sum(times).over(running) - F.col(times) + 1
+    before = Window.partitionBy(group).orderBy(*pieces).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = tagged.groupBy(group, *pieces).agg(size.alias("__n"))
+    offsets = sizes.select(
+        group, *pieces, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(base)
     )
-    return expand_copies(placed, times, first, name)
+    placed = tagged.withColumn(first, local).join(offsets, [group, *pieces])
+    start = F.col(base) + F.col(first)
+    if times is None:
+        return placed.select(*given, start.alias(name))
+    numbers = F.sequence(start, start + F.col(times) - 1)
+    return placed.select(*given, F.explode(numbers).alias(name))
 
 
 def running_totals(

@@ -244,13 +244,19 @@ def parse_type(df: DataFrame, event_type: str, as_of: Column | None = None) -> D
     if event_type == "ENCOUNTER":
         given["ENCOUNTER_ID"] = F.coalesce(F.col("P.ENCOUNTER_ID"), F.col("event_id"))
 
+    if event_type == "CAREPLAN":
+        given["CAREPLAN_ID"] = F.coalesce(F.col("P.CAREPLAN_ID"), F.col("event_id"))
+    defaults = S.DEFAULT_FIELDS[event_type]
+
     def column(name: str) -> Column:
         if name in given:
             return given[name]
         value = F.col(f"P.{name}")
+        if name in defaults:
+            value = F.coalesce(value, F.lit(defaults[name]))
         return _TYPED[name](value) if name in _TYPED else value
 
-    rows = fill_defaults(df.filter(F.col("event_type") == event_type))
+    rows = df.filter(F.col("event_type") == event_type)
     return rows.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import (
+    count_copies,
     hash_key,
     is_missing,
     open_end,
@@ -119,19 +120,16 @@ def reading_seq(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """
     keys = READING_KEYS if keys is None else keys
     rest = sorted(set(df.columns) - {"INGESTION_TIMESTAMP"})
-    tagged = df.withColumn("__h", hash_key(*rest))
-    tagged = tagged.withColumns(
+    earliest = F.lit("0001-01-01").cast("timestamp")
+    tagged = count_copies(df, "__n").withColumns(
         {
-            "__at": F.coalesce(
-                F.col("INGESTION_TIMESTAMP").cast("timestamp"), F.lit("0001-01-01").cast("timestamp")
-            ),
-            "__p": F.substring("__h", 1, 2),
+            "__at": F.coalesce(F.col("INGESTION_TIMESTAMP").cast("timestamp"), earliest),
+            "__h": hash_key(*rest),
         }
     )
-    numbered = split_row_number(
-        tagged, keys, ["__at", "__p"], [F.col("__h")], "READING_SEQ", copies=True
-    )
-    return numbered.withColumn("READING_SEQ", F.col("READING_SEQ").cast("int")).drop("__h", "__at", "__p")
+    tagged = tagged.withColumn("__p", F.substring("__h", 1, 2))
+    numbered = split_row_number(tagged, keys, ["__at", "__p"], [F.col("__h")], "READING_SEQ", "__n")
+    return numbered.select(*df.columns, F.col("READING_SEQ").cast("int").alias("READING_SEQ"))
 
 
 def observations(df: DataFrame, resequence: bool = False) -> DataFrame:
