@@ -263,3 +263,10 @@ def test_delta_band(spark):
 
     rows = risk.risk_delta(snap(0.2, 0.5, 0.5, None), snap(0.3, 0.25, 0.504, 0.1)).orderBy("TARGET_NAME").collect()
     assert [(r["DIRECTION"], r["CHANGE"]) for r in rows] == [("▲", "+10.0%"), ("▼", "-25.0%"), ("—", "No change"), ("—", "—")]
+
+
+def test_percent_rounds_by_binary_value(spark):
+    values = [i / 2000 for i in range(2001)] + [0.1225, 0.3455, 0.5185, 0.7085]
+    df = spark.createDataFrame([(v,) for v in values], "p double")
+    got = [r[0] for r in df.select(risk.percent(F.col("p"))).collect()]
+    assert got == [round(v * 100, 1) for v in values]

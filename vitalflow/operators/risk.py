@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 
+# Cuts a double below one into two parts that stay exact when multiplied by ten.
+SPLIT = float(1 << 26)
+
 # Tier, label and colour
 TIERS = {
     "unavailable": ("Model Unavailable", "gray"),
@@ -28,8 +31,25 @@ def _by_tier(p: Column, pick) -> Column:
     )
 
 
+def one_digit(x: Column) -> Column:
+    """Nearest number with one decimal, by the exact binary value; exact ties go to even.
+
+    The built-in round works on the shortest decimal text, where 34.55, which is really
+    a little less, would count as a tie and go up.
+    """
+    size = F.abs(x)
+    whole = F.floor(size).cast("double")
+    fraction = size - whole
+    # ten times the fraction in two exact parts, so that the side of a tie is known
+    high = F.floor(fraction * SPLIT) / SPLIT
+    tenth = F.floor(fraction * 10)
+    over = (high * 10 - (tenth + 0.5)) + (fraction - high) * 10
+    up = (over > 0) | ((over == 0) & (tenth % 2 == 1))
+    return F.signum(x) * (whole * 10 + tenth + F.when(up, 1).otherwise(0)) / 10
+
+
 def percent(p: Column) -> Column:
-    return F.round(p * 100, 1)
+    return one_digit(p * F.lit(100.0))
 
 
 def risk_tiers(scores: DataFrame) -> DataFrame:
@@ -66,7 +86,7 @@ def risk_delta(before: DataFrame, after: DataFrame) -> DataFrame:
     a = after.select(*keys, F.col("PROBABILITY").alias("AFTER"))
     delta = F.col("AFTER") - F.col("BEFORE")
     up, down = delta > S.DELTA_BAND, delta < -S.DELTA_BAND
-    shown = F.round(delta * 100, 1).cast("string")
+    shown = percent(delta).cast("string")
 
     def pick(no_pair: str, rise, fall, same: str) -> Column:
         return F.when(delta.isNull(), no_pair).when(up, rise).when(down, fall).otherwise(same)

@@ -718,8 +718,14 @@ ON r.TARGET_NAME = t.TARGET_NAME""", doubles=("ROC_AUC", "PR_AUC", "PREVALENCE",
 
 
 def _percent(x: str) -> str:
-    # as decimals: binary scaling would turn 51.849999999999994 into a tie
-    return f"CAST(round(CAST({x} * 100 AS DECIMAL(30, 18)), 1) AS DOUBLE)"
+    # to the nearest tenth by binary value, ties to even; the side of a tie from two exact parts
+    v = f"abs({x} * 100)"
+    f = f"({v} - floor({v}))"
+    hi = f"(floor({f} * 67108864) / 67108864)"
+    k = f"floor({f} * 10)"
+    over = f"(({hi} * 10 - ({k} + 0.5::DOUBLE)) + ({f} - {hi}) * 10)"
+    up = f"CASE WHEN {over} > 0 OR ({over} = 0 AND {k} % 2 = 1) THEN 1 ELSE 0 END"
+    return f"sign({x}) * (floor({v}) * 10 + {k} + {up}) / 10"
 
 
 def _tier(none: str, high: str, middle: str, low: str) -> str:
