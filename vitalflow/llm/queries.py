@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, token_store
+from . import mixing, packing, token_store, warc
 from .common import materialise, table, work_dir
 
 #: Records of one batch for Python workers: bounds a worker's memory with long texts.
@@ -38,13 +38,19 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(spark, files)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(table(spark, sf_dir, "pages"), work_dir(spark, "warc"))
+    return warc.read(spark, archives).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op5_packing": op5_packing,
     "op6_mixing": op6_mixing,
     "op7_token_store": op7_token_store,
 }
 
-ORACLE: dict[str, str] = {"op6_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op1_warc": warc.ORACLE, "op6_mixing": mixing.ORACLE}
 
 
 def prepare(spark: SparkSession) -> None:
