@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, token_store, warc
+from . import mixing, packing, simhash, token_store, warc
 from .common import materialise, table, work_dir
 
 #: Records of one batch for Python workers: bounds a worker's memory with long texts.
@@ -43,7 +43,15 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, archives).drop("url")
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = materialise(simhash.with_fingerprints(table(spark, sf_dir, "documents")), "prints")
+    return simhash.near_duplicates(prints).select(
+        "doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_simhash": op8_simhash,
     "op1_warc": op1_warc,
     "op5_packing": op5_packing,
     "op6_mixing": op6_mixing,
