@@ -42,14 +42,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
-def bounded_sample(df: DataFrame, key: Column, most: int) -> DataFrame:
-    """At most `most` rows, those with the smallest hashes of key: the same rows in each run.
+def hash_share(key: Column, share: Column | float) -> Column:
+    """Whether the hash of key falls in the lowest share (0 to 1) of all hashes."""
+    return (F.xxhash64(key).cast("double") / F.lit(2.0**64) + 0.5) < share
 
-    Only hashes are sorted. Rows that repeat one key count as often as they occur.
-    """
-    hashed = F.xxhash64(key)
-    last = df.select(hashed.alias("h")).orderBy("h").limit(most).agg(F.max("h")).first()[0]
-    return df.filter(hashed <= F.lit(last)).limit(most) if last is not None else df.limit(0)
+
+def bounded_sample(df: DataFrame, key: Column, most: int) -> DataFrame:
+    """At most `most` rows, those with hashes of key in the share that holds about so many."""
+    rows = df.count()
+    return df.filter(hash_share(key, most / max(rows, 1))).limit(most)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash, token_store, warc
+from . import langid, mixing, packing, simhash, token_store, warc
 from .common import materialise, table, work_dir
 
 #: Records of one batch for Python workers: bounds a worker's memory with long texts.
@@ -50,7 +50,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = langid.held_out(docs["doc_id"], 5, 0)
+    profiles = langid.learn(docs.filter(~held_out).select("doc_id", "text", "lang"))
+    held_out = langid.held_out(F.col("row.doc_id"), 5, 0)
+    return langid.identify(docs, profiles, ["doc_id"]).select(
+        "row.doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_langid": op4_langid,
     "op8_simhash": op8_simhash,
     "op1_warc": op1_warc,
     "op5_packing": op5_packing,
