@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, simhash, token_store, warc
+from . import langid, line_quality, mixing, packing, simhash, token_store, warc
 from .common import materialise, table, work_dir
 
 #: Records of one batch for Python workers: bounds a worker's memory with long texts.
@@ -60,7 +60,14 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = line_quality.train(docs, table(spark, sf_dir, "labels"))
+    return line_quality.judge(docs, field, ["doc_id"]).select("row.*", "*").drop("row")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_quality": op2_line_quality,
     "op4_langid": op4_langid,
     "op8_simhash": op8_simhash,
     "op1_warc": op1_warc,
