@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_quality, mixing, packing, simhash, token_store, warc
+from . import langid, line_quality, mixing, packing, simhash, token_store, toxicity, warc
 from .common import materialise, table, work_dir
 
 #: Records of one batch for Python workers: bounds a worker's memory with long texts.
@@ -66,7 +66,19 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge(docs, field, ["doc_id"]).select("row.*", "*").drop("row")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scorers = toxicity.train(toxicity.teachers(docs), toxicity.teachers(labels))
+    return toxicity.score(docs, scorers).select(
+        "doc_id",
+        langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
     "op2_line_quality": op2_line_quality,
     "op4_langid": op4_langid,
     "op8_simhash": op8_simhash,
