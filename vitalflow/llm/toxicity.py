@@ -11,7 +11,7 @@ The prior is the share of toxic rows among the labelled training rows.
 
 A scorer is linear in the distinct words of a text: each word brings itself and its beginnings
 and its ends of 3 to 6 letters as hashed features, so that a word form not met in training still counts by
-its parts. Kept are features that are found in positives more often than chance allows
+its parts; a feature that two, or three, distinct words share counts as further features. Kept are features that are found in positives more often than chance allows
 over all features tested (Chernoff's bound) and whose holders are toxic to MIN_SHARE at least by
 the prior: prior * share among positives / share among unlabelled. MODELS scorers are trained,
 each in a task of its own on its own part of the unlabelled and on all positives of the sample,
@@ -41,6 +41,7 @@ from .langid import held_out
 
 MODELS, POSITIVES, UNLABELLED = 4, 8000, 32000
 SPACE = 1 << 20
+LEVELS = 3
 PARTS = range(3, 7)
 MIN_SHARE, MARGIN = 0.7, 2.0
 THRESHOLD = 0.3
@@ -67,18 +68,20 @@ def text_features(text: str | None) -> np.ndarray:
 
 def fit(
     positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, epochs: int = 200, rate: float = 0.1, decay: float = 1e-4
-) -> tuple[np.ndarray, float]:
-    """Weights per feature and the bias."""
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """The features kept, their weights and the bias."""
     docs = positives + unlabelled
     known = len(positives)
     rows = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     features = np.concatenate(docs) if docs else np.zeros(0, np.int32)
-    # one entry per document and feature: whether it is there
-    entries = np.unique(rows * SPACE + features)
-    rows, features = entries // SPACE, entries % SPACE
+    # one entry per document and feature, and further ones for features of several words
+    entries, words = np.unique(rows * SPACE + features, return_counts=True)
+    rows = np.concatenate([entries[words >= k] // SPACE for k in range(1, LEVELS + 1)])
+    features = np.concatenate([entries[words >= k] % SPACE + (k - 1) * SPACE for k in range(1, LEVELS + 1)])
+    size = LEVELS * SPACE
     of_positive = rows < known
-    with_p = np.bincount(features[of_positive], minlength=SPACE)
-    with_u = np.bincount(features[~of_positive], minlength=SPACE)
+    with_p = np.bincount(features[of_positive], minlength=size)
+    with_u = np.bincount(features[~of_positive], minlength=size)
     share_p, share_u = with_p / known, with_u / len(unlabelled)
     n_with = with_p + with_u
     usual = known / len(docs)
@@ -86,12 +89,12 @@ def fit(
     surprise = n_with * (share * np.log(share / usual) + (1 - share) * np.log((1 - share) / (1 - usual)))
     chosen = (share > usual) & (surprise >= np.log((n_with > 0).sum() + 1) + MARGIN)
     chosen &= prior * share_p >= MIN_SHARE * share_u
-    place = np.full(SPACE, -1)
+    place = np.full(size, -1)
     place[chosen] = np.arange(chosen.sum())
     keep = chosen[features]
     rows, columns = rows[keep], place[features[keep]]
     n = int(chosen.sum())
-    w, bias = np.zeros(n + 1), 0.0
+    w = np.zeros(n + 1)
     w[n] = np.log(prior / (1 - prior))
     moment, square = np.zeros(n + 1), np.zeros(n + 1)
     positive = np.arange(len(docs)) < known
@@ -119,37 +122,43 @@ def fit(
         square = 0.999 * square + 0.001 * slope**2
         step = rate * (moment / (1 - 0.9**epoch)) / (np.sqrt(square / (1 - 0.999**epoch)) + 1e-8)
         w -= step * (1 - epoch / (epochs + 1))
-    weights = np.zeros(SPACE)
-    weights[chosen] = w[:n]
-    return weights, float(w[n])
+    return np.flatnonzero(chosen), w[:n], float(w[n])
 
 
 class Scorers:
     """Averages the probabilities of several linear scorers."""
 
-    def __init__(self, models: list[tuple[np.ndarray, float]]):
-        used = np.flatnonzero(sum((np.abs(w) for w, _ in models), np.zeros(SPACE)))
-        self.used = {int(f): i for i, f in enumerate(used)}
-        self.weights = np.array([w[used] for w, _ in models]).reshape(len(models), -1)
-        self.bias = np.array([b for _, b in models])
+    def __init__(self, models: list[tuple[np.ndarray, np.ndarray, float]]):
+        used = np.unique(np.concatenate([np.zeros(0, np.int64), *(f for f, _, _ in models)]))
+        self.places = {int(f): i for i, f in enumerate(used)}
+        self.known = {int(f) % SPACE for f in used}
+        self.weights = np.zeros((len(models), len(used)))
+        for row, (features, weights, _) in zip(self.weights, models):
+            row[np.searchsorted(used, features)] = weights
+        self.bias = np.array([b for _, _, b in models])
 
     def scorer(self):
         words: dict[str, tuple[int, ...]] = {}
-        used = self.used
+        places, known = self.places, self.known
 
         def score(text: str | None) -> float:
             if not len(self.bias):
                 return 0.0
             if len(words) > CACHE_WORDS:
                 words.clear()
-            found: set[int] = set()
+            counts: dict[int, int] = {}
             for word in set(_WORDS((text or "").lower())):
-                places = words.get(word)
-                if places is None:
-                    places = tuple(used[f] for f in word_features(word) if f in used)
-                    words[word] = places
-                if places:
-                    found.update(places)
+                features = words.get(word)
+                if features is None:
+                    features = words[word] = tuple(word_features(word) & known)
+                for f in features:
+                    counts[f] = counts.get(f, 0) + 1
+            found = [
+                places[f + k * SPACE]
+                for f, n in counts.items()
+                for k in range(min(n, LEVELS))
+                if f + k * SPACE in places
+            ]
             z = self.bias + self.weights[:, sorted(found)].sum(1)
             return float((1 / (1 + np.exp(-np.clip(z, -30, 30)))).mean())
 
@@ -204,13 +213,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorers:
         found = [fit(positives, others, prior)] if positives and others else []
         return pa.table(
             {
-                "weights": pa.array([w.astype("<f8").tobytes() for w, _ in found], pa.binary()),
-                "bias": pa.array([b for _, b in found], pa.float64()),
+                "features": pa.array([f.astype("<i8").tobytes() for f, _, _ in found], pa.binary()),
+                "weights": pa.array([w.astype("<f8").tobytes() for _, w, _ in found], pa.binary()),
+                "bias": pa.array([b for _, _, b in found], pa.float64()),
             }
         )
 
-    models = described.groupBy("model").applyInArrow(learn, "weights binary, bias double").collect()
-    return Scorers(sorted(((np.frombuffer(bytes(m["weights"]), "<f8"), m["bias"]) for m in models), key=lambda m: m[1]))
+    models = described.groupBy("model").applyInArrow(learn, "features binary, weights binary, bias double").collect()
+    read = [(np.frombuffer(bytes(m[0]), "<i8"), np.frombuffer(bytes(m[1]), "<f8"), m[2]) for m in models]
+    return Scorers(sorted(read, key=lambda m: m[2]))
 
 
 def score(docs: DataFrame, scorers: Scorers) -> DataFrame:
