@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_quality, mixing, packing, simhash, token_store, toxicity, warc
+from . import langid, line_quality, mixing, packing, page_diff, simhash, token_store, toxicity, warc
 from .common import materialise, table, work_dir
 
 #: Records of one batch for Python workers: bounds a worker's memory with long texts.
@@ -77,7 +77,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_diff.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_page_diff": op9_page_diff,
     "op3_toxicity": op3_toxicity,
     "op2_line_quality": op2_line_quality,
     "op4_langid": op4_langid,
