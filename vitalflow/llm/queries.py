@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_quality, mixing, packing, page_diff, simhash, token_store, toxicity, warc
+from . import ann, langid, line_quality, mixing, packing, page_diff, simhash, token_store, toxicity, warc
 from .common import materialise, table, work_dir
 
 #: Records of one batch for Python workers: bounds a worker's memory with long texts.
@@ -81,7 +81,12 @@ def op9_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_diff.extract(table(spark, sf_dir, "pages"))
 
 
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_ann": op10_ann,
     "op9_page_diff": op9_page_diff,
     "op3_toxicity": op3_toxicity,
     "op2_line_quality": op2_line_quality,
