@@ -75,11 +75,88 @@ def test_direct_append_after_stream_adds_only_new_events(spark, tmp_path):
     assert events.persisted_events(wanted, tables, pending=True).count() == 2
 
 
+def test_a_rejected_event_and_its_correction(spark, tmp_path):
+    inbox, root, ck = tmp_path / "in", tmp_path / "rt", tmp_path / "ck"
+    drop(inbox, "1.txt", [line("a", CODE=""), line("a"), line("a", CODE="")])
+    run(spark, inbox, root, ck)
+    assert ids(spark, root) == ["a"]
+    bad = spark.read.parquet(R.table_path(str(root), R.QUARANTINE))
+    assert bad.count() == 2
+
+
+def test_broken_lines_are_kept_with_their_text(spark, tmp_path):
+    inbox, root, ck = tmp_path / "in", tmp_path / "rt", tmp_path / "ck"
+    broken = ["garbage", "{broken", "[1]"]
+    drop(inbox, "1.txt", broken)
+    run(spark, inbox, root, ck)
+    bad = spark.read.parquet(R.table_path(str(root), R.QUARANTINE)).collect()
+    assert sorted(r["RAW"] for r in bad) == sorted(broken)
+    assert len({r["event_id"] for r in bad}) == 3
+
+
+def test_stream_after_direct_append_stores_nothing_twice(spark, tmp_path):
+    inbox, root, ck = tmp_path / "in", tmp_path / "rt", tmp_path / "ck"
+    untimed = [line("u", at=""), line("v", at="garbled")]
+    batch = events.parse_envelope(spark.createDataFrame([(x,) for x in [line("a"), *untimed]], "value string"))
+    assert direct_append(batch, str(root), "1") == {"CONDITION": 3}
+    drop(inbox, "1.txt", [line("a"), line("b"), *untimed])
+    run(spark, inbox, root, ck)
+    assert ids(spark, root) == ["a", "b", "u", "v"]
+    days = read_realtime(spark, str(root), "RT_CONDITIONS", stored=True).filter("EVENT_DATE is null")
+    assert days.count() == 2, "events without a time of their own share a folder"
+
+
+def test_compaction_keeps_rows_and_survives_replay(spark, tmp_path):
+    root = str(tmp_path / "rt")
+    for i in range(3):
+        batch = events.parse_envelope(spark.createDataFrame([(line(f"{i}{k}"),) for k in "ab"], "value string"))
+        direct_append(batch, root, str(i))
+    before = ids(spark, root)
+    assert R.compact_day(spark, root, "RT_CONDITIONS", "2026-09-01", "n1") == 3
+    assert ids(spark, root) == before
+    direct_append(batch, root, "2")
+    assert ids(spark, root) == before
+    assert R.compact_day(spark, root, "RT_CONDITIONS", "2026-09-01", "n1") == 0
+
+
+def test_publishing_keeps_the_payload(spark, tmp_path):
+    box = tmp_path / "topic"
+    box.mkdir()
+    fields = "event_id string, patient_id string, event_type string, event_timestamp string, payload string"
+    body = '{"UNITS":"kg","DESCRIPTION":"Body Weight","OBSERVATION_DATE":"2026-09-01","VALUE_NUMERIC":72.5,"EXTRA":{"a":[1,null]}}'
+    rows = [("e", "p", "OBSERVATION", "2026-09-01T00:00:00Z", body), ("b", "p", "OBSERVATION", None, "{broken")]
+    df = spark.createDataFrame(rows, fields)
+    rejected = publish_events(df, "text", path=str(box))
+    assert [r["event_id"] for r in rejected.collect()] == ["b"]
+    sent = [json.loads(r[0])["payload"] for r in spark.read.text(str(box)).collect()]
+    assert sent == [{**json.loads(body), "READING_SEQ": 1, "ENCOUNTER_ID": None}]
+    rejected = publish_events(df, "text", path=str(tmp_path / "as_is"), validate=False)
+    assert [r["REASON"] for r in rejected.collect()] == [events.REJECT_PAYLOAD]
+    sent = [json.loads(r[0])["payload"] for r in spark.read.text(str(tmp_path / "as_is")).collect()]
+    assert sent == [json.loads(body)]
+
+
+def test_the_earlier_copy_wins(spark):
+    fields = "event_id string, patient_id string, event_type string, event_timestamp string, payload string"
+    rows = [("a", None, "CONDITION", "2026-09-02T00:00:00Z", "{}"), ("a", "p", "CONDITION", "2026-09-01T00:00:00Z", "{}"),
+            ("", "p", "CONDITION", "2026-09-01T00:00:00Z", "{}"), (None, "q", "CONDITION", "2026-09-01T00:00:00Z", "{}")]
+    once = events.dedup_events(events.identify(spark.createDataFrame(rows, fields))).collect()
+    assert len(once) == 3, "events without an id are not copies of one another"
+    assert [r["patient_id"] for r in once if r["event_id"] == "a"] == ["p"]
+
+
+def test_equal_readings_are_two_events(spark):
+    made = spark.createDataFrame([("p", "Body Weight", "2026-09-01", 99.9)] * 2, "PATIENT_ID string, DESCRIPTION string, OBSERVATION_DATE string, VALUE_NUMERIC double")
+    sent = events.make_observation_events(made, F.lit("2026-09-01 10:00:00").cast("timestamp"))
+    assert len({r["event_id"] for r in sent.collect()}) == 2
+    assert {r["event_timestamp"] for r in sent.collect()} == {"2026-09-01T10:00:00Z"}
+
+
 def test_publish_then_consume(spark, tmp_path):
     box, root = tmp_path / "topic", tmp_path / "rt"
     box.mkdir()
     made = spark.createDataFrame([("p", "Body Weight", "2026-09-01", 99.9)], "PATIENT_ID string, DESCRIPTION string, OBSERVATION_DATE string, VALUE_NUMERIC double")
-    sent = events.make_observation_events(made).withColumn("event_timestamp", F.lit("2026-09-01T00:00:00Z"))
+    sent = events.make_observation_events(made)
     wrong = sent.withColumn("event_type", F.lit("LAB_RESULT"))
     rejected = publish_events(sent.unionByName(wrong), "text", path=str(box))
     assert [r["REASON"] for r in rejected.collect()] == [events.REJECT_TYPE]
@@ -101,6 +178,18 @@ def test_window_counts_close_with_the_watermark(spark, tmp_path):
     assert got["2026-09-01"] == 2 and got["2026-09-02"] == 1 and "2026-09-05" not in got
 
 
+def test_a_date_far_ahead_closes_no_window(spark, tmp_path):
+    inbox, out, ck = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ck")
+    drop(inbox, "1.txt", [line("far", at="2999-01-01T00:00:00Z")])
+    start_window_counts(read_event_stream(spark, "text", path=str(inbox)), out, ck, lateness="400 days", once=True).awaitTermination(120)
+    drop(inbox, "2.txt", [line("a"), line("a"), line("b")])
+    start_window_counts(read_event_stream(spark, "text", path=str(inbox)), out, ck, lateness="400 days", once=True).awaitTermination(120)
+    state = spark.read.format("statestore").option("operatorId", 0).load(ck)
+    windows = {str(r["key"]["window"]["start"])[:10]: r["value"]["count"] for r in state.collect()}
+    assert windows["2026-09-01"] == 2, "late but in time, and copies count once"
+    assert not any(day.startswith("2999") for day in windows)
+
+
 @pytest.mark.parametrize("table", list(S.REALTIME_SCHEMAS))
 def test_empty_tables_are_readable(spark, tmp_path, table):
     R.create_realtime_tables(spark, str(tmp_path))

@@ -22,9 +22,14 @@ COPY_CHUNK = 1_000_000
 
 
 def hash_key(*parts: Column | str) -> Column:
-    """Stable 32-digit hash text of some columns; equal in every engine and on replay."""
-    cols = [F.col(p) if isinstance(p, str) else p for p in parts]
-    return F.md5(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("~")) for c in cols]))
+    """Stable 32-digit hash text of some columns; equal in every engine and on replay.
+
+    Each part stands behind its length and a missing one is a mark without a length, so no two
+    lists of parts give one text.
+    """
+    texts = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    marked = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~")) for t in texts]
+    return F.md5(F.concat(*marked))
 
 
 def keep_top(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

@@ -7,21 +7,33 @@ into a struct of texts, `P`.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import hash_key, open_end, parse_date, parse_number, parse_timestamp, present
 
+EVENT_DATE = "EVENT_DATE"
+REJECT_PAYLOAD = "payload is not a JSON object"
 REJECT_TYPE = "unknown event_type"
 REJECT_PATIENT = "patient_id is empty"
 REJECT_FIELDS = "missing required fields: "
 REJECT_VALUE = "observation needs VALUE_NUMERIC or VALUE_TEXT"
 
 
-def parse_envelope(df: DataFrame, value: str = "value") -> DataFrame:
-    """Bytes or text of one JSON envelope per row to the five envelope columns."""
-    return df.select(F.from_json(F.col(value).cast("string"), S.ENVELOPE_SCHEMA).alias("e")).select("e.*")
+RAW = "RAW"
+
+
+def parse_envelope(df: DataFrame, value: str = "value", keep: Sequence[str | Column] = ()) -> DataFrame:
+    """Bytes or text of one JSON envelope per row to the five envelope columns.
+
+    `keep` names further columns to carry along, such as the text itself as RAW.
+    """
+    envelope = F.from_json(F.col(value).cast("string"), S.ENVELOPE_SCHEMA).alias("e")
+    return df.select(envelope, *keep).select("e.*", "*").drop("e")
 
 
 def serialize_envelope(df: DataFrame, value: str = "value") -> DataFrame:
@@ -57,15 +69,24 @@ def with_payload(df: DataFrame) -> DataFrame:
 def identify(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Fill a missing event id and event time.
 
-    The id is a hash of the event, so a replay gives the same id. EVENT_TS is the typed
-    event time, or `as_of` where it is absent or unreadable.
+    The id is a hash of the event, so a replay gives the same id; where nothing of the envelope
+    could be read it is a hash of the RAW text, if that is carried. EVENT_TS is the typed event
+    time, or `as_of` where it is absent or unreadable. EVENT_DATE is the day of the event's own
+    time and null without one, so copies of an event agree on it whenever they arrive.
     """
     now = F.current_timestamp() if as_of is None else as_of
-    event_id = F.when(present("event_id"), F.col("event_id")).otherwise(
-        hash_key("patient_id", "event_type", "event_timestamp", "payload")
-    )
+    fields = ["patient_id", "event_type", "event_timestamp", "payload"]
+    hashed = hash_key(*fields)
+    if RAW in df.columns:
+        empty = F.coalesce(*fields).isNull()
+        hashed = F.when(empty, hash_key(RAW)).otherwise(hashed)
+    own_time = parse_timestamp("event_timestamp")
     return df.withColumns(
-        {"event_id": event_id, "EVENT_TS": F.coalesce(parse_timestamp("event_timestamp"), now)}
+        {
+            "event_id": F.when(present("event_id"), F.col("event_id")).otherwise(hashed),
+            "EVENT_TS": F.coalesce(own_time, now),
+            EVENT_DATE: F.to_date(own_time),
+        }
     )
 
 
@@ -157,27 +178,64 @@ def fill_defaults(df: DataFrame) -> DataFrame:
     return df.withColumn("P", F.struct(*filled))
 
 
-def make_observation_events(df: DataFrame) -> DataFrame:
+_JSON_MAP = "map<string,variant>"
+
+
+def is_object(payload: str = "payload") -> Column:
+    """Whether the payload is a readable JSON object."""
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(payload)).startswith("OBJECT"), F.lit(False))
+
+
+def merge_defaults(df: DataFrame) -> DataFrame:
+    """The payload as it was sent, with the defaults of its type where a field is absent or null.
+
+    All other fields keep their names, values and JSON types.
+    """
+    defaults = F.from_json(F.lit("{}"), _JSON_MAP)
+    for event_type, fields in S.DEFAULT_FIELDS.items():
+        given = {k: int(v) if k == "READING_SEQ" else v for k, v in fields.items()} | {"ENCOUNTER_ID": None}
+        own = F.from_json(F.lit(json.dumps(given)), _JSON_MAP)
+        if event_type == "CAREPLAN":
+            own = F.map_concat(own, F.create_map(F.lit("CAREPLAN_ID"), F.col("event_id").cast("variant")))
+        defaults = F.when(F.col("event_type") == event_type, own).otherwise(defaults)
+    sent = F.from_json("payload", _JSON_MAP)
+
+    def missing(k: Column, v: Column) -> Column:
+        return v.isNull() | F.is_variant_null(v)
+
+    there = F.map_keys(F.map_filter(sent, lambda k, v: ~missing(k, v)))
+    added = F.map_filter(defaults, lambda k, v: ~F.array_contains(there, k))
+    kept = F.map_filter(sent, lambda k, v: ~F.array_contains(F.map_keys(added), k))
+    return df.withColumn("payload", F.to_json(F.map_concat(kept, added), {"ignoreNullFields": "false"}))
+
+
+def make_observation_events(df: DataFrame, at: Column | None = None) -> DataFrame:
     """Columns of readings to OBSERVATION events.
 
     Expects PATIENT_ID, DESCRIPTION, OBSERVATION_DATE and optionally VALUE_NUMERIC,
-    VALUE_TEXT, ENCOUNTER_ID. Absent values stay in the payload as null.
+    VALUE_TEXT, ENCOUNTER_ID. Absent values stay in the payload as null. Equal readings are
+    events of their own: their number goes into the id. The event time is `at`, or now.
     """
+    moment = F.current_timestamp() if at is None else at
     fields = ["DESCRIPTION", "OBSERVATION_DATE", "VALUE_NUMERIC", "VALUE_TEXT", "ENCOUNTER_ID"]
     payload = F.to_json(
         F.struct(*[F.col(f) if f in df.columns else F.lit(None).cast("string").alias(f) for f in fields]),
         {"ignoreNullFields": "false"},
     )
-    return df.select(
-        hash_key("PATIENT_ID", payload).alias("event_id"),
+    counted = df.select("PATIENT_ID", payload.alias("payload")).groupBy("PATIENT_ID", "payload")
+    copies = counted.agg(F.count(F.lit(1)).alias("n")).withColumn("n", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    time = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return copies.select(
+        hash_key("PATIENT_ID", "payload", time, "n").alias("event_id"),
         F.col("PATIENT_ID").alias("patient_id"),
         F.lit("OBSERVATION").alias("event_type"),
-        payload.alias("payload"),
+        time.alias("event_timestamp"),
+        "payload",
     )
 
 
 def validation_report(df: DataFrame) -> DataFrame:
-    """Long table: one row per event and check with its outcome and a short detail."""
+    """Long table: one row per event and check with its outcome and the value it saw."""
 
     def check(label: str, ok: Column, detail: Column) -> Column:
         return F.struct(F.lit(label).alias("LABEL"), ok.alias("OK"), detail.alias("DETAIL"))
@@ -186,16 +244,16 @@ def validation_report(df: DataFrame) -> DataFrame:
     known = F.coalesce(F.col("event_type").isin(S.EVENT_TYPES), F.lit(False))
     timed = present("event_timestamp")
     checks = [
-        check("Event ID", present("event_id"), F.concat(F.substring("event_id", 1, 12), F.lit("…"))),
+        check("Event ID", present("event_id"), F.col("event_id")),
         check("Patient ID", present("patient_id"), F.when(F.col("patient_id") != "", F.col("patient_id")).otherwise(dash)),
         check("Event Type", known, F.col("event_type")),
-        check("Timestamp", timed, F.when(timed, F.substring("event_timestamp", 1, 19)).otherwise(dash)),
+        check("Timestamp", timed, F.when(timed, F.col("event_timestamp")).otherwise(dash)),
     ]
     required = sorted({f for fields in S.REQUIRED_FIELDS.values() for f in fields})
     for field in required:
         value = F.col(f"P.{field}")
         asks = F.col("event_type").isin([t for t, fields in S.REQUIRED_FIELDS.items() if field in fields])
-        detail = F.when(value != "", F.substring(value, 1, 30)).otherwise(F.lit("missing"))
+        detail = F.when(value != "", value).otherwise(F.lit("missing"))
         checks.append(F.when(asks, check(f"payload.{field}", present(value), detail)))
     has_value = _observation_value_ok()
     checks.append(
@@ -231,8 +289,10 @@ _TYPED = {
 }
 
 
-def parse_type(df: DataFrame, event_type: str, as_of: Column | None = None) -> DataFrame:
-    """Rows of one realtime table from envelopes that carry P and EVENT_TS."""
+def parse_type(
+    df: DataFrame, event_type: str, as_of: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of one realtime table from envelopes that carry P and EVENT_TS; `keep` adds columns."""
     now = F.current_timestamp() if as_of is None else as_of
     schema = S.REALTIME_SCHEMAS[S.EVENT_TABLES[event_type]]
     given = {
@@ -257,12 +317,12 @@ def parse_type(df: DataFrame, event_type: str, as_of: Column | None = None) -> D
         return _TYPED[name](value) if name in _TYPED else value
 
     rows = df.filter(F.col("event_type") == event_type)
-    return rows.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return rows.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in schema], *keep)
 
 
 def ingest(df: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Guard, identify and validate envelopes: what may enter the realtime tables."""
-    return accepted(identify(df, as_of))
+    """What enters the realtime tables: named, judged, and then one row per id of the valid ones."""
+    return dedup_events(accepted(identify(df, as_of)))
 
 
 def realtime_tables(df: DataFrame, as_of: Column | None = None) -> dict[str, DataFrame]:
@@ -281,12 +341,14 @@ def route_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def dedup_events(df: DataFrame) -> DataFrame:
-    """One row per event id: the earliest, by event time then by content.
+def dedup_events(df: DataFrame, arrival: str = "ARRIVAL_TS") -> DataFrame:
+    """One row per id of identified events: the earliest by event time, arrival, then content.
 
+    Events need their ids first: without, all that lack one would count as copies of another.
     min over a struct combines map-side, so many copies of one event cost one row per task.
     """
-    rest = [c for c in df.columns if c != "event_id"]
+    order = [c for c in ("EVENT_TS", arrival, *S.ENVELOPE_SCHEMA.names) if c in df.columns and c != "event_id"]
+    rest = order + [c for c in df.columns if c not in order and c != "event_id"]
     first = F.min(F.struct(*rest)).alias("r")
     return df.groupBy("event_id").agg(first).select("event_id", "r.*").select(*df.columns)
 

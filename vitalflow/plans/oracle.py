@@ -79,7 +79,14 @@ SELECT {_links}, UNITS, {META}, {day('DATE')} AS OBSERVATION_DATE,
 FROM observations_raw"""
 _hashed = ["CODE", "DESCRIPTION", "ENCOUNTER_ID", "OBSERVATION_DATE", "PATIENT_ID", "SOURCE_SYSTEM", "UNITS",
            "VALUE_NUMERIC", "VALUE_TEXT"]
-_h = "md5(concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in _hashed) + "))"
+
+
+def hash_of(*columns: str) -> str:
+    texts = [f"CAST({c} AS VARCHAR)" for c in columns]
+    return "md5(concat(" + ", ".join(f"coalesce(length({t}) || ':' || {t}, '~')" for t in texts) + "))"
+
+
+_h = hash_of(*_hashed)
 CTE["reading_numbers"] = f"""
 SELECT *, row_number() OVER (
   PARTITION BY PATIENT_ID, ENCOUNTER_ID, CODE, OBSERVATION_DATE, VALUE_TEXT, VALUE_NUMERIC
@@ -132,9 +139,7 @@ _rule = "CASE event_type " + " ".join(
 ) + " ELSE [] END"
 _value_ok = f"(event_type <> 'OBSERVATION' OR {field('VALUE_NUMERIC')} IS NOT NULL OR {field('VALUE_TEXT')} IS NOT NULL)"
 CTE["events_json"] = "SELECT *, CASE WHEN json_valid(payload) THEN payload END AS pj FROM events_raw"
-CTE["events_once"] = "SELECT DISTINCT * FROM events_json"
-_event_hash = "md5(concat_ws('|', " + ", ".join(
-    f"coalesce({c}, '~')" for c in ("patient_id", "event_type", "event_timestamp", "payload")) + "))"
+_event_hash = hash_of("patient_id", "event_type", "event_timestamp", "payload")
 
 
 def _identified(source: str) -> str:
@@ -145,13 +150,18 @@ FROM {source}"""
 
 
 CTE["events_named"] = _identified("events_json")
-# without an id, every copy is reduced to the least by content; ids come afterwards
-CTE["events_first"] = """
+
+
+def _first(source: str) -> str:
+    """The earliest event of each id."""
+    return f"""
 SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY event_id
-    ORDER BY patient_id NULLS FIRST, event_type, event_timestamp, payload) AS rn FROM events_json)
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY EVENT_TS, patient_id NULLS FIRST,
+    event_type NULLS FIRST, event_timestamp NULLS FIRST, payload NULLS FIRST) AS rn FROM {source})
 WHERE rn = 1"""
-CTE["events_named_once"] = _identified("events_first")
+
+
+CTE["events_first"] = _first("events_named")
 
 
 def _judged(source: str) -> str:
@@ -163,7 +173,11 @@ FROM {source}"""
 
 
 CTE["events_judged"] = _judged("events_named")
-CTE["events_good"] = f"SELECT * EXCLUDE (REASON) FROM ({_judged('events_named_once')}) WHERE REASON IS NULL"
+# ids first, then the rules, then one of each id among the valid
+CTE["events_good"] = _first("(SELECT * EXCLUDE (REASON) FROM events_judged WHERE REASON IS NULL)")
+CTE["events_arrived_json"] = "SELECT *, CASE WHEN json_valid(payload) THEN payload END AS pj FROM events_arrived"
+CTE["events_arrived_good"] = _first(
+    f"(SELECT * EXCLUDE (REASON) FROM ({_judged('(' + _identified('events_arrived_json') + ')')}) WHERE REASON IS NULL)")
 
 
 def _rt(event_type: str) -> str:
@@ -208,11 +222,8 @@ CTE["rt_common"] = " UNION ALL ".join(
     for t in S.REALTIME_SCHEMAS
 )
 _table_of = "CASE event_type " + " ".join(f"WHEN '{t}' THEN '{n}'" for t, n in S.EVENT_TABLES.items()) + " END"
-CTE["stored_ids"] = """
-SELECT DISTINCT EVENT_ID, TABLE_NAME FROM rt_common WHERE right(EVENT_ID, 1) NOT IN ('0', '3', '6')"""
-CTE["published"] = f"""
-SELECT event_id, event_type, {_table_of} AS TABLE_NAME FROM (
-  SELECT event_id, min(event_type) AS event_type FROM events_named GROUP BY event_id)"""
+CTE["stored_ids"] = f"SELECT event_id AS EVENT_ID, {_table_of} AS TABLE_NAME FROM events_arrived_good"
+CTE["published"] = f"SELECT event_id, event_type, {_table_of} AS TABLE_NAME FROM events_first"
 
 # --- state -------------------------------------------------------------------------------
 _interval = "CODE, DESCRIPTION, START_DATE, END_DATE"
@@ -353,7 +364,7 @@ SELECT *, row_number() OVER (PARTITION BY TARGET_NAME, STRATUM ORDER BY DAY, H,
   count(*) OVER (PARTITION BY TARGET_NAME, STRATUM) AS SIZE,
   count(*) OVER (PARTITION BY TARGET_NAME, STRATUM ORDER BY DAY RANGE UNBOUNDED PRECEDING) AS LAST
 FROM (SELECT p.PATIENT_ID, t.TARGET_NAME, GENDER || '|' || CAST(year(BIRTHDATE) // 10 AS VARCHAR) AS STRATUM,
-    i.INDEX_DATE, coalesce(i.INDEX_DATE, DATE '9999-12-31') AS DAY, md5(t.TARGET_NAME || '|' || p.PATIENT_ID) AS H
+    i.INDEX_DATE, coalesce(i.INDEX_DATE, DATE '9999-12-31') AS DAY, {hash_of('t.TARGET_NAME', 'p.PATIENT_ID')} AS H
   FROM patients_gold p CROSS JOIN (VALUES {_target_rows}) t(TARGET_NAME)
   LEFT JOIN index_dates i ON i.PATIENT_ID = p.PATIENT_ID AND i.TARGET_NAME = t.TARGET_NAME
   WHERE NOT {missing('GENDER')} AND BIRTHDATE IS NOT NULL)"""
@@ -379,10 +390,10 @@ SELECT PATIENT_ID, TARGET_NAME, LABEL, INDEX_DATE, {', '.join(S.FEATURES)}
 FROM labels JOIN features_before USING (PATIENT_ID, INDEX_DATE)"""
 
 # --- metrics -----------------------------------------------------------------------------
-CTE["split_scores"] = """
+CTE["split_scores"] = f"""
 SELECT * EXCLUDE (rn, n), CASE WHEN rn <= n * 0.2::DOUBLE THEN 'test' ELSE 'train' END AS SPLIT FROM (
   SELECT *, row_number() OVER (PARTITION BY TARGET_NAME, LABEL
-    ORDER BY md5(TARGET_NAME || '|' || CAST(ITEM_ID AS VARCHAR)), ITEM_ID) AS rn,
+    ORDER BY {hash_of('TARGET_NAME', 'ITEM_ID')}, ITEM_ID) AS rn,
     count(*) OVER (PARTITION BY TARGET_NAME, LABEL) AS n FROM scores)"""
 
 
@@ -549,17 +560,17 @@ FROM events_json WHERE event_type IN ({_types})"""
 _BODY["event_identity"] = show("SELECT event_id, event_type, EVENT_TS FROM events_named", times=("EVENT_TS",))
 _BODY["event_quarantine"] = "SELECT event_id, event_type, REASON FROM events_judged WHERE REASON IS NOT NULL"
 _report_rows = [
-    f"SELECT event_id, 'Event ID' AS LABEL, {has('event_id')} AS OK, substr(event_id, 1, 12) || '…' AS DETAIL FROM events_json",
+    f"SELECT event_id, 'Event ID' AS LABEL, {has('event_id')} AS OK, event_id AS DETAIL FROM events_json",
     f"SELECT event_id, 'Patient ID', {has('patient_id')}, CASE WHEN patient_id <> '' THEN patient_id ELSE '—' END FROM events_json",
     f"SELECT event_id, 'Event Type', {_known}, event_type FROM events_json",
     f"""SELECT event_id, 'Timestamp', {has('event_timestamp')},
-  CASE WHEN {has('event_timestamp')} THEN substr(event_timestamp, 1, 19) ELSE '—' END FROM events_json""",
+  CASE WHEN {has('event_timestamp')} THEN event_timestamp ELSE '—' END FROM events_json""",
 ]
 for _t, _fields in S.REQUIRED_FIELDS.items():
     for _f in _fields:
         _report_rows.append(
             f"""SELECT event_id, 'payload.{_f}', {has(field(_f))},
-  CASE WHEN {field(_f)} <> '' THEN substr({field(_f)}, 1, 30) ELSE 'missing' END FROM events_json WHERE event_type = '{_t}'""")
+  CASE WHEN {field(_f)} <> '' THEN {field(_f)} ELSE 'missing' END FROM events_json WHERE event_type = '{_t}'""")
 _report_rows.append(
     f"""SELECT event_id, 'At least one value', {_value_ok},
   CASE WHEN {_value_ok} THEN 'VALUE_NUMERIC or VALUE_TEXT present' ELSE 'both null' END FROM events_json WHERE event_type = 'OBSERVATION'""")
@@ -568,7 +579,7 @@ _BODY["envelope_roundtrip"] = f"""
 SELECT event_id, patient_id, event_type, event_timestamp, {field('CODE')} AS CODE, {field('DESCRIPTION')} AS DESCRIPTION
 FROM events_judged WHERE REASON IS NULL"""
 _BODY["make_observation_events"] = show(
-    """SELECT PATIENT_ID AS patient_id, 'OBSERVATION' AS event_type, DESCRIPTION, OBSERVATION_DATE, VALUE_NUMERIC, VALUE_TEXT,
+    f"""SELECT PATIENT_ID AS patient_id, 'OBSERVATION' AS event_type, '{AS_OF}T00:00:00Z' AS event_timestamp, DESCRIPTION, OBSERVATION_DATE, VALUE_NUMERIC, VALUE_TEXT,
   ENCOUNTER_ID FROM observations_silver""", days=("OBSERVATION_DATE",), doubles=("VALUE_NUMERIC",))
 _BODY["stream_envelope"] = "SELECT event_id, patient_id, event_type, event_timestamp, payload FROM events_raw"
 _BODY["stream_guard"] = f"""

@@ -155,10 +155,10 @@ def make_observation_events(c: Clinic) -> DataFrame:
         "VALUE_TEXT",
         "ENCOUNTER_ID",
     )
-    made = events.with_payload(events.make_observation_events(readings))
+    made = events.with_payload(events.make_observation_events(readings, c.now))
     number = F.col("P.VALUE_NUMERIC").try_cast("double")
     return made.select(
-        "patient_id", "event_type", "P.DESCRIPTION", "P.OBSERVATION_DATE", number.alias("VALUE_NUMERIC"),
+        "patient_id", "event_type", "event_timestamp", "P.DESCRIPTION", "P.OBSERVATION_DATE", number.alias("VALUE_NUMERIC"),
         "P.VALUE_TEXT", "P.ENCOUNTER_ID",
     )
 
@@ -187,20 +187,18 @@ def direct_append_events(c: Clinic) -> DataFrame:
     return out
 
 
-simple("route_counts", lambda c: events.route_counts(events.ingest(events.dedup_events(c.events), c.now)))
+simple("route_counts", lambda c: events.route_counts(events.ingest(c.events, c.now)))
 
 
-def _every_third(c: Clinic, pending: bool) -> DataFrame:
-    last = F.right("EVENT_ID", F.lit(1))
-    kept = {t: df.filter(~last.isin("0", "3", "6")) for t, df in c.rt.items()}
-    published = events.dedup_events(_identified(c).select("event_id", "event_type"))
-    return events.persisted_events(published, kept, pending).select("event_id", "event_type", "TABLE_NAME")
+def _stored(c: Clinic, pending: bool) -> DataFrame:
+    published = events.dedup_events(_identified(c)).select("event_id", "event_type")
+    return events.persisted_events(published, c.arrived, pending).select("event_id", "event_type", "TABLE_NAME")
 
 
-simple("persisted_events", lambda c: _every_third(c, False))
-simple("pending_events", lambda c: _every_third(c, True))
-simple("dedup_events", lambda c: events.dedup_events(c.events).select("event_id", "patient_id", "event_type", "event_timestamp"))
-simple("events_per_window", lambda c: events.events_per_window(events.ingest(events.dedup_events(c.events), c.now)))
+simple("persisted_events", lambda c: _stored(c, False))
+simple("pending_events", lambda c: _stored(c, True))
+simple("dedup_events", lambda c: events.dedup_events(_identified(c)).select("event_id", "patient_id", "event_type", "event_timestamp"))
+simple("events_per_window", lambda c: events.events_per_window(events.ingest(c.events, c.now)))
 
 # --- patient state -----------------------------------------------------------------------
 simple("patient_by_id", lambda c: state.patient_by_id(c.patients, "17"))

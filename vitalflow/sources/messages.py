@@ -42,16 +42,22 @@ def publish_events(
     path: str | None = None,
     validate: bool = True,
 ) -> DataFrame:
-    """Write valid envelopes, keyed by patient. Returns the rejected ones with a reason."""
+    """Write envelopes, keyed by patient. Returns the rejected ones with a reason.
+
+    Valid ones only, with their defaults, or with `validate` off all whose payload is a JSON
+    object, as they are.
+    """
     identified = events.identify(df)
-    good, bad = identified, events.quarantine(identified)
     if validate:
-        checked = events.fill_defaults(events.accepted(identified))
-        good = checked.withColumn("payload", F.to_json("P", {"ignoreNullFields": "false"}))
+        good, bad = events.merge_defaults(events.accepted(identified)), events.quarantine(identified)
+    else:
+        readable = events.is_object()
+        good = identified.filter(readable)
+        bad = identified.filter(~readable).withColumn("REASON", F.lit(events.REJECT_PAYLOAD))
     out = events.serialize_envelope(good)
     if sink == "kafka":
         defaults = {"topic": TOPIC, "kafka.acks": "all", "kafka.retries": "3"}
         out.write.format("kafka").options(**{**defaults, **(options or {})}).save()
     else:
         out.select("value").write.format(sink).options(**(options or {})).mode("append").save(path)
-    return bad.limit(0) if not validate else bad
+    return bad

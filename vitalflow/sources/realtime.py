@@ -1,8 +1,10 @@
 """The append-only realtime tables.
 
-Layout: root/RT_x/BATCH_KEY=<writer and batch>/EVENT_DATE=<day>/. A batch owns its
-BATCH_KEY folder and overwrites it, so writing the same batch again after a failure leaves
-the same rows. EVENT_DATE lets date-bound reads skip files.
+Layout: root/RT_x/EVENT_DATE=<day>/BATCH_KEY=<writer and batch>/. A batch owns its BATCH_KEY
+folders and overwrites them, so writing the same batch again after a failure leaves the same
+rows. EVENT_DATE stands first, so date-bound reads list one folder; events without a readable
+time of their own share the folder of no date. `compact_day` joins the small files of many
+batches.
 """
 
 from __future__ import annotations
@@ -13,15 +15,16 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from .. import schemas as S
 from ..operators import events
+from ..session import ensure_checkpoint_dir
 
 QUARANTINE = "RT_QUARANTINE"
-BATCH_KEY, EVENT_DATE = "BATCH_KEY", "EVENT_DATE"
-DIRECT = "direct"
+BATCH_KEY, EVENT_DATE = "BATCH_KEY", events.EVENT_DATE
+DIRECT, COMPACTED = "direct", "compacted"
 
 
 def _stored(schema: StructType) -> StructType:
     return StructType(
-        [*schema.fields, StructField(BATCH_KEY, StringType()), StructField(EVENT_DATE, DateType())]
+        [*schema.fields, StructField(EVENT_DATE, DateType()), StructField(BATCH_KEY, StringType())]
     )
 
 
@@ -49,12 +52,13 @@ def realtime_state(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def append_batch(df: DataFrame, root: str, table: str, batch_key: str) -> None:
-    """Write one batch's rows into its own folder; nothing is written for an empty batch."""
-    rows = df.withColumn(EVENT_DATE, F.to_date("EVENT_TS"))
-    # few, full files per day; a large day is cut into several
+    """Write one batch's rows, which carry EVENT_DATE, into its own folders."""
+    rows = df.withColumn(BATCH_KEY, F.lit(batch_key))
+    # few, full files per day; a large day is cut into several. Only the folders of this batch
+    # are replaced.
     rows.hint("rebalance", EVENT_DATE).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(EVENT_DATE).parquet(f"{table_path(root, table)}/{BATCH_KEY}={batch_key}")
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(EVENT_DATE, BATCH_KEY).parquet(table_path(root, table))
 
 
 def append_quarantine(df: DataFrame, root: str, batch_key: str) -> None:
@@ -64,19 +68,21 @@ def append_quarantine(df: DataFrame, root: str, batch_key: str) -> None:
 def new_events(df: DataFrame, root: str, batch_key: str) -> DataFrame:
     """Events whose id no other batch has stored yet.
 
-    A copy of an event has the same event day, so only the days of this batch are read:
-    the day filter prunes partitions at run time. Rows of the batch itself do not count,
-    so running a batch again gives the same rows.
+    Copies of an event agree on its own day, or on having none, so only the days of this batch
+    and the folder of no date are read; the filters prune partitions. Rows of the batch itself
+    do not count, so running a batch again gives the same rows.
     """
     spark = df.sparkSession
-    days = df.select(F.to_date("EVENT_TS").alias(EVENT_DATE)).distinct()
+    days = df.select(EVENT_DATE).filter(F.col(EVENT_DATE).isNotNull()).distinct()
     known = None
     for t, table in S.EVENT_TABLES.items():
         part = read_realtime(spark, root, table, stored=True).select(
             F.col("EVENT_ID").alias("event_id"), F.lit(t).alias("event_type"), EVENT_DATE, BATCH_KEY
         )
         known = part if known is None else known.unionByName(part)
-    known = known.filter(F.col(BATCH_KEY) != batch_key).join(days, EVENT_DATE, "left_semi")
+    known = known.filter(F.col(BATCH_KEY) != batch_key)
+    dated = known.join(days, EVENT_DATE, "left_semi").select(known.columns)
+    known = dated.unionByName(known.filter(F.col(EVENT_DATE).isNull()))
     ids = known.select("event_id", "event_type").distinct()
     return df.join(ids, ["event_id", "event_type"], "left_anti")
 
@@ -85,7 +91,37 @@ def write_routed(good: DataFrame, root: str, batch_key: str, types: list[str]) -
     """Write the rows of each given event type to its table."""
     for t in types:
         table = S.EVENT_TABLES[t]
-        append_batch(events.parse_type(good, t), root, table, batch_key)
+        append_batch(events.parse_type(good, t, keep=[EVENT_DATE]), root, table, batch_key)
+
+
+def compact_day(spark: SparkSession, root: str, table: str, day: str | None, name: str) -> int:
+    """Join the files of all batches of one day (None: of no date) into one set of files.
+
+    Run it for days whose batches are committed. The joined rows are written first, one per id,
+    and then the batches' folders go: a crash between leaves copies that the next run removes,
+    and a batch that is replayed later finds its ids stored and adds nothing. Returns the
+    number of folders removed.
+    """
+    stored = read_realtime(spark, root, table, stored=True)
+    on_day = F.col(EVENT_DATE).isNull() if day is None else F.col(EVENT_DATE) == F.lit(day).cast("date")
+    keys = [r[0] for r in stored.filter(on_day).select(BATCH_KEY).distinct().collect()]  # one per batch
+    target = f"{COMPACTED}-{name}"
+    old = [k for k in keys if k != target]
+    if not old:
+        return 0
+    rest = [c for c in stored.columns if c not in ("EVENT_ID", BATCH_KEY)]
+    once = stored.filter(on_day).groupBy("EVENT_ID").agg(F.min(F.struct(*rest)).alias("r"))
+    rows = once.select("EVENT_ID", "r.*").select(*[c for c in stored.columns if c != BATCH_KEY])
+    # a plan may not overwrite a folder that it reads
+    append_batch(rows.checkpoint() if target in keys else rows, root, table, target)
+    folder = "__HIVE_DEFAULT_PARTITION__" if day is None else day
+    conf = spark._jsc.hadoopConfiguration()
+    for key in old:
+        path = spark._jvm.org.apache.hadoop.fs.Path(
+            f"{table_path(root, table)}/{EVENT_DATE}={folder}/{BATCH_KEY}={key}"
+        )
+        path.getFileSystem(conf).delete(path, True)
+    return len(old)
 
 
 def direct_append(df: DataFrame, root: str, batch_key: str) -> dict[str, int]:
@@ -96,16 +132,12 @@ def direct_append(df: DataFrame, root: str, batch_key: str) -> dict[str, int]:
     """
     create_realtime_tables(df.sparkSession, root)
     key = f"{DIRECT}-{batch_key}"
-    judged = events.judge(events.identify(df)).persist()
-    try:
-        append_quarantine(judged.filter(F.col("REASON").isNotNull()).drop("P"), root, key)
-        valid = judged.filter(F.col("REASON").isNull()).drop("REASON")
-        fresh = new_events(events.dedup_events(valid), root, key).persist()
-        try:
-            counts = {r["event_type"]: r["ROW_COUNT"] for r in events.route_counts(fresh).collect()}
-            write_routed(fresh, root, key, sorted(counts))
-            return counts
-        finally:
-            fresh.unpersist()
-    finally:
-        judged.unpersist()
+    judged = events.judge(events.identify(df))
+    append_quarantine(judged.filter(F.col("REASON").isNotNull()).drop("P"), root, key)
+    valid = judged.filter(F.col("REASON").isNull()).drop("REASON")
+    # read once per table below; in the shared folder it outlives lost executors
+    ensure_checkpoint_dir(df.sparkSession)
+    fresh = new_events(events.dedup_events(valid), root, key).checkpoint()
+    counts = {r["event_type"]: r["ROW_COUNT"] for r in events.route_counts(fresh).collect()}
+    write_routed(fresh, root, key, sorted(counts))
+    return counts

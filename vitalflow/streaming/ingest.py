@@ -1,4 +1,4 @@
-"""The event stream: parse, validate, drop repeats, route each micro-batch to its tables.
+"""The event stream: parse, name, judge; then each micro-batch drops repeats and is routed.
 
 The reading, judging and typing are the functions of `operators.events`, which the batch
 path shares.
@@ -16,41 +16,43 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import events
 from ..sources import realtime
 from ..sources.messages import ARRIVAL
+from ..session import ensure_checkpoint_dir
 
 TRIGGER = "10 seconds"
-REPEAT_HORIZON = "1 day"
 
 
-def judged_stream(raw: DataFrame, horizon: str | None = REPEAT_HORIZON) -> DataFrame:
-    """Envelope columns, P, REASON and EVENT_TS of a stream of raw messages.
+def judged_stream(raw: DataFrame) -> DataFrame:
+    """Envelope columns, P, REASON, EVENT_TS and the RAW text of a stream of raw messages.
 
-    Repeats of an event id are dropped within `horizon` of arrival. The watermark is on
-    arrival, not on event time: an event reported years late is kept, and the state holds
-    the ids of one horizon only.
+    Nothing is dropped here: a rejected event and its corrected copy share an id, and every
+    reject is kept with its text.
     """
-    envelope = raw.select(
-        F.from_json("value", events.S.ENVELOPE_SCHEMA).alias("e"), ARRIVAL
-    ).select("e.*", ARRIVAL)
-    named = events.identify(envelope, F.col(ARRIVAL))
-    if horizon is not None:
-        named = named.withWatermark(ARRIVAL, horizon).dropDuplicatesWithinWatermark(["event_id"])
-    return events.judge(named)
+    text = F.col("value").cast("string").alias(events.RAW)
+    envelope = events.parse_envelope(raw, keep=[text, ARRIVAL])
+    return events.judge(events.identify(envelope, F.col(ARRIVAL)))
 
 
 def route_batch(root: str, stream_id: str, on_counts: Callable[[int, dict], None] | None = None):
-    """The foreachBatch function. A repeated batch id rewrites the same folders."""
+    """The foreachBatch function. A repeated batch id rewrites the same folders.
+
+    Valid events are reduced to one per id and to ids that no other batch has stored, however
+    long ago; rejects are all kept.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         key = f"{stream_id}-{batch_id}"
+        ensure_checkpoint_dir(batch.sparkSession)
+        realtime.create_realtime_tables(batch.sparkSession, root)
         held = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # one small grouped count decides which tables are written
-            tally = held.groupBy("event_type", F.col("REASON").isNull().alias("OK")).count().collect()
-            counts = {r["event_type"]: r["count"] for r in tally if r["OK"]}
-            if any(not r["OK"] for r in tally):
-                bad = held.filter(F.col("REASON").isNotNull()).drop("P")
+            bad = held.filter(F.col("REASON").isNotNull()).drop("P")
+            if bad.take(1):
                 realtime.append_quarantine(bad, root, key)
-            good = held.filter(F.col("REASON").isNull())
+            valid = held.filter(F.col("REASON").isNull()).drop("REASON", events.RAW)
+            # not a cache: that would be dropped with each write to a table that it reads
+            good = realtime.new_events(events.dedup_events(valid), root, key).checkpoint()
+            # one small grouped count decides which tables are written
+            counts = {r["event_type"]: r["ROW_COUNT"] for r in events.route_counts(good).collect()}
             realtime.write_routed(good, root, key, sorted(counts))
             if on_counts is not None:
                 on_counts(batch_id, counts)
@@ -66,7 +68,6 @@ def start_ingest(
     checkpoint: str,
     stream_id: str = "stream",
     once: bool = False,
-    horizon: str | None = REPEAT_HORIZON,
     trigger: str = TRIGGER,
     on_counts: Callable[[int, dict], None] | None = None,
 ) -> StreamingQuery:
@@ -76,7 +77,7 @@ def start_ingest(
     """
     realtime.create_realtime_tables(raw.sparkSession, root)
     writer = (
-        judged_stream(raw, horizon)
+        judged_stream(raw)
         .writeStream.foreachBatch(route_batch(root, stream_id, on_counts))
         .option("checkpointLocation", checkpoint)
     )
@@ -91,9 +92,15 @@ def start_window_counts(
     lateness: str = "1 day",
     once: bool = False,
 ) -> StreamingQuery:
-    """Monitoring: valid arrivals per type and window, each window written once it closes."""
-    valid = judged_stream(raw, horizon=None).filter(F.col("REASON").isNull())
-    counts = events.events_per_window(valid.withWatermark("EVENT_TS", lateness), width)
+    """Monitoring: valid events per type and window, each window written once it closes.
+
+    An event dated after its arrival counts at its arrival, so one wrong date cannot close
+    windows early. Copies within `lateness` count once.
+    """
+    valid = judged_stream(raw).filter(F.col("REASON").isNull())
+    timed = valid.withColumn("EVENT_TS", F.least("EVENT_TS", ARRIVAL)).withWatermark("EVENT_TS", lateness)
+    once_each = timed.dropDuplicatesWithinWatermark(["event_id"])
+    counts = events.events_per_window(once_each, width)
     writer = (
         counts.writeStream.format("parquet")
         .outputMode("append")
