@@ -48,8 +48,23 @@ def test_split_is_stratified_and_stable(prepared):
     assert n[("Stroke", 1, "test")] == 12 and n[("Stroke", 0, "test")] == 36 and n[("Asthma", 0, "test")] == 48
 
 
-def test_learned_categories(prepared):
-    assert models.learn_categories(prepared)["GENDER"] == ["F", "M"]
+def test_hot_features_use_the_vocabulary_of_the_train_part(spark):
+    columns = "PATIENT_ID string, GENDER string, RACE string, ETHNICITY string, MARITAL string"
+    train = spark.createDataFrame([("a", "F", "x", "x", "x")], columns)
+    df = spark.createDataFrame([("b", "M", "x", None, "x")], columns)
+    got = {r["FEATURE"] for r in models.hot_features(df, train, ["PATIENT_ID"]).collect()}
+    assert got == {"GENDER_OTHER", "RACE_x", "ETHNICITY_OTHER", "MARITAL_x"}
+
+
+@pytest.mark.parametrize("column", S.CATEGORICAL_FEATURES)
+def test_importance_names_the_column_that_decides(spark, column):
+    rows = [(f"p{i}", "Stroke", int(i % 3 == 0), "yes" if i % 3 == 0 else "no") for i in range(120)]
+    df = spark.createDataFrame(rows, f"PATIENT_ID string, TARGET_NAME string, LABEL int, {column} string")
+    extra = {c: F.lit(1.0) for c in S.NUMERIC_FEATURES} | {c: F.lit("x") for c in S.CATEGORICAL_FEATURES if c != column}
+    long = df.withColumns({**extra, "INDEX_DATE": F.lit("2020-01-01").cast("date")})
+    model = models.train_target(models.prepare(long), "Stroke", settings=TINY)
+    top = models.feature_importance(spark, model).first()
+    assert top["FEATURE"] in (f"{column}_yes", f"{column}_no") and top["IMPORTANCE"] > 0.9
 
 
 def test_metrics_against_brute_force(spark):

@@ -32,12 +32,14 @@ def hash_key(*parts: Column | str) -> Column:
     return F.md5(F.concat(*marked))
 
 
-def keep_top(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """The first `n` rows of every key.
+def keep_top(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int | None) -> DataFrame:
+    """The first `n` rows of every key; all of them for None.
 
     Spark turns `row_number() <= n` into a group limit that runs before the shuffle, so a
     hot key contributes at most n rows per map task.
     """
+    if n is None:
+        return df
     rank = "__rank"
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n).drop(rank)
@@ -62,10 +64,8 @@ def split_row_number(
     `piece` columns must be non-null. The keys may hold nulls, which form one group as in a
     window. Only piece counts, not rows, are brought together per key.
 
-    With `times` each row stands for that many equal rows, which are numbered and written
-    out. A row with more than `chunk` copies is first cut into parts; each part is a piece
-    of its own, so the copies of one row are spread too. Later parts stand behind the rest
-    of their piece.
+    With `times` each row stands for that many equal rows, which are numbered together and
+    then written out in parts of `chunk`, dealt anew so that one row's copies are spread.
     """
     group, base, first, part = "__group", "__base", "__first", "__part"
     given = [c for c in df.columns if c != times]
@@ -80,26 +80,31 @@ def split_row_number(
     if times is None:
         size, local = F.count(F.lit(1)), F.row_number().over(inside)
     else:
-        parts = F.sequence(F.lit(0), F.floor((F.col(times) - 1) / chunk))
-        left = F.col(times) - F.col(part) * chunk
-        tagged = tagged.withColumn(part, F.explode(parts)).withColumn(
-            times, F.least(left, F.lit(chunk))
-        )
-        pieces.append(part)
-        inside = Window.partitionBy(group, *pieces).orderBy(*order)
         running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         size, local = F.sum(times), F.sum(times).over(running) - F.col(times) + 1
-    before = Window.partitionBy(group).orderBy(*pieces).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = tagged.groupBy(group, *pieces).agg(size.alias("__n"))
-    offsets = sizes.select(
-        group, *pieces, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(base)
-    )
+    # one level of the piece at a time, so that a window holds the values of one level only
+    offsets = tagged.groupBy(group, *pieces).agg(size.alias("__n"))
+    counted, starts = offsets, []
+    for level in range(len(pieces), 0, -1):
+        above = [group, *pieces[: level - 1]]
+        before = Window.partitionBy(*above).orderBy(pieces[level - 1]).rowsBetween(Window.unboundedPreceding, -1)
+        begin = F.coalesce(F.sum("__n").over(before), F.lit(0))
+        starts.append((level, counted.select(*above, pieces[level - 1], begin.alias(f"__b{level}"))))
+        counted = counted.groupBy(*above).agg(F.sum("__n").alias("__n"))
+    level, offsets = starts[0]
+    for upper, table in starts[1:]:
+        offsets = offsets.join(table, [group, *pieces[:upper]])
+    total = sum((F.col(f"__b{k}") for k, _ in starts[1:]), F.col(f"__b{level}"))
+    offsets = offsets.select(group, *pieces, total.alias(base))
     placed = tagged.withColumn(first, local).join(offsets, [group, *pieces])
     start = F.col(base) + F.col(first)
     if times is None:
         return placed.select(*given, start.alias(name))
-    numbers = F.sequence(start, start + F.col(times) - 1)
-    return placed.select(*given, F.explode(numbers).alias(name))
+    parts = F.explode(F.sequence(F.lit(0), F.floor((F.col(times) - 1) / chunk)))
+    dealt = placed.select(*given, start.alias(name), times, parts.alias(part)).hint("rebalance")
+    begin, end = F.col(name) + F.col(part) * chunk, F.col(name) + F.col(times) - 1
+    numbers = F.sequence(begin, F.least(end, begin + (chunk - 1)))
+    return dealt.select(*given, F.explode(numbers).alias(name))
 
 
 def running_totals(

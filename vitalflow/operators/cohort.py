@@ -31,11 +31,10 @@ def index_dates(conditions: DataFrame, patterns: Mapping[str, str]) -> DataFrame
     )
 
 
-def _risk_line(patients: DataFrame, dates: DataFrame, targets: list[str]) -> DataFrame:
-    """Every patient once per target with its stratum and diagnosis day, in risk order.
+def _people(patients: DataFrame, dates: DataFrame, targets: list[str]) -> DataFrame:
+    """Every patient once per target with stratum, hash and the day of leaving the risk set.
 
-    Within (target, stratum) patients stand by diagnosis day, the undiagnosed last, then
-    by hash. Everyone behind the last patient of day t is free of the disease on day t.
+    A patient leaves it with the diagnosis or with death, whichever comes first.
     """
     stratum = F.concat_ws(
         "|", "GENDER", F.floor(F.year("BIRTHDATE") / AGE_BAND_YEARS).cast("string")
@@ -43,18 +42,20 @@ def _risk_line(patients: DataFrame, dates: DataFrame, targets: list[str]) -> Dat
     usable = patients.filter(~is_missing("GENDER") & F.col("BIRTHDATE").isNotNull())
     people = usable.select(
         "PATIENT_ID",
+        "DEATHDATE",
         stratum.alias("STRATUM"),
         F.explode(F.array(*[F.lit(t) for t in targets])).alias("TARGET_NAME"),
     )
-    line = people.join(dates, ["PATIENT_ID", "TARGET_NAME"], "left").withColumns(
-        {
-            "DAY": F.coalesce("INDEX_DATE", F.lit(S.OPEN_END).cast("date")),
-            "H": hash_key("TARGET_NAME", "PATIENT_ID"),
-        }
-    )
-    line = line.withColumn("HP", F.substring("H", 1, 2))
-    return split_row_number(
-        line, ["TARGET_NAME", "STRATUM"], ["DAY", "HP"], [F.col("H"), F.col("PATIENT_ID")], "POS"
+    end = F.lit(S.OPEN_END).cast("date")
+    hashed = hash_key("TARGET_NAME", "PATIENT_ID")
+    return people.join(dates, ["PATIENT_ID", "TARGET_NAME"], "left").select(
+        "PATIENT_ID",
+        "TARGET_NAME",
+        "STRATUM",
+        "INDEX_DATE",
+        F.least(F.coalesce("INDEX_DATE", end), F.coalesce("DEATHDATE", end)).alias("DAY"),
+        hashed.alias("H"),
+        F.substring(hashed, 1, 2).alias("HP"),
     )
 
 
@@ -66,17 +67,27 @@ def matched_controls(
 ) -> DataFrame:
     """Incidence-density sampling: up to `per_case` controls for each case.
 
-    A control shares gender and ten-year birth band and has no diagnosis on or before the
-    case's index date, which it inherits; a later case may serve. The risk set of a case is
-    the tail of its stratum line, so a control is looked up by position: a start drawn
-    from the case's hash, then the following places, wrapping round. No pairs are formed.
+    A control shares gender and ten-year birth band, is alive on the case's index date and has
+    no diagnosis on or before it; a later case may serve. It inherits the date. Patients of a
+    stratum stand in a line by the day they leave the risk set, so the risk set of a case is
+    the tail of its line behind its index date, and a control is looked up by position: a
+    start drawn from the case's hash, then the following places, wrapping round. No pairs are
+    formed.
     """
-    line = _risk_line(patients, dates, targets)
-    per_day = line.groupBy("TARGET_NAME", "STRATUM", "DAY").agg(F.max("POS").alias("LAST"))
-    # one row per distinct day of a stratum: bounded by the calendar
-    whole = Window.partitionBy("TARGET_NAME", "STRATUM")
-    sizes = per_day.withColumn("SIZE", F.max("LAST").over(whole))
-    cases = line.filter(F.col("INDEX_DATE").isNotNull()).join(sizes, ["TARGET_NAME", "STRATUM", "DAY"])
+    people = _people(patients, dates, targets)
+    line = ["TARGET_NAME", "STRATUM"]
+    ill = people.filter(F.col("INDEX_DATE").isNotNull())
+    # how many have left by each day that occurs, as such a day or as an index date
+    leaving = people.groupBy(*line, "DAY").agg(F.count(F.lit(1)).alias("n"))
+    asked = ill.select(*line, F.col("INDEX_DATE").alias("DAY")).distinct().withColumn("n", F.lit(0))
+    per_day = leaving.unionByName(asked).groupBy(*line, "DAY").agg(F.sum("n").alias("n"))
+    # one row per day of a stratum: bounded by the calendar
+    days = Window.partitionBy(*line)
+    so_far = days.orderBy("DAY").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = per_day.select(
+        *line, F.col("DAY").alias("INDEX_DATE"), F.sum("n").over(so_far).alias("LAST"), F.sum("n").over(days).alias("SIZE")
+    )
+    cases = ill.join(sizes, [*line, "INDEX_DATE"])
     free = F.col("SIZE") - F.col("LAST")
     start = F.conv(F.substring("H", 1, 8), 16, 10).cast("bigint")
     draws = (
@@ -84,17 +95,15 @@ def matched_controls(
         .withColumn("J", F.explode(F.sequence(F.lit(0), F.lit(per_case - 1))))
         .filter(F.col("J") < free)
         .select(
-            "TARGET_NAME",
-            "STRATUM",
+            *line,
             F.col("PATIENT_ID").alias("CASE_ID"),
             "INDEX_DATE",
             (F.col("LAST") + 1 + F.pmod(start + F.col("J"), free)).alias("POS"),
         )
     )
-    pool = line.select("TARGET_NAME", "STRATUM", "POS", F.col("PATIENT_ID").alias("CONTROL_ID"))
-    return draws.join(pool, ["TARGET_NAME", "STRATUM", "POS"]).select(
-        "TARGET_NAME", "CASE_ID", "CONTROL_ID", "INDEX_DATE"
-    )
+    numbered = split_row_number(people, line, ["DAY", "HP"], [F.col("H"), F.col("PATIENT_ID")], "POS")
+    pool = numbered.select(*line, "POS", F.col("PATIENT_ID").alias("CONTROL_ID"))
+    return draws.join(pool, [*line, "POS"]).select("TARGET_NAME", "CASE_ID", "CONTROL_ID", "INDEX_DATE")
 
 
 def labels(patients: DataFrame, dates: DataFrame, targets: list[str] = S.TARGETS, per_case: int = 1) -> DataFrame:

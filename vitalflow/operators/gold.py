@@ -68,10 +68,12 @@ def observations(df: DataFrame, resolve: str = "min", strict_join: bool = False)
 def descriptions_per_encounter(df: DataFrame, name: str) -> DataFrame:
     """All descriptions of an encounter in sorted order, joined to one text.
 
+    Rows without an encounter belong to no list.
+
     Repeats are counted before the shuffle, so the list gathered per encounter holds
     distinct descriptions only and is written out once.
     """
-    counted = df.groupBy("ENCOUNTER_ID", "DESCRIPTION").agg(
+    counted = df.filter(F.col("ENCOUNTER_ID").isNotNull()).groupBy("ENCOUNTER_ID", "DESCRIPTION").agg(
         F.count(F.lit(1)).cast("int").alias("__n")
     )
     lists = counted.groupBy("ENCOUNTER_ID").agg(
@@ -105,8 +107,8 @@ def obt_patient_encounters(
     """
     known = F.col("ENCOUNTER_ID").isNotNull()
     wide = (
-        encounters.join(conditions_per_encounter(conditions.filter(known)), "ENCOUNTER_ID", "left")
-        .join(medications_per_encounter(medications.filter(known)), "ENCOUNTER_ID", "left")
+        encounters.join(conditions_per_encounter(conditions), "ENCOUNTER_ID", "left")
+        .join(medications_per_encounter(medications), "ENCOUNTER_ID", "left")
         .join(patients_gold, "PATIENT_ID", "left")
         .fillna({"ALL_CONDITIONS": S.NO_CONDITIONS, "ALL_MEDICATIONS": S.NO_MEDICATIONS})
     )

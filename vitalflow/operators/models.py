@@ -24,8 +24,7 @@ FULL, ABLATED = "Full Features", "Ablated Features"
 FEATURE_SETS = {FULL: S.NUMERIC_FEATURES, ABLATED: S.ABLATED_NUMERIC_FEATURES}
 MODEL_NAME = "GBT"
 ROW_ID = "ROW_ID"
-# Categorical vocabularies are model metadata and must stay small.
-MAX_CATEGORIES = 1000
+OTHER = "OTHER"
 
 
 @dataclass(frozen=True)
@@ -79,13 +78,18 @@ def onehot(df: DataFrame, categories: Mapping[str, Sequence[str]], keep: Sequenc
     return df.select(*keep, *flags)
 
 
-def learn_categories(df: DataFrame, columns: Sequence[str] = S.CATEGORICAL_FEATURES) -> dict[str, list[str]]:
-    """Sorted distinct values of each categorical column; too many is an error."""
-    found = df.select(*[F.col(c) for c in columns]).unpivot([], list(columns), "C", "V")
-    rows = found.filter(F.col("V").isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categorical values: not a categorical feature")
-    return {c: sorted(r["V"] for r in rows if r["C"] == c) for c in columns}
+def hot_features(df: DataFrame, train: DataFrame, keys: Sequence[str],
+                 columns: Sequence[str] = S.CATEGORICAL_FEATURES) -> DataFrame:
+    """The one-hot features that are 1: keys, FEATURE. The vocabulary is that of `train`.
+
+    As in training, a value that `train` lacks counts under its column's last name, OTHER.
+    """
+    known = train.select(*columns).unpivot([], list(columns), "C", "V").distinct()
+    known = known.filter(F.col("V").isNotNull()).withColumn("KNOWN", F.lit(True))
+    rows = df.select(*keys, *columns).unpivot(list(keys), list(columns), "C", "V")
+    name = F.concat_ws("_", "C", F.when(F.col("KNOWN"), F.col("V")).otherwise(F.lit(OTHER)))
+    # a row per distinct value: Spark broadcasts it when its size allows
+    return rows.join(known, ["C", "V"], "left").select(*keys, name.alias("FEATURE"))
 
 
 def prepare(df: DataFrame, test_share: float = 0.2) -> DataFrame:
@@ -221,19 +225,27 @@ def experiment_comparison(prepared: DataFrame, targets: Sequence[str] = S.TARGET
 
 def feature_importance(spark: SparkSession, model: TrainedModel, top: int | None = 10) -> DataFrame:
     """Importance per feature column, highest first. The row count is the model width."""
-    stages = model.pipeline.stages
-    indexer, trees = stages[0], stages[-1]
-    names = list(FEATURE_SETS[model.feature_set])
-    for c, known in zip(S.CATEGORICAL_FEATURES, indexer.labelsArray):
-        names += [f"{c}_{v}" for v in known]
-    values = trees.featureImportances.toArray().tolist()
-    names += [f"OTHER_{i}" for i in range(len(values) - len(names))]
+    values = model.pipeline.stages[-1].featureImportances.toArray().tolist()
+    names = _feature_names(model)
     rows = [(model.target, model.feature_set, n, float(v)) for n, v in zip(names, values)]
     out = spark.createDataFrame(rows, "TARGET_NAME string, FEATURE_SET string, FEATURE string, IMPORTANCE double")
     out = out.orderBy(F.desc("IMPORTANCE"), "FEATURE")
     return out if top is None else out.limit(top)
 
 
+def _feature_names(model: TrainedModel) -> list[str]:
+    """Names of the assembled vector's places, from the widths that the encoder reports.
+
+    A categorical column takes one place per label and one for values not met in training.
+    """
+    indexer, encoder = model.pipeline.stages[0], model.pipeline.stages[1]
+    names = list(FEATURE_SETS[model.feature_set])
+    for c, labels, width in zip(S.CATEGORICAL_FEATURES, indexer.labelsArray, encoder.categorySizes):
+        places = [*labels, OTHER][: int(width)]
+        names += [f"{c}_{v}" for v in places]
+    return names
+
+
 def risk_scores(features: DataFrame, models: Mapping[str, TrainedModel | None],
                 targets: Sequence[str] = S.TARGETS) -> DataFrame:
     """Every patient against every target; a missing model gives null, not a failure."""

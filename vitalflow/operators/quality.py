@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +29,14 @@ def null_profile(df: DataFrame) -> DataFrame:
     ).select("COLUMN_NAME", "MISSING", F.col(total).alias("TOTAL"))
 
 
+def over_tables(
+    tables: Mapping[str, DataFrame], profile: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """One profile of several tables, with TABLE_NAME in front."""
+    parts = [profile(df).select(F.lit(name).alias("TABLE_NAME"), "*") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def null_profile_pct(df: DataFrame) -> DataFrame:
     """Missing share in percent, for columns that miss anything."""
     return (

@@ -12,17 +12,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .. import schemas as S
-from ..functions import keep_top, parse_number
+from ..functions import keep_top, parse_number, split_row_number
 
 Tables = Mapping[str, DataFrame]
 NAME_LIMIT = 50
 ENCOUNTER_LIMIT = 20
 READING_LIMIT = 10
 TIMELINE_LIMIT = 200
-SUMMARY_ENCOUNTER_LIMIT = 1000
 TIMELINE_COLUMNS = ["PATIENT_ID", "EVENT_DATE", "EVENT_TYPE", "DESCRIPTION", "DETAIL", "SOURCE", "ENCOUNTER_ID"]
 
 
@@ -80,7 +78,7 @@ def unknown_patients(requested: DataFrame, patients: DataFrame) -> DataFrame:
 
 # --- united tables -------------------------------------------------------------
 def encounters_state(
-    gold: Tables, rt: Tables, limit: int = ENCOUNTER_LIMIT, patient_id: str | None = None
+    gold: Tables, rt: Tables, limit: int | None = ENCOUNTER_LIMIT, patient_id: str | None = None
 ) -> DataFrame:
     columns = ["PATIENT_ID", "ENCOUNTER_ID", "CODE", "DESCRIPTION", "REASONDESCRIPTION", "ENCOUNTER_DATE"]
     united = _both(gold["encounters"], rt["RT_ENCOUNTERS"], columns, patient_id)
@@ -105,12 +103,18 @@ def allergies_state(gold: Tables, rt: Tables, patient_id: str | None = None) ->
 
 
 def newest_first(df: DataFrame, date: str = "START_DATE") -> DataFrame:
-    """Display order within patients; a range sort, so a hot patient spans several tasks."""
+    """Adds POSITION, the place of a row in its patient's list, newest first.
+
+    Numbered by days, so a patient with very many rows is not gathered in one task.
+    """
     rest = [c for c in df.columns if c not in ("PATIENT_ID", date)]
-    return df.orderBy("PATIENT_ID", newest(date), *rest)
+    day = F.coalesce(F.unix_date(F.col(date).cast("date")) * -1, F.lit(2**31 - 1))
+    order = [newest(date), *map(F.col, rest)]
+    numbered = split_row_number(df.withColumn("__day", day), ["PATIENT_ID"], ["__day"], order, "POSITION")
+    return numbered.drop("__day")
 
 
-def latest_obs_hist(gold: Tables, limit: int = READING_LIMIT, patient_id: str | None = None) -> DataFrame:
+def latest_obs_hist(gold: Tables, limit: int | None = READING_LIMIT, patient_id: str | None = None) -> DataFrame:
     """The newest wide readings of each patient."""
     columns = ["PATIENT_ID", "OBSERVATION_DATE", *S.MEASUREMENTS]
     hist = _of(gold["observations"], patient_id)
@@ -223,27 +227,39 @@ def timeline_rows(gold: Tables, rt: Tables, patient_id: str | None = None) -> Da
 
 
 def clinical_timeline(
-    gold: Tables, rt: Tables, limit: int = TIMELINE_LIMIT, patient_id: str | None = None
+    gold: Tables, rt: Tables, limit: int | None = TIMELINE_LIMIT, patient_id: str | None = None
 ) -> DataFrame:
     """The newest events of every patient."""
     return keep_top(timeline_rows(gold, rt, patient_id), ["PATIENT_ID"], _timeline_order(), limit)
 
 
 def timeline_filtered(
-    timeline: DataFrame, sources: Sequence[str], event_types: Sequence[str]
+    rows: DataFrame, sources: Sequence[str], event_types: Sequence[str], limit: int | None = None
 ) -> DataFrame:
-    return timeline.filter(F.col("SOURCE").isin(*sources) & F.col("EVENT_TYPE").isin(*event_types))
+    """Timeline rows of some sources and types; with `limit` the newest of each patient."""
+    found = rows.filter(F.col("SOURCE").isin(*sources) & F.col("EVENT_TYPE").isin(*event_types))
+    return keep_top(found, ["PATIENT_ID"], _timeline_order(), limit)
+
 
+def timeline_day_breaks(rows: DataFrame) -> DataFrame:
+    """Per patient and day with events: how many, and the one that stands first.
 
-def timeline_day_breaks(timeline: DataFrame) -> DataFrame:
-    """Mark the first shown event of each day. The timeline is already bounded per patient."""
-    order = Window.partitionBy("PATIENT_ID").orderBy(*_timeline_order())
-    day = F.to_date("EVENT_DATE")
-    return timeline.withColumn("DAY_BREAK", ~F.coalesce(F.lag(day).over(order) == day, F.lit(False)))
+    The least struct in timeline order combines map-side; no patient's rows are gathered.
+    """
+    keys = []
+    for name, way in _TIMELINE_ORDER:
+        value = F.unix_micros(name) * -1 if way == "desc" else F.col(name)
+        keys += [F.col(name).isNull().alias(f"{name}_ABSENT"), value.alias(f"{name}_KEY")]
+    event = F.struct(*[c for c in TIMELINE_COLUMNS if c != "PATIENT_ID"]).alias("EVENT")
+    return (
+        rows.groupBy("PATIENT_ID", F.to_date("EVENT_DATE").alias("DAY"))
+        .agg(F.count(F.lit(1)).alias("EVENTS"), F.min(F.struct(*keys, event)).alias("FIRST"))
+        .select("PATIENT_ID", "DAY", "EVENTS", "FIRST.EVENT.*")
+    )
 
 
-def timeline_counts(timeline: DataFrame) -> DataFrame:
-    return timeline.groupBy("PATIENT_ID").agg(
+def timeline_counts(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("PATIENT_ID").agg(
         F.count(F.lit(1)).alias("TOTAL"),
         F.count_if(F.col("SOURCE") == S.HISTORICAL).alias("HISTORICAL"),
         F.count_if(F.col("SOURCE") == S.REALTIME).alias("REALTIME"),
@@ -254,15 +270,13 @@ def timeline_counts(timeline: DataFrame) -> DataFrame:
 def patient_360(gold: Tables, rt: Tables, patients: DataFrame) -> DataFrame:
     """Counts per patient, total and by source.
 
-    Encounters count among the newest 1000 and historical readings up to the display
-    limit, as shown to users. All four sources are reduced to marker rows and counted in
-    one aggregation that combines map-side.
+    All four sources are reduced to marker rows and counted in one aggregation that combines
+    map-side.
     """
-    newest_encounters = encounters_state(gold, rt, limit=SUMMARY_ENCOUNTER_LIMIT)
     hist_obs = _tagged(gold["observations"], ["PATIENT_ID"], S.HISTORICAL)
     rt_obs = _tagged(rt["RT_OBSERVATIONS"], ["PATIENT_ID"], S.REALTIME)
     marked = {
-        "ENCOUNTERS": newest_encounters,
+        "ENCOUNTERS": encounters_state(gold, rt, limit=None),
         "CONDITIONS": conditions_state(gold, rt),
         "MEDICATIONS": medications_state(gold, rt),
         "OBSERVATIONS": hist_obs.unionByName(rt_obs),
@@ -275,8 +289,6 @@ def patient_360(gold: Tables, rt: Tables, patients: DataFrame) -> DataFrame:
     for name in marked:
         for suffix, source in (("HIST", S.HISTORICAL), ("RT", S.REALTIME)):
             n = F.count_if((F.col("K") == name) & (F.col("SOURCE") == source))
-            if (name, suffix) == ("OBSERVATIONS", "HIST"):
-                n = F.least(n, F.lit(READING_LIMIT).cast("bigint"))
             counts.append(n.alias(f"{name}_{suffix}"))
     joined = patients.select("PATIENT_ID").join(rows.groupBy("PATIENT_ID").agg(*counts), "PATIENT_ID", "left")
     filled = joined.fillna(0)

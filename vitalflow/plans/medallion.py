@@ -20,12 +20,11 @@ def stage_files(lake: Lake, folder: str) -> None:
     """Load the nine CSV files; malformed lines go to `<entity>_rejected`."""
     for entity in S.ENTITIES:
         rows = load_csv(lake.spark, f"{folder.rstrip('/')}/{entity}.csv", S.RAW_SCHEMAS[entity])
-        good, bad = split_corrupt(rows.persist())
-        try:
-            lake.write(good, STAGING, entity)
-            lake.write(bad, STAGING, f"{entity}_rejected")
-        finally:
-            rows.unpersist()
+        # parsed once; both parts are cut from what was written
+        lake.write(rows, STAGING, f"{entity}_parsed")
+        good, bad = split_corrupt(lake.read(STAGING, f"{entity}_parsed"))
+        lake.write(good, STAGING, entity)
+        lake.write(bad, STAGING, f"{entity}_rejected")
 
 
 def run_bronze(lake: Lake, source: str, as_of: str | None = None) -> None:

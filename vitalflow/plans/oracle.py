@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from .. import schemas as S
-from .proxy import AS_OF, CATEGORIES, ENTITY_TYPES, RAW_SQL, SOURCE_SYSTEM, TABLES, TARGET_WORDS
+from .proxy import AS_OF, ENTITY_TYPES, RAW_SQL, SOURCE_SYSTEM, TABLES, TARGET_WORDS
 
 NOW = f"TIMESTAMP '{AS_OF} 00:00:00'"
 OPEN = "TIMESTAMP '9999-12-31 00:00:00'"
@@ -117,7 +117,7 @@ for _e in ("encounters", "conditions", "medications", "procedures", "immunizatio
 for _e, _n in (("conditions", "ALL_CONDITIONS"), ("medications", "ALL_MEDICATIONS")):
     CTE[f"{_e}_listed"] = f"""
 SELECT ENCOUNTER_ID, coalesce(string_agg(DESCRIPTION, ' | ' ORDER BY DESCRIPTION), '') AS {_n}
-FROM {_e}_gold GROUP BY ENCOUNTER_ID"""
+FROM {_e}_gold WHERE ENCOUNTER_ID IS NOT NULL GROUP BY ENCOUNTER_ID"""
 
 # --- events ------------------------------------------------------------------------------
 _types = ", ".join(f"'{t}'" for t in S.EVENT_TYPES)
@@ -286,7 +286,7 @@ def _timeline() -> str:
 
 
 _time_order = """EVENT_DATE DESC, EVENT_TYPE, SOURCE, DESCRIPTION NULLS LAST, DETAIL NULLS LAST, ENCOUNTER_ID NULLS LAST"""
-CTE["timeline"] = _top(_timeline(), _time_order, 200)
+CTE["timeline_all"] = _timeline()
 
 # --- features ----------------------------------------------------------------------------
 _gold_vitals = ", ".join(f"TRY_CAST({q(m)} AS DOUBLE) AS {f}" for f, m in S.VITAL_FEATURES.items())
@@ -359,25 +359,30 @@ LEFT JOIN {before('medication_codes', 'CAST(count(DISTINCT x.CODE) AS DOUBLE) AS
 
 
 _target_rows = ", ".join(f"('{t}')" for t in S.TARGETS)
+_open_day = "DATE '9999-12-31'"
 CTE["risk_line"] = f"""
 SELECT *, row_number() OVER (PARTITION BY TARGET_NAME, STRATUM ORDER BY DAY, H, PATIENT_ID) AS POS,
-  count(*) OVER (PARTITION BY TARGET_NAME, STRATUM) AS SIZE,
-  count(*) OVER (PARTITION BY TARGET_NAME, STRATUM ORDER BY DAY RANGE UNBOUNDED PRECEDING) AS LAST
-FROM (SELECT p.PATIENT_ID, t.TARGET_NAME, GENDER || '|' || CAST(year(BIRTHDATE) // 10 AS VARCHAR) AS STRATUM,
-    i.INDEX_DATE, coalesce(i.INDEX_DATE, DATE '9999-12-31') AS DAY, {hash_of('t.TARGET_NAME', 'p.PATIENT_ID')} AS H
+  count(*) OVER (PARTITION BY TARGET_NAME, STRATUM) AS SIZE
+FROM (SELECT p.PATIENT_ID, t.TARGET_NAME, GENDER || '|' || CAST(year(BIRTHDATE) // 10 AS VARCHAR) AS STRATUM, i.INDEX_DATE,
+    least(coalesce(i.INDEX_DATE, {_open_day}), coalesce(p.DEATHDATE, {_open_day})) AS DAY,
+    {hash_of('t.TARGET_NAME', 'p.PATIENT_ID')} AS H
   FROM patients_gold p CROSS JOIN (VALUES {_target_rows}) t(TARGET_NAME)
   LEFT JOIN index_dates i ON i.PATIENT_ID = p.PATIENT_ID AND i.TARGET_NAME = t.TARGET_NAME
   WHERE NOT {missing('GENDER')} AND BIRTHDATE IS NOT NULL)"""
+CTE["risk_cases"] = """
+SELECT c.TARGET_NAME, c.STRATUM, c.PATIENT_ID, c.INDEX_DATE, c.H, c.SIZE, count(k.PATIENT_ID) AS LAST
+FROM risk_line c LEFT JOIN risk_line k ON k.TARGET_NAME = c.TARGET_NAME AND k.STRATUM = c.STRATUM AND k.DAY <= c.INDEX_DATE
+WHERE c.INDEX_DATE IS NOT NULL GROUP BY ALL"""
 
 
 def _controls(per_case: int) -> str:
     draws = ", ".join(f"({j})" for j in range(per_case))
     return f"""
 SELECT c.TARGET_NAME, c.PATIENT_ID AS CASE_ID, k.PATIENT_ID AS CONTROL_ID, c.INDEX_DATE
-FROM risk_line c CROSS JOIN (VALUES {draws}) j(J)
+FROM risk_cases c CROSS JOIN (VALUES {draws}) j(J)
 JOIN risk_line k ON k.TARGET_NAME = c.TARGET_NAME AND k.STRATUM = c.STRATUM
   AND k.POS = c.LAST + 1 + (CAST('0x' || substr(c.H, 1, 8) AS BIGINT) + j.J) % (c.SIZE - c.LAST)
-WHERE c.INDEX_DATE IS NOT NULL AND c.SIZE - c.LAST > j.J"""
+WHERE c.SIZE - c.LAST > j.J"""
 
 
 CTE["controls"] = _controls(1)
@@ -408,12 +413,21 @@ FROM (SELECT {keys}, PROBABILITY, count(*) FILTER (LABEL = 1) AS POS, count(*) F
 
 
 CTE["curve"] = _curve("scores", "TARGET_NAME")
-CTE["curve_points"] = """
+CTE["test_scores"] = "SELECT * FROM split_scores WHERE SPLIT = 'test'"
+CTE["test_curve"] = _curve("test_scores", "TARGET_NAME")
+
+
+def _points(curve: str) -> str:
+    return f"""
 SELECT *, 2.0::DOUBLE * "PRECISION" * RECALL / ("PRECISION" + RECALL + 1e-9::DOUBLE) AS F1 FROM (
-  SELECT TARGET_NAME, PROBABILITY AS THRESHOLD, TP / (TP + FP) AS "PRECISION", TP / P AS RECALL FROM curve)"""
+  SELECT TARGET_NAME, PROBABILITY AS THRESHOLD, TP / (TP + FP) AS "PRECISION", TP / P AS RECALL FROM {curve})"""
+
+
+CTE["curve_points"] = _points("curve")
+CTE["test_points"] = _points("test_curve")
 CTE["best"] = """
 SELECT TARGET_NAME, THRESHOLD, F1 FROM (
-  SELECT *, row_number() OVER (PARTITION BY TARGET_NAME ORDER BY F1 DESC, THRESHOLD) AS rn FROM curve_points) WHERE rn = 1"""
+  SELECT *, row_number() OVER (PARTITION BY TARGET_NAME ORDER BY F1 DESC, THRESHOLD) AS rn FROM test_points) WHERE rn = 1"""
 CTE["lifts"] = """
 SELECT TARGET_NAME, PR_AUC, PREVALENCE, CASE WHEN PREVALENCE > 0 THEN PR_AUC / PREVALENCE ELSE 0 END AS LIFT FROM (
   SELECT TARGET_NAME, coalesce(sum((R - R0) * TP / (TP + FP)), 0) AS PR_AUC, max(P) / (max(P) + max(N)) AS PREVALENCE
@@ -434,7 +448,7 @@ GROUP BY {keys}, n1, n0"""
 CTE["confusion"] = """
 SELECT s.TARGET_NAME, count(*) FILTER (y = 1 AND LABEL = 1) AS TP, count(*) FILTER (y = 1 AND LABEL = 0) AS FP,
   count(*) FILTER (y = 0 AND LABEL = 1) AS FN, count(*) FILTER (y = 0 AND LABEL = 0) AS TN
-FROM (SELECT s.*, CASE WHEN PROBABILITY >= THRESHOLD THEN 1 ELSE 0 END AS y FROM scores s JOIN best USING (TARGET_NAME)) s
+FROM (SELECT s.*, CASE WHEN PROBABILITY >= THRESHOLD THEN 1 ELSE 0 END AS y FROM test_scores s JOIN best USING (TARGET_NAME)) s
 GROUP BY s.TARGET_NAME"""
 CTE["per_class"] = """
 SELECT TARGET_NAME, '1' AS CLASS, CASE WHEN TP + FP > 0 THEN TP / (TP + FP) ELSE 0 END AS "PRECISION",
@@ -469,6 +483,11 @@ def full(body: str) -> str:
 
 
 _BODY: dict[str, str] = {}
+# columns of each entity in Silver and Gold, as the definitions state them
+WIDTH = {
+    "patients": (18, 8), "encounters": (9, 7), "observations": (11, 11), "conditions": (8, 6), "medications": (11, 8),
+    "procedures": (10, 7), "immunizations": (8, 5), "allergies": (9, 6), "careplans": (12, 9),
+}
 
 # --- sources, bronze, quality ------------------------------------------------------------
 _present = " ".join(f"WHEN '{t}' THEN '{e}'" for e, t in ENTITY_TYPES.items() if e != "careplans")
@@ -477,29 +496,43 @@ _BODY["manifest_missing"] = f"""
 SELECT TABLE_NAME FROM (VALUES {_entities}) e(TABLE_NAME)
 WHERE TABLE_NAME NOT IN (SELECT DISTINCT CASE p_type {_present} END FROM part WHERE p_type <> 'PROMO')"""
 _BODY["layer_report"] = " UNION ALL ".join(
-    f"SELECT '{e}_bronze' AS TABLE_NAME, (SELECT count(*) FROM {e}_raw) AS ROW_COUNT, "
-    f"CAST({len(S.RAW_SCHEMAS[e]) + 2} AS BIGINT) AS COLUMN_COUNT, 'OK' AS STATUS"
+    f"SELECT '{e}_{layer}' AS TABLE_NAME, (SELECT count(*) FROM {table}) AS ROW_COUNT, "
+    f"(SELECT {columns} FROM (SELECT 1) LEFT JOIN (SELECT * FROM {table} LIMIT 1) ON true) AS COLUMN_COUNT, 'OK' AS STATUS"
     for e in S.ENTITIES
+    for layer, table, columns in (
+        ("staging", f"{e}_raw", f"CAST({len(S.RAW_SCHEMAS[e])} AS BIGINT)"),
+        ("bronze", f"{e}_raw", f"CAST({len(S.RAW_SCHEMAS[e]) + 2} AS BIGINT)"),
+        ("silver", f"{e}_silver", f"CAST({WIDTH[e][0]} AS BIGINT)"),
+        ("gold", f"{e}_gold", f"CAST({WIDTH[e][1]} AS BIGINT)"),
+    )
 )
 _BODY["bronze_stamp"] = show(f"SELECT *, {META} FROM encounters_raw", times=("INGESTION_TIMESTAMP",))
+for _e in S.ENTITIES:
+    if _e != "encounters":
+        _BODY[f"bronze_{_e}"] = show(f"SELECT *, {META} FROM {_e}_raw", times=("INGESTION_TIMESTAMP",))
 
 
 def _profile(entity: str) -> str:
     columns = [*S.RAW_SCHEMAS[entity].names, "SOURCE_SYSTEM"]
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS COLUMN_NAME, count(*) FILTER ({missing(c)}) AS MISSING, count(*) AS TOTAL "
+        f"SELECT '{entity}' AS TABLE_NAME, '{c}' AS COLUMN_NAME, count(*) FILTER ({missing(c)}) AS MISSING, count(*) AS TOTAL "
         f"FROM (SELECT *, {META} FROM {entity}_raw)"
         for c in columns
     )
 
 
-_BODY["null_profile"] = _profile("patients")
+_profiles = " UNION ALL ".join(map(_profile, S.ENTITIES))
+_BODY["null_profile"] = _profiles
 _BODY["null_profile_pct"] = f"""
-SELECT COLUMN_NAME, MISSING, round(MISSING / TOTAL * 100, 6) AS MISSING_PCT FROM ({_profile('observations')}) WHERE MISSING > 0"""
-_BODY["key_uniqueness"] = "SELECT count(*) AS TOTAL_ROWS, count(DISTINCT ID) AS DISTINCT_KEYS FROM patients_raw"
-_BODY["duplicate_rows"] = """
-SELECT t AS TOTAL_ROWS, d AS DISTINCT_ROWS, t - d AS DUPLICATE_ROWS
-FROM (SELECT (SELECT count(*) FROM observations_raw) AS t, (SELECT count(*) FROM (SELECT DISTINCT * FROM observations_raw)) AS d)"""
+SELECT TABLE_NAME, COLUMN_NAME, MISSING, round(MISSING / TOTAL * 100, 6) AS MISSING_PCT FROM ({_profiles}) WHERE MISSING > 0"""
+_BODY["key_uniqueness"] = " UNION ALL ".join(
+    f"SELECT '{e}' AS TABLE_NAME, count(*) AS TOTAL_ROWS, count(DISTINCT ID) AS DISTINCT_KEYS FROM {e}_raw"
+    for e in ("patients", "encounters", "careplans"))
+_BODY["duplicate_rows"] = " UNION ALL ".join(
+    f"""
+SELECT '{e}' AS TABLE_NAME, t AS TOTAL_ROWS, d AS DISTINCT_ROWS, t - d AS DUPLICATE_ROWS
+FROM (SELECT (SELECT count(*) FROM {e}_raw) AS t, (SELECT count(*) FROM (SELECT DISTINCT * FROM {e}_raw)) AS d)"""
+    for e in S.ENTITIES)
 _BODY["interval_anomalies"] = " UNION ALL ".join(
     f"SELECT '{e}' AS TABLE_NAME, count(*) AS TOTAL_ROWS, count(*) FILTER ({ts('STOP')} < {ts('START')}) AS ANOMALIES FROM {e}_raw"
     for e in ("conditions", "medications", "allergies", "careplans")
@@ -616,35 +649,46 @@ _BODY["patient_status"] = """
 SELECT PATIENT_ID, CASE WHEN DEATHDATE IS NULL OR DEATHDATE = DATE '9999-12-31' THEN 'Alive'
   ELSE strftime(DEATHDATE, '%Y-%m-%d') END AS STATUS FROM patients_gold"""
 _BODY["encounters_state"] = show(_top("SELECT * FROM visits", _visit_order, 20), times=("ENCOUNTER_DATE",))
-for _e in ("conditions", "medications", "allergies"):
-    _BODY[f"{_e}_state"] = show(f"SELECT * FROM {_e}_both", times=_IV)
+
+
+def _placed(table: str, date: str, rest: tuple[str, ...]) -> str:
+    order = ", ".join(f"{c} NULLS FIRST" for c in rest)
+    return (f"SELECT *, row_number() OVER (PARTITION BY PATIENT_ID ORDER BY {date} DESC NULLS LAST, {order}) AS POSITION "
+            f"FROM ({table})")
+
+
+for _e, _rest in (("conditions", ("CODE", "DESCRIPTION", "END_DATE", "SOURCE")),
+                  ("medications", ("REASONDESCRIPTION", "CODE", "DESCRIPTION", "END_DATE", "SOURCE")),
+                  ("allergies", ("CODE", "DESCRIPTION", "END_DATE", "SOURCE"))):
+    _BODY[f"{_e}_state"] = show(_placed(f"SELECT * FROM {_e}_both", "START_DATE", _rest), times=_IV)
 _BODY["latest_obs_hist"] = show(
     "SELECT * EXCLUDE (ENCOUNTER_ID, READING_SEQ), 'historical' AS SOURCE FROM ("
     + _top("SELECT * FROM observations_gold", "OBSERVATION_DATE DESC NULLS LAST, ENCOUNTER_ID NULLS LAST, READING_SEQ", 10)
     + ")", days=("OBSERVATION_DATE",))
 _BODY["latest_obs_rt"] = show(
-    """SELECT PATIENT_ID, OBSERVATION_DATE, DESCRIPTION, VALUE_NUMERIC, VALUE_TEXT, 'realtime' AS SOURCE FROM rt_observations""",
+    _placed("""SELECT PATIENT_ID, OBSERVATION_DATE, DESCRIPTION, VALUE_NUMERIC, VALUE_TEXT, 'realtime' AS SOURCE
+FROM rt_observations""", "OBSERVATION_DATE", ("DESCRIPTION", "VALUE_NUMERIC", "VALUE_TEXT", "SOURCE")),
     days=("OBSERVATION_DATE",), doubles=("VALUE_NUMERIC",))
 _BODY["observations_long"] = show("SELECT * FROM readings_long", days=("OBSERVATION_DATE",), doubles=("VALUE_NUMERIC",))
 _asked = "(SELECT DISTINCT CAST(user_id * 11 AS VARCHAR) AS PATIENT_ID FROM events)"
 _BODY["known_patients"] = f"SELECT PATIENT_ID FROM {_asked} WHERE PATIENT_ID IN (SELECT PATIENT_ID FROM patients_gold)"
 _BODY["unknown_patients"] = f"SELECT PATIENT_ID FROM {_asked} WHERE PATIENT_ID NOT IN (SELECT PATIENT_ID FROM patients_gold)"
-_BODY["clinical_timeline"] = show("SELECT * FROM timeline", times=("EVENT_DATE",))
+_BODY["clinical_timeline"] = show(_top("SELECT * FROM timeline_all", _time_order, 200), times=("EVENT_DATE",))
 _BODY["timeline_filtered"] = show(
-    "SELECT * FROM timeline WHERE SOURCE = 'realtime' AND EVENT_TYPE IN ('ENCOUNTER', 'OBSERVATION', 'MEDICATION')",
+    "SELECT * FROM timeline_all WHERE SOURCE = 'realtime' AND EVENT_TYPE IN ('ENCOUNTER', 'OBSERVATION', 'MEDICATION')",
     times=("EVENT_DATE",))
 _BODY["timeline_day_breaks"] = show(
-    """SELECT PATIENT_ID, CAST(EVENT_DATE AS DATE) AS DAY, count(*) FILTER (b) AS BREAKS, min(EVENT_TYPE) FILTER (b) AS FIRST_TYPE
-FROM (SELECT *, row_number() OVER (PARTITION BY PATIENT_ID, CAST(EVENT_DATE AS DATE) ORDER BY """ + _time_order + """) = 1 AS b
-  FROM timeline) GROUP BY 1, 2""", days=("DAY",))
+    """SELECT * EXCLUDE (rn) FROM (
+  SELECT *, CAST(EVENT_DATE AS DATE) AS DAY, count(*) OVER (PARTITION BY PATIENT_ID, CAST(EVENT_DATE AS DATE)) AS EVENTS,
+    row_number() OVER (PARTITION BY PATIENT_ID, CAST(EVENT_DATE AS DATE) ORDER BY """ + _time_order + """) AS rn
+  FROM timeline_all) WHERE rn = 1""", days=("DAY",), times=("EVENT_DATE",))
 _BODY["timeline_counts"] = """
 SELECT PATIENT_ID, count(*) AS TOTAL, count(*) FILTER (SOURCE = 'historical') AS HISTORICAL,
-  count(*) FILTER (SOURCE = 'realtime') AS REALTIME FROM timeline GROUP BY PATIENT_ID"""
+  count(*) FILTER (SOURCE = 'realtime') AS REALTIME FROM timeline_all GROUP BY PATIENT_ID"""
 
 
-def _pair(name: str, body: str, cap: bool = False) -> str:
+def _pair(name: str, body: str) -> str:
     hist = "count(*) FILTER (SOURCE = 'historical')"
-    hist = f"least({hist}, 10)" if cap else hist
     return (f"LEFT JOIN (SELECT PATIENT_ID, {hist} AS {name}_HIST, count(*) FILTER (SOURCE = 'realtime') AS {name}_RT "
             f"FROM ({body}) GROUP BY PATIENT_ID) USING (PATIENT_ID)")
 
@@ -654,10 +698,10 @@ _BODY["patient_360"] = f"""
 SELECT PATIENT_ID, {', '.join(f'coalesce({c}, 0) AS {c}' for c in _sides)},
   {', '.join(f"coalesce({n}_HIST, 0) + coalesce({n}_RT, 0) AS {n}_TOTAL" for n in ("ENCOUNTERS", "CONDITIONS", "MEDICATIONS", "OBSERVATIONS"))}
 FROM patients_gold
-{_pair('ENCOUNTERS', _top('SELECT * FROM visits', _visit_order, 1000))}
+{_pair('ENCOUNTERS', 'SELECT * FROM visits')}
 {_pair('CONDITIONS', 'SELECT * FROM conditions_both')}
 {_pair('MEDICATIONS', 'SELECT * FROM medications_both')}
-{_pair('OBSERVATIONS', "SELECT PATIENT_ID, 'historical' AS SOURCE FROM observations_gold UNION ALL SELECT PATIENT_ID, 'realtime' FROM rt_observations", True)}"""
+{_pair('OBSERVATIONS', "SELECT PATIENT_ID, 'historical' AS SOURCE FROM observations_gold UNION ALL SELECT PATIENT_ID, 'realtime' FROM rt_observations")}"""
 
 # --- features ----------------------------------------------------------------------------
 _NF = tuple(S.NUMERIC_FEATURES)
@@ -708,12 +752,22 @@ FROM split_scores JOIN best USING (TARGET_NAME) GROUP BY TARGET_NAME, SPLIT""",
 _BODY["roc_auc"] = show(_auc("split_scores", "TARGET_NAME, SPLIT"), doubles=("ROC_AUC",))
 _BODY["average_precision_lift"] = show("SELECT * FROM lifts", doubles=("PR_AUC", "PREVALENCE", "LIFT"))
 _BODY["classification_report"] = show(_report, doubles=("PRECISION", "RECALL", "F1"), ints=("SUPPORT",))
-_meds = ", ".join(f"coalesce({f}, median({f}) OVER (PARTITION BY GENDER)) AS {f}" for f in S.VITAL_FEATURES)
+_row_key = "concat_ws('|', PATIENT_ID, strftime(INDEX_DATE, '%Y-%m-%d'), CAST(LABEL AS VARCHAR))"
+_age_rule = "CASE WHEN AGE_AT_INDEX > 200 THEN AGE_AT_INDEX / 365.25::DOUBLE ELSE AGE_AT_INDEX END AS AGE_AT_INDEX"
+CTE["long_split"] = f"""
+SELECT * EXCLUDE (rn, n) REPLACE ({_age_rule}), CASE WHEN rn <= n * 0.2::DOUBLE THEN 'test' ELSE 'train' END AS SPLIT FROM (
+  SELECT *, row_number() OVER (PARTITION BY TARGET_NAME, LABEL ORDER BY {hash_of('TARGET_NAME', 'ROW_ID')}, ROW_ID) AS rn,
+    count(*) OVER (PARTITION BY TARGET_NAME, LABEL) AS n FROM (SELECT *, {_row_key} AS ROW_ID FROM long_table))"""
+_meds = ", ".join(f"median({f}) AS {f}" for f in S.NUMERIC_FEATURES)
+_fills = ", ".join(f"coalesce(r.{f}, m.{f}) AS {f}" for f in S.NUMERIC_FEATURES)
 _BODY["median_impute"] = show(
-    f"SELECT PATIENT_ID, GENDER AS TARGET_NAME, {_meds} FROM features_live", doubles=tuple(S.VITAL_FEATURES))
-_hot = ", ".join(
-    f"CAST(coalesce({c} = '{v}', false) AS BIGINT) AS {q(f'{c}_{v}')}" for c, vs in CATEGORIES.items() for v in vs)
-_BODY["onehot"] = f"SELECT PATIENT_ID, {_hot} FROM features_live"
+    f"""SELECT r.PATIENT_ID, r.TARGET_NAME, r.INDEX_DATE, r.LABEL, r.SPLIT, {_fills} FROM long_split r LEFT JOIN (
+  SELECT TARGET_NAME, {_meds} FROM long_split WHERE SPLIT = 'train' GROUP BY TARGET_NAME) m ON m.TARGET_NAME = r.TARGET_NAME""",
+    days=("INDEX_DATE",), doubles=_NF, ints=("LABEL",))
+_BODY["onehot"] = " UNION ALL ".join(
+    f"""SELECT PATIENT_ID, '{c}_' || CASE WHEN {c} IN (
+  SELECT {c} FROM long_split WHERE SPLIT = 'train' AND TARGET_NAME = 'Stroke') THEN {c} ELSE 'OTHER' END AS FEATURE FROM features_live"""
+    for c in S.CATEGORICAL_FEATURES)
 
 # --- risk --------------------------------------------------------------------------------
 _three = ", ".join(f"'{t}'" for t in S.TARGETS[:3])

@@ -39,12 +39,6 @@ ENTITY_TYPES = {
     "allergies": "MEDIUM",
     "careplans": "PROMO",
 }
-CATEGORIES = {
-    "GENDER": ["F", "M"],
-    "RACE": ["asian", "black", "native", "white"],
-    "ETHNICITY": ["hispanic", "nonhispanic"],
-    "MARITAL": ["BUILDING", "FURNITURE", "MACHINERY", "UNKNOWN"],
-}
 
 
 def _day(x: str) -> str:
@@ -127,10 +121,9 @@ _EVENT_DAY = "CAST(CAST(ts AS DATE) AS STRING)"
 _E = "CAST(event_id AS STRING)"
 _DATE_KEY = """CASE event_id % 9 WHEN 0 THEN 'ENCOUNTER_DATE' WHEN 1 THEN 'OBSERVATION_DATE' WHEN 4 THEN 'PROCEDURE_DATE'
        WHEN 5 THEN 'IMMUNIZATION_DATE' ELSE 'START_DATE' END"""
-_MEASURE = """CASE (event_id - 1) / 9 % 7 WHEN 0 THEN 'body weight' WHEN 1 THEN 'Body Height' WHEN 2 THEN 'Body Mass Index'
-       WHEN 3 THEN 'Systolic Blood Pressure' WHEN 4 THEN 'Diastolic Blood Pressure' WHEN 5 THEN 'GLUCOSE'
-       ELSE 'Total Cholesterol' END""".replace("(event_id - 1) / 9", "((event_id - event_id % 9) / 9)")
-_MEASURE = _MEASURE.replace("((event_id - event_id % 9) / 9) % 7", "CAST((event_id - event_id % 9) / 9 AS BIGINT) % 7")
+_MEASURE = """CASE CAST((event_id - event_id % 9) / 9 AS BIGINT) % 7 WHEN 0 THEN 'body weight' WHEN 1 THEN 'Body Height'
+       WHEN 2 THEN 'Body Mass Index' WHEN 3 THEN 'Systolic Blood Pressure' WHEN 4 THEN 'Diastolic Blood Pressure'
+       WHEN 5 THEN 'GLUCOSE' ELSE 'Total Cholesterol' END"""
 _PAYLOAD = f"""CASE WHEN event_id % 501 = 0 THEN '{{{{broken' ELSE '{{{{'
   || CASE WHEN event_id % 23 = 0 THEN '' ELSE '"CODE":"C' || CAST(event_id % 50 AS STRING) || '",' END
   || CASE WHEN event_id % 29 = 0 THEN '"DESCRIPTION":"  ",' WHEN event_id % 31 = 0 THEN '"DESCRIPTION":null,'

@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, DoubleType, IntegerType, TimestampNTZTyp
 from .. import schemas as S
 from ..operators import cohort, events, features, metrics, models, quality, risk, silver, state
 from ..operators import gold as G
-from .proxy import AS_OF, CATEGORIES, ENTITY_TYPES, TARGET_PATTERNS, Clinic
+from .proxy import AS_OF, ENTITY_TYPES, TARGET_PATTERNS, Clinic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,14 +64,25 @@ def manifest_missing(c: Clinic) -> DataFrame:
 
 @query
 def layer_report(c: Clinic) -> DataFrame:
-    return quality.layer_report({f"{e}_bronze": c.bronze(e) for e in S.ENTITIES}, S.BRONZE_METADATA)
+    layers = {"staging": c.raw, "silver": c.silver, "gold": lambda e: c.gold[e]}
+    others = {f"{e}_{layer}": of(e) for layer, of in layers.items() for e in S.ENTITIES}
+    bronze = quality.layer_report({f"{e}_bronze": c.bronze(e) for e in S.ENTITIES}, S.BRONZE_METADATA)
+    return bronze.unionByName(quality.layer_report(others))
+
+
+def _bronze(c: Clinic, entities=S.ENTITIES) -> dict[str, DataFrame]:
+    return {e: c.bronze(e) for e in entities}
 
 
 simple("bronze_stamp", lambda c: c.bronze("encounters"))
-simple("null_profile", lambda c: quality.null_profile(c.bronze("patients")))
-simple("null_profile_pct", lambda c: quality.null_profile_pct(c.bronze("observations")))
-simple("key_uniqueness", lambda c: quality.key_uniqueness(c.bronze("patients"), "ID"))
-simple("duplicate_rows", lambda c: quality.duplicate_rows(c.bronze("observations")))
+for _entity in S.ENTITIES:
+    if _entity != "encounters":
+        simple(f"bronze_{_entity}", lambda c, e=_entity: c.bronze(e))
+simple("null_profile", lambda c: quality.over_tables(_bronze(c), quality.null_profile))
+simple("null_profile_pct", lambda c: quality.over_tables(_bronze(c), quality.null_profile_pct))
+KEYED = ["patients", "encounters", "careplans"]
+simple("key_uniqueness", lambda c: quality.over_tables(_bronze(c, KEYED), lambda df: quality.key_uniqueness(df, "ID")))
+simple("duplicate_rows", lambda c: quality.over_tables(_bronze(c), quality.duplicate_rows))
 
 
 @query
@@ -206,11 +217,11 @@ simple("patients_by_name", lambda c: state.patients_by_name(c.patients, "mer 000
 simple("patient_info", lambda c: state.patient_info(c.patients))
 simple("patient_status", lambda c: state.patient_status(c.patients))
 simple("encounters_state", lambda c: state.encounters_state(c.gold, c.rt))
-simple("conditions_state", lambda c: state.conditions_state(c.gold, c.rt))
-simple("medications_state", lambda c: state.medications_state(c.gold, c.rt))
-simple("allergies_state", lambda c: state.allergies_state(c.gold, c.rt))
+simple("conditions_state", lambda c: state.newest_first(state.conditions_state(c.gold, c.rt)))
+simple("medications_state", lambda c: state.newest_first(state.medications_state(c.gold, c.rt)))
+simple("allergies_state", lambda c: state.newest_first(state.allergies_state(c.gold, c.rt)))
 simple("latest_obs_hist", lambda c: state.latest_obs_hist(c.gold))
-simple("latest_obs_rt", lambda c: state.latest_obs_rt(c.rt))
+simple("latest_obs_rt", lambda c: state.newest_first(state.latest_obs_rt(c.rt), "OBSERVATION_DATE"))
 simple("observations_long", lambda c: state.observations_long(c.gold, c.rt))
 
 
@@ -228,19 +239,11 @@ simple("clinical_timeline", lambda c: state.clinical_timeline(c.gold, c.rt))
 @query
 def timeline_filtered(c: Clinic) -> DataFrame:
     kinds = ["ENCOUNTER", "OBSERVATION", "MEDICATION"]
-    return state.timeline_filtered(state.clinical_timeline(c.gold, c.rt), ["realtime"], kinds)
+    return state.timeline_filtered(state.timeline_rows(c.gold, c.rt), ["realtime"], kinds)
 
 
-@query
-def timeline_day_breaks(c: Clinic) -> DataFrame:
-    marked = state.timeline_day_breaks(state.clinical_timeline(c.gold, c.rt))
-    return marked.groupBy("PATIENT_ID", F.to_date("EVENT_DATE").alias("DAY")).agg(
-        F.count_if("DAY_BREAK").alias("BREAKS"),
-        F.min(F.when(F.col("DAY_BREAK"), F.col("EVENT_TYPE"))).alias("FIRST_TYPE"),
-    )
-
-
-simple("timeline_counts", lambda c: state.timeline_counts(state.clinical_timeline(c.gold, c.rt)))
+simple("timeline_day_breaks", lambda c: state.timeline_day_breaks(state.timeline_rows(c.gold, c.rt)))
+simple("timeline_counts", lambda c: state.timeline_counts(state.timeline_rows(c.gold, c.rt)))
 simple("patient_360", lambda c: state.patient_360(c.gold, c.rt, c.patients))
 
 # --- features ----------------------------------------------------------------------------
@@ -281,8 +284,13 @@ def _split_scores(c: Clinic) -> DataFrame:
     return metrics.stratified_split(_scores(c), "ITEM_ID")
 
 
+def _test_scores(c: Clinic) -> DataFrame:
+    return _split_scores(c).filter(F.col("SPLIT") == "test")
+
+
 def _best(c: Clinic) -> DataFrame:
-    return metrics.optimal_threshold(metrics.pr_curve(_scores(c)))
+    """Tuned on the test part, as models.evaluate does."""
+    return metrics.optimal_threshold(metrics.pr_curve(_test_scores(c)))
 
 
 simple("class_guard", lambda c: metrics.class_guard(_scores(c)))
@@ -293,18 +301,25 @@ simple("optimal_threshold", lambda c: _best(c))
 simple("accuracy_at_threshold", lambda c: metrics.accuracy_at_threshold(_split_scores(c), _best(c)))
 simple("roc_auc", lambda c: metrics.roc_auc(_split_scores(c), ["TARGET_NAME", "SPLIT"]))
 simple("average_precision_lift", lambda c: metrics.average_precision_lift(_scores(c)))
-simple("classification_report", lambda c: metrics.classification_report(_scores(c), _best(c)))
+simple("classification_report", lambda c: metrics.classification_report(_test_scores(c), _best(c)))
 
 
 @query
 def median_impute(c: Clinic) -> DataFrame:
-    """Medians over all patients, filled in per gender group."""
-    numeric = list(S.VITAL_FEATURES)
-    keyed = c.features.select("PATIENT_ID", F.col("GENDER").alias("TARGET_NAME"), *numeric)
-    return models.median_impute(keyed, models.feature_medians(keyed, numeric), numeric)
+    """Every target's rows, filled with the medians of its train part."""
+    rows = models.prepare(c.long)
+    train = rows.filter(F.col("SPLIT") == "train")
+    numeric = list(S.NUMERIC_FEATURES)
+    filled = models.median_impute(rows, models.feature_medians(train, numeric), numeric)
+    return filled.select("PATIENT_ID", "TARGET_NAME", "INDEX_DATE", "LABEL", "SPLIT", *numeric)
 
 
-simple("onehot", lambda c: models.onehot(c.features, CATEGORIES, ["PATIENT_ID"]))
+@query
+def onehot(c: Clinic) -> DataFrame:
+    """The vocabulary of one target's train part, applied to all patients."""
+    train = models.prepare(c.long).filter((F.col("SPLIT") == "train") & (F.col("TARGET_NAME") == "Stroke"))
+    return models.hot_features(c.features, train, ["PATIENT_ID"])
+
 
 # --- models ----------------------------------------------------------------------------------
 def _prepared(c: Clinic) -> DataFrame:
