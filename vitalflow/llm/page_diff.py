@@ -16,8 +16,9 @@ range and holds three pages.
 
 Nulls: null html is an empty page with empty text; a null url is a host of its own, ordered by
 page_id; a null page_id sorts first. Rows that repeat a url are neighbours like others, except
-that equal pages (same path and blocks) are not compared, as that would delete everything. A
-page alone on its host keeps its unmarked blocks. Empty tables give no rows. Other columns are
+that equal pages (same path and blocks) are not compared, as that would delete everything: each
+of a row of them is compared with the different page before the row in its range, the last one
+also with the one behind. A page alone on its host keeps its unmarked blocks. Empty tables give no rows. Other columns are
 not read.
 """
 
@@ -313,7 +314,10 @@ def extract(pages: DataFrame) -> DataFrame:
                 done(before, now, row)
                 if out.full():
                     yield out.take()
-            before, now = now, row
+            # of equal pages in a row, all look back to the different page before them
+            if now is None or near(now, row) is not None or now[0][2] != row[0][2]:
+                before = now
+            now = row
         if now is not None:
             done(before, now, None)
         yield out.take()

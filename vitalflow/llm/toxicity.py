@@ -7,7 +7,8 @@ documents, whatever they are. With the class prior p the risk of a scorer is
 
 (R+ and R-: mean logistic loss for the label 1 and 0). Where the second term falls below zero,
 the step goes the other way, which keeps a flexible scorer from fitting it below what it can be.
-The prior is the share of toxic rows among the labelled training rows.
+The prior is the share of toxic rows among the labelled training rows, or less where the
+unlabelled show it: labelled rows may be chosen for being toxic.
 
 A scorer is linear in the distinct words of a text: each word brings itself and its beginnings
 and its ends of 3 to 6 letters as hashed features, so that a word form not met in training still counts by
@@ -95,6 +96,11 @@ def fit(
     rows, columns = rows[keep], place[features[keep]]
     n = int(chosen.sum())
     w = np.zeros(n + 1)
+    # toxic documents among the unlabelled can't be more than those that any kept feature marks,
+    # for as many as it misses among the positives; labelled rows may hold a larger share
+    marked = np.bincount(rows, minlength=len(docs)) > 0
+    if marked[:known].any():
+        prior = min(prior, max(marked[known:].mean() / marked[:known].mean(), 1e-3))
     w[n] = np.log(prior / (1 - prior))
     moment, square = np.zeros(n + 1), np.zeros(n + 1)
     positive = np.arange(len(docs)) < known
