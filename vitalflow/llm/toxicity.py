@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import bounded_sample, hash_share
 from .langid import held_out
 
-MODELS, POSITIVES, UNLABELLED = 4, 8000, 32000
+MODELS, POSITIVES, UNLABELLED = 4, 3000, 16000
 SPACE = 1 << 20
 LEVELS = 3
 PARTS = range(3, 7)
@@ -60,11 +60,13 @@ def word_features(word: str) -> set[int]:
 
 
 def text_features(text: str | None) -> np.ndarray:
-    """The features of all distinct words; one that comes from several words is repeated."""
+    """The features of all distinct words, and further ones for features of several words."""
     out: list[int] = []
     for word in set(_WORDS((text or "").lower())):
         out += word_features(word)
-    return np.array(out, np.int32)
+    features, words = np.unique(np.array(out, np.int32), return_counts=True)
+    levels = [features[words > k] + k * SPACE for k in range(LEVELS)]
+    return np.concatenate(levels).astype(np.int32)
 
 
 def fit(
@@ -73,12 +75,8 @@ def fit(
     """The features kept, their weights and the bias."""
     docs = positives + unlabelled
     known = len(positives)
-    rows = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    rows = np.repeat(np.arange(len(docs), dtype=np.int32), [len(d) for d in docs])
     features = np.concatenate(docs) if docs else np.zeros(0, np.int32)
-    # one entry per document and feature, and further ones for features of several words
-    entries, words = np.unique(rows * SPACE + features, return_counts=True)
-    rows = np.concatenate([entries[words >= k] // SPACE for k in range(1, LEVELS + 1)])
-    features = np.concatenate([entries[words >= k] % SPACE + (k - 1) * SPACE for k in range(1, LEVELS + 1)])
     size = LEVELS * SPACE
     of_positive = rows < known
     with_p = np.bincount(features[of_positive], minlength=size)
