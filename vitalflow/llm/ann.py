@@ -7,7 +7,8 @@ nearest list and, if it lies near a boundary, to up to REPLICAS lists whose dist
 ratio of the nearest. A query finds near centroids by best-first search in a graph of their
 neighbours, which every task holds in memory (at most MAX_LISTS nodes), and reads the lists
 within a ratio of the nearest centroid's distance, and further ones until they hold enough
-vectors to fill its result.
+vectors to fill its result. The nearest lists are read first; what the others have below a
+query's k-th score there can't be in its result and is not sent on.
 
 A list has no cap: lists and their queries are cut into chunks by hash, and each task meets one
 chunk of vectors with one chunk of queries, whatever the list's size. The product of a block
@@ -32,10 +33,11 @@ from pyspark.sql import functions as F
 from .common import bounded_sample, materialise
 
 SAMPLE, MAX_LISTS = 20_000, 4096
-REPLICAS, POST_RATIO = 4, 1.10
-PROBE_RATIO, BEAM, DEGREE = 1.35, 96, 16
+REPLICAS, POST_RATIO = 4, 1.02
+PROBE_RATIO, BEAM, DEGREE = 1.3, 96, 16
 CHUNK, QUERY_CHUNK = 2048, 1024
-RESULT = "query_id long, vec_id long, score double"
+_KINDS = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+RESULT = "query_id long, vec_id long, score double, bound double"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -150,21 +152,25 @@ class Index:
                         heapq.heappop(best)
         return sorted((-d, j) for d, j in best)
 
-    def probes(self, query: np.ndarray, wanted: int) -> list[int]:
-        """Lists within the ratio of the nearest centroid, and more until they hold enough."""
+    def probes(self, query: np.ndarray, wanted: int) -> tuple[list[int], int]:
+        """Lists within the ratio of the nearest centroid, and more until they hold enough.
+
+        With them, how many of the first hold enough already.
+        """
         beam = min(BEAM, len(self.centres))
         while True:
-            out, held = [], 0
+            out, held, first = [], 0, 0
             found = self.near(query, beam)
             limit = found[0][0] * PROBE_RATIO**2
             for distance, number in found:
                 if distance > limit and held >= wanted:
-                    return out
+                    return out, first
+                first += held < wanted
                 out.append(number)
                 held += int(self.sizes[number])
             # all that the beam found is wanted: look further
             if beam >= len(self.centres):
-                return out
+                return out, first
             beam = min(2 * beam, len(self.centres))
 
 
@@ -215,16 +221,20 @@ def _chunk_of(number: Column, counts: dict[int, int], size: int) -> tuple[Column
 
 
 def _best(queries: pa.Table, vectors: pa.Table, k: int) -> pa.Table:
-    """The k best of the block for each query, ties to the smaller vec_id."""
+    """The k best of the block for each query, ties to the smaller vec_id.
+
+    Scores below a query's bound are left out. bound: the k-th score, if there are so many.
+    """
     q, v = _matrix(queries["vector"]), _matrix(vectors["vector"])
     q_ids, v_ids = queries["vec_id"].to_numpy(), vectors["vec_id"].to_numpy()
     if not len(q) or not len(v):
-        return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        return pa.table({n: pa.array([], t) for n, t in zip(("query_id", "vec_id", "score", "bound"), _KINDS)})
     rough = q @ v.T
     rough[q_ids[:, None] == v_ids[None, :]] = -np.inf
     # a repeated vec_id may take several places: look that much deeper
     deep = min(len(v), k + len(v_ids) - len(np.unique(v_ids)))
     last = np.partition(rough, len(v) - deep, 1)[:, len(v) - deep]
+    last = np.maximum(last, queries["bound"].to_numpy())
     slack = 1e-9 * np.abs(q).sum(1) * (np.abs(v).max() + 1e-300)
     i, j = np.nonzero((rough >= (last - slack)[:, None]) & (rough > -np.inf))
     score = np.zeros(len(i))
@@ -237,44 +247,63 @@ def _best(queries: pa.Table, vectors: pa.Table, k: int) -> pa.Table:
     first = np.zeros(len(i), bool)
     first[np.unique(pairs, return_index=True)[1]] = True
     i, j, score = i[first], j[first], score[first]
-    start = np.searchsorted(i, i, "left")
-    keep = np.arange(len(i)) - start < k
-    return pa.table({"query_id": q_ids[i[keep]], "vec_id": v_ids[j[keep]], "score": score[keep]})
+    place = np.arange(len(i)) - np.searchsorted(i, i, "left")
+    bound = np.full(len(q), -np.inf)
+    bound[i[place == k - 1]] = score[place == k - 1]
+    keep = place < k
+    i, j, score = i[keep], j[keep], score[keep]
+    return pa.table({"query_id": q_ids[i], "vec_id": v_ids[j], "score": score, "bound": bound[i]})
 
 
-def search(index: Index, postings: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found for every row of queries."""
-
-    def probe(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            lists = [index.probes(x, k + 1) for x in index.lift_queries(_matrix(batch.column(1)))]
-            rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-            taken = batch.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(lists).astype(np.int32)), taken.column(0), taken.column(1)],
-                ["list", "vec_id", "vector"],
-            )
-
-    probes = materialise(queries.mapInArrow(probe, "list int, vec_id long, vector array<double>"), "probes")
+def _meet(postings: DataFrame, probes: DataFrame, k: int) -> DataFrame:
+    """Blocks of vectors and queries (list, vec_id, vector, bound) of the same list."""
     vector_chunks, vector_chunk = _chunk_of(F.col("list"), _counts(postings), CHUNK)
     query_chunks, query_chunk = _chunk_of(F.col("list"), _counts(probes), QUERY_CHUNK)
 
-    def blocks(rows: DataFrame, own: Column, own_name: str, others: Column, other_name: str) -> DataFrame:
+    def blocks(rows: DataFrame, own: Column, own_name: str, others: Column, other_name: str, *more: str) -> DataFrame:
         every = F.explode(F.sequence(F.lit(0), others - 1)).alias(other_name)
-        return rows.select("list", own.alias(own_name), every, "vec_id", "vector")
+        return rows.select("list", own.alias(own_name), every, "vec_id", "vector", *more)
 
     key = ["list", "vector_chunk", "query_chunk"]
     left = blocks(postings, vector_chunk, "vector_chunk", query_chunks, "query_chunk")
     left = left.join(probes.select("list").distinct(), "list", "left_semi")  # lists that are read
-    right = blocks(probes, query_chunk, "query_chunk", vector_chunks, "vector_chunk")
+    right = blocks(probes, query_chunk, "query_chunk", vector_chunks, "vector_chunk", "bound")
 
     def meet(vectors: pa.Table, asked: pa.Table) -> pa.Table:
         return _best(asked, vectors, k)
 
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(meet, RESULT)
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(meet, RESULT)
+
+
+def search(index: Index, postings: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest found for every row of queries."""
+
+    def probe(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = [index.probes(x, k + 1) for x in index.lift_queries(_matrix(batch.column(1)))]
+            rows = np.repeat(np.arange(len(lists)), [len(x) for x, _ in lists])
+            near = np.concatenate([np.arange(len(x)) < n for x, n in lists])
+            taken = batch.take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([x for x, _ in lists]).astype(np.int32)),
+                    pa.array(near),
+                    taken.column(0),
+                    taken.column(1),
+                ],
+                ["list", "near", "vec_id", "vector"],
+            )
+
+    schema = "list int, near boolean, vec_id long, vector array<double>"
+    probes = materialise(queries.mapInArrow(probe, schema), "probes")
+    nothing = F.lit(float("-inf"))
+    near = materialise(_meet(postings, probes.filter("near").withColumn("bound", nothing), k), "near")
+    bounds = near.groupBy(F.col("query_id").alias("vec_id")).agg(F.max("bound").alias("bound"))
+    others = probes.filter("not near").join(bounds, "vec_id", "left")
+    far = _meet(postings, materialise(others.withColumn("bound", F.coalesce("bound", nothing)), "probes"), k)
+    once = near.unionByName(far).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
