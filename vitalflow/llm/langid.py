@@ -99,8 +99,12 @@ class Profiles:
 def learn(docs: DataFrame, sample: int = SAMPLE, size: int = PROFILE, document: int = DOCUMENT) -> Profiles:
     """docs: doc_id, text, lang of the documents that may teach."""
     known = docs.filter("lang is not null").select("lang", "text", "doc_id")
-    share = known.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("share"))
-    chosen = known.join(share, "lang").filter(hash_share(F.col("doc_id"), F.col("share"))).select("lang", "text")
+    # a number per language, as the profiles below; no text is dealt out by language
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not sizes:
+        return Profiles({}, size, document)
+    shares = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, sample / n)])
+    chosen = known.filter(hash_share(F.col("doc_id"), shares[F.col("lang")])).select("lang", "text")
 
     def count(batches):
         held: dict[tuple[str, int], int] = {}

@@ -224,7 +224,9 @@ def _keys(pages: DataFrame) -> DataFrame:
 def _cuts(pages: DataFrame) -> list[tuple[tuple, tuple]]:
     """(last key of one range, first key of the next) for all neighbouring ranges."""
     order = ["host", "path", F.col("page_id").asc_nulls_first()]
-    keys = _keys(pages).repartitionByRange(*order).sortWithinPartitions(*order)
+    # a fixed number of ranges: of keys alone, adaptive execution would make very few
+    ranges = 2 * int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = _keys(pages).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     names = ["host", "path", "page_id"]
 
     def run(batches):
