@@ -9,13 +9,14 @@ from vitalflow.plans.proxy import Clinic
 from vitalflow.plans.registry import QUERIES
 
 # these run training jobs while they are declared
-TRAINING = {"train_score", "feature_importance", "experiment_comparison", "risk_scores"}
+TRAINING = {"train_score", "train_score_rows", "feature_importance", "experiment_comparison", "risk_scores", "risk_scores_rows", "patient_risk",
+            "median_impute", "onehot"}
 
 # a cross-section by default, all of them with VITALFLOW_ALL=1
 SAMPLE = """null_profile duplicate_rows reading_seq gold_observations obt_patient_encounters
 missing_required_fields validation_report rt_observations pending_events dedup_events patients_by_name
 encounters_state patient_360 patient_features features_asof matched_controls stratified_split pr_curve
-accuracy_at_threshold roc_auc classification_report median_impute onehot risk_delta""".split()
+accuracy_at_threshold roc_auc classification_report risk_delta""".split()
 NAMES = sorted(set(QUERIES) - TRAINING) if os.environ.get("VITALFLOW_ALL") else SAMPLE
 
 

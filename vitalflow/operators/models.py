@@ -6,11 +6,13 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,23 +167,51 @@ def score(model: TrainedModel, df: DataFrame) -> DataFrame:
     return scored.select(*df.columns, vector_to_array("probability")[1].alias("PROBABILITY"))
 
 
+def train_grid(
+    prepared: DataFrame,
+    targets: Sequence[str] = S.TARGETS,
+    feature_sets: Sequence[str] = tuple(FEATURE_SETS),
+    settings: TreeSettings = TreeSettings(),
+    at_once: int = 4,
+) -> dict[tuple[str, str], TrainedModel]:
+    """Every trainable target with every feature set, `at_once` fits side by side.
+
+    One fit is a long row of small jobs, so a few together use the cluster better.
+    """
+    wanted = [(t, f) for f in feature_sets for t in targets]
+    fit = inheritable_thread_target(prepared.sparkSession)(
+        lambda pair: train_target(prepared, *pair, settings)
+    )
+    with ThreadPool(at_once) as pool:
+        fitted = pool.map(fit, wanted, chunksize=1)
+    return {pair: model for pair, model in zip(wanted, fitted) if model is not None}
+
+
+def score_parts(prepared: DataFrame, fitted: Mapping[str, TrainedModel]) -> DataFrame:
+    """Train and test rows of each target with its model's score."""
+    if not fitted:
+        raise ValueError("no target has both classes")
+    parts = [
+        score(model, prepared.filter(F.col("TARGET_NAME") == target)).select(
+            "PATIENT_ID", "TARGET_NAME", "INDEX_DATE", "LABEL", "SPLIT", "PROBABILITY"
+        )
+        for target, model in fitted.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def train_score(prepared: DataFrame, targets: Sequence[str], feature_set: str = FULL,
                 settings: TreeSettings = TreeSettings()) -> tuple[dict[str, TrainedModel], DataFrame]:
     """Models per trainable target, and train and test rows with their scores."""
-    models, scored = {}, []
-    for target in targets:
-        model = train_target(prepared, target, feature_set, settings)
-        if model is not None:
-            models[target] = model
-            part = score(model, prepared.filter(F.col("TARGET_NAME") == target))
-            scored.append(part.select("PATIENT_ID", "TARGET_NAME", "LABEL", "SPLIT", "PROBABILITY"))
-    if not scored:
-        raise ValueError("no target has both classes")
-    return models, reduce(DataFrame.unionByName, scored)
+    grid = train_grid(prepared, targets, [feature_set], settings)
+    fitted = {target: model for (target, _), model in grid.items()}
+    return fitted, score_parts(prepared, fitted)
 
 
 def evaluate(scored: DataFrame) -> DataFrame:
     """One result row per target: test metrics, tuned threshold and train/test accuracy."""
+    ensure_checkpoint_dir(scored.sparkSession)
+    scored = scored.select("TARGET_NAME", "LABEL", "SPLIT", "PROBABILITY").checkpoint()  # read many times below
     test = scored.filter(F.col("SPLIT") == "test")
     best = metrics.optimal_threshold(metrics.pr_curve(test))
     area = metrics.roc_auc(scored, ["TARGET_NAME", "SPLIT"])
@@ -205,13 +235,12 @@ def evaluate(scored: DataFrame) -> DataFrame:
     return table.select("TARGET_NAME", *[F.round(c, d).alias(c) for c, d in digits.items()])
 
 
-def experiment_comparison(prepared: DataFrame, targets: Sequence[str] = S.TARGETS,
-                          settings: TreeSettings = TreeSettings()) -> DataFrame:
-    """Every target with the full and the ablated feature set, one result row each."""
+def experiment_comparison(prepared: DataFrame, grid: Mapping[tuple[str, str], TrainedModel]) -> DataFrame:
+    """Every target with every feature set of the grid, one result row each."""
     parts = []
-    for feature_set in FEATURE_SETS:
-        _, scored = train_score(prepared, targets, feature_set, settings)
-        result = evaluate(scored)
+    for feature_set in dict.fromkeys(f for _, f in grid):
+        fitted = {t: m for (t, f), m in grid.items() if f == feature_set}
+        result = evaluate(score_parts(prepared, fitted))
         parts.append(
             result.select(
                 "TARGET_NAME",
@@ -250,15 +279,22 @@ def risk_scores(features: DataFrame, models: Mapping[str, TrainedModel | None],
                 targets: Sequence[str] = S.TARGETS) -> DataFrame:
     """Every patient against every target; a missing model gives null, not a failure."""
     rows = feature_contract(features)
-    parts = []
+    given = F.struct(*[F.col(c) for c in rows.columns]).alias("given")
+    scored, done = rows.select(given), []
     for target in targets:
         model = models.get(target)
+        name = f"P{len(done)}"
         if model is None:
-            p = rows.select("PATIENT_ID", F.lit(None).cast("double").alias("PROBABILITY"))
+            scored = scored.withColumn(name, F.lit(None).cast("double"))
         else:
-            p = score(model, rows).select("PATIENT_ID", "PROBABILITY")
-        parts.append(p.select("PATIENT_ID", F.lit(target).alias("TARGET_NAME"), "PROBABILITY"))
-    return reduce(DataFrame.unionByName, parts)
+            # the models are applied in turn to one input, which is read once
+            filled = _fill(scored.select("*", "given.*"), model.medians)
+            scored = model.pipeline.transform(filled).select(
+                "given", *done, vector_to_array("probability")[1].alias(name)
+            )
+        done.append(name)
+    entries = F.array(*[F.struct(F.lit(t).alias("TARGET_NAME"), F.col(p).alias("PROBABILITY")) for t, p in zip(targets, done)])
+    return scored.select("given.PATIENT_ID", F.explode(entries).alias("e")).select("PATIENT_ID", "e.*")
 
 
 # --- registry ---------------------------------------------------------------------
@@ -290,8 +326,8 @@ def _folder(target: str) -> str:
     return target.lower().replace(" ", "_")
 
 
-def save_model(spark: SparkSession, model: TrainedModel, root: str) -> str:
-    """Write pipeline and metadata under root/<target>; returns the folder."""
+def save_model(spark: SparkSession, model: TrainedModel, root: str, metrics: Mapping[str, float] | None = None) -> str:
+    """Write pipeline and metadata, with a row of evaluate(), under root/<target>; returns the folder."""
     path = f"{root.rstrip('/')}/{_folder(model.target)}"
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
     meta = {
@@ -299,6 +335,7 @@ def save_model(spark: SparkSession, model: TrainedModel, root: str) -> str:
         "feature_set": model.feature_set,
         "medians": model.medians,
         "settings": vars(model.settings),
+        "metrics": dict(metrics or {}),
     }
     text = spark.createDataFrame([(json.dumps(meta),)], "value string")
     text.coalesce(1).write.mode("overwrite").text(f"{path}/metadata")

@@ -770,15 +770,22 @@ _BODY["onehot"] = " UNION ALL ".join(
     for c in S.CATEGORICAL_FEATURES)
 
 # --- risk --------------------------------------------------------------------------------
-_three = ", ".join(f"'{t}'" for t in S.TARGETS[:3])
+_BODY["train_score_rows"] = show(
+    """SELECT PATIENT_ID, TARGET_NAME, INDEX_DATE, LABEL, SPLIT, true AS IN_RANGE FROM long_split
+WHERE TARGET_NAME IN (SELECT TARGET_NAME FROM long_split WHERE SPLIT = 'train' GROUP BY TARGET_NAME HAVING count(DISTINCT LABEL) = 2)""",
+    days=("INDEX_DATE",), ints=("LABEL",))
+_BODY["risk_scores_rows"] = f"""
+SELECT PATIENT_ID, t.TARGET_NAME, t.TARGET_NAME IN (
+  SELECT TARGET_NAME FROM long_split WHERE SPLIT = 'train' GROUP BY TARGET_NAME HAVING count(DISTINCT LABEL) = 2) AS IN_RANGE
+FROM features_live CROSS JOIN (VALUES {_target_rows}) t(TARGET_NAME)"""
 _BODY["model_registry"] = show(
     f"""SELECT t.TARGET_NAME, MODEL_NAME, MODEL_TYPE, FEATURE_SET, NUMERIC_FEATURES, CATEGORICAL_FEATURES, DESCRIPTION,
   ROC_AUC, PR_AUC, PREVALENCE, LIFT, MODEL_NAME IS NOT NULL AS AVAILABLE
-FROM (SELECT DISTINCT TARGET_NAME FROM scores) t LEFT JOIN (
+FROM (SELECT DISTINCT TARGET_NAME FROM scores UNION ALL SELECT 'Untrained') t LEFT JOIN (
   SELECT TARGET_NAME, 'GBT_FullFeatures_' || TARGET_NAME AS MODEL_NAME, 'GBT' AS MODEL_TYPE, 'Full Features' AS FEATURE_SET,
     '{','.join(S.NUMERIC_FEATURES)}' AS NUMERIC_FEATURES, '{','.join(S.CATEGORICAL_FEATURES)}' AS CATEGORICAL_FEATURES,
     'GBT model predicting ' || TARGET_NAME || ' using full features.' AS DESCRIPTION, ROC_AUC, PR_AUC, PREVALENCE, LIFT
-  FROM lifts JOIN ({_auc('scores', 'TARGET_NAME')}) USING (TARGET_NAME) WHERE TARGET_NAME IN ({_three})) r
+  FROM lifts JOIN ({_auc('scores', 'TARGET_NAME')}) USING (TARGET_NAME)) r
 ON r.TARGET_NAME = t.TARGET_NAME""", doubles=("ROC_AUC", "PR_AUC", "PREVALENCE", "LIFT"))
 
 

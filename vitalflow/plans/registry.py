@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +16,6 @@ from .proxy import AS_OF, ENTITY_TYPES, TARGET_PATTERNS, Clinic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Fewer trees than the default keep the registered training queries short; rows and
-# features are whole.
-SHORT_TRAINING = models.TreeSettings(trees=8)
-SCORED_TARGETS = S.TARGETS[:3]
-
 
 def render(df: DataFrame) -> DataFrame:
     """Dates as text, doubles rounded, integers wide: values that engines print alike."""
@@ -322,38 +318,78 @@ def onehot(c: Clinic) -> DataFrame:
 
 
 # --- models ----------------------------------------------------------------------------------
-def _prepared(c: Clinic) -> DataFrame:
-    return models.prepare(c.long)
+#: Queries that fit, or wait for, all models of a folder.
+TRAINING = frozenset(
+    "train_score train_score_rows feature_importance experiment_comparison risk_scores risk_scores_rows patient_risk".split()
+)
+_GRIDS: dict[tuple[str, str], tuple[DataFrame, dict]] = {}
+
+
+def _grid(c: Clinic) -> tuple[DataFrame, dict]:
+    """The training rows and all models of this session for one folder, trained once."""
+    key = c.spark.sparkContext.applicationId, c.sf_dir
+    if key not in _GRIDS:
+        prepared = models.prepare(c.long)
+        _GRIDS[key] = prepared, models.train_grid(prepared)
+    return _GRIDS[key]
+
+
+def _full(c: Clinic) -> dict:
+    return {t: m for (t, f), m in _grid(c)[1].items() if f == models.FULL}
 
 
 @query
 def train_score(c: Clinic) -> DataFrame:
-    return models.train_score(_prepared(c), ["Stroke"], settings=SHORT_TRAINING)[1]
+    return models.score_parts(_grid(c)[0], _full(c))
+
+
+@query
+def train_score_rows(c: Clinic) -> DataFrame:
+    """The rows that were scored and whether the score is a probability."""
+    p = F.col("PROBABILITY")
+    return models.score_parts(_grid(c)[0], _full(c)).select(
+        "PATIENT_ID", "TARGET_NAME", "INDEX_DATE", "LABEL", "SPLIT", ((p >= 0) & (p <= 1)).alias("IN_RANGE")
+    )
 
 
 @query
 def feature_importance(c: Clinic) -> DataFrame:
-    model = models.train_target(_prepared(c), "Stroke", settings=SHORT_TRAINING)
-    return models.feature_importance(c.spark, model)
+    parts = [models.feature_importance(c.spark, m) for m in _grid(c)[1].values()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
 def experiment_comparison(c: Clinic) -> DataFrame:
-    return models.experiment_comparison(_prepared(c), ["Stroke", "Asthma"], SHORT_TRAINING)
+    return models.experiment_comparison(*_grid(c))
+
+
+def _risk(c: Clinic) -> DataFrame:
+    return models.risk_scores(c.features, _full(c))
+
+
+simple("risk_scores", _risk)
+
+
+@query
+def risk_scores_rows(c: Clinic) -> DataFrame:
+    p = F.col("PROBABILITY")
+    return _risk(c).select("PATIENT_ID", "TARGET_NAME", F.coalesce((p >= 0) & (p <= 1), F.lit(False)).alias("IN_RANGE"))
 
 
 @query
-def risk_scores(c: Clinic) -> DataFrame:
-    trained = {"Stroke": models.train_target(_prepared(c), "Stroke", settings=SHORT_TRAINING)}
-    return models.risk_scores(c.features, trained)
+def patient_risk(c: Clinic) -> DataFrame:
+    """One run for all patients: features, every model, tiers, and which models were there."""
+    scores = _risk(c)
+    return risk.risk_tiers(scores).join(risk.models_found_missing(scores), "PATIENT_ID")
 
 
 @query
 def model_registry(c: Clinic) -> DataFrame:
-    """Only the first three targets have a model."""
-    scored = _scores(c).filter(F.col("TARGET_NAME").isin(SCORED_TARGETS))
+    """Every target, and one that nobody has trained."""
+    scored = _scores(c)
     results = metrics.roc_auc(scored).join(metrics.average_precision_lift(scored), "TARGET_NAME")
-    targets = _scores(c).select("TARGET_NAME").distinct()
+    other = c.spark.sql("SELECT 'Untrained' AS TARGET_NAME")
+    targets = scored.select("TARGET_NAME").distinct().unionByName(other)
     return models.model_registry(targets, models.registry_rows(results))
 
 
