@@ -240,6 +240,39 @@ def test_one_document_of_each_group_stays(odd):
     assert simhash.keep_one(odd.limit(0)).count() == 0
 
 
+def test_near_duplicates_by_exact_likeness(spark, odd, monkeypatch):
+    """The pipeline's stage against brute force: copies with changed words, at and around 0.8."""
+    from vitalflow.llm import near_dup
+
+    pipeline = pytest.importorskip("corpus_pipeline")
+    monkeypatch.setattr(near_dup, "CHUNK", 8)
+    rng = random.Random(12)
+    texts = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        texts.append(" ".join(words))
+        for changes in (1, 1, 2, 2, 3, 3, 4, 5):
+            other = list(words)
+            for at in rng.sample(range(120), changes):
+                other[at] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(other))
+        texts.append(texts[-1])
+
+    def grams(text):
+        words = text.split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    sets = [grams(t) for t in texts]
+    want = brute_components(range(len(texts)), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    docs = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, row int")
+    kept = pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
+    ids = [r["doc_id"] for r in pipeline.near_duplicates(spark, odd, "").collect()]
+    assert ids.count(4) == 1 and 1 in ids and 2 not in ids and 3 not in ids
+    assert pipeline.near_duplicates(spark, odd.limit(0), "").count() == 0
+
+
 # --- pages ------------------------------------------------------------------------
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(3)

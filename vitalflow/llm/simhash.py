@@ -335,6 +335,11 @@ def keep_one(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
     grouped = near_duplicates(prints)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash"))
     chosen = grouped.groupBy("root").agg(best.alias("best")).select("best.doc_id", "best.text_hash")
+    return rows_of(docs, chosen, columns)
+
+
+def rows_of(docs: DataFrame, chosen: DataFrame, columns: list[str]) -> DataFrame:
+    """The documents of chosen (doc_id, text_hash), each once."""
     rows = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
         F.xxhash64(docs["text"]).alias("text_hash"),
