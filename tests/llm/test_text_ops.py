@@ -328,6 +328,22 @@ def test_pairs_do_not_depend_on_the_partitions(spark, tables):
     assert len(seen) == 1 and dict(next(iter(seen)))[57].startswith("own 57")
 
 
+def test_copies_under_other_paths_are_one_page(spark):
+    same = page("Top", "Own words", "Bottom")
+    rows = [(i, f"http://h/a/{i:03d}?utm={i}", same) for i in range(90)]
+    rows += [(100, "http://h/z", page("Top", "other", "Bottom")), (101, "http://copies/1", same), (102, "http://copies/2", same)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = {r["page_id"]: r["text"] for r in page_diff.extract(pages).collect()}
+            assert {got.pop(k) for k in (101, 102)} == {"Top\nOwn words\nBottom"} and got.pop(100) == "other"
+            assert len(got) == 90 and set(got.values()) == {"Own words"}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_articles_of_the_sample_pages(tables):
     from html import unescape
 

@@ -9,21 +9,23 @@ neighbour whose path shares the longer beginning (ties: the one before), their b
 aligned by longest common subsequence, and blocks found in both are deleted. Blocks inside the
 main element are aligned too but never deleted: an article may quote what another one says.
 
+Pages of a host with equal blocks are one, whatever their paths: the one first in order stands for
+all, is compared with the nearest different page, and every copy gets its text.
+
 Order over pages is global, so no host is gathered: first the keys alone are sorted by range and
 the first and last key of each range noted (as many rows as tasks reach the driver); then pages
 go to those ranges, and the two pages at each cut go to both sides. A task streams its sorted
 range and holds three pages.
 
 Nulls: null html is an empty page with empty text; a null url is a host of its own, ordered by
-page_id; a null page_id sorts first. Rows that repeat a url are neighbours like others, except
-that equal pages (same path and blocks) are not compared, as that would delete everything: each
-of a row of them is compared with the different page before the row in its range, the last one
-also with the one behind. A page alone on its host keeps its unmarked blocks. Empty tables give no rows. Other columns are
+page_id; a null page_id sorts first. Rows that
+repeat a url are neighbours like others if their blocks differ. A page alone on its host keeps its unmarked blocks. Empty tables give no rows. Other columns are
 not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_right
 from html.parser import HTMLParser
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RowWriter
+from .common import RowWriter, materialise
 
 RESULT = "page_id long, url string, text string, n_chars long"
 #: Elements as fixed values of the language.
@@ -209,25 +211,42 @@ def _common(a: str, b: str) -> int:
     return n
 
 
-def _keys(pages: DataFrame) -> DataFrame:
+def _digest(found: list[tuple[str, bool]]) -> str:
+    """Names the blocks of a page."""
+    out = hashlib.sha256()
+    for text, kept in found:
+        data = text.encode("utf-8", "surrogatepass")
+        out.update(b"%d %d " % (kept, len(data)) + data)
+    return out.hexdigest()
+
+
+def _parsed(pages: DataFrame, whole: bool) -> DataFrame:
+    """host and digest of every page; with its path and blocks if whole, else with its url."""
+    fields = [("host", pa.string()), ("digest", pa.string()), ("page_id", pa.int64())]
+    more = [("path", pa.string()), ("texts", pa.list_(pa.string())), ("kept", pa.list_(pa.bool_()))]
+    schema = pa.schema(fields + (more if whole else [("url", pa.string())]))
+
     def run(batches):
         for batch in batches:
-            found = [host_and_path(u) for u in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.string()), batch.column(0)],
-                ["host", "path", "page_id"],
-            )
+            out = RowWriter(schema)
+            for page_id, url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                host, path = host_and_path(url)
+                found = blocks(html.as_py())
+                row = (path, [t for t, _ in found], [k for _, k in found]) if whole else (url,)
+                out.add(host, _digest(found), page_id, *row)
+            yield out.take()
 
-    return pages.select("page_id", "url").mapInArrow(run, "host string, path string, page_id long")
+    names = "host string, digest string, page_id long, "
+    return pages.mapInArrow(run, names + ("path string, texts array<string>, kept array<boolean>" if whole else "url string"))
 
 
 def _cuts(pages: DataFrame) -> list[tuple[tuple, tuple]]:
     """(last key of one range, first key of the next) for all neighbouring ranges."""
-    order = ["host", "path", F.col("page_id").asc_nulls_first()]
+    order = ["host", "path", F.col("page_id").asc_nulls_first(), "digest"]
     # a fixed number of ranges: of keys alone, adaptive execution would make very few
     ranges = 2 * int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = _keys(pages).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    names = ["host", "path", "page_id"]
+    names = ["host", "path", "page_id", "digest"]
+    keys = pages.select(names).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
 
     def run(batches):
         first = last = None
@@ -239,9 +258,9 @@ def _cuts(pages: DataFrame) -> list[tuple[tuple, tuple]]:
             yield pa.Table.from_batches([first, last]).combine_chunks().to_batches()[0]
 
     def key(row):
-        return row[0], row[1], row[2] is not None, row[2] or 0
+        return row[0], row[1], row[2] is not None, row[2] or 0, row[3]
 
-    ends = sorted(key(r) for r in keys.mapInArrow(run, "host string, path string, page_id long").select(names).collect())
+    ends = sorted(key(r) for r in keys.mapInArrow(run, "host string, path string, page_id long, digest string").collect())
     return [(ends[i], ends[i + 1]) for i in range(1, len(ends) - 1, 2)]
 
 
@@ -249,28 +268,32 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for every page."""
     pages = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].alias("url"), pages["html"].alias("html"))
     spark = pages.sparkSession
-    cuts = _cuts(pages)
+    # one page of each host and digest, with its blocks
+    first = F.min(F.struct("path", F.col("page_id").isNotNull().alias("named"), "page_id", "texts", "kept"))
+    different = _parsed(pages, True).groupBy("host", "digest").agg(first.alias("first"))
+    different = materialise(
+        different.select("host", "first.path", "first.page_id", "digest", "first.texts", "first.kept"), "pages"
+    )
+    cuts = _cuts(different)
     starts = [after for _, after in cuts]
     lasts = {before: i for i, (before, _) in enumerate(cuts)}
     firsts = {after: i for i, (_, after) in enumerate(cuts)}
-    fields = (
-        "piece int, own boolean, host string, path string, page_id long, url string, texts array<string>, kept array<boolean>"
-    )
     schema = pa.schema(
         [
             ("piece", pa.int32()), ("own", pa.bool_()), ("host", pa.string()), ("path", pa.string()),
-            ("page_id", pa.int64()), ("url", pa.string()), ("texts", pa.list_(pa.string())), ("kept", pa.list_(pa.bool_())),
+            ("page_id", pa.int64()), ("digest", pa.string()), ("texts", pa.list_(pa.string())), ("kept", pa.list_(pa.bool_())),
         ]
     )
+    fields = (
+        "piece int, own boolean, host string, path string, page_id long, digest string, texts array<string>, kept array<boolean>"
+    )
 
     def cut(batches):
         for batch in batches:
             out = RowWriter(schema)
-            for page_id, url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                host, path = host_and_path(url)
-                found = blocks(html.as_py())
-                row = (host, path, page_id, url, [t for t, _ in found], [k for _, k in found])
-                key = host, path, page_id is not None, page_id or 0
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                host, path, page_id, digest = row[:4]
+                key = host, path, page_id is not None, page_id or 0, digest
                 piece = bisect_right(starts, key)
                 out.add(piece, True, *row)
                 # the pages on either side of a cut are seen from both
@@ -280,23 +303,21 @@ def extract(pages: DataFrame) -> DataFrame:
                     out.add(piece - 1, False, *row)
             yield out.take()
 
-    result = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
+    result = pa.schema([("host", pa.string()), ("digest", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def compare(batches):
         out = RowWriter(result)
 
         def rows():
             for batch in batches:
-                columns = [batch.column(i).to_pylist() for i in range(6)]
-                for i, values in enumerate(zip(*columns)):
-                    yield values, list(zip(batch.column(6)[i].as_py(), batch.column(7)[i].as_py()))
+                for *values, texts, kept in zip(*(c.to_pylist() for c in batch.columns)):
+                    yield values, list(zip(texts, kept))
 
         def near(row, other):
             """How far the paths agree; None if it is no neighbour."""
-            (_, _, host, path, *_), page = row
-            if other is None or other[0][2] != host or other[0][0] != row[0][0]:
+            if other is None or other[0][2] != row[0][2] or other[0][0] != row[0][0]:
                 return None
-            return None if other[1] == page and other[0][3] == path else _common(path, other[0][3])
+            return _common(row[0][3], other[0][3])
 
         def done(before, row, after):
             if not row[0][1]:
@@ -308,7 +329,7 @@ def extract(pages: DataFrame) -> DataFrame:
             elif forth is not None:
                 other = after[1]
             text = difference(row[1], other)
-            out.add(row[0][4], row[0][5], text, len(text))
+            out.add(row[0][2], row[0][5], text, len(text))
 
         before = now = None
         for row in rows():
@@ -316,15 +337,13 @@ def extract(pages: DataFrame) -> DataFrame:
                 done(before, now, row)
                 if out.full():
                     yield out.take()
-            # of equal pages in a row, all look back to the different page before them
-            if now is None or near(now, row) is not None or now[0][2] != row[0][2]:
-                before = now
-            now = row
+            before, now = now, row
         if now is not None:
             done(before, now, None)
         yield out.take()
 
     parallel = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    dealt = pages.mapInArrow(cut, fields).repartition(parallel, "piece")
-    ordered = dealt.sortWithinPartitions("piece", "host", "path", F.col("page_id").asc_nulls_first(), "own")
-    return ordered.mapInArrow(compare, RESULT)
+    dealt = different.mapInArrow(cut, fields).repartition(parallel, "piece")
+    ordered = dealt.sortWithinPartitions("piece", "host", "path", F.col("page_id").asc_nulls_first(), "digest", "own")
+    texts = ordered.mapInArrow(compare, "host string, digest string, text string, n_chars long")
+    return _parsed(pages, False).join(texts, ["host", "digest"]).select("page_id", "url", "text", "n_chars")
