@@ -328,6 +328,17 @@ def test_pairs_do_not_depend_on_the_partitions(spark, tables):
     assert len(seen) == 1 and dict(next(iter(seen)))[57].startswith("own 57")
 
 
+@pytest.mark.parametrize("name", ["site-main no-sidebar", "content has-sidebar", "post comments-open", "post category-social", "sidebar"])
+def test_class_words_do_not_hide_the_main_element(name):
+    def read(html):
+        return [t for t, _ in page_diff.blocks(html)]
+
+    for tag in ("article", "main"):
+        assert read(f"<{tag} class='{name}'><p>Text <b>here</b></{tag}>") == ["Text here"]
+        wrapped = f"<div class='{name}'><p>Lead</p><{tag}><p>Text</p><div class='ad'>no</div></{tag}></div>"
+        assert read(wrapped + "<div class='top sidebar'>no</div><p>a <span class='cookie-notice'>no</span> b") == ["Lead", "Text", "a b"]
+
+
 def test_copies_under_other_paths_are_one_page(spark):
     same = page("Top", "Own words", "Bottom")
     rows = [(i, f"http://h/a/{i:03d}?utm={i}", same) for i in range(90)]

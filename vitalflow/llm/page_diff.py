@@ -2,8 +2,9 @@
 
 A page is cut into blocks of text. Inside an element that marks the main content (article,
 main) everything but marked furniture is content; furniture (menus, headers, footers, sidebars,
-notices, adverts, forms, comments, scripts and styles) is told by its element or by the words of
-its class, id or role, and is dropped. Other blocks are template or content, and that is decided
+notices, adverts, forms, comments, scripts and styles) is told by its element, its role or a
+whole token of its class or id, and is dropped; tokens tell nothing of the main element and of
+elements that contain one. Other blocks are template or content, and that is decided
 by differencing: pages of a host stand in the order of their URL path, each is compared with the
 neighbour whose path shares the longer beginning (ties: the one before), their blocks are
 aligned by longest common subsequence, and blocks found in both are deleted. Blocks inside the
@@ -44,12 +45,13 @@ FURNITURE = frozenset("nav header footer aside form script style noscript templa
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img br".split())
 CLOSES_PARAGRAPH = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
-_MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|side-?bar|footer|header|masthead|"
+_WORD = (
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|side-?bar|footer|header|masthead|"
     r"cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|login|search|share|social|comments?|replies|"
-    r"related|recommend\w*|widget|pagination|pager|toolbar|disclaimer)(?:$|[\s_-])",
-    re.IGNORECASE,
-).search
+    r"related|recommend\w*|widget|pagination|pager|toolbar|disclaimer)"
+)
+#: A whole token of such words alone: cookie-notice, but not has-sidebar.
+_MARKS = re.compile(rf"(?<!\S){_WORD}(?:[_-]+{_WORD})*(?!\S)", re.IGNORECASE).search
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 _SPACE = re.compile(r"\s+")
 
@@ -59,22 +61,32 @@ class _Blocks(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, bool]] = []
-        self.open: list[tuple[str, bool, bool]] = []  # name, furniture, main
-        self.hidden = self.main = 0
-        self.parts: list[str] = []
+        self.found: list[tuple[list[tuple[str, tuple[int, ...]]], bool]] = []
+        self.open: list[tuple[str, bool, bool, int]] = []  # name, furniture, main, number of its mark
+        self.hidden = self.main = self.last = 0
+        self.parts: list[tuple[str, tuple[int, ...]]] = []  # text, marks around it
+        self.marks: tuple[int, ...] = ()
+        self.wrong: set[int] = set()  # marks of elements that turned out to contain the main one
 
     def flush(self) -> None:
-        text = _SPACE.sub(" ", "".join(self.parts)).strip()
-        self.parts = []
-        if text:
-            self.blocks.append((text, self.main > 0))
+        if self.parts:
+            self.found.append((self.parts, self.main > 0))
+            self.parts = []
+
+    @property
+    def blocks(self) -> list[tuple[str, bool]]:
+        out = []
+        for parts, main in self.found:
+            shown = "".join(text for text, marks in parts if self.wrong.issuperset(marks))
+            if text := _SPACE.sub(" ", shown).strip():
+                out.append((text, main))
+        return out
 
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
             self.flush()
         elif tag in VOID:
-            self.parts.append(" ")
+            self.parts.append((" ", self.marks))
         if tag in VOID:
             return
         if tag in CLOSES_PARAGRAPH:
@@ -83,16 +95,22 @@ class _Blocks(HTMLParser):
             kin = ("dt", "dd") if tag in ("dt", "dd") else ("td", "th") if tag in ("td", "th") else (tag,)
             for name in kin:
                 self._close_to(name, stop=("ul", "ol", "dl", "table", "menu"))
-        furniture = tag in FURNITURE
+        furniture, marked, main = tag in FURNITURE, False, tag in MAIN
         if not furniture and tag not in ("html", "body") and attrs:
             for name, value in attrs:
-                if value and (name in ("class", "id") and _MARKS(value) or name == "role" and value.lower() in _ROLES):
+                if value and name == "role" and value.lower() in _ROLES:
                     furniture = True
+                elif value and not main and name in ("class", "id") and _MARKS(value):
+                    marked = True
                 elif name == "hidden" or name == "aria-hidden" and value == "true":
                     furniture = True
-        main = tag in MAIN
+        if main:
+            self.wrong.update(self.marks)
         # a header of an article is furniture, its headline elements inside are not told apart
-        self.open.append((tag, furniture, main))
+        self.last += marked
+        self.open.append((tag, furniture, main, self.last if marked else 0))
+        if marked:
+            self.marks += (self.last,)
         self.hidden += furniture
         self.main += main
 
@@ -123,14 +141,16 @@ class _Blocks(HTMLParser):
                 return
 
     def _close(self, at):
-        for _, furniture, main in self.open[at:]:
+        for _, furniture, main, mark in self.open[at:]:
             self.hidden -= furniture
             self.main -= main
+            if mark:
+                self.marks = self.marks[:-1]
         del self.open[at:]
 
     def handle_data(self, data):
         if not self.hidden:
-            self.parts.append(data)
+            self.parts.append((data, self.marks))
 
 
 def blocks(html: str | None) -> list[tuple[str, bool]]:
