@@ -5,6 +5,7 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,3 +228,22 @@ def test_warc_damage_is_found(tmp_path, damage):
     (tmp_path / "f").write_bytes(good + data)
     with open(tmp_path / "f", "rb") as stream, pytest.raises((warc.WarcError, zlib.error)):
         list(warc.WarcReader(stream))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_in_a_text(name):
+    """Expected ids come from an untouched tokenizer of the same file."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    from vitalflow.llm import queries, tokens
+
+    path = queries.tokenizer_path(name)
+    library, own = Tokenizer.from_file(path), tokens.Encoder(path)
+    with open(path, encoding="utf-8") as file:
+        added = [t["content"] for t in json.load(file)["added_tokens"]]
+    assert added
+    for text in [x for t in added for x in (t, f"a {t} b", f"日本 {t}{t} c", t.upper(), t[:-1])]:
+        got = np.frombuffer(own.encode(text), "<u4").tolist()
+        assert got == library.encode(text, add_special_tokens=False).ids, text

@@ -69,8 +69,11 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             content = file.read()
         self.whole = Tokenizer.from_str(content)
-        self.whole.encode_special_tokens = True
         kinds = json.loads(content)
+        # a text with added tokens of the file goes to the library whole, as it is by default
+        added = kinds.get("added_tokens") or []
+        self._added = re.compile("|".join(re.escape(t["content"]) for t in added), re.IGNORECASE).search if added else None
+        self._normal = any(t.get("normalized") for t in added) and self.whole.normalizer or None
         pre = kinds.get("pre_tokenizer") or {}
         self.byte_level = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
         drops_space = pre.get("type") == "Sequence" and any(
@@ -98,6 +101,8 @@ class Encoder:
         """Ids of the text as little-endian unsigned 32-bit integers; null counts as empty."""
         if not text:
             return b""
+        if self._added and (self._added(text) or self._normal and self._added(self._normal.normalize_str(text))):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if self._fast and _WESTERN(text):
             return np.array(self._fast(text), "<u4").tobytes()
         if len(self.cache) > CACHE_CHUNKS:
