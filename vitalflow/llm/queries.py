@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, line_quality, mixing, packing, page_diff, simhash, token_store, toxicity, warc
+from . import (
+    ann,
+    best_fit,
+    langid,
+    line_quality,
+    merkle,
+    mixing,
+    packing,
+    page_diff,
+    periodic_runs,
+    simhash,
+    token_store,
+    toxicity,
+    warc,
+)
 from .common import materialise, table, work_dir
 
 #: Records of one batch for Python workers: bounds a worker's memory with long texts.
@@ -85,6 +99,22 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    changed = merkle.tampered_documents(docs)
+    found = merkle.manifest(docs, merkle.DOCUMENT_COLUMNS, "source", "doc_id", changed)
+    return found.withColumnRenamed("id", "doc_id").drop("grp")
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.detect(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ann": op10_ann,
     "op9_page_diff": op9_page_diff,
@@ -96,6 +126,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_mixing": op6_mixing,
     "op7_token_store": op7_token_store,
+    "op11_merkle": op11_merkle,
+    "op12_best_fit": op12_best_fit,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {"op1_warc": warc.ORACLE, "op6_mixing": mixing.ORACLE}

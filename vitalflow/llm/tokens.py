@@ -124,7 +124,7 @@ class Encoder:
         if self._simple(chunk):
             text = chunk.lower() if self.lower else chunk
             pieces = [text] if text.isalpha() else self._pieces(text)
-            if len(pieces) > 1 and not self.lower:
+            if len(pieces) > 1:
                 return b"".join(map(self.cache.__getitem__, pieces))
             pieces = [
                 p.replace(" ", _SHOWN[32]) if p.isascii() else "".join(map(_SHOWN.__getitem__, p.encode()))
