@@ -1,12 +1,14 @@
 """Training, scoring, saving, and evaluation against direct computation."""
 
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from vitalflow import schemas as S
-from vitalflow.operators import metrics, models
+from vitalflow.operators import boosting, metrics, models
 
 TINY = models.TreeSettings(trees=3, depth=3)
 
@@ -52,8 +54,12 @@ def test_hot_features_use_the_vocabulary_of_the_train_part(spark):
     columns = "PATIENT_ID string, GENDER string, RACE string, ETHNICITY string, MARITAL string"
     train = spark.createDataFrame([("a", "F", "x", "x", "x")], columns)
     df = spark.createDataFrame([("b", "M", "x", None, "x")], columns)
-    got = {r["FEATURE"] for r in models.hot_features(df, train, ["PATIENT_ID"]).collect()}
-    assert got == {"GENDER_OTHER", "RACE_x", "ETHNICITY_OTHER", "MARITAL_x"}
+    train = train.withColumn("TARGET_NAME", F.lit("Stroke")).unionByName(
+        spark.createDataFrame([("c", "M", "y", "y", "y")], columns).withColumn("TARGET_NAME", F.lit("Asthma"))
+    )
+    got = {(r["TARGET_NAME"], r["FEATURE"]) for r in models.hot_features(df, train, ["PATIENT_ID"]).collect()}
+    assert {f for t, f in got if t == "Stroke"} == {"GENDER_OTHER", "RACE_x", "ETHNICITY_OTHER", "MARITAL_x"}
+    assert {f for t, f in got if t == "Asthma"} == {"GENDER_M", "RACE_OTHER", "ETHNICITY_OTHER", "MARITAL_OTHER"}
 
 
 @pytest.mark.parametrize("column", S.CATEGORICAL_FEATURES)
@@ -95,3 +101,88 @@ def test_one_class_has_no_area_and_no_lift(spark):
     assert metrics.roc_auc(df).first()["ROC_AUC"] is None
     assert metrics.average_precision_lift(df).first()["LIFT"] == 0
     assert metrics.class_guard(df).first()["TRAINABLE"] is False
+
+
+# --- the trees against a plain learner ----------------------------------------------------
+def plain_trees(rows, labels, weight, numeric, growth):
+    """Margins of every row after second-order boosting, by trying every split of every node."""
+    margins = [0.0] * len(rows)
+
+    def worth(g, h):
+        return g * g / (h + growth.l2)
+
+    def split(members, g, h, depth):
+        total = sum(g[i] for i in members), sum(h[i] for i in members)
+        best = None
+        if depth < growth.depth:
+            for j in range(len(rows[0])):
+                for b in sorted({rows[i][j] for i in members}):
+                    right = [i for i in members if (rows[i][j] > b if j < numeric else rows[i][j] == b)]
+                    gr, hr = sum(g[i] for i in right), sum(h[i] for i in right)
+                    gl, hl = total[0] - gr, total[1] - hr
+                    if min(hl, hr) < growth.least_hessian:
+                        continue
+                    gain = worth(gl, hl) + worth(gr, hr) - worth(*total)
+                    if gain > (best[0] + 1e-9 if best else boosting.LEAST_GAIN):
+                        best = gain, right
+        if best is None:
+            for i in members:
+                margins[i] -= growth.step * total[0] / (total[1] + growth.l2)
+            return
+        right = set(best[1])
+        split([i for i in members if i not in right], g, h, depth + 1)
+        split(best[1], g, h, depth + 1)
+
+    for _ in range(growth.trees):
+        p = [1 / (1 + math.exp(-m)) for m in margins]
+        w = [weight if y else 1.0 for y in labels]
+        g = [w[i] * (p[i] - labels[i]) for i in range(len(rows))]
+        h = [w[i] * p[i] * (1 - p[i]) for i in range(len(rows))]
+        split(list(range(len(rows))), g, h, 0)
+    return margins
+
+
+@pytest.mark.parametrize("tasks", [1, 3, 40])
+def test_all_models_grow_as_a_plain_learner_grows_each(spark, tasks):
+    rng = random.Random(tasks)
+    growth = boosting.Growth(trees=7, depth=3, step=0.3, settle_every=2)
+    shape = boosting._Shape(2, (6, 4, 3), ((0, 1, 2), (1, 2)), 2)
+    data = {m: [[rng.randrange(w) for w in shape.widths] for _ in range(90)] for m in (0, 1)}
+    labels = {m: [int(r[0] + r[1] + rng.random() * 3 > 6 - m or r[2] == 1) for r in data[m]] for m in data}
+    weight = {0: 1.0, 1: 2.5}
+    rows = [(m, r, y) for m in data for r, y in zip(data[m], labels[m])]
+    rng.shuffle(rows)
+
+    def block(part):
+        m, bins, y = (np.array([r[k] for r in part]) for k in range(3))
+        return m, bins.reshape(len(part), 3), y, np.where(y == 1, [weight[i] for i in m], 1.0), np.zeros((2, len(part)))
+
+    blocks = spark.sparkContext.parallelize([block(rows[i::tasks]) for i in range(tasks)], tasks)
+    forests = boosting.grow(blocks, shape, growth)
+    for s, columns in enumerate(shape.sets):
+        for m in data:
+            own = [[r[j] for j in columns] for r in data[m]]
+            want = plain_trees(own, labels[m], weight[m], sum(j < 2 for j in columns), growth)
+            got = forests[s][m].margins(np.array(data[m]))
+            assert np.allclose(got, want), (s, m)
+
+
+def test_a_saved_model_scores_as_before(spark, prepared, tmp_path):
+    model = models.train_target(prepared, "Stroke", models.ABLATED, TINY)
+    models.save_model(spark, model, str(tmp_path))
+    back = models.load_model(spark, str(tmp_path), "Stroke")
+    rows = prepared.filter("TARGET_NAME = 'Stroke'")
+    assert models.score(model, rows).exceptAll(models.score(back, rows)).count() == 0
+    assert not set(models.importances(model)) & set(S.COUNT_FEATURES)
+    assert sum(models.importances(model).values()) == pytest.approx(1.0)
+
+
+def test_registry_holds_the_figures_of_the_fitted_models(spark, prepared):
+    grid = models.train_grid(prepared, settings=TINY)
+    assert set(grid) == {("Stroke", models.FULL), ("Stroke", models.ABLATED)}
+    targets = spark.createDataFrame([("Stroke",), ("Asthma",)], "TARGET_NAME string")
+    got = models.trained_registry(prepared, grid, targets).collect()
+    assert {(r["TARGET_NAME"], r["FEATURE_SET"], r["AVAILABLE"]) for r in got} == {
+        ("Stroke", models.FULL, True), ("Stroke", models.ABLATED, True), ("Asthma", None, False)
+    }
+    assert all(r["ROC_AUC"] > 0.9 for r in got if r["AVAILABLE"])

@@ -1,25 +1,20 @@
-"""Training and batch scoring with Spark ML: boosted trees per target and feature set."""
+"""Training and batch scoring: boosted trees per target and feature set, all grown together."""
 
 from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark import inheritable_thread_target
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import exact_median
-from ..session import ensure_checkpoint_dir
-from . import metrics
+from ..session import write_through
+from . import boosting, metrics
 from .features import age_safety, feature_contract
 
 FULL, ABLATED = "Full Features", "Ablated Features"
@@ -27,6 +22,8 @@ FEATURE_SETS = {FULL: S.NUMERIC_FEATURES, ABLATED: S.ABLATED_NUMERIC_FEATURES}
 MODEL_NAME = "GBT"
 ROW_ID = "ROW_ID"
 OTHER = "OTHER"
+#: Training rows of one task, as bin numbers some 40 bytes each.
+ROWS_A_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -34,18 +31,24 @@ class TreeSettings:
     trees: int = S.TREE_COUNT
     depth: int = S.TREE_DEPTH
     step: float = S.TREE_STEP
-    seed: int = S.MODEL_SEED
-    checkpoint_every: int = 10
+    #: numbers are cut at this many quantiles, learned from all training rows
+    bins: int = 64
+    #: rank error of a quantile is one over this
+    quantile_accuracy: int = 10_000
+
+    @property
+    def growth(self) -> boosting.Growth:
+        return boosting.Growth(self.trees, self.depth, self.step)
 
 
 @dataclass
 class TrainedModel:
-    """One fitted target: what to fill in for missing numbers, and the pipeline."""
+    """One fitted target: how its columns are read, and its trees."""
 
     target: str
     feature_set: str
-    medians: dict[str, float]
-    pipeline: PipelineModel
+    encoding: boosting.Encoding
+    forest: boosting.Forest
     settings: TreeSettings = field(default_factory=TreeSettings)
 
 
@@ -82,61 +85,80 @@ def onehot(df: DataFrame, categories: Mapping[str, Sequence[str]], keep: Sequenc
 
 def hot_features(df: DataFrame, train: DataFrame, keys: Sequence[str],
                  columns: Sequence[str] = S.CATEGORICAL_FEATURES) -> DataFrame:
-    """The one-hot features that are 1: keys, FEATURE. The vocabulary is that of `train`.
+    """The one-hot features that are 1, per target: TARGET_NAME, keys, FEATURE.
 
-    As in training, a value that `train` lacks counts under its column's last name, OTHER.
+    The vocabulary of a target is that of its rows in `train`; a value that they lack counts under
+    its column's last name, OTHER.
     """
-    known = train.select(*columns).unpivot([], list(columns), "C", "V").distinct()
+    known = train.select("TARGET_NAME", *columns).unpivot(["TARGET_NAME"], list(columns), "C", "V").distinct()
     known = known.filter(F.col("V").isNotNull()).withColumn("KNOWN", F.lit(True))
+    # one row per target and column: every row of df is met by all targets
+    targets = train.groupBy().agg(F.sort_array(F.collect_set("TARGET_NAME")).alias("t")).first()["t"]
     rows = df.select(*keys, *columns).unpivot(list(keys), list(columns), "C", "V")
+    rows = rows.withColumn("TARGET_NAME", F.explode(F.array(*[F.lit(t) for t in targets])))
     name = F.concat_ws("_", "C", F.when(F.col("KNOWN"), F.col("V")).otherwise(F.lit(OTHER)))
     # a row per distinct value: Spark broadcasts it when its size allows
-    return rows.join(known, ["C", "V"], "left").select(*keys, name.alias("FEATURE"))
+    return rows.join(known, ["TARGET_NAME", "C", "V"], "left").select("TARGET_NAME", *keys, name.alias("FEATURE"))
 
 
 def prepare(df: DataFrame, test_share: float = 0.2) -> DataFrame:
     """Age rule, row id and stratified split of the long labelled table.
 
-    Training reads the result many times, so it is checkpointed: written once to the
-    shared folder, from where lost executors' parts are read again.
+    Training reads the result many times, so it is written once to the shared folder.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     # a patient may serve a target on several index dates
     marked = age_safety(df).withColumn(ROW_ID, F.concat_ws("|", "PATIENT_ID", "INDEX_DATE", "LABEL"))
-    return metrics.stratified_split(marked, ROW_ID, test_share).checkpoint()
-
-
-def _stages(numeric: Sequence[str], settings: TreeSettings) -> Pipeline:
-    indexed = [f"{c}_IDX" for c in S.CATEGORICAL_FEATURES]
-    encoded = [f"{c}_VEC" for c in S.CATEGORICAL_FEATURES]
-    return Pipeline(
-        stages=[
-            StringIndexer(
-                inputCols=S.CATEGORICAL_FEATURES,
-                outputCols=indexed,
-                handleInvalid="keep",
-                stringOrderType="alphabetAsc",
-            ),
-            OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="keep"),
-            VectorAssembler(inputCols=[*numeric, *encoded], outputCol="FEATURES"),
-            GBTClassifier(
-                featuresCol="FEATURES",
-                labelCol="LABEL",
-                weightCol="WEIGHT",
-                maxIter=settings.trees,
-                maxDepth=settings.depth,
-                stepSize=settings.step,
-                seed=settings.seed,
-                checkpointInterval=settings.checkpoint_every,
-                cacheNodeIds=False,
-            ),
-        ]
+    return write_through(metrics.stratified_split(marked, ROW_ID, test_share), "training-rows")
+
+
+def learn_encodings(train: DataFrame, settings: TreeSettings = TreeSettings()) -> dict[str, boosting.Encoding]:
+    """Per target of the training rows: medians, quantile edges of numbers, values of categories."""
+    numeric, cuts = S.NUMERIC_FEATURES, [i / settings.bins for i in range(1, settings.bins)]
+    learned = train.groupBy("TARGET_NAME").agg(
+        *[F.percentile_approx(c, cuts, settings.quantile_accuracy).alias(c) for c in numeric],
+        *[F.sort_array(F.collect_set(c)).alias(c) for c in S.CATEGORICAL_FEATURES],
     )
+    medians: dict[str, dict[str, float]] = {}
+    for row in feature_medians(train, numeric).collect():  # a row per target and feature
+        medians.setdefault(row["TARGET_NAME"], {})[row["FEATURE"]] = row["MEDIAN"]
+    out = {}
+    for row in learned.orderBy("TARGET_NAME").collect():  # a row per target
+        known = medians.get(row["TARGET_NAME"], {})
+        out[row["TARGET_NAME"]] = boosting.Encoding(
+            # a feature without any training value has no median: zero, a constant to the trees
+            {c: known.get(c, 0.0) for c in numeric},
+            {c: sorted(set(row[c] or ())) for c in numeric},
+            {c: list(row[c]) for c in S.CATEGORICAL_FEATURES},
+        )
+    return out
 
 
-def _fill(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
-    # a feature without any training value has no median: zero, a constant to the trees
-    return df.fillna({c: medians.get(c, 0.0) for c in medians})
+def train_grid(
+    prepared: DataFrame,
+    targets: Sequence[str] = S.TARGETS,
+    feature_sets: Sequence[str] = tuple(FEATURE_SETS),
+    settings: TreeSettings = TreeSettings(),
+) -> dict[tuple[str, str], TrainedModel]:
+    """Every target that has both classes, with every feature set; all are grown together."""
+    train = prepared.filter((F.col("SPLIT") == "train") & F.col("TARGET_NAME").isin(list(targets)))
+    sizes = {r["TARGET_NAME"]: r for r in metrics.class_weights(train).collect()}  # a row per target
+    usable = [t for t in targets if t in sizes and sizes[t]["N_POS"] and sizes[t]["N_NEG"]]
+    if not usable:
+        return {}
+    train = train.filter(F.col("TARGET_NAME").isin(usable))
+    learned = learn_encodings(train, settings)
+    encodings = {t: learned[t] for t in usable}
+    rows = sum(sizes[t]["N_POS"] + sizes[t]["N_NEG"] for t in usable)
+    tasks = -(-rows // ROWS_A_TASK)
+    blocks = boosting.encoded(train.coalesce(tasks), encodings)
+    weights = {t: float(sizes[t]["POSITIVE_WEIGHT"]) for t in usable}
+    columns = [[*FEATURE_SETS[f], *S.CATEGORICAL_FEATURES] for f in feature_sets]
+    forests = boosting.fit(write_through(blocks, "training-blocks"), encodings, weights, columns, settings.growth)
+    return {
+        (t, f): TrainedModel(t, f, encodings[t], forest[t], settings)
+        for f, forest in zip(feature_sets, forests)
+        for t in usable
+    }
 
 
 def train_target(
@@ -145,59 +167,28 @@ def train_target(
     feature_set: str = FULL,
     settings: TreeSettings = TreeSettings(),
 ) -> TrainedModel | None:
-    """Fit one target on its train part; None when only one class occurs."""
-    ensure_checkpoint_dir(prepared.sparkSession)
-    numeric = FEATURE_SETS[feature_set]
-    train = prepared.filter((F.col("TARGET_NAME") == target) & (F.col("SPLIT") == "train"))
-    sizes = metrics.class_weights(train).collect()  # one row
-    if not sizes or not sizes[0]["N_POS"] or not sizes[0]["N_NEG"]:
-        return None
-    weight = sizes[0]["POSITIVE_WEIGHT"]
-    learned = feature_medians(train, numeric).collect()  # one row per feature
-    medians = {c: 0.0 for c in numeric} | {r["FEATURE"]: r["MEDIAN"] for r in learned}
-    ready = _fill(train, medians).withColumn(
-        "WEIGHT", F.when(F.col("LABEL") == 1, F.lit(float(weight))).otherwise(1.0)
-    )
-    return TrainedModel(target, feature_set, medians, _stages(numeric, settings).fit(ready), settings)
-
+    """One target with one feature set; None when only one class occurs."""
+    return train_grid(prepared, [target], [feature_set], settings).get((target, feature_set))
 
-def score(model: TrainedModel, df: DataFrame) -> DataFrame:
-    """Add PROBABILITY of the positive class."""
-    scored = model.pipeline.transform(_fill(df, model.medians))
-    return scored.select(*df.columns, vector_to_array("probability")[1].alias("PROBABILITY"))
 
+def _parts(models: Mapping[str, TrainedModel]) -> dict[str, tuple[boosting.Encoding, boosting.Forest]]:
+    return {t: (m.encoding, m.forest) for t, m in models.items()}
 
-def train_grid(
-    prepared: DataFrame,
-    targets: Sequence[str] = S.TARGETS,
-    feature_sets: Sequence[str] = tuple(FEATURE_SETS),
-    settings: TreeSettings = TreeSettings(),
-    at_once: int = 4,
-) -> dict[tuple[str, str], TrainedModel]:
-    """Every trainable target with every feature set, `at_once` fits side by side.
 
-    One fit is a long row of small jobs, so a few together use the cluster better.
-    """
-    wanted = [(t, f) for f in feature_sets for t in targets]
-    fit = inheritable_thread_target(prepared.sparkSession)(
-        lambda pair: train_target(prepared, *pair, settings)
-    )
-    with ThreadPool(at_once) as pool:
-        fitted = pool.map(fit, wanted, chunksize=1)
-    return {pair: model for pair, model in zip(wanted, fitted) if model is not None}
+def score(model: TrainedModel, df: DataFrame) -> DataFrame:
+    """Add PROBABILITY of the positive class."""
+    scored = boosting.probabilities(df, _parts({model.target: model}))
+    return scored.select(*df.columns, F.col("PROBABILITIES")[0].alias("PROBABILITY"))
 
 
 def score_parts(prepared: DataFrame, fitted: Mapping[str, TrainedModel]) -> DataFrame:
-    """Train and test rows of each target with its model's score."""
+    """Train and test rows of each target with its model's score, in one pass."""
     if not fitted:
         raise ValueError("no target has both classes")
-    parts = [
-        score(model, prepared.filter(F.col("TARGET_NAME") == target)).select(
-            "PATIENT_ID", "TARGET_NAME", "INDEX_DATE", "LABEL", "SPLIT", "PROBABILITY"
-        )
-        for target, model in fitted.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    rows = prepared.filter(F.col("TARGET_NAME").isin(list(fitted)))
+    return boosting.probability_by_target(rows, _parts(fitted)).select(
+        "PATIENT_ID", "TARGET_NAME", "INDEX_DATE", "LABEL", "SPLIT", "PROBABILITY"
+    )
 
 
 def train_score(prepared: DataFrame, targets: Sequence[str], feature_set: str = FULL,
@@ -210,8 +201,8 @@ def train_score(prepared: DataFrame, targets: Sequence[str], feature_set: str =
 
 def evaluate(scored: DataFrame) -> DataFrame:
     """One result row per target: test metrics, tuned threshold and train/test accuracy."""
-    ensure_checkpoint_dir(scored.sparkSession)
-    scored = scored.select("TARGET_NAME", "LABEL", "SPLIT", "PROBABILITY").checkpoint()  # read many times below
+    # read many times below
+    scored = write_through(scored.select("TARGET_NAME", "LABEL", "SPLIT", "PROBABILITY"), "scores")
     test = scored.filter(F.col("SPLIT") == "test")
     best = metrics.optimal_threshold(metrics.pr_curve(test))
     area = metrics.roc_auc(scored, ["TARGET_NAME", "SPLIT"])
@@ -252,49 +243,44 @@ def experiment_comparison(prepared: DataFrame, grid: Mapping[tuple[str, str], Tr
     return reduce(DataFrame.unionByName, parts)
 
 
+def importances(model: TrainedModel) -> dict[str, float]:
+    """Mean gain of a feature's splits as a share of all features' mean gains, in column order."""
+    names, gained, splits = model.encoding.names(), {}, {}
+    for j, row in enumerate(names):
+        if j >= model.forest.numeric or list(model.encoding.edges)[j] in FEATURE_SETS[model.feature_set]:
+            # a categorical column's last bin stands for values not met in training
+            gained |= dict.fromkeys(row[:-1] or row, 0.0)
+    used = model.forest.column >= 0
+    places = zip(model.forest.column[used].tolist(), model.forest.bin[used].tolist(), model.forest.gain[used].tolist())
+    for j, at, gain in places:
+        name = names[j][at]
+        gained[name] += gain
+        splits[name] = splits.get(name, 0) + 1
+    means = {n: g / splits.get(n, 1) for n, g in gained.items()}
+    total = sum(means.values()) or 1.0
+    return {n: m / total for n, m in means.items()}
+
+
 def feature_importance(spark: SparkSession, model: TrainedModel, top: int | None = 10) -> DataFrame:
     """Importance per feature column, highest first. The row count is the model width."""
-    values = model.pipeline.stages[-1].featureImportances.toArray().tolist()
-    names = _feature_names(model)
-    rows = [(model.target, model.feature_set, n, float(v)) for n, v in zip(names, values)]
+    rows = [(model.target, model.feature_set, n, v) for n, v in importances(model).items()]
     out = spark.createDataFrame(rows, "TARGET_NAME string, FEATURE_SET string, FEATURE string, IMPORTANCE double")
     out = out.orderBy(F.desc("IMPORTANCE"), "FEATURE")
     return out if top is None else out.limit(top)
 
 
-def _feature_names(model: TrainedModel) -> list[str]:
-    """Names of the assembled vector's places, from the widths that the encoder reports.
-
-    A categorical column takes one place per label and one for values not met in training.
-    """
-    indexer, encoder = model.pipeline.stages[0], model.pipeline.stages[1]
-    names = list(FEATURE_SETS[model.feature_set])
-    for c, labels, width in zip(S.CATEGORICAL_FEATURES, indexer.labelsArray, encoder.categorySizes):
-        places = [*labels, OTHER][: int(width)]
-        names += [f"{c}_{v}" for v in places]
-    return names
-
-
 def risk_scores(features: DataFrame, models: Mapping[str, TrainedModel | None],
                 targets: Sequence[str] = S.TARGETS) -> DataFrame:
-    """Every patient against every target; a missing model gives null, not a failure."""
-    rows = feature_contract(features)
-    given = F.struct(*[F.col(c) for c in rows.columns]).alias("given")
-    scored, done = rows.select(given), []
-    for target in targets:
-        model = models.get(target)
-        name = f"P{len(done)}"
-        if model is None:
-            scored = scored.withColumn(name, F.lit(None).cast("double"))
-        else:
-            # the models are applied in turn to one input, which is read once
-            filled = _fill(scored.select("*", "given.*"), model.medians)
-            scored = model.pipeline.transform(filled).select(
-                "given", *done, vector_to_array("probability")[1].alias(name)
-            )
-        done.append(name)
-    entries = F.array(*[F.struct(F.lit(t).alias("TARGET_NAME"), F.col(p).alias("PROBABILITY")) for t, p in zip(targets, done)])
-    return scored.select("given.PATIENT_ID", F.explode(entries).alias("e")).select("PATIENT_ID", "e.*")
+    """Every patient against every target; a missing model gives null, not a failure.
+
+    The features are read once and all models are applied to a batch together.
+    """
+    there = {t: models[t] for t in targets if models.get(t) is not None}
+    scored = boosting.probabilities(feature_contract(features), _parts(there))
+    place = {t: F.col("PROBABILITIES")[i] for i, t in enumerate(there)}
+    none = F.lit(None).cast("double")
+    entries = [F.struct(F.lit(t).alias("TARGET_NAME"), place.get(t, none).alias("PROBABILITY")) for t in targets]
+    return scored.select("PATIENT_ID", F.explode(F.array(*entries)).alias("e")).select("PATIENT_ID", "e.*")
 
 
 # --- registry ---------------------------------------------------------------------
@@ -316,6 +302,10 @@ def registry_rows(results: DataFrame, feature_set: str = FULL) -> DataFrame:
     )
 
 
+def _folder(target: str) -> str:
+    return target.lower().replace(" ", "_")
+
+
 def model_registry(targets: DataFrame, registry: DataFrame) -> DataFrame:
     """All targets (TARGET_NAME) with their record, and whether a model exists."""
     joined = targets.join(registry, "TARGET_NAME", "left")
@@ -326,15 +316,27 @@ def _folder(target: str) -> str:
     return target.lower().replace(" ", "_")
 
 
+def trained_registry(prepared: DataFrame, grid: Mapping[tuple[str, str], TrainedModel],
+                     targets: DataFrame) -> DataFrame:
+    """The record of every target's fitted models with their own test metrics, per feature set."""
+    records = []
+    for feature_set in dict.fromkeys(f for _, f in grid):
+        fitted = {t: m for (t, f), m in grid.items() if f == feature_set}
+        records.append(registry_rows(evaluate(score_parts(prepared, fitted)), feature_set))
+    return model_registry(targets, reduce(DataFrame.unionByName, records))
+
+
 def save_model(spark: SparkSession, model: TrainedModel, root: str, metrics: Mapping[str, float] | None = None) -> str:
-    """Write pipeline and metadata, with a row of evaluate(), under root/<target>; returns the folder."""
+    """Write a model as one JSON text, with a row of evaluate(), under root/<target>; returns the folder."""
     path = f"{root.rstrip('/')}/{_folder(model.target)}"
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    trees = {name: getattr(model.forest, name).tolist() for name in ("column", "bin", "value", "gain")}
     meta = {
         "target": model.target,
         "feature_set": model.feature_set,
-        "medians": model.medians,
-        "settings": vars(model.settings),
+        "encoding": asdict(model.encoding),
+        "trees": trees,
+        "numeric": model.forest.numeric,
+        "settings": asdict(model.settings),
         "metrics": dict(metrics or {}),
     }
     text = spark.createDataFrame([(json.dumps(meta),)], "value string")
@@ -344,16 +346,16 @@ def save_model(spark: SparkSession, model: TrainedModel, root: str, metrics: Map
 
 def load_model(spark: SparkSession, root: str, target: str) -> TrainedModel | None:
     """Read a saved model; None when the folder holds none."""
-    path = f"{root.rstrip('/')}/{_folder(target)}"
-    home = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/metadata/_SUCCESS")
-    if not home.getFileSystem(spark._jsc.hadoopConfiguration()).exists(home):
+    if not models_available(spark, root, [target])[target]:
         return None
-    meta = json.loads(spark.read.text(f"{path}/metadata").first()["value"])
+    meta = json.loads(spark.read.text(f"{root.rstrip('/')}/{_folder(target)}/metadata").first()["value"])
+    kinds = {"column": np.int16, "bin": np.int32, "value": float, "gain": float}
+    trees = {name: np.array(meta["trees"][name], kind) for name, kind in kinds.items()}
     return TrainedModel(
         meta["target"],
         meta["feature_set"],
-        meta["medians"],
-        PipelineModel.load(f"{path}/pipeline"),
+        boosting.Encoding(**meta["encoding"]),
+        boosting.Forest(**trees, numeric=meta["numeric"]),
         TreeSettings(**meta["settings"]),
     )
 

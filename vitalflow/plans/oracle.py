@@ -765,8 +765,10 @@ _BODY["median_impute"] = show(
   SELECT TARGET_NAME, {_meds} FROM long_split WHERE SPLIT = 'train' GROUP BY TARGET_NAME) m ON m.TARGET_NAME = r.TARGET_NAME""",
     days=("INDEX_DATE",), doubles=_NF, ints=("LABEL",))
 _BODY["onehot"] = " UNION ALL ".join(
-    f"""SELECT PATIENT_ID, '{c}_' || CASE WHEN {c} IN (
-  SELECT {c} FROM long_split WHERE SPLIT = 'train' AND TARGET_NAME = 'Stroke') THEN {c} ELSE 'OTHER' END AS FEATURE FROM features_live"""
+    f"""SELECT t.TARGET_NAME, PATIENT_ID, '{c}_' || CASE WHEN known.V IS NOT NULL THEN {c} ELSE 'OTHER' END AS FEATURE
+FROM features_live CROSS JOIN (SELECT DISTINCT TARGET_NAME FROM long_split WHERE SPLIT = 'train') t
+LEFT JOIN (SELECT DISTINCT TARGET_NAME, {c} AS V FROM long_split WHERE SPLIT = 'train') known
+  ON known.TARGET_NAME = t.TARGET_NAME AND known.V = {c}"""
     for c in S.CATEGORICAL_FEATURES)
 
 # --- risk --------------------------------------------------------------------------------
@@ -778,6 +780,22 @@ _BODY["risk_scores_rows"] = f"""
 SELECT PATIENT_ID, t.TARGET_NAME, t.TARGET_NAME IN (
   SELECT TARGET_NAME FROM long_split WHERE SPLIT = 'train' GROUP BY TARGET_NAME HAVING count(DISTINCT LABEL) = 2) AS IN_RANGE
 FROM features_live CROSS JOIN (VALUES {_target_rows}) t(TARGET_NAME)"""
+_trainable = """SELECT TARGET_NAME FROM long_split WHERE SPLIT = 'train' GROUP BY TARGET_NAME HAVING count(DISTINCT LABEL) = 2"""
+_sets = (("Full Features", S.NUMERIC_FEATURES), ("Ablated Features", S.ABLATED_NUMERIC_FEATURES))
+_values = " + ".join(f"count(DISTINCT {c})" for c in S.CATEGORICAL_FEATURES)
+_BODY["importance_rows"] = " UNION ALL ".join(
+    f"""SELECT TARGET_NAME, '{name}' AS FEATURE_SET, {len(columns)} + {_values} AS FEATURES, true AS SHARES
+FROM long_split WHERE SPLIT = 'train' AND TARGET_NAME IN ({_trainable}) GROUP BY TARGET_NAME""" for name, columns in _sets)
+_BODY["comparison_rows"] = " UNION ALL ".join(
+    f"SELECT TARGET_NAME, '{name}' AS FEATURE_SET, 'GBT' AS MODEL, true AS IN_RANGE FROM ({_trainable})" for name, _ in _sets)
+_records = " UNION ALL ".join(
+    f"""SELECT TARGET_NAME, 'GBT_{name.replace(' ', '')}_' || TARGET_NAME AS MODEL_NAME, 'GBT' AS MODEL_TYPE, '{name}' AS FEATURE_SET,
+  '{','.join(columns)}' AS NUMERIC_FEATURES, '{','.join(S.CATEGORICAL_FEATURES)}' AS CATEGORICAL_FEATURES,
+  'GBT model predicting ' || TARGET_NAME || ' using {name.lower()}.' AS DESCRIPTION FROM ({_trainable})""" for name, columns in _sets)
+_BODY["registry_keys"] = f"""
+SELECT t.TARGET_NAME, r.* EXCLUDE (TARGET_NAME), MODEL_NAME IS NOT NULL AS AVAILABLE, MODEL_NAME IS NOT NULL AS IN_RANGE
+FROM (SELECT TARGET_NAME FROM (VALUES {_target_rows}) v(TARGET_NAME) UNION ALL SELECT 'Untrained') t
+LEFT JOIN ({_records}) r ON r.TARGET_NAME = t.TARGET_NAME"""
 _BODY["model_registry"] = show(
     f"""SELECT t.TARGET_NAME, MODEL_NAME, MODEL_TYPE, FEATURE_SET, NUMERIC_FEATURES, CATEGORICAL_FEATURES, DESCRIPTION,
   ROC_AUC, PR_AUC, PREVALENCE, LIFT, MODEL_NAME IS NOT NULL AS AVAILABLE

@@ -228,6 +228,17 @@ class Clinic:
             self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
+    def files(self) -> list[tuple[str, int, int]]:
+        """Name, size and time of change of every file of the tables, which change with the data."""
+        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path
+        conf, out = self.spark._jsc.hadoopConfiguration(), []
+        for name in TABLES:
+            for file in self.table(name).inputFiles():
+                at = fs_path(file)
+                status = at.getFileSystem(conf).getFileStatus(at)
+                out.append((file, status.getLen(), status.getModificationTime()))
+        return sorted(out)
+
     def view(self, name: str) -> DataFrame:
         text = RAW_SQL[name]
         used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}

@@ -312,22 +312,23 @@ def median_impute(c: Clinic) -> DataFrame:
 
 @query
 def onehot(c: Clinic) -> DataFrame:
-    """The vocabulary of one target's train part, applied to all patients."""
-    train = models.prepare(c.long).filter((F.col("SPLIT") == "train") & (F.col("TARGET_NAME") == "Stroke"))
+    """The vocabulary of every target's train part, applied to all patients."""
+    train = models.prepare(c.long).filter(F.col("SPLIT") == "train")
     return models.hot_features(c.features, train, ["PATIENT_ID"])
 
 
 # --- models ----------------------------------------------------------------------------------
 #: Queries that fit, or wait for, all models of a folder.
 TRAINING = frozenset(
-    "train_score train_score_rows feature_importance experiment_comparison risk_scores risk_scores_rows patient_risk".split()
+    """train_score train_score_rows feature_importance importance_rows experiment_comparison comparison_rows
+    risk_scores risk_scores_rows patient_risk trained_registry registry_keys""".split()
 )
-_GRIDS: dict[tuple[str, str], tuple[DataFrame, dict]] = {}
+_GRIDS: dict[tuple, tuple[DataFrame, dict]] = {}
 
 
 def _grid(c: Clinic) -> tuple[DataFrame, dict]:
-    """The training rows and all models of this session for one folder, trained once."""
-    key = c.spark.sparkContext.applicationId, c.sf_dir
+    """The training rows and all models of this session for the files as they are now, trained once."""
+    key = c.spark.sparkContext.applicationId, *c.files()
     if key not in _GRIDS:
         prepared = models.prepare(c.long)
         _GRIDS[key] = prepared, models.train_grid(prepared)
@@ -358,11 +359,36 @@ def feature_importance(c: Clinic) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def importance_rows(c: Clinic) -> DataFrame:
+    """Per model how many features it has, whether their shares add up to one and none is negative."""
+    parts = [models.feature_importance(c.spark, m, top=None) for m in _grid(c)[1].values()]
+    share = F.sum("IMPORTANCE")
+    return reduce(DataFrame.unionByName, parts).groupBy("TARGET_NAME", "FEATURE_SET").agg(
+        F.count(F.lit(1)).alias("FEATURES"),
+        ((share > 0.999999) & (share < 1.000001) & (F.min("IMPORTANCE") >= 0)).alias("SHARES"),
+    )
+
+
 @query
 def experiment_comparison(c: Clinic) -> DataFrame:
     return models.experiment_comparison(*_grid(c))
 
 
+METRICS = ["ROC_AUC", "PR_AUC", "OPTIMAL_F1", "OPTIMAL_THRESHOLD", "TRAIN_ACCURACY", "TEST_ACCURACY", "TRAIN_ROC_AUC"]
+
+
+def _in_range(columns: list[str]):
+    return reduce(lambda a, b: a & b, [F.coalesce(F.col(m).between(0, 1), F.lit(False)) for m in columns])
+
+
+@query
+def comparison_rows(c: Clinic) -> DataFrame:
+    """The models compared, and whether every metric is there and a share."""
+    found = models.experiment_comparison(*_grid(c))
+    return found.select("TARGET_NAME", "FEATURE_SET", "MODEL", _in_range(METRICS).alias("IN_RANGE"))
+
+
 def _risk(c: Clinic) -> DataFrame:
     return models.risk_scores(c.features, _full(c))
 
@@ -383,6 +409,22 @@ def patient_risk(c: Clinic) -> DataFrame:
     return risk.risk_tiers(scores).join(risk.models_found_missing(scores), "PATIENT_ID")
 
 
+def _trained(c: Clinic) -> DataFrame:
+    targets = c.spark.createDataFrame([(t,) for t in [*S.TARGETS, "Untrained"]], "TARGET_NAME string")
+    return models.trained_registry(*_grid(c), targets)
+
+
+simple("trained_registry", _trained)
+
+
+@query
+def registry_keys(c: Clinic) -> DataFrame:
+    """The registry of the fitted models without their figures."""
+    found = _trained(c)
+    figures = [x for x in found.columns if x in (*METRICS, "LIFT")]
+    return found.select("*", _in_range(METRICS).alias("IN_RANGE")).drop(*figures)
+
+
 @query
 def model_registry(c: Clinic) -> DataFrame:
     """Every target, and one that nobody has trained."""

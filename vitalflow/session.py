@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results or plans. Cluster sizing (memory, cores, shuffle
 # partitions) stays with the submitter.
@@ -51,3 +52,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="vitalflow-ckpt-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def write_through(df: DataFrame, name: str) -> DataFrame:
+    """The rows of df, written once to a new place in the shared folder and read from there.
+
+    Later jobs read only the columns they need, and lost executors don't recompute the rows.
+    """
+    place = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
