@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from .. import schemas as S
 from ..functions import hash_key, is_missing, split_row_number
-from .features import Tables, features_asof
+from .features import Tables, age_safety, features_at
 
 AGE_BAND_YEARS = 10
 
@@ -108,7 +108,8 @@ def matched_controls(
 
 def labels(patients: DataFrame, dates: DataFrame, targets: list[str] = S.TARGETS, per_case: int = 1) -> DataFrame:
     """Cases with label 1 and their controls with label 0, each with its index date."""
-    known = dates.join(patients.select("PATIENT_ID"), "PATIENT_ID", "left_semi")
+    asked = dates.filter(F.col("TARGET_NAME").isin(list(targets)))
+    known = asked.join(patients.select("PATIENT_ID"), "PATIENT_ID", "left_semi")
     cases = known.select("PATIENT_ID", "TARGET_NAME", F.lit(1).alias("LABEL"), "INDEX_DATE")
     controls = matched_controls(patients, dates, targets, per_case).select(
         F.col("CONTROL_ID").alias("PATIENT_ID"), "TARGET_NAME", F.lit(0).alias("LABEL"), "INDEX_DATE"
@@ -125,14 +126,22 @@ def features_targets_long(
     per_case: int = 1,
     buffer_days: int = 0,
 ) -> DataFrame:
-    """The labelled long table: metadata columns and the feature row before the index date."""
-    marked = labels(patients, dates, targets, per_case)
-    rows = features_asof(marked, patients, gold, rt, buffer_days)
-    return marked.join(rows, ["PATIENT_ID", "INDEX_DATE"]).select(*S.LABEL_METADATA, *S.FEATURES)
+    """The labelled long table: metadata columns and the feature row before the index date.
+
+    A patient's targets and labels of one date travel together through the running sums, at most
+    two per target.
+    """
+    label = F.struct("TARGET_NAME", "LABEL")
+    marks = labels(patients, dates, targets, per_case).groupBy("PATIENT_ID", "INDEX_DATE").agg(
+        F.collect_list(label).alias("MARKED")
+    )
+    rows = features_at(marks, patients, gold, rt, buffer_days).withColumn("M", F.explode("MARKED"))
+    return rows.select("*", "M.*").select(*S.LABEL_METADATA, *S.FEATURES)
 
 
 def features_for_target(long: DataFrame, target: str) -> DataFrame:
-    """One target's rows with the age rule; prunes partitions when stored by TARGET_NAME."""
-    from .features import age_safety
+    """One target's rows with the age rule; prunes partitions when stored by TARGET_NAME.
 
+    Where the table is not stored, features_targets_long with this target alone builds no others.
+    """
     return age_safety(long.filter(F.col("TARGET_NAME") == target))

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import schemas as S
 from ..functions import parse_number
@@ -138,27 +139,47 @@ def patient_features(patients: DataFrame, gold: Tables, rt: Tables, as_of: str)
     return _rows(patients.join(facts, "PATIENT_ID", "left"), age, ["PATIENT_ID"])
 
 
-def features_asof(
-    dates: DataFrame,
+def features_at(
+    marks: DataFrame,
     patients: DataFrame,
     gold: Tables,
     rt: Tables,
     buffer_days: int = 0,
 ) -> DataFrame:
-    """Feature rows for each (PATIENT_ID, INDEX_DATE), from facts strictly before the date.
+    """Feature rows for each row of `marks`, from facts strictly before its INDEX_DATE.
 
-    `buffer_days` leaves out that many days before the index date as well. Facts are
-    first added up per patient and day, so the range join meets at most one row per day,
-    and its output is added up again before it moves.
+    Other columns of `marks` are kept. Facts are added up per patient and day and stand in one line
+    with the marks, each mark before the facts of its day; one running sum per patient is read off
+    at the marks. A patient's line holds a row per day and mark, so its length is bounded by the
+    calendar, and no day is joined with a date.
     """
-    wanted = dates.select("PATIENT_ID", "INDEX_DATE").distinct()
+    kept = [c for c in marks.columns if c != "PATIENT_ID"]
     daily = _add_up(contributions(gold, rt).filter(F.col("FACT_DATE").isNotNull()), ["PATIENT_ID", "FACT_DATE"])
-    before = F.col("FACT_DATE") < F.date_sub("INDEX_DATE", buffer_days)
-    sums = _add_up(daily.join(wanted, "PATIENT_ID").filter(before), ["PATIENT_ID", "INDEX_DATE"])
-    named = wanted.join(sums, ["PATIENT_ID", "INDEX_DATE"], "left").join(
+    facts = daily.withColumnRenamed("FACT_DATE", "DAY").withColumn("FACT", F.lit(1))
+    placed = marks.withColumns({"DAY": F.date_sub("INDEX_DATE", buffer_days), "FACT": F.lit(0)})
+    line = facts.unionByName(placed, allowMissingColumns=True)
+    before = (
+        Window.partitionBy("PATIENT_ID").orderBy("DAY", "FACT").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    summed = line.select("PATIENT_ID", "FACT", *kept, *[F.sum(p).over(before).alias(p) for p in _PARTS])
+    named = summed.filter(F.col("FACT") == 0).join(
         patients.select("PATIENT_ID", "BIRTHDATE", *S.CATEGORICAL_FEATURES), "PATIENT_ID"
     )
-    return _rows(named, age_in_years(F.col("INDEX_DATE")), ["PATIENT_ID", "INDEX_DATE"])
+    return _rows(named, age_in_years(F.col("INDEX_DATE")), ["PATIENT_ID", *kept])
+
+
+def features_asof(
+    dates: DataFrame,
+    patients: DataFrame,
+    gold: Tables,
+    rt: Tables,
+    buffer_days: int = 0,
+) -> DataFrame:
+    """Feature rows for each (PATIENT_ID, INDEX_DATE), from facts strictly before the date.
+
+    `buffer_days` leaves out that many days before the index date as well.
+    """
+    return features_at(dates.select("PATIENT_ID", "INDEX_DATE").distinct(), patients, gold, rt, buffer_days)
 
 
 def age_safety(df: DataFrame) -> DataFrame:

@@ -293,4 +293,7 @@ class Clinic:
 
     @cached_property
     def long(self) -> DataFrame:
-        return cohort.features_targets_long(self.patients, self.dates, self.gold, self.rt)
+        return self.labelled(S.TARGETS)
+
+    def labelled(self, targets: list[str]) -> DataFrame:
+        return cohort.features_targets_long(self.patients, self.dates, self.gold, self.rt, targets)

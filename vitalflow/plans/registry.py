@@ -269,7 +269,7 @@ simple("features_asof", lambda c: features.features_asof(c.dates, c.patients, c.
 simple("features_buffered", lambda c: features.features_asof(c.dates, c.patients, c.gold, c.rt, buffer_days=180))
 simple("matched_controls", lambda c: cohort.matched_controls(c.patients, c.dates, per_case=2))
 simple("features_targets_long", lambda c: c.long)
-simple("features_for_target", lambda c: cohort.features_for_target(c.long, "Stroke"))
+simple("features_for_target", lambda c: cohort.features_for_target(c.labelled(["Stroke"]), "Stroke"))
 
 # --- metrics -------------------------------------------------------------------------------
 def _scores(c: Clinic) -> DataFrame:
