@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import schemas as S
 from ..functions import (
@@ -111,25 +112,37 @@ def split_value(df: DataFrame) -> DataFrame:
     )
 
 
-def reading_seq(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+#: Rows that share keys beyond this number are numbered in pieces.
+HOT_ROWS = 1_000_000
+
+
+def reading_seq(df: DataFrame, keys: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Number repeated readings within `keys`, in order of ingestion.
 
-    The order inside one ingestion time is by content hash, so it is total and repeatable.
-    Fully equal rows are counted before the shuffle and any large group is cut by hash,
-    so one much-repeated reading does not land in one task.
+    The order inside one ingestion time is by content hash, so it is total and repeatable. Keys
+    with more than `hot_rows` rows are told by one count over a hash of the keys; of these there
+    are at most rows / hot_rows, which bounds what is broadcast. Their fully equal rows are counted
+    before the shuffle and they are cut by hash, so no key lands whole in one task. All other
+    readings are moved and numbered once. Both ways give the same numbers.
     """
     keys = READING_KEYS if keys is None else keys
-    rest = sorted(set(df.columns) - {"INGESTION_TIMESTAMP"})
+    slot, count = "__slot", F.count(F.lit(1))
+    sent = df.withColumn(slot, F.xxhash64(*keys))
+    hot = F.broadcast(sent.groupBy(slot).agg(count.alias("__n")).filter(F.col("__n") > hot_rows).select(slot))
+    few, many = sent.join(hot, slot, "left_anti").drop(slot), sent.join(hot, slot, "left_semi").drop(slot)
+    order = Window.partitionBy(*keys).orderBy("__at", "__h")
+    plain = _placed(few, df.columns).withColumn("READING_SEQ", F.row_number().over(order))
+    cut = _placed(count_copies(many, "__n"), df.columns).withColumn("__p", F.substring("__h", 1, 2))
+    numbered = split_row_number(cut, keys, ["__at", "__p"], [F.col("__h")], "READING_SEQ", "__n")
+    seq = F.col("READING_SEQ").cast("int").alias("READING_SEQ")
+    return plain.select(*df.columns, seq).unionByName(numbered.select(*df.columns, seq))
+
+
+def _placed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Adds what readings are ordered by: the ingestion time and a hash of the content."""
     earliest = F.lit("0001-01-01").cast("timestamp")
-    tagged = count_copies(df, "__n").withColumns(
-        {
-            "__at": F.coalesce(F.col("INGESTION_TIMESTAMP").cast("timestamp"), earliest),
-            "__h": hash_key(*rest),
-        }
-    )
-    tagged = tagged.withColumn("__p", F.substring("__h", 1, 2))
-    numbered = split_row_number(tagged, keys, ["__at", "__p"], [F.col("__h")], "READING_SEQ", "__n")
-    return numbered.select(*df.columns, F.col("READING_SEQ").cast("int").alias("READING_SEQ"))
+    at = F.coalesce(F.col("INGESTION_TIMESTAMP").cast("timestamp"), earliest)
+    return df.withColumns({"__at": at, "__h": hash_key(*sorted(set(columns) - {"INGESTION_TIMESTAMP"}))})
 
 
 def observations(df: DataFrame, resequence: bool = False) -> DataFrame:
