@@ -7,7 +7,8 @@ documents. Stages:
 1. quality rules: documents that fail a base rule or whose lines are mostly boilerplate go
 2. language: documents without a known language, or far from every profile, go
 3. near-duplicates: of each component of documents alike in 0.8 or more of their five-word
-   shingles (exact Jaccard), the smallest doc_id stays
+   shingles, the smallest doc_id stays; candidates from the SimHash trie and from MinHash, links
+   by exact Jaccard
 4. mixing: documents are taken 0 to 3 times, so that sources come near their target weights
 5. packing: the pieces of all documents in sequences of at most 2048 tokens
 
@@ -48,7 +49,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.emit(mixing.mix(mixing.measure(docs)))
+    # measured once; the mix reads the sizes in many places
+    return mixing.emit(mixing.mix(materialise(mixing.measure(docs), "measured")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
