@@ -86,7 +86,7 @@ def describe(text: str | None) -> tuple[int, int, list[int], bytes]:
     for at in range(0, len(hashes), 1024):  # bounds the memory of a long text
         part = _FACTORS[:, None] * hashes[at : at + 1024] + _TERMS[:, None]
         np.minimum(least, part.min(1), out=least)
-    ones = np.zeros(64, np.int64)
+    ones = np.zeros(64, np.uint64)
     for at in range(0, len(hashes), 1024):
         ones += np.unpackbits(hashes[at : at + 1024].view(np.uint8).reshape(-1, 8), axis=1).sum(0)
     print_ = int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
