@@ -1,15 +1,19 @@
 """The stream with a folder source: routing, quarantine, repeats, replay and the direct path."""
 
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from vitalflow import schemas as S
 from vitalflow.operators import events
-from vitalflow.sources import direct_append, publish_events, read_event_stream, read_realtime
+from vitalflow.plans.proxy import Clinic
+from vitalflow.sources import direct_append, id_index, publish_events, read_event_stream, read_realtime
 from vitalflow.sources import realtime as R
+from vitalflow.sources.id_index import IN_THRESHOLD, EventIds, slice_of
 from vitalflow.streaming import ingest, start_ingest, start_window_counts
+from vitalflow.streaming.confirm import published_stream, start_confirmations, stored_stream
 
 
 def line(event_id, kind="CONDITION", patient="p", at="2026-09-01T10:00:00Z", **payload):
@@ -194,3 +198,114 @@ def test_a_date_far_ahead_closes_no_window(spark, tmp_path):
 def test_empty_tables_are_readable(spark, tmp_path, table):
     R.create_realtime_tables(spark, str(tmp_path))
     assert read_realtime(spark, str(tmp_path), table).count() == 0
+
+
+# --- the id index, one write a batch, confirmation ------------------------------------------
+def _batch(spark, *event_ids, at="2026-09-01T10:00:00Z"):
+    return events.parse_envelope(spark.createDataFrame([(line(i, at=at),) for i in event_ids], "value string"))
+
+
+def _scanned(df):
+    """Rows that the scans of a collected plan gave out."""
+    leaves, total = df._jdf.queryExecution().executedPlan().collectLeaves(), 0
+    for i in range(leaves.size()):
+        metric = leaves.apply(i).metrics().get("numOutputRows")
+        total += metric.get().value() if metric.isDefined() else 0
+    return total
+
+
+def test_a_lookup_reads_only_row_groups_that_may_hold_its_ids(spark, tmp_path):
+    index = EventIds(spark, str(tmp_path))
+    for k in range(2):
+        ids = spark.range(k * 40_000, (k + 1) * 40_000).selectExpr("'e' || id AS event_id", "'CONDITION' AS event_type")
+        index.append(ids, f"b{k}")
+        assert index.settle(f"r{k}") == 1
+    asked = [f"e{i}" for i in (5, 77, 60_000)] + [f"new{i}" for i in range(20)]
+    named = spark.createDataFrame([(i, "CONDITION") for i in asked], "event_id string, event_type string")
+    numbered = [tuple(r) for r in named.select(slice_of(), "event_id").collect()]
+    old = spark.conf.get(IN_THRESHOLD)
+    spark.conf.set(IN_THRESHOLD, "1000")
+    try:
+        found = index.lookup(numbered)
+        assert sorted(r["event_id"] for r in found.collect()) == ["e5", "e60000", "e77"]
+        # a slice of a run holds some 600 ids; three slices hold one each, and the filters let few others pass
+        assert _scanned(found) <= 6 * 700
+    finally:
+        spark.conf.set(IN_THRESHOLD, old)
+    assert {r["event_id"] for r in index.stored(named, "other").collect()} == {"e5", "e77", "e60000"}
+    assert {r["event_id"] for r in index.stored(named, "b0").collect()} == {"e60000"}, "a batch's own rows do not count"
+
+
+def test_ids_are_known_whatever_part_of_the_index_holds_them(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    assert direct_append(_batch(spark, "a", "b"), root, "1") == {"CONDITION": 2}
+    index = EventIds(spark, root)
+    assert index.settle("s1") == 1 and index.settle("s1") == 0
+    assert direct_append(_batch(spark, "b", "c", at=""), root, "2") == {"CONDITION": 1}
+    assert direct_append(_batch(spark, "a", "c", "d"), root, "3") == {"CONDITION": 1}
+    assert index.settle("s2", whole=True) == 2
+    monkeypatch.setattr(id_index, "LOOKUP_IDS", 2)  # more than that: the whole index is read
+    assert direct_append(_batch(spark, "a", "b", "c", "d"), root, "4") == {}
+    assert direct_append(_batch(spark, "a", "c", "d"), root, "3") == {"CONDITION": 1}, "a batch may run again"
+    assert ids(spark, root) == ["a", "b", "c", "d"]
+
+
+def test_an_index_is_made_from_tables_that_have_none(spark, tmp_path):
+    root = str(tmp_path)
+    direct_append(_batch(spark, "a", "b"), root, "1")
+    shutil.rmtree(tmp_path / id_index.FOLDER)
+    assert direct_append(_batch(spark, "b", "c"), root, "2") == {"CONDITION": 1}
+    assert ids(spark, root) == ["a", "b", "c"]
+
+
+def test_one_job_writes_rows_as_each_table_alone_would(spark, tmp_path, sf_dir):
+    c = Clinic(spark, sf_dir)
+    good = events.ingest(c.events, c.now)
+    wide = events.parse_typed(good, c.now)
+    for kind, table in S.EVENT_TABLES.items():
+        own = wide.filter(F.col("TABLE_NAME") == table).select(*S.REALTIME_SCHEMAS[table].names)
+        alone = events.parse_type(good, kind, c.now)
+        assert own.count() > 0 and own.exceptAll(alone).isEmpty() and alone.exceptAll(own).isEmpty()
+    R.append_events(good, str(tmp_path), "k")
+    stored = R.realtime_state(spark, str(tmp_path))
+    assert sum(t.count() for t in stored.values()) == good.count()
+
+
+def test_confirmed_late_and_lost_events(spark, tmp_path):
+    kinds = {"p": "event_id string, event_type string, PUBLISHED_TS timestamp", "s": "event_id string, event_type string, STORED_TS timestamp"}
+
+    def put(side, n, *rows):
+        df = spark.createDataFrame([(i, "CONDITION", at) for i, at in rows], kinds[side].replace("timestamp", "string"))
+        df.selectExpr("event_id", "event_type", f"to_timestamp({df.columns[2]}) AS {df.columns[2]}").coalesce(1).write.parquet(str(tmp_path / side / str(n)))
+
+    def go():
+        sides = [spark.readStream.schema(kinds[s]).option("recursiveFileLookup", "true").parquet(str(tmp_path / s)) for s in "ps"]
+        q = start_confirmations(*sides, str(tmp_path / "out"), str(tmp_path / "ck"), once=True)
+        q.awaitTermination(120)
+        assert q.exception() is None
+        return {r["event_id"]: r["STATUS"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+
+    day = "2026-09-01 10:00:"
+    put("p", 0, ("a", day + "00"), ("a", day + "01"), ("late", day + "00"), ("lost", day + "00"))
+    put("s", 0, ("a", day + "05"))
+    assert go() == {"a": "CONFIRMED"}
+    put("p", 1, ("end", "2026-09-01 11:00:00"))
+    put("s", 1, ("late", day + "31"), ("end", "2026-09-01 11:00:01"))
+    go()
+    put("p", 2, ("last", "2026-09-01 12:00:00"))
+    put("s", 2, ("last", "2026-09-01 12:00:00"))
+    got = go()
+    assert {k: got[k] for k in ("a", "late", "lost", "end")} == {"a": "CONFIRMED", "late": "TIMED_OUT", "lost": "TIMED_OUT", "end": "CONFIRMED"}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+
+
+def test_the_stream_confirms_what_it_stored(spark, tmp_path):
+    inbox, root = tmp_path / "in", tmp_path / "rt"
+    drop(inbox, "1.txt", [line("a"), line("x", kind="LAB_RESULT")])
+    run(spark, inbox, root, tmp_path / "ck")
+    raw = read_event_stream(spark, "text", path=str(inbox))
+    q = start_confirmations(published_stream(raw), stored_stream(spark, str(root)), str(tmp_path / "out"), str(tmp_path / "ck2"), within="1 hour", once=True)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    # the inbox is read as published after it was stored, so nothing is confirmed and nothing timed out yet
+    assert spark.read.schema("event_id string, STATUS string").parquet(str(tmp_path / "out")).count() == 0

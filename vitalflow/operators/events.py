@@ -325,6 +325,44 @@ def parse_type(
     return rows.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in schema], *keep)
 
 
+def _typed_fields() -> dict[str, tuple]:
+    """Every column of the typed tables: its type and the event types that have it."""
+    fields: dict[str, tuple] = {}
+    for event_type, table in S.EVENT_TABLES.items():
+        for f in S.REALTIME_SCHEMAS[table]:
+            fields.setdefault(f.name, (f.dataType, []))[1].append(event_type)
+    return fields
+
+
+def parse_typed(df: DataFrame, as_of: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """All typed tables as one wide row set: TABLE_NAME and their columns, null where a table has none.
+
+    Each event is typed once. The rows of one table, cut to its columns, are those of parse_type.
+    """
+    now = F.current_timestamp() if as_of is None else as_of
+    kind, own_id = F.col("event_type"), F.col("event_id")
+    given = {
+        "EVENT_ID": own_id,
+        "PATIENT_ID": F.col("patient_id"),
+        "EVENT_TS": F.col("EVENT_TS"),
+        "INGESTION_TS": now,
+        "ENCOUNTER_ID": F.coalesce("P.ENCOUNTER_ID", F.when(kind == "ENCOUNTER", own_id)),
+        "CAREPLAN_ID": F.when(kind == "CAREPLAN", F.coalesce("P.CAREPLAN_ID", own_id)),
+    }
+
+    def column(name: str, data_type, kinds: list[str]) -> Column:
+        if name in given:
+            return given[name].cast(data_type).alias(name)
+        default = _default(name)
+        text = F.col(f"P.{name}") if default is None else F.coalesce(f"P.{name}", default)
+        value = _TYPED[name](text) if name in _TYPED else text
+        return F.when(kind.isin(kinds), value.cast(data_type)).alias(name)
+
+    table = F.create_map(*[F.lit(x) for pair in S.EVENT_TABLES.items() for x in pair])[kind]
+    columns = [column(n, t, kinds) for n, (t, kinds) in _typed_fields().items()]
+    return df.select(table.alias("TABLE_NAME"), *columns, *keep)
+
+
 def ingest(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     """What enters the realtime tables: named, judged, and then one row per id of the valid ones.
 

@@ -1,10 +1,12 @@
 """The append-only realtime tables.
 
-Layout: root/RT_x/EVENT_DATE=<day>/BATCH_KEY=<writer and batch>/. A batch owns its BATCH_KEY
-folders and overwrites them, so writing the same batch again after a failure leaves the same
-rows. EVENT_DATE stands first, so date-bound reads list one folder; events without a readable
+Layout: root/EVENTS/TABLE=RT_x/EVENT_DATE=<day>/BATCH_KEY=<writer and batch>/. A batch writes all its
+tables in one job of typed rows, owns its BATCH_KEY folders and overwrites them, so writing the same
+batch again after a failure leaves the same rows. A table is its folder read by its own schema.
+Below it EVENT_DATE stands first, so date-bound reads list one folder; events without a readable
 time of their own share the folder of no date. `compact_day` joins the small files of many
-batches.
+batches. Ids are also kept in an index of their own (sources.id_index), in which a batch looks up
+what is stored already.
 """
 
 from __future__ import annotations
@@ -15,10 +17,11 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from .. import schemas as S
 from ..operators import events
-from ..session import ensure_checkpoint_dir
+from ..session import write_through
+from .id_index import EventIds
 
 QUARANTINE = "RT_QUARANTINE"
-BATCH_KEY, EVENT_DATE = "BATCH_KEY", events.EVENT_DATE
+TABLE, BATCH_KEY, EVENT_DATE = "TABLE", "BATCH_KEY", events.EVENT_DATE
 DIRECT, COMPACTED = "direct", "compacted"
 
 
@@ -28,8 +31,14 @@ def _stored(schema: StructType) -> StructType:
     )
 
 
+def events_path(root: str) -> str:
+    return f"{root.rstrip('/')}/EVENTS"
+
+
 def table_path(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{table}"
+    if table == QUARANTINE:
+        return f"{root.rstrip('/')}/{table}"
+    return f"{events_path(root)}/{TABLE}={table}"
 
 
 def create_realtime_tables(spark: SparkSession, root: str) -> None:
@@ -65,33 +74,53 @@ def append_quarantine(df: DataFrame, root: str, batch_key: str) -> None:
     df.write.mode("overwrite").parquet(f"{table_path(root, QUARANTINE)}/{BATCH_KEY}={batch_key}")
 
 
+def append_events(good: DataFrame, root: str, batch_key: str) -> None:
+    """Write a batch's events to the folders of all their tables in one job."""
+    typed = events.parse_typed(good, keep=[EVENT_DATE]).withColumnRenamed("TABLE_NAME", TABLE)
+    typed.withColumn(BATCH_KEY, F.lit(batch_key)).hint("rebalance", TABLE, EVENT_DATE).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(TABLE, EVENT_DATE, BATCH_KEY).parquet(events_path(root))
+
+
+def index_stored(spark: SparkSession, root: str) -> EventIds:
+    """The id index; made from the tables where they hold rows and it is not there."""
+    index = EventIds(spark, root)
+    if not index.exists():
+        parts = [
+            read_realtime(spark, root, table, stored=True).select(
+                F.col("EVENT_ID").alias("event_id"), F.lit(kind).alias("event_type"), BATCH_KEY
+            )
+            for kind, table in S.EVENT_TABLES.items()
+        ]
+        every = parts[0]
+        for part in parts[1:]:
+            every = every.unionByName(part)
+        if every.take(1):
+            every.write.partitionBy(BATCH_KEY).mode("overwrite").parquet(f"{index.root}/fresh")
+    return index
+
+
 def new_events(df: DataFrame, root: str, batch_key: str) -> DataFrame:
-    """Events whose id no other batch has stored yet.
+    """Events whose id no other batch has stored yet, however long ago; a written table.
 
-    Copies of an event agree on its own day, or on having none, so only the days of this batch
-    and the folder of no date are read; the filters prune partitions. Rows of the batch itself
-    do not count, so running a batch again gives the same rows.
+    Rows of the batch itself do not count, so running a batch again gives the same rows.
     """
-    spark = df.sparkSession
-    days = df.select(EVENT_DATE).filter(F.col(EVENT_DATE).isNotNull()).distinct()
-    known = None
-    for t, table in S.EVENT_TABLES.items():
-        part = read_realtime(spark, root, table, stored=True).select(
-            F.col("EVENT_ID").alias("event_id"), F.lit(t).alias("event_type"), EVENT_DATE, BATCH_KEY
-        )
-        known = part if known is None else known.unionByName(part)
-    known = known.filter(F.col(BATCH_KEY) != batch_key)
-    dated = known.join(days, EVENT_DATE, "left_semi").select(known.columns)
-    known = dated.unionByName(known.filter(F.col(EVENT_DATE).isNull()))
-    ids = known.select("event_id", "event_type").distinct()
-    return df.join(ids, ["event_id", "event_type"], "left_anti")
+    asked = write_through(df, "batch")
+    ids = index_stored(df.sparkSession, root).stored(asked, batch_key)
+    return write_through(asked.join(ids, ["event_id", "event_type"], "left_anti"), "new-events")
 
 
-def write_routed(good: DataFrame, root: str, batch_key: str, types: list[str]) -> None:
-    """Write the rows of each given event type to its table."""
-    for t in types:
-        table = S.EVENT_TABLES[t]
-        append_batch(events.parse_type(good, t, keep=[EVENT_DATE]), root, table, batch_key)
+def append_new(valid: DataFrame, root: str, batch_key: str) -> dict[str, int]:
+    """Store the new ones of a batch's valid events, and their ids. Returns rows per type.
+
+    Ids are written last: a batch that fails before is not known, and runs again as a whole.
+    """
+    fresh = new_events(events.dedup_events(valid), root, batch_key)
+    counts = {r["event_type"]: r["ROW_COUNT"] for r in events.route_counts(fresh).collect()}
+    if counts:
+        append_events(fresh, root, batch_key)
+        EventIds(valid.sparkSession, root).append(fresh, batch_key)
+    return counts
 
 
 def compact_day(spark: SparkSession, root: str, table: str, day: str | None, name: str) -> int:
@@ -113,8 +142,13 @@ def compact_day(spark: SparkSession, root: str, table: str, day: str | None, nam
     once = stored.filter(on_day).groupBy("EVENT_ID").agg(F.min(F.struct(*rest)).alias("r"))
     rows = once.select("EVENT_ID", "r.*").select(*[c for c in stored.columns if c != BATCH_KEY])
     # a plan may not overwrite a folder that it reads
-    append_batch(rows.checkpoint() if target in keys else rows, root, table, target)
+    append_batch(write_through(rows, "compacted") if target in keys else rows, root, table, target)
     folder = "__HIVE_DEFAULT_PARTITION__" if day is None else day
+    # ids that a batch finds under another key than its own count as stored when it runs again
+    kind = next(k for k, t in S.EVENT_TABLES.items() if t == table)
+    joined = read_realtime(spark, root, table, stored=True).filter(on_day & (F.col(BATCH_KEY) == target))
+    held = joined.select(F.col("EVENT_ID").alias("event_id"), F.lit(kind).alias("event_type"))
+    EventIds(spark, root).append(held, f"{target}-{table}-{folder}")
     conf = spark._jsc.hadoopConfiguration()
     for key in old:
         path = spark._jvm.org.apache.hadoop.fs.Path(
@@ -135,9 +169,4 @@ def direct_append(df: DataFrame, root: str, batch_key: str) -> dict[str, int]:
     judged = events.judge(events.identify(df))
     append_quarantine(judged.filter(F.col("REASON").isNotNull()).drop("P"), root, key)
     valid = judged.filter(F.col("REASON").isNull()).drop("REASON")
-    # read once per table below; in the shared folder it outlives lost executors
-    ensure_checkpoint_dir(df.sparkSession)
-    fresh = new_events(events.dedup_events(valid), root, key).checkpoint()
-    counts = {r["event_type"]: r["ROW_COUNT"] for r in events.route_counts(fresh).collect()}
-    write_routed(fresh, root, key, sorted(counts))
-    return counts
+    return append_new(valid, root, key)

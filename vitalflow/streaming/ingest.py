@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import events
 from ..sources import realtime
 from ..sources.messages import ARRIVAL
-from ..session import ensure_checkpoint_dir
 
 TRIGGER = "10 seconds"
 
@@ -41,7 +40,6 @@ def route_batch(root: str, stream_id: str, on_counts: Callable[[int, dict], None
 
     def run(batch: DataFrame, batch_id: int) -> None:
         key = f"{stream_id}-{batch_id}"
-        ensure_checkpoint_dir(batch.sparkSession)
         realtime.create_realtime_tables(batch.sparkSession, root)
         held = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -49,11 +47,8 @@ def route_batch(root: str, stream_id: str, on_counts: Callable[[int, dict], None
             if bad.take(1):
                 realtime.append_quarantine(bad, root, key)
             valid = held.filter(F.col("REASON").isNull()).drop("REASON", events.RAW)
-            # not a cache: that would be dropped with each write to a table that it reads
-            good = realtime.new_events(events.dedup_events(valid), root, key).checkpoint()
-            # one small grouped count decides which tables are written
-            counts = {r["event_type"]: r["ROW_COUNT"] for r in events.route_counts(good).collect()}
-            realtime.write_routed(good, root, key, sorted(counts))
+            # one job writes all tables
+            counts = realtime.append_new(valid, root, key)
             if on_counts is not None:
                 on_counts(batch_id, counts)
         finally:
