@@ -5,8 +5,10 @@ import csv
 import pytest
 
 from vitalflow import schemas as S
+from vitalflow.operators import features, state
 from vitalflow.plans import medallion as M
 from vitalflow.plans.proxy import AS_OF, Clinic
+from vitalflow.plans.registry import render
 from vitalflow.sources import Lake, load_csv, split_corrupt
 
 
@@ -74,3 +76,59 @@ def test_bucketed_catalog_tables_join_without_shuffle(spark):
     joined = lake.read("bucketed", "l").hint("merge").join(lake.read("bucketed", "r"), "PATIENT_ID")
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     assert lake.exists("bucketed", "l")
+
+
+# --- versions and buckets -----------------------------------------------------------------------
+def test_a_job_may_overwrite_what_it_reads_and_readers_see_one_version(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path), versioned=True)
+    assert not lake.exists("silver", "x") and lake.current("silver", "x") is None
+    lake.write(spark.range(10), "silver", "x")
+    opened, first = lake.read("silver", "x"), lake.current("silver", "x")
+    lake.write(lake.read("silver", "x").filter("id > 3"), "silver", "x")
+    assert lake.read("silver", "x").count() == 6 and opened.count() == 10, "a reader keeps its version"
+    assert lake.read("silver", "x", first).count() == 10
+
+    def crash(*_):
+        raise RuntimeError("lost before the swap")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Lake, "_swap", crash)
+        with pytest.raises(RuntimeError):
+            lake.write(spark.range(1), "silver", "x")
+    assert lake.read("silver", "x").count() == 6, "a write that does not commit changes nothing"
+    assert len(lake.versions("silver", "x")) == 3
+    assert len(lake.vacuum("silver", "x")) == 2 and lake.vacuum("silver", "x") == []
+    assert lake.read("silver", "x").count() == 6 and lake.exists("silver", "x")
+    with pytest.raises(ValueError):
+        Lake(spark, catalog=True, versioned=True)
+
+
+def test_silver_is_pruned_in_place_in_a_versioned_lake(spark, sf_dir, tmp_path):
+    lake = Lake(spark, str(tmp_path), versioned=True)
+    c = Clinic(spark, sf_dir)
+    for e in S.ENTITIES:
+        lake.write(c.silver(e), M.SILVER, f"{e}_silver")
+    M.run_gold(lake, silver_final=True)
+    assert "SSN" not in lake.read(M.SILVER, "patients_silver").columns
+    assert lake.read(M.GOLD, "encounters_gold").count() == c.silver("encounters").count()
+
+
+def test_features_over_tables_stored_by_patient_move_no_rows(spark, sf_dir):
+    lake = Lake(spark, catalog=True, buckets=4)
+    c = Clinic(spark, sf_dir)
+    for e in ("patients", "encounters", "observations", "conditions", "medications"):
+        lake.write(c.gold[e], M.GOLD, f"{e}_gold")
+    names = ("RT_OBSERVATIONS", "RT_ENCOUNTERS", "RT_CONDITIONS", "RT_MEDICATIONS")
+    rt = M.publish_realtime(lake, {t: c.rt[t] for t in names})
+    gold = {e: lake.read(M.GOLD, f"{e}_gold") for e in ("patients", "encounters", "observations", "conditions", "medications")}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = features.patient_features(gold["patients"], gold, rt, AS_OF, stored_by_patient=True)
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        assert render(found).exceptAll(render(c.features)).isEmpty() and found.count() == c.features.count()
+        one = state.encounters_state(gold, rt, patient_id="17")
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SelectedBucketsCount: 1 out of 4") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

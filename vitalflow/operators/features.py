@@ -36,15 +36,18 @@ def _vital_parts(values: dict[str, Column]) -> dict[str, Column]:
     return {**sums, **counts}
 
 
-def vital_contributions(gold: Tables, rt: Tables) -> DataFrame:
-    """Wide historical rows and long realtime rows, both as vital sums and counts."""
+def _vital_sources(gold: Tables, rt: Tables) -> list[DataFrame]:
     one = {"OBSERVATION_COUNT": F.lit(1)}
     wide = {f: parse_number(F.col(f"`{m}`")) for f, m in S.VITAL_FEATURES.items()}
     hist = _contribution(gold["observations"], F.col("OBSERVATION_DATE"), {**_vital_parts(wide), **one})
     name = F.upper("DESCRIPTION")
     long = {f: F.when(name == m.upper(), F.col("VALUE_NUMERIC")) for f, m in S.VITAL_FEATURES.items()}
-    live = _contribution(rt["RT_OBSERVATIONS"], F.col("OBSERVATION_DATE"), {**_vital_parts(long), **one})
-    return hist.unionByName(live)
+    return [hist, _contribution(rt["RT_OBSERVATIONS"], F.col("OBSERVATION_DATE"), {**_vital_parts(long), **one})]
+
+
+def vital_contributions(gold: Tables, rt: Tables) -> DataFrame:
+    """Wide historical rows and long realtime rows, both as vital sums and counts."""
+    return reduce(DataFrame.unionByName, _vital_sources(gold, rt))
 
 
 def _first_codes(hist: DataFrame, live: DataFrame, feature: str) -> DataFrame:
@@ -54,17 +57,21 @@ def _first_codes(hist: DataFrame, live: DataFrame, feature: str) -> DataFrame:
     return _contribution(firsts, F.col("D"), {feature: F.lit(1)})
 
 
+#: Of each count of distinct codes the historical and the realtime table.
+_CODES = {
+    "DISTINCT_CONDITION_COUNT": ("conditions", "RT_CONDITIONS"),
+    "DISTINCT_MEDICATION_COUNT": ("medications", "RT_MEDICATIONS"),
+}
+
+
+def _visit_sources(gold: Tables, rt: Tables) -> list[DataFrame]:
+    visits = [gold["encounters"], rt["RT_ENCOUNTERS"]]
+    return [_contribution(v, F.to_date("ENCOUNTER_DATE"), {"TOTAL_ENCOUNTERS": F.lit(1)}) for v in visits]
+
+
 def activity_contributions(gold: Tables, rt: Tables) -> DataFrame:
-    columns = ["PATIENT_ID", "ENCOUNTER_DATE"]
-    visits = gold["encounters"].select(*columns).unionByName(rt["RT_ENCOUNTERS"].select(*columns))
-    return reduce(
-        DataFrame.unionByName,
-        [
-            _contribution(visits, F.to_date("ENCOUNTER_DATE"), {"TOTAL_ENCOUNTERS": F.lit(1)}),
-            _first_codes(gold["conditions"], rt["RT_CONDITIONS"], "DISTINCT_CONDITION_COUNT"),
-            _first_codes(gold["medications"], rt["RT_MEDICATIONS"], "DISTINCT_MEDICATION_COUNT"),
-        ],
-    )
+    firsts = [_first_codes(gold[hist], rt[live], feature) for feature, (hist, live) in _CODES.items()]
+    return reduce(DataFrame.unionByName, [*_visit_sources(gold, rt), *firsts])
 
 
 def contributions(gold: Tables, rt: Tables) -> DataFrame:
@@ -132,10 +139,38 @@ def _rows(df: DataFrame, age: Column, keep: Sequence[str]) -> DataFrame:
     return typed.select(*keep, *S.FEATURES)
 
 
-def patient_features(patients: DataFrame, gold: Tables, rt: Tables, as_of: str) -> DataFrame:
-    """PATIENT_ID and the full feature row for every patient, over all data."""
-    facts = _add_up(contributions(gold, rt), ["PATIENT_ID"])
+def _sums_side_by_side(patients: DataFrame, gold: Tables, rt: Tables) -> DataFrame:
+    """The patients with the sums of each source joined to them one after the other.
+
+    Over tables that are stored by patient with one number of buckets nothing is moved: each source
+    is added up where it lies and joined where it lies.
+    """
+    wide, sources = patients, [*_vital_sources(gold, rt), *_visit_sources(gold, rt)]
+    for i, source in enumerate(sources):
+        sums = _add_up(source, ["PATIENT_ID"]).withColumnsRenamed({p: f"{p}_{i}" for p in _PARTS})
+        wide = wide.join(sums, "PATIENT_ID", "left")
+    total = {p: reduce(Column.__add__, [F.coalesce(f"{p}_{i}", F.lit(0)) for i in range(len(sources))]) for p in _PARTS}
+    for feature, (hist, live) in _CODES.items():
+        # a patient's distinct codes are bounded by the codes that there are
+        for side, table in (("H", gold[hist]), ("L", rt[live])):
+            wide = wide.join(table.groupBy("PATIENT_ID").agg(F.collect_set("CODE").alias(f"{feature}_{side}")), "PATIENT_ID", "left")
+        sides = [F.coalesce(f"{feature}_{side}", F.array().cast("array<string>")) for side in "HL"]
+        total[feature] = F.size(F.array_union(*sides))
+    return wide.select(*patients.columns, *[c.alias(p) for p, c in total.items()])
+
+
+def patient_features(
+    patients: DataFrame, gold: Tables, rt: Tables, as_of: str, stored_by_patient: bool = False
+) -> DataFrame:
+    """PATIENT_ID and the full feature row for every patient, over all data.
+
+    The contributions of all sources are added up in one shuffle; with `stored_by_patient` each source
+    is added up by itself, in none.
+    """
     age = age_in_years(F.lit(as_of).cast("date"))
+    if stored_by_patient:
+        return _rows(_sums_side_by_side(patients, gold, rt), age, ["PATIENT_ID"])
+    facts = _add_up(contributions(gold, rt), ["PATIENT_ID"])
     return _rows(patients.join(facts, "PATIENT_ID", "left"), age, ["PATIENT_ID"])
 
 

@@ -39,16 +39,24 @@ def run_silver(lake: Lake, as_of: str | None = None) -> None:
 
 
 def run_gold(lake: Lake, silver_final: bool = False) -> None:
-    """Publish Gold. `silver_final` also keeps the pruned Silver under its own name,
-    since a table must not be overwritten while it is read."""
+    """Publish Gold. `silver_final` also keeps the pruned Silver: in a versioned lake in place of
+    Silver, else under a name of its own, since a table must not be overwritten while it is read."""
     for entity in S.ENTITIES:
         source = lake.read(SILVER, f"{entity}_silver")
         lake.write(G.GOLD_FROM_SILVER[entity](source), GOLD, f"{entity}_gold")
         if silver_final and entity != "observations":
-            lake.write(G.GOLD_FROM_SILVER[entity](source), SILVER, f"{entity}_silver_final")
+            final = f"{entity}_silver" if lake.versioned else f"{entity}_silver_final"
+            lake.write(G.GOLD_FROM_SILVER[entity](source), SILVER, final)
     lake.write(wide_table(gold_tables(lake)), GOLD, OBT)
 
 
+def publish_realtime(lake: Lake, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Store the realtime tables beside Gold, in a bucketed lake by patient as Gold is."""
+    for name, rows in tables.items():
+        lake.write(rows, GOLD, name.lower())
+    return {name: lake.read(GOLD, name.lower()) for name in tables}
+
+
 def gold_tables(lake: Lake) -> dict[str, DataFrame]:
     """Those Gold tables that exist, by entity."""
     names = [e for e in S.ENTITIES if lake.exists(GOLD, f"{e}_gold")]
