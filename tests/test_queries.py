@@ -1,9 +1,4 @@
-"""Registered queries against their SQL on the smallest sample tables.
-
-A cross-section by default; all of them with VITALFLOW_ALL=1 or `python tests/compare.py`.
-"""
-
-import os
+"""All registered queries that have SQL against it, on the smallest sample tables."""
 
 import pytest
 from compare import compare, connect
@@ -11,13 +6,7 @@ from compare import compare, connect
 import __spark_entry__ as entry
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
-SAMPLE = """null_profile_pct duplicate_rows interval_anomalies silver_patients silver_medications
-reading_seq gold_observations conditions_per_encounter obt_patient_encounters missing_required_fields
-event_defaults event_quarantine validation_report rt_observations rt_careplans route_counts pending_events
-dedup_events encounters_state timeline_day_breaks patient_360 patient_features features_asof
-matched_controls stratified_split pr_curve optimal_threshold roc_auc average_precision_lift
-classification_report median_impute risk_tiers risk_delta""".split()
-NAMES = sorted(ORACLE) if os.environ.get("VITALFLOW_ALL") else SAMPLE
+NAMES = sorted(ORACLE)
 
 
 @pytest.fixture(scope="module")

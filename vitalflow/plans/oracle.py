@@ -525,6 +525,11 @@ _profiles = " UNION ALL ".join(map(_profile, S.ENTITIES))
 _BODY["null_profile"] = _profiles
 _BODY["null_profile_pct"] = f"""
 SELECT TABLE_NAME, COLUMN_NAME, MISSING, round(MISSING / TOTAL * 100, 6) AS MISSING_PCT FROM ({_profiles}) WHERE MISSING > 0"""
+_BODY["merged_profile"] = " UNION ALL ".join(
+    f"""SELECT '{e}' AS TABLE_NAME, '{c}' AS COLUMN_NAME, count(*) AS TOTAL,
+  count(*) FILTER ({missing(c) if c != 'INGESTION_TIMESTAMP' else f'{c} IS NULL'}) AS MISSING, count(DISTINCT {c}) AS EXACT, true AS NEAR
+FROM (SELECT *, {META} FROM {e}_raw)"""
+    for e in S.ENTITIES for c in (*S.RAW_SCHEMAS[e].names, "SOURCE_SYSTEM", "INGESTION_TIMESTAMP"))
 _BODY["key_uniqueness"] = " UNION ALL ".join(
     f"SELECT '{e}' AS TABLE_NAME, count(*) AS TOTAL_ROWS, count(DISTINCT ID) AS DISTINCT_KEYS FROM {e}_raw"
     for e in ("patients", "encounters", "careplans"))
@@ -614,6 +619,13 @@ FROM events_judged WHERE REASON IS NULL"""
 _BODY["make_observation_events"] = show(
     f"""SELECT PATIENT_ID AS patient_id, 'OBSERVATION' AS event_type, '{AS_OF}T00:00:00Z' AS event_timestamp, DESCRIPTION, OBSERVATION_DATE, VALUE_NUMERIC, VALUE_TEXT,
   ENCOUNTER_ID FROM observations_silver""", days=("OBSERVATION_DATE",), doubles=("VALUE_NUMERIC",))
+_payload_as_sent = ", ".join(f"{field(f)} AS {f}" for f in S.PAYLOAD_FIELDS)
+_BODY["event_envelope_json"] = f"""
+SELECT patient_id AS key, event_id, patient_id, event_type, event_timestamp, {_payload_as_sent}
+FROM events_judged WHERE REASON IS NULL"""
+_BODY["published_events"] = f"""
+SELECT patient_id AS key, event_id, patient_id, event_type, event_timestamp, {', '.join(f'{_default_of(f)} AS {f}' for f in S.PAYLOAD_FIELDS)}
+FROM events_judged WHERE REASON IS NULL"""
 _BODY["stream_envelope"] = "SELECT event_id, patient_id, event_type, event_timestamp, payload FROM events_raw"
 _BODY["stream_guard"] = f"""
 SELECT event_id, patient_id, event_type FROM events_raw
@@ -633,6 +645,13 @@ SELECT event_type, {_table_of} AS TABLE_NAME, count(*) AS ROW_COUNT FROM events_
 _hit = "EXISTS (SELECT 1 FROM stored_ids s WHERE s.EVENT_ID = p.event_id AND s.TABLE_NAME = p.TABLE_NAME)"
 _BODY["persisted_events"] = f"SELECT * FROM published p WHERE {_hit}"
 _BODY["pending_events"] = f"SELECT * FROM published p WHERE NOT {_hit}"
+_BODY["confirmed_events"] = show(
+    """SELECT p.event_id, p.event_type, p.EVENT_TS AS PUBLISHED_TS, s.STORED_TS,
+  CASE WHEN s.STORED_TS IS NULL THEN 'TIMED_OUT' ELSE 'CONFIRMED' END AS STATUS
+FROM events_good p LEFT JOIN (
+  SELECT event_id, event_type, EVENT_TS + to_seconds(CAST(length(payload) % 60 AS BIGINT)) AS STORED_TS FROM events_arrived_good) s
+ON s.event_id = p.event_id AND s.event_type = p.event_type AND s.STORED_TS >= p.EVENT_TS
+  AND s.STORED_TS <= p.EVENT_TS + INTERVAL 30 SECOND""", times=("PUBLISHED_TS", "STORED_TS"))
 _BODY["dedup_events"] = "SELECT event_id, patient_id, event_type, event_timestamp FROM events_first"
 _BODY["events_per_window"] = show(
     """SELECT CAST(date_trunc('day', EVENT_TS) AS TIMESTAMP) AS WINDOW_START, event_type, count(*) AS EVENT_COUNT
@@ -643,6 +662,7 @@ _PD = ("BIRTHDATE", "DEATHDATE")
 _BODY["patient_by_id"] = show("SELECT * FROM patients_gold WHERE PATIENT_ID = '17' LIMIT 1", days=_PD)
 _BODY["patients_by_name"] = show(
     "SELECT * FROM patients_gold WHERE contains(upper(FULL_NAME), 'MER 00000000') ORDER BY FULL_NAME, PATIENT_ID LIMIT 50", days=_PD)
+_BODY["patients_by_name_index"] = _BODY["patients_by_name"]
 _BODY["patient_info"] = show(
     "SELECT PATIENT_ID, BIRTHDATE, DEATHDATE, MARITAL, RACE, ETHNICITY, GENDER, FULL_NAME FROM patients_gold", days=_PD)
 _BODY["patient_status"] = """
@@ -715,6 +735,7 @@ SELECT PATIENT_ID, coalesce(OBSERVATION_COUNT, 0) AS OBSERVATION_COUNT, coalesce
   coalesce(DISTINCT_MEDICATION_COUNT, 0) AS DISTINCT_MEDICATION_COUNT, coalesce(TOTAL_ENCOUNTERS, 0) AS TOTAL_ENCOUNTERS
 FROM vital_facts FULL JOIN code_counts USING (PATIENT_ID)"""
 _BODY["patient_features"] = show("SELECT * FROM features_live", doubles=_NF)
+_BODY["incremental_features"] = _BODY["patient_features"]
 _BODY["age_safety"] = show(
     f"""SELECT PATIENT_ID, CASE WHEN a > 200 THEN a / 365.25::DOUBLE ELSE a END AS AGE_AT_INDEX FROM (
   SELECT PATIENT_ID, CASE WHEN CAST(PATIENT_ID AS BIGINT) % 2 = 0 THEN {_age} * 365.25::DOUBLE ELSE {_age} END AS a FROM patients_gold)""",

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, IntegerType, TimestampNTZType, TimestampType
 
 from .. import schemas as S
-from ..operators import cohort, events, features, metrics, models, quality, risk, silver, state
+from ..operators import cohort, events, feature_state, features, metrics, models, name_index, quality, risk, silver, state
 from ..operators import gold as G
+from ..streaming import confirm
 from .proxy import AS_OF, ENTITY_TYPES, TARGET_PATTERNS, Clinic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +79,27 @@ simple("null_profile", lambda c: quality.over_tables(_bronze(c), quality.null_pr
 simple("null_profile_pct", lambda c: quality.over_tables(_bronze(c), quality.null_profile_pct))
 KEYED = ["patients", "encounters", "careplans"]
 simple("key_uniqueness", lambda c: quality.over_tables(_bronze(c, KEYED), lambda df: quality.key_uniqueness(df, "ID")))
+
+
+@query
+def merged_profile(c: Clinic) -> DataFrame:
+    """The profile of nine tables from the states of three loads each, and how near its sketch is."""
+    parts = []
+    for name, df in _bronze(c).items():
+        load = F.pmod(F.xxhash64(df.columns[0]), F.lit(3))
+        states = [quality.profile_state(df.filter(load == i), f"b{i}") for i in range(3)]
+        merged = quality.merged_profile(reduce(DataFrame.unionByName, states))
+        exact = df.agg(*[F.count_distinct(F.col(f"`{x}`")).alias(x) for x in df.columns])
+        exact = exact.unpivot([], [F.col(f"`{x}`") for x in df.columns], "COLUMN_NAME", "EXACT")
+        near = F.abs(F.col("DISTINCT_VALUES") - F.col("EXACT")) <= F.col("EXACT") * 0.05
+        parts.append(
+            merged.join(exact, "COLUMN_NAME").select(
+                F.lit(name).alias("TABLE_NAME"), "COLUMN_NAME", "TOTAL", "MISSING", "EXACT", near.alias("NEAR")
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 simple("duplicate_rows", lambda c: quality.over_tables(_bronze(c), quality.duplicate_rows))
 
 
@@ -141,9 +163,25 @@ simple("event_identity", lambda c: _identified(c).select("event_id", "event_type
 simple("validation_report", lambda c: events.validation_report(c.events))
 
 
+def _opened(sent: DataFrame) -> DataFrame:
+    """The message key and the fields of its JSON text."""
+    def at(path: str, name: str):
+        return F.get_json_object("value", f"$.{path}").alias(name)
+
+    head = [at(n, n) for n in ENVELOPE if n != "payload"]
+    return sent.select("key", *head, *[at(f"payload.{f}", f) for f in S.PAYLOAD_FIELDS])
+
+
 @query
 def event_envelope_json(c: Clinic) -> DataFrame:
-    return events.serialize_envelope(events.accepted(_identified(c)))
+    return _opened(events.serialize_envelope(events.accepted(_identified(c))))
+
+
+@query
+def published_events(c: Clinic) -> DataFrame:
+    """What publishing sends: the payload as given, with the defaults of its type."""
+    good = events.merge_defaults(events.accepted(_identified(c)))
+    return _opened(events.serialize_envelope(good))
 
 
 @query
@@ -185,13 +223,9 @@ for _table in S.REALTIME_SCHEMAS:
 
 @query
 def direct_append_events(c: Clinic) -> DataFrame:
-    """All rows a direct append would add, in their common columns."""
+    """All rows a direct append would add, typed in one pass, in their common columns."""
     common = ["EVENT_ID", "PATIENT_ID", "ENCOUNTER_ID", "DESCRIPTION", "EVENT_TS", "INGESTION_TS"]
-    parts = [df.select(F.lit(t).alias("TABLE_NAME"), *common) for t, df in c.rt.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return events.parse_typed(events.ingest(c.events, c.now), c.now).select("TABLE_NAME", *common)
 
 
 simple("route_counts", lambda c: events.route_counts(events.ingest(c.events, c.now)))
@@ -204,12 +238,26 @@ def _stored(c: Clinic, pending: bool) -> DataFrame:
 
 simple("persisted_events", lambda c: _stored(c, False))
 simple("pending_events", lambda c: _stored(c, True))
+
+
+@query
+def confirmed_events(c: Clinic) -> DataFrame:
+    """Published events against arrivals up to a minute later, with the deadline of half a minute."""
+    sent = events.ingest(c.events, c.now).select("event_id", "event_type", F.col("EVENT_TS").alias("PUBLISHED_TS"))
+    late = F.length("payload") % 60
+    stored = events.ingest(c.view("events_arrived"), c.now).select(
+        "event_id", "event_type", F.timestamp_add("SECOND", late, "EVENT_TS").alias("STORED_TS")
+    )
+    return confirm.confirmations(sent, stored)
+
+
 simple("dedup_events", lambda c: events.dedup_events(_identified(c)).select("event_id", "patient_id", "event_type", "event_timestamp"))
 simple("events_per_window", lambda c: events.events_per_window(events.ingest(c.events, c.now)))
 
 # --- patient state -----------------------------------------------------------------------
 simple("patient_by_id", lambda c: state.patient_by_id(c.patients, "17"))
 simple("patients_by_name", lambda c: state.patients_by_name(c.patients, "mer 00000000"))
+simple("patients_by_name_index", lambda c: name_index.search(c.patients, name_index.postings(c.patients), "mer 00000000"))
 simple("patient_info", lambda c: state.patient_info(c.patients))
 simple("patient_status", lambda c: state.patient_status(c.patients))
 simple("encounters_state", lambda c: state.encounters_state(c.gold, c.rt))
@@ -250,6 +298,16 @@ simple("activity_counts", lambda c: features.activity_counts(c.gold, c.rt))
 simple("patient_features", lambda c: c.features)
 
 
+@query
+def incremental_features(c: Clinic) -> DataFrame:
+    """The history first, then the realtime facts as one batch, merged into its state."""
+    no_rt = {t: df.limit(0) for t, df in c.rt.items()}
+    no_gold = {e: c.gold[e].limit(0) for e in ("observations", "encounters", "conditions", "medications")}
+    sums, codes, _ = feature_state.merge(None, feature_state.batch_sums(c.gold, no_rt), feature_state.batch_codes(c.gold, no_rt))
+    sums, _, _ = feature_state.merge((sums, codes), feature_state.batch_sums(no_gold, c.rt), feature_state.batch_codes(no_gold, c.rt))
+    return feature_state.feature_rows(c.patients, sums, AS_OF)
+
+
 @query
 def age_safety(c: Clinic) -> DataFrame:
     """Every second patient's age is given in days."""
