@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vitalflow.llm import ann, components, langid, line_quality, page_diff, queries, simhash, toxicity
+from vitalflow.llm import ann, components, langid, line_quality, near_dup, page_diff, queries, simhash, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, score string, root string, `row` string, fp string"
 
@@ -242,8 +242,6 @@ def test_one_document_of_each_group_stays(odd):
 
 def test_near_duplicates_by_exact_likeness(spark, odd, monkeypatch):
     """The pipeline's stage against brute force: copies with changed words, at and around 0.8."""
-    from vitalflow.llm import near_dup
-
     pipeline = pytest.importorskip("corpus_pipeline")
     monkeypatch.setattr(near_dup, "CHUNK", 8)
     rng = random.Random(12)
@@ -412,6 +410,38 @@ def test_copies_fill_many_chunks(spark, monkeypatch):
 
 
 # --- pipeline -----------------------------------------------------------------------
+@pytest.mark.parametrize("chunk", [8, 1024])
+def test_a_large_group_of_near_copies_gives_fewer_links_than_members(spark, monkeypatch, chunk):
+    """Copies at about the limit, which the first round leaves in many components."""
+    monkeypatch.setattr(near_dup, "CHUNK", chunk)
+    rng, n = random.Random(9), 120
+    words = [f"w{i}" for i in range(100)]
+    texts = []
+    for _ in range(n):
+        other = list(words)
+        for at in rng.sample(range(100), 2):
+            other[at] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(other))
+    described = near_dup.with_bands(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    nodes = described.select("node", "marks", F.explode("bands").alias("value"))
+    sets = near_dup._sets(spark.createDataFrame(list(enumerate(texts)), "node long, text string"))
+    numbered = {r["node"]: i for i, r in enumerate(described.orderBy("doc_id").collect())}
+    members = spark.createDataFrame([(numbered[r["node"]], bytes(r["marks"]), r["value"]) for r in nodes.collect()], "node long, marks binary, value long")
+    none = spark.createDataFrame([], "node long, root long")
+    per_bucket = Counter(r["value"] for r in members.select("value").collect())
+    links = [tuple(r) for r in near_dup.links_across(members, none, sets).collect()]
+    chunks = -(-n // chunk)
+    assert len(links) <= sum(m - 1 for m in per_bucket.values() if m > 1) * chunks
+    hashes = [set(near_dup.hashed(t).tolist()) for t in texts]
+
+    def near(a, b):
+        return len(hashes[a] & hashes[b]) >= 0.8 * len(hashes[a] | hashes[b])
+
+    assert all(near(a, b) for a, b in links)
+    linked = set(links) | {(b, a) for a, b in links}
+    assert brute_components(range(n), near) == brute_components(range(n), lambda a, b: (a, b) in linked)
+
+
 def test_pipeline_against_the_operators_one_by_one(spark, sf_dir):
     pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -424,13 +454,13 @@ def test_pipeline_against_the_operators_one_by_one(spark, sf_dir):
         ids = {r[0] for r in docs.select("doc_id").collect()}
         assert ids <= {r[0] for r in before.select("doc_id").collect()}
         if "SimHash" in name:
-            texts = [(r["doc_id"], simhash.fingerprint(r["text"])) for r in before.select("doc_id", "text").collect()]
+            sets = [(r["doc_id"], set(near_dup.hashed(r["text"]).tolist())) for r in before.select("doc_id", "text").collect()]
             groups = brute_components(
-                [*dict((f, d) for d, f in texts)], lambda a, b: (a ^ b).bit_count() <= 2
+                range(len(sets)), lambda a, b: len(sets[a][1] & sets[b][1]) >= 0.8 * len(sets[a][1] | sets[b][1])
             )
             least = {}
-            for d, f in texts:
-                least[groups[f]] = min(least.get(groups[f], d), d)
+            for i, (d, _) in enumerate(sets):
+                least[groups[i]] = min(least.get(groups[i], d), d)
             assert ids == set(least.values())
     assert kept[1] < kept[0] and kept[3] < kept[2]
     pieces = pipeline.STAGES[-1][1](spark, docs, sf_dir)
