@@ -466,3 +466,103 @@ def test_pipeline_against_the_operators_one_by_one(spark, sf_dir):
     pieces = pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert pieces.agg(F.sum("length")).first()[0] == pieces.select("doc_id", "doc_tokens", "start").filter("start = 0").agg(F.sum("doc_tokens")).first()[0]
     assert pipeline.run(spark, sf_dir).agg(F.sum("length")).first()[0] == pieces.agg(F.sum("length")).first()[0]
+
+
+# --- learned parts against plain versions --------------------------------------------------
+def test_field_is_fitted_to_the_likelihood_of_all_label_sequences():
+    """At the fitted weights, the slope of the log-likelihood by enumeration is that of the penalty."""
+    rng = np.random.default_rng(2)
+    docs = [rng.random((n, line_quality.FEATURES)) for n in (1, 2, 3, 4, 4)]
+    labels = [(d[:, 0] + rng.random(len(d)) * 0.5 > 0.8).astype(int) for d in docs]
+    field = line_quality.fit(docs, labels, epochs=3000, rate=0.05, decay=0.05)
+
+    def likelihood(w, steps, start):
+        total = 0.0
+        for x, y in zip(docs, labels):
+            def score(seq):
+                emit = sum(x[t] @ w[:, k] for t, k in enumerate(seq))
+                return emit + start[seq[0]] + sum(steps[a, b] for a, b in zip(seq, seq[1:]))
+
+            every = [score(seq) for seq in itertools.product((0, 1), repeat=len(x))]
+            total += score(tuple(y)) - np.logaddexp.reduce(every)
+        return total / sum(map(len, docs))
+
+    params = [field.weights, field.steps, field.start]
+    for k, p in enumerate(params):
+        for at in list(np.ndindex(p.shape))[:8]:
+            sides = []
+            for step in (1e-5, -1e-5):
+                moved = [q.copy() for q in params]
+                moved[k][at] += step
+                sides.append(likelihood(*moved))
+            slope = (sides[0] - sides[1]) / 2e-5
+            assert abs(slope - 0.05 * p[at]) < 2e-3
+
+
+def test_decoding_finds_the_best_of_all_label_sequences():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        field = line_quality.Field(np.zeros((1, 2)), rng.normal(size=(2, 2)), rng.normal(size=2))
+        scores = rng.normal(size=(rng.integers(1, 8), 2))
+
+        def value(seq):
+            steps = sum(field.steps[a, b] for a, b in zip(seq, seq[1:]))
+            return sum(scores[t, k] for t, k in enumerate(seq)) + field.start[seq[0]] + steps
+
+        best = max(itertools.product((0, 1), repeat=len(scores)), key=value)
+        assert tuple(field.decode(scores)) == best
+
+
+def test_whole_texts_teach_in_overlapping_chunks():
+    lines = np.arange(300 * line_quality.FEATURES, dtype=np.float32).reshape(300, -1)
+    parts = line_quality.chunks(lines)
+    assert all((a[-1] == b[0]).all() for a, b in zip(parts, parts[1:]))
+    assert (np.concatenate([parts[0], *(p[1:] for p in parts[1:])]) == lines).all()
+    assert line_quality.chunks(lines[:0]) == [] and len(line_quality.chunks(lines[:1])) == 1
+
+
+def test_language_distance_against_sums_over_ranks():
+    texts = {"a": "the cat and the dog and the bird", "b": "le chat et le chien et le merle", "c": "der hund und die katze"}
+    grams = {}
+    for name, text in texts.items():
+        codes, counts = (x.tolist() for x in langid.gram_counts(text))
+        grams[name] = [c for c, _ in sorted(zip(codes, counts), key=lambda p: (-p[1], p[0]))]
+    size, document = 25, 12
+    profiles = langid.Profiles({n: g[:size] for n, g in grams.items()}, size, document)
+    for text in [*texts.values(), "the dog", "katze und le dog", "zzz qqq"]:
+        codes, counts = (x.tolist() for x in langid.gram_counts(text))
+        own = [c for c, _ in sorted(zip(codes, counts), key=lambda p: (-p[1], p[0]))][:document]
+        far = {}
+        for name in sorted(texts):
+            ranks = {c: i for i, c in enumerate(grams[name][:size])}
+            far[name] = sum(min(size, abs(ranks[c] - i)) if c in ranks else size for i, c in enumerate(own))
+        best = min(sorted(far), key=far.get)
+        name, score = profiles.predict(text)
+        assert name == best and score == pytest.approx(1 - far[best] / (size * len(own)))
+
+
+def test_toxic_scorer_against_a_plain_risk():
+    """The fitted scorer has a lower non-negative risk than any one-weight change of it by half."""
+    rng = random.Random(4)
+    clean, bad = [f"plain{i}" for i in range(40)], [f"vile{i}" for i in range(6)]
+    toxic = [" ".join(rng.sample(clean, 5) + rng.sample(bad, 2)) for _ in range(60)]
+    unlabelled = [" ".join(rng.sample(clean, 6)) for _ in range(200)] + toxic[:20]
+    features = [[toxicity.text_features(t) for t in part] for part in (toxic, unlabelled)]
+    prior = 20 / 220
+    chosen, weights, bias = toxicity.fit(*features, prior, decay=0.0)
+    assert len(chosen)
+    place = {int(f): i for i, f in enumerate(chosen)}
+
+    def risk(w, b):
+        z = [[sum(w[place[f]] for f in doc.tolist() if f in place) + b for doc in part] for part in features]
+        as_toxic = np.logaddexp(0, -np.array(z[0])).mean()
+        negative = np.logaddexp(0, np.array(z[1])).mean() - prior * np.logaddexp(0, np.array(z[0])).mean()
+        return prior * as_toxic + max(0.0, negative)
+
+    fitted = risk(weights, bias)
+    assert fitted < risk(np.zeros_like(weights), np.log(prior / (1 - prior)))
+    scorer = toxicity.Scorers([(chosen, weights, bias)]).scorer()
+    for text, doc in zip(toxic[:5] + unlabelled[:5], features[0][:5] + features[1][:5]):
+        z = sum(weights[place[f]] for f in doc.tolist() if f in place) + bias
+        assert scorer(text) == pytest.approx(1 / (1 + np.exp(-z)))
+    assert min(map(scorer, toxic)) > max(map(scorer, unlabelled[:200]))

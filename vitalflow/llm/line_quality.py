@@ -7,9 +7,9 @@ its words.
 
 There are no labels of lines, so the field is trained from the quality labels of documents:
 lines start with the label of their document, the field is fitted by maximum likelihood, lines
-of poor documents that it then decodes as content are relabelled, and it is fitted again. The
-sample is bounded: at most SAMPLE labelled documents, of each the first TRAIN_LINES lines (a
-bound on training only; decoding takes whole texts).
+of poor documents that it then decodes as content are relabelled, unless that would leave a
+document without any boilerplate, and it is fitted again. The sample is bounded: at most SAMPLE
+labelled documents. Their whole texts teach, in overlapping sequences of TRAIN_LINES lines.
 
 Base measures follow the words `[^\\x20\\x09-\\x0D]+` of the whole text. Nulls: a null or empty
 text has no words and fails a base rule; documents whose doc_id is null are judged like others
@@ -21,6 +21,7 @@ Other columns are carried in a struct.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Sequence
 
 import numpy as np
@@ -189,36 +190,49 @@ def fit(docs: list[np.ndarray], labels: list[np.ndarray], epochs: int = 60, rate
     return Field(*params)
 
 
+def chunks(lines: np.ndarray) -> list[np.ndarray]:
+    """A text's lines in sequences of at most TRAIN_LINES, each beginning with the last line of the one before."""
+    step = TRAIN_LINES - 1
+    return [lines[at : at + TRAIN_LINES] for at in range(0, max(len(lines) - 1, min(len(lines), 1)), step)]
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field | None:
     """The field from documents and their quality labels (1 good, 0 poor); None without both."""
     known = labels.filter("doc_id is not null and quality is not null")
     chosen = bounded_sample(known.groupBy("doc_id").agg(F.min("quality").alias("quality")), F.col("doc_id"), sample)
-    # at most `sample` rows of two numbers
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(sample).select("quality", "text")
+    # at most `sample` rows of two numbers; ties by text, so that runs agree
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = texts.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample).select("quality", "text")
 
     def run(batches):
         for batch in batches:
-            found = [np.array(describe(t.as_py())[1][:TRAIN_LINES], np.float32) for t in batch.column(1)]
+            quality, texts, lines = [], [], []
+            for q, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = zlib.crc32((t.as_py() or "").encode("utf-8", "surrogatepass"))
+                for part in chunks(np.array(describe(t.as_py())[1], np.float32).reshape(-1, FEATURES)):
+                    quality.append(q)
+                    texts.append(text)
+                    lines.append(part.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int32()), pa.array([f.tobytes() for f in found], pa.binary())],
-                ["quality", "lines"],
+                [pa.array(quality, pa.int32()), pa.array(texts, pa.int64()), pa.array(lines, pa.binary())],
+                ["quality", "text", "lines"],
             )
 
-    rows = texts.mapInArrow(run, "quality int, lines binary").collect()
+    rows = texts.mapInArrow(run, "quality int, text long, lines binary").collect()
     # an order of their own, so that runs agree
-    rows = sorted((r["quality"] <= 0, bytes(r["lines"])) for r in rows if r["lines"])
-    poor = [p for p, _ in rows]
+    rows = sorted((r["quality"] <= 0, r["text"], bytes(r["lines"])) for r in rows)
+    poor = [p for p, _, _ in rows]
     if not any(poor) or all(poor):
         return None
-    vectors = [np.frombuffer(d, np.float32).reshape(-1, FEATURES).astype(float) for _, d in rows]
+    vectors = [np.frombuffer(d, np.float32).reshape(-1, FEATURES).astype(float) for _, _, d in rows]
     marks = [np.full(len(v), int(p)) for p, v in zip(poor, vectors)]
     for turn in range(ROUNDS):
         field = fit(vectors, marks)
         if turn + 1 < ROUNDS:
-            for i, v in enumerate(vectors):
-                if poor[i]:
-                    decoded = np.array(field.decode(v @ field.weights))
-                    marks[i] = decoded if decoded.any() else np.ones(len(v), np.int64)
+            decoded = {i: np.array(field.decode(vectors[i] @ field.weights)) for i, p in enumerate(poor) if p}
+            some = {rows[i][1] for i, d in decoded.items() if d.any()}
+            for i, d in decoded.items():
+                marks[i] = d if rows[i][1] in some else np.ones(len(d), np.int64)
     return field
 
 
