@@ -566,3 +566,44 @@ def test_toxic_scorer_against_a_plain_risk():
         z = sum(weights[place[f]] for f in doc.tolist() if f in place) + bias
         assert scorer(text) == pytest.approx(1 / (1 + np.exp(-z)))
     assert min(map(scorer, toxic)) > max(map(scorer, unlabelled[:200]))
+
+
+# --- page furniture ------------------------------------------------------------------------
+def lines_of(html):
+    return [t for t, _ in page_diff.blocks(html)]
+
+
+@pytest.mark.parametrize("name", ["comment-list", "commentlist", "comment-body", "user-comments", "site-footer", "top-menu", "comments"])
+def test_reader_comments_and_menus_inside_an_article_go(name):
+    assert lines_of(f"<article><p>Text<div class='{name}'><p>no</p></div><p>End</article>") == ["Text", "End"]
+    assert lines_of(f"<article><p>Text<ul id='{name}'><li>no</ul></article>") == ["Text"]
+
+
+def test_a_comment_thread_by_its_id_goes():
+    assert lines_of("<article><p>Text<div id='disqus_thread'>no</div></article>") == ["Text"]
+
+
+@pytest.mark.parametrize("part", ["<p class='navy'>x</p>", "<section class='search'>x</section>", "<p id='related'>x</p>", "<header><h1>x</h1></header>"])
+def test_parts_of_an_article_stay(part):
+    assert lines_of(f"<article>{part}<p>Text</article>") == ["x", "Text"]
+
+
+@pytest.mark.parametrize("tag", ["nav", "header", "form"])
+def test_an_unclosed_tag_before_the_article_does_not_hide_it(tag):
+    assert lines_of(f"<{tag}><a href='/'>Home</a><article><h1>T</h1><p>Text</p></article>") == ["T", "Text"]
+    assert lines_of("<aside><article><p>teaser</p></article></aside><p>Text") == ["Text"]
+
+
+def test_differencing_removes_template_lines_that_no_class_names(spark):
+    def template(i, body):
+        return f"<div class='x1'>Site</div><div>Lead of all</div>{body}<div>Terms apply</div><div class='q'>Call us</div>"
+
+    rows = [(i, f"http://h/a/{i:02d}", template(i, f"<p>Own {i}</p><p>A passage that all share</p><p>End {i}</p>")) for i in range(12)]
+    rows += [(50, "http://h/b", "<article><p>Own</p><p>A passage that all share</p></article><div>Terms apply</div>")]
+    rows += [(51, "http://deep/1", "<div>" * 3000 + "deep"), (52, "http://deep/2", "<p>long " * 20000), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("texts", F.lit("clash"))
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in page_diff.extract(pages).collect()}
+    for i in range(12):
+        assert got[i][0] == f"Own {i}\nEnd {i}" and got[i][1] == len(got[i][0])
+    assert got[50][0] == "Own\nA passage that all share", "what stands in the article stays"
+    assert got[51] == ("deep", 4) and got[52][1] == 20000 * 5 - 1 and got[None] == ("", 0)

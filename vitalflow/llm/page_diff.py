@@ -4,14 +4,18 @@ A page is cut into blocks of text. Inside an element that marks the main content
 main) everything but marked furniture is content; furniture (menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts and styles) is told by its element, its role or a
 whole token of its class or id, and is dropped; tokens tell nothing of the main element and of
-elements that contain one. Other blocks are template or content, and that is decided
+elements that contain one, and inside it fewer of them count. A header inside it holds the headline
+and stays; a menu, header or form whose end is missing ends where it begins. Other blocks are template or content, and that is decided
 by differencing: pages of a host stand in the order of their URL path, each is compared with the
 neighbour whose path shares the longer beginning (ties: the one before), their blocks are
 aligned by longest common subsequence, and blocks found in both are deleted. Blocks inside the
 main element are aligned too but never deleted: an article may quote what another one says.
 
 Pages of a host with equal blocks are one, whatever their paths: the one first in order stands for
-all, is compared with the nearest different page, and every copy gets its text.
+all, is compared with the nearest different page, and every copy loses the same blocks.
+
+Blocks are compared by 64-bit hashes, and only these are moved and stored; the comparison gives the
+positions that go, and the text is cut from the page as it is parsed for the result.
 
 Order over pages is global, so no host is gathered: first the keys alone are sorted by range and
 the first and last key of each range noted (as many rows as tasks reach the driver); then pages
@@ -20,8 +24,8 @@ range and holds three pages.
 
 Nulls: null html is an empty page with empty text; a null url is a host of its own, ordered by
 page_id; a null page_id sorts first. Rows that
-repeat a url are neighbours like others if their blocks differ. A page alone on its host keeps its unmarked blocks. Empty tables give no rows. Other columns are
-not read.
+repeat a url are neighbours like others if their blocks differ. A page alone on its host keeps its
+unmarked blocks. Empty tables give no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,17 +45,33 @@ from .common import RowWriter, materialise
 RESULT = "page_id long, url string, text string, n_chars long"
 #: Elements as fixed values of the language.
 MAIN = frozenset("article main".split())
+#: Furniture that an unclosed tag may stretch over the main element, which then ends it.
+OPENED = frozenset("nav header form menu button select option".split())
 FURNITURE = frozenset("nav header footer aside form script style noscript template iframe svg button select option textarea dialog menu head title object canvas".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img br".split())
 CLOSES_PARAGRAPH = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
-_WORD = (
-    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|side-?bar|footer|header|masthead|"
-    r"cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|login|search|share|social|comments?|replies|"
-    r"related|recommend\w*|widget|pagination|pager|toolbar|disclaimer)"
+#: Class and id words of furniture, as fixed values. The first kind counts everywhere, the second
+#: only outside the main element, where an article has no sections of such names.
+_STRONG = (
+    r"(?:ads?|adverts?|advertis\w+|sponsor(?:ed|s)?|banner|nav|nav-?bar|navigation|menu|breadcrumbs?|side-?bar|footer|"
+    r"masthead|cookies?|consent|popup|modal|newsletter|subscribe|signup|comments?|replies|pagination|pager|toolbar|disclaimer)"
 )
-#: A whole token of such words alone: cookie-notice, but not has-sidebar.
-_MARKS = re.compile(rf"(?<!\S){_WORD}(?:[_-]+{_WORD})*(?!\S)", re.IGNORECASE).search
+_WEAK = r"(?:promo\w*|header|notice|login|search|share|social|related|recommend\w*|widget)"
+_COMMENTS = r"(?:comments?[_-]?(?:list|body|area|section|form|thread|content|wrap\w*|respond|reply)|disqus\w*|respond)"
+_EITHER = rf"(?:{_STRONG}|{_WEAK})"
+#: A token of such words alone, as cookie-notice, or one that ends in one, as site-footer; but not a
+#: state, as has-sidebar.
+_STATE = r"(?:has|no|with|without|is|not|hide|show|open|close|closed|full)"
+_ENDS = rf"(?!{_STATE}[_-])[a-z0-9]+(?:[_-][a-z0-9]+)*[_-](?:menu|nav|nav-?bar|navigation|footer|comments|side-?bar|breadcrumbs?|banner|ads?)"
+
+
+def _tokens(pattern: str):
+    return re.compile(rf"(?<!\S)(?:{pattern})(?!\S)", re.IGNORECASE).search
+
+
+_MARKS_INSIDE = _tokens(rf"{_STRONG}(?:[_-]+{_EITHER})*|{_COMMENTS}|{_ENDS}")
+_MARKS = _tokens(rf"{_EITHER}(?:[_-]+{_EITHER})*|{_COMMENTS}|{_ENDS}")
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 _SPACE = re.compile(r"\s+")
 
@@ -62,7 +82,7 @@ class _Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.found: list[tuple[list[tuple[str, tuple[int, ...]]], bool]] = []
-        self.open: list[tuple[str, bool, bool, int]] = []  # name, furniture, main, number of its mark
+        self.open: list[tuple[str, int, bool, int]] = []  # name, furniture, main, number of its mark
         self.hidden = self.main = self.last = 0
         self.parts: list[tuple[str, tuple[int, ...]]] = []  # text, marks around it
         self.marks: tuple[int, ...] = ()
@@ -96,17 +116,23 @@ class _Blocks(HTMLParser):
             for name in kin:
                 self._close_to(name, stop=("ul", "ol", "dl", "table", "menu"))
         furniture, marked, main = tag in FURNITURE, False, tag in MAIN
+        if tag == "header" and self.main:
+            furniture = False  # the headline of an article stands there
+        marks = _MARKS_INSIDE if self.main else _MARKS
         if not furniture and tag not in ("html", "body") and attrs:
             for name, value in attrs:
                 if value and name == "role" and value.lower() in _ROLES:
                     furniture = True
-                elif value and not main and name in ("class", "id") and _MARKS(value):
+                elif value and not main and name in ("class", "id") and marks(value):
                     marked = True
                 elif name == "hidden" or name == "aria-hidden" and value == "true":
                     furniture = True
         if main:
             self.wrong.update(self.marks)
-        # a header of an article is furniture, its headline elements inside are not told apart
+            for at, (name, hides, is_main, mark) in enumerate(self.open):
+                if hides and name in OPENED:
+                    self.hidden -= 1
+                    self.open[at] = name, False, is_main, mark
         self.last += marked
         self.open.append((tag, furniture, main, self.last if marked else 0))
         if marked:
@@ -204,12 +230,12 @@ def shared(a: list[str], b: list[str]) -> set[int]:
     return out
 
 
-def difference(page, other) -> str:
-    """The text of a page's blocks (a list of text, protected) that its neighbour lacks."""
-    if other is not None and any(not kept for _, kept in page):
-        gone = shared([t for t, _ in page], [t for t, _ in other])
-        page = [b for i, b in enumerate(page) if b[1] or i not in gone]
-    return "\n".join(t for t, _ in page)
+def deleted(page, other) -> list[int]:
+    """Positions of a page's blocks (line, protected) that its neighbour shares and that may go."""
+    if other is None or all(kept for _, kept in page):
+        return []
+    gone = shared([line for line, _ in page], [line for line, _ in other])
+    return sorted(i for i in gone if not page[i][1])
 
 
 def host_and_path(url: str | None) -> tuple[str, str]:
@@ -240,11 +266,19 @@ def _digest(found: list[tuple[str, bool]]) -> str:
     return out.hexdigest()
 
 
+def _line(text: str) -> int:
+    """A signed 64-bit hash that stands for a line; equal lines of two pages are told by it."""
+    from xxhash import xxh64_intdigest
+
+    value = xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+    return value - (1 << 64) if value >> 63 else value
+
+
 def _parsed(pages: DataFrame, whole: bool) -> DataFrame:
-    """host and digest of every page; with its path and blocks if whole, else with its url."""
+    """host and digest of every page; with its path and lines if whole, else with its url and blocks."""
     fields = [("host", pa.string()), ("digest", pa.string()), ("page_id", pa.int64())]
-    more = [("path", pa.string()), ("texts", pa.list_(pa.string())), ("kept", pa.list_(pa.bool_()))]
-    schema = pa.schema(fields + (more if whole else [("url", pa.string())]))
+    lines = [("path", pa.string()), ("lines", pa.list_(pa.int64())), ("kept", pa.list_(pa.bool_()))]
+    schema = pa.schema(fields + (lines if whole else [("url", pa.string()), ("texts", pa.list_(pa.string()))]))
 
     def run(batches):
         for batch in batches:
@@ -252,12 +286,13 @@ def _parsed(pages: DataFrame, whole: bool) -> DataFrame:
             for page_id, url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 host, path = host_and_path(url)
                 found = blocks(html.as_py())
-                row = (path, [t for t, _ in found], [k for _, k in found]) if whole else (url,)
+                texts = [t for t, _ in found]
+                row = (path, list(map(_line, texts)), [k for _, k in found]) if whole else (url, texts)
                 out.add(host, _digest(found), page_id, *row)
             yield out.take()
 
     names = "host string, digest string, page_id long, "
-    return pages.mapInArrow(run, names + ("path string, texts array<string>, kept array<boolean>" if whole else "url string"))
+    return pages.mapInArrow(run, names + ("path string, lines array<long>, kept array<boolean>" if whole else "url string, texts array<string>"))
 
 
 def _cuts(pages: DataFrame) -> list[tuple[tuple, tuple]]:
@@ -288,11 +323,11 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for every page."""
     pages = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].alias("url"), pages["html"].alias("html"))
     spark = pages.sparkSession
-    # one page of each host and digest, with its blocks
-    first = F.min(F.struct("path", F.col("page_id").isNotNull().alias("named"), "page_id", "texts", "kept"))
+    # one page of each host and digest, with its lines as hashes; no text is moved
+    first = F.min(F.struct("path", F.col("page_id").isNotNull().alias("named"), "page_id", "lines", "kept"))
     different = _parsed(pages, True).groupBy("host", "digest").agg(first.alias("first"))
     different = materialise(
-        different.select("host", "first.path", "first.page_id", "digest", "first.texts", "first.kept"), "pages"
+        different.select("host", "first.path", "first.page_id", "digest", "first.lines", "first.kept"), "pages"
     )
     cuts = _cuts(different)
     starts = [after for _, after in cuts]
@@ -301,11 +336,11 @@ def extract(pages: DataFrame) -> DataFrame:
     schema = pa.schema(
         [
             ("piece", pa.int32()), ("own", pa.bool_()), ("host", pa.string()), ("path", pa.string()),
-            ("page_id", pa.int64()), ("digest", pa.string()), ("texts", pa.list_(pa.string())), ("kept", pa.list_(pa.bool_())),
+            ("page_id", pa.int64()), ("digest", pa.string()), ("lines", pa.list_(pa.int64())), ("kept", pa.list_(pa.bool_())),
         ]
     )
     fields = (
-        "piece int, own boolean, host string, path string, page_id long, digest string, texts array<string>, kept array<boolean>"
+        "piece int, own boolean, host string, path string, page_id long, digest string, lines array<long>, kept array<boolean>"
     )
 
     def cut(batches):
@@ -323,15 +358,15 @@ def extract(pages: DataFrame) -> DataFrame:
                     out.add(piece - 1, False, *row)
             yield out.take()
 
-    result = pa.schema([("host", pa.string()), ("digest", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
+    result = pa.schema([("host", pa.string()), ("digest", pa.string()), ("gone", pa.list_(pa.int32()))])
 
     def compare(batches):
         out = RowWriter(result)
 
         def rows():
             for batch in batches:
-                for *values, texts, kept in zip(*(c.to_pylist() for c in batch.columns)):
-                    yield values, list(zip(texts, kept))
+                for *values, lines, kept in zip(*(c.to_pylist() for c in batch.columns)):
+                    yield values, list(zip(lines, kept))
 
         def near(row, other):
             """How far the paths agree; None if it is no neighbour."""
@@ -348,8 +383,9 @@ def extract(pages: DataFrame) -> DataFrame:
                 other = before[1]
             elif forth is not None:
                 other = after[1]
-            text = difference(row[1], other)
-            out.add(row[0][2], row[0][5], text, len(text))
+            gone = deleted(row[1], other)
+            if gone:
+                out.add(row[0][2], row[0][5], gone)
 
         before = now = None
         for row in rows():
@@ -365,5 +401,10 @@ def extract(pages: DataFrame) -> DataFrame:
     parallel = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = different.mapInArrow(cut, fields).repartition(parallel, "piece")
     ordered = dealt.sortWithinPartitions("piece", "host", "path", F.col("page_id").asc_nulls_first(), "digest", "own")
-    texts = ordered.mapInArrow(compare, "host string, digest string, text string, n_chars long")
-    return _parsed(pages, False).join(texts, ["host", "digest"]).select("page_id", "url", "text", "n_chars")
+    # written first, so that its size is known when the blocks are joined with it: Spark broadcasts
+    # it below its own limit and else moves the blocks of the pages once
+    gone = materialise(ordered.mapInArrow(compare, "host string, digest string, gone array<int>"), "deleted")
+    found = _parsed(pages, False).join(gone, ["host", "digest"], "left")
+    left = F.filter("texts", lambda t, i: ~F.array_contains("gone", i))
+    text = F.array_join(F.when(F.col("gone").isNull(), F.col("texts")).otherwise(left), "\n")
+    return found.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
