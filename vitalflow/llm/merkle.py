@@ -283,3 +283,58 @@ def tampered_documents(docs: DataFrame) -> Column:
     changed = [F.col(c) for c in DOCUMENT_COLUMNS[:-1]] + [F.translate("text", capitals, capitals.lower())]
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     return F.when(chosen, leaf_digest(changed))
+
+
+def _oracle(group_levels: int = 5, root_levels: int = 3) -> str:
+    """The same by whole lists, for up to 16 ** 5 documents a source and 16 ** 3 sources."""
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+    def leaf(text: str) -> str:
+        values = [*DOCUMENT_COLUMNS[:-1], text]
+        parts = [f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen(CAST({v} AS VARCHAR)) || ':' || {v} END" for v in values]
+        return f"sha256({' || '.join(parts)})"
+
+    halved = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    steps = [
+        f"""crc AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: {halved}) ORDER BY i) AS t FROM range(256) r(i))""",
+        f"""doc AS (SELECT doc_id, coalesce('s' || source, '') AS grp, {leaf('text')} AS leaf,
+  {leaf(f"translate(text, '{capitals}', '{capitals.lower()}')")} AS changed,
+  xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT))),
+    lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) AS crc FROM documents, crc)""",
+        """d0 AS (SELECT doc_id, grp, leaf, CASE WHEN crc % 5 = 0 THEN changed ELSE leaf END AS cur, '' AS proof,
+  row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM doc)""",
+        "n0 AS (SELECT grp, pos, leaf AS h FROM d0)",
+    ]
+
+    def climb(d: str, n: str, k: int) -> None:
+        steps.append(
+            f"r{k} AS (SELECT grp, pos // {ARITY} AS run, list(h ORDER BY pos) AS hs, sum(count(*)) OVER (PARTITION BY grp) AS n "
+            f"FROM {n} GROUP BY grp, pos // {ARITY})"
+        )
+        steps.append(f"n{k + 1} AS (SELECT grp, run AS pos, CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h FROM r{k})")
+        slot, before = f"d.pos % {ARITY}", "array_to_string(hs[1:slot], '')"
+        steps.append(
+            f"d{k + 1} AS (SELECT * EXCLUDE (pos, cur, proof, run, hs, n, slot), pos // {ARITY} AS pos, "
+            f"CASE WHEN n > 1 THEN proof || {before} || array_to_string(hs[slot + 2:], '') ELSE proof END AS proof, "
+            f"CASE WHEN n > 1 THEN sha256({before} || cur || array_to_string(hs[slot + 2:], '')) ELSE cur END AS cur "
+            f"FROM (SELECT d.*, r.run, r.hs, r.n, {slot} AS slot FROM {d} d JOIN r{k} r ON r.grp = d.grp AND r.run = d.pos // {ARITY}))"
+        )
+
+    for k in range(group_levels):
+        climb(f"d{k}", f"n{k}", k)
+    top = group_levels
+    steps.append(f"named AS (SELECT grp AS name, h AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos FROM n{top})")
+    steps.append(f"n{top + 1} AS (SELECT '' AS grp, pos, subroot AS h FROM named)")
+    steps.append(
+        f"d{top + 1} AS (SELECT d.* EXCLUDE (grp, pos), '' AS grp, s.pos, s.subroot FROM d{top} d JOIN named s ON s.name = d.grp)"
+    )
+    for k in range(top + 1, top + 1 + root_levels):
+        climb(f"d{k}", f"n{k}", k)
+    last = top + 1 + root_levels
+    return (
+        f"WITH {', '.join(steps)} SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, "
+        f"cur = h AS verified FROM d{last}, n{last}"
+    )
+
+
+ORACLE = _oracle()

@@ -131,7 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_periodic_runs": op13_periodic_runs,
 }
 
-ORACLE: dict[str, str] = {"op1_warc": warc.ORACLE, "op6_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op1_warc": warc.ORACLE, "op6_mixing": mixing.ORACLE, "op11_merkle": merkle.ORACLE}
 
 
 def prepare(spark: SparkSession) -> None:
