@@ -247,3 +247,20 @@ def test_added_tokens_in_a_text(name):
     for text in [x for t in added for x in (t, f"a {t} b", f"日本 {t}{t} c", t.upper(), t[:-1])]:
         got = np.frombuffer(own.encode(text), "<u4").tolist()
         assert got == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_a_payload_length_is_counted_and_compared():
+    import gzip
+    import io
+
+    whole = warc.record(1, "http://h/1", b"<p>text</p>", None, False)
+    ((headers, payload),) = warc.WarcReader(io.BytesIO(whole))
+    assert payload == b"<p>text</p>" and headers["X-Payload-Length"] == "11"
+    for wrong, counted in ((b"X-Payload-Length: 12", None), (b"X-Other: 1", "11")):
+        changed = gzip.compress(gzip.decompress(whole).replace(b"X-Payload-Length: 11", wrong))
+        if counted is None:
+            with pytest.raises(warc.WarcError):
+                list(warc.WarcReader(io.BytesIO(changed)))
+        else:
+            ((headers, _),) = warc.WarcReader(io.BytesIO(changed))
+            assert headers["X-Payload-Length"] == counted

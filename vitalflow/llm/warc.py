@@ -121,7 +121,7 @@ class WarcReader:
         left = int(headers["Content-Length"])
         block, body = hashlib.sha1(), hashlib.sha1()
         response = headers["WARC-Type"] == "response"
-        http_head, kept = (b"" if response else None), []
+        http_head, kept, length = (b"" if response else None), [], 0
         while left:
             if not self._text and not self._grow():
                 raise WarcError("a block shorter than its length")
@@ -135,6 +135,7 @@ class WarcReader:
                     continue
                 part, http_head = http_head[cut + 4 :], None
             body.update(part)
+            length += len(part)
             if self.payloads:
                 kept.append(part)
         while self._grow():
@@ -145,6 +146,8 @@ class WarcReader:
             raise WarcError("a block that does not have its digest")
         if response and headers["WARC-Payload-Digest"] != "sha1:" + base64.b32encode(body.digest()).decode():
             raise WarcError("a payload that does not have its digest")
+        if response and int(headers.setdefault("X-Payload-Length", str(length))) != length:
+            raise WarcError("a payload that does not have its length")
         return headers, b"".join(kept) if self.payloads and response else None
 
 
