@@ -22,8 +22,9 @@ FEATURE_SETS = {FULL: S.NUMERIC_FEATURES, ABLATED: S.ABLATED_NUMERIC_FEATURES}
 MODEL_NAME = "GBT"
 ROW_ID = "ROW_ID"
 OTHER = "OTHER"
-#: Training rows of one task, as bin numbers some 40 bytes each.
-ROWS_A_TASK = 100_000
+#: Training rows of one task, as bin numbers some 40 bytes each: at least and at most, between which
+#: there are as many tasks as the cluster runs at once.
+LEAST_ROWS, MOST_ROWS = 10_000, 100_000
 
 
 @dataclass(frozen=True)
@@ -149,7 +150,8 @@ def train_grid(
     learned = learn_encodings(train, settings)
     encodings = {t: learned[t] for t in usable}
     rows = sum(sizes[t]["N_POS"] + sizes[t]["N_NEG"] for t in usable)
-    tasks = -(-rows // ROWS_A_TASK)
+    parallel = prepared.sparkSession.sparkContext.defaultParallelism
+    tasks = min(-(-rows // LEAST_ROWS), max(parallel, -(-rows // MOST_ROWS)))
     blocks = boosting.encoded(train.coalesce(tasks), encodings)
     weights = {t: float(sizes[t]["POSITIVE_WEIGHT"]) for t in usable}
     columns = [[*FEATURE_SETS[f], *S.CATEGORICAL_FEATURES] for f in feature_sets]
