@@ -7,10 +7,11 @@ each node from them. The sums' size is fixed by models, nodes and bins, whatever
 
 Each level of each tree is one job, 1500 for 300 trees of depth 5, so a job's own cost counts. The
 rows stand as blocks of arrays in a persisted RDD that starts from a written table: a job over it
-takes some 0.04 s where the same sums through a DataFrame plan take some 0.2 s. Every few trees the
-blocks are made anew from the first ones, with the margins of all trees so far, which are broadcast:
-some 2 MB for ten models of 300 trees. So a lost block is two steps from the table, and a job late in
-training costs what an early one costs.
+costs a fraction of the same sums through a DataFrame plan. Every few trees the blocks are made anew
+from the first ones, with the margins of all trees so far, which are broadcast: some 2 MB for ten
+models of 300 trees. So a lost block is two steps from the table, and a job late in training costs
+what an early one costs. Rows that fill one task only need no sums of others: there a job grows
+several trees by the same steps, and a lost task costs the trees of one job.
 
 A split sends a row right if its bin is above the split's (numbers) or is the split's (one value of
 a categorical column, as a 0/1 column per value would). Gain, leaf value and the least hessian of a
@@ -20,7 +21,7 @@ child are those of the usual second-order learner with squared penalty `l2`.
 from __future__ import annotations
 
 import sys
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -46,6 +47,8 @@ class Growth:
     least_hessian: float = 1.0
     #: trees after which margins are moved into the blocks
     settle_every: int = 5
+    #: trees that a task which holds all rows grows in one job
+    trees_a_job: int = 25
 
 
 @dataclass
@@ -157,24 +160,21 @@ Block = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 def _level_sums(shape: _Shape, blocks, settled: list[list[Settled]], growing: list[_Tree], level: int):
     """Sums (feature set, gradient or hessian, model and node of the level, cell) over some blocks."""
-    first, nodes, starts = 2**level - 1, 2**level, shape.starts
-    out = np.zeros((len(shape.sets), 2, shape.models * nodes, int(starts[-1])))
+    first, nodes, cells = 2**level - 1, 2**level, int(shape.starts[-1])
+    places = shape.models * nodes
+    out = np.zeros((len(shape.sets), 2, places * cells))
     for block in blocks:
         model, bins, label, weight, margins = _settle(shape, block, settled)
-        for s, columns in enumerate(shape.sets):
-            tree = growing[s]
+        for s, tree in enumerate(growing):
             at = _walk(bins, shape.numeric, tree.column, tree.bin, model) - first
-            open_ = at >= 0
-            p = 1.0 / (1.0 + np.exp(-margins[s]))
-            parts = (weight * (p - label))[open_], (weight * p * (1.0 - p))[open_]
-            place = (model * nodes + at)[open_]
-            for j in columns:
-                width = shape.widths[j]
-                key, size = place * width + bins[open_, j], shape.models * nodes * width
-                for k, part in enumerate(parts):
-                    sums = np.bincount(key, part, size).reshape(-1, width)
-                    out[s, k, :, starts[j] : starts[j] + width] += sums
-    return out
+            open_ = np.flatnonzero(at >= 0)
+            p = 1.0 / (1.0 + np.exp(-margins[s, open_]))
+            w = weight[open_]
+            # one cell number per row and column, so that all columns are added up at once
+            key = (model[open_] * nodes + at[open_])[:, None] * cells + shape.starts[:-1] + bins[open_]
+            for k, part in enumerate((w * (p - label[open_]), w * p * (1.0 - p))):
+                out[s, k] += np.bincount(key.ravel(), np.repeat(part, bins.shape[1]), places * cells)
+    return out.reshape(len(shape.sets), 2, places, cells)
 
 
 def _settle(shape: _Shape, block: Block, trees: list[list[Settled]]) -> Block:
@@ -240,24 +240,62 @@ def _end(tree: _Tree, growth: Growth) -> None:
     tree.value = np.where(tree.column < 0, -growth.step * g / (h + growth.l2), 0.0)
 
 
-def grow(blocks: RDD, shape: _Shape, growth: Growth) -> list[list[Forest]]:
-    """The forests of each feature set and model. `blocks` are rebuilt from storage when lost."""
-    base = blocks.persist()
+def _grow_trees(shape: _Shape, growth: Growth, sums: Callable[[list[_Tree], int], np.ndarray]) -> list[_Tree]:
+    """One tree per feature set for all models; `sums` adds up a level of the trees as they are."""
+    growing = [_Tree.new(shape.models, growth.depth) for _ in shape.sets]
+    for level in range(growth.depth):
+        found = sums(growing, level)
+        more = [_extend(t, found[s], shape, shape.sets[s], level, growth) for s, t in enumerate(growing)]
+        if not any(more):
+            break
+    for tree in growing:
+        _end(tree, growth)
+    return growing
+
+
+#: Per tree and feature set the arrays of the models' nodes: column, bin, value, gain.
+Grown = list[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]
+
+
+def _plain(growing: list[_Tree]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    return [(t.column, t.bin, t.value, t.gain) for t in growing]
+
+
+def _grow_in_one_task(base: RDD, shape: _Shape, growth: Growth) -> Grown:
+    """All rows are in one task: a job grows some trees, from the margins of those before."""
+    done: Grown = []
+    while len(done) < growth.trees:
+        so_far = [[(c, at.astype(np.uint16), value) for c, at, value, _ in trees] for trees in done]
+        shared = base.context.broadcast(so_far)
+        count = min(growth.trees_a_job, growth.trees - len(done))
+
+        def some(part, shared=shared, count=count):
+            blocks = [_settle(shape, block, shared.value) for block in part]
+            grown = []
+            for _ in range(count):
+                trees = _grow_trees(shape, growth, lambda now, level: _level_sums(shape, blocks, [], now, level))
+                blocks = [_settle(shape, block, [[t.settled() for t in trees]]) for block in blocks]
+                grown.append(_plain(trees))
+            yield grown
+
+        done += base.mapPartitions(some).first()
+        shared.unpersist()
+    return done
+
+
+def _grow_by_levels(base: RDD, shape: _Shape, growth: Growth) -> Grown:
+    """A job per level of a tree adds up the sums of all tasks."""
     state, pending, done, shared = base, [], [], []
     direct = base.getNumPartitions() <= DIRECT_TASKS
     for _ in range(growth.trees):
-        growing = [_Tree.new(shape.models, growth.depth) for _ in shape.sets]
-        for level in range(growth.depth):
-            def sums(part, trees=pending, now=growing, level=level):
+        def added(now, level):
+            def sums(part, trees=pending):
                 yield _level_sums(shape, part, trees, now, level)
 
             job = state.mapPartitions(sums)
-            found = sum(job.collect()) if direct else job.treeReduce(np.add)
-            more = [_extend(t, found[s], shape, shape.sets[s], level, growth) for s, t in enumerate(growing)]
-            if not any(more):
-                break
-        for tree in growing:
-            _end(tree, growth)
+            return sum(job.collect()) if direct else job.treeReduce(np.add)
+
+        growing = _grow_trees(shape, growth, added)
         done.append(growing)
         pending = [*pending, [tree.settled() for tree in growing]]
         if len(pending) == growth.settle_every:
@@ -267,16 +305,22 @@ def grow(blocks: RDD, shape: _Shape, growth: Growth) -> list[list[Forest]]:
             shared.append(so_far)
             state = base.map(lambda block, trees=so_far: _settle(shape, block, trees.value)).persist()
             pending = []
-    for rdd in {base, state}:
-        rdd.unpersist()
+    if state is not base:
+        state.unpersist()
     for one in shared:
         one.unpersist()
+    return [_plain(trees) for trees in done]
 
-    def forest(s: int, m: int) -> Forest:
-        def stack(name: str) -> np.ndarray:
-            return np.array([getattr(trees[s], name)[m] for trees in done])
 
-        return Forest(stack("column"), stack("bin"), stack("value"), stack("gain"), shape.numeric)
+def grow(blocks: RDD, shape: _Shape, growth: Growth) -> list[list[Forest]]:
+    """The forests of each feature set and model. `blocks` are rebuilt from storage when lost."""
+    base = blocks.persist()
+    alone = base.getNumPartitions() == 1
+    done = (_grow_in_one_task if alone else _grow_by_levels)(base, shape, growth)
+    base.unpersist()
+
+    def forest(s: int, m: int) -> Forest:
+        return Forest(*(np.array([trees[s][k][m] for trees in done]) for k in range(4)), shape.numeric)
 
     return [[forest(s, m) for m in range(shape.models)] for s in range(len(shape.sets))]
 
