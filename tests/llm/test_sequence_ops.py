@@ -43,6 +43,8 @@ def test_ids_are_those_of_the_library(spark, sf_dir):
     letters = " \n\t\x1c\xa0 abAB'sl1½é́Σİß.,!?日🙂\u0085<|>"
     texts = ["", " ", "don't  we'll", "İstanbul ŞŞ", "<|endoftext|> <|startoftext|>", "日本 語", "ΣΑΣ Σ", "a \n b"]
     texts += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(1500)]
+    western = " \n\t\r abcstmdreveLLSTMD''0123ßÀÉéÿŒœØ.,!?-_#<|>~"
+    texts += ["".join(rng.choice(western) for _ in range(rng.randint(1, 60))) for _ in range(3000)]
     texts += [r[0] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(60).collect()]
     for encoder in encoders().values():
         wrong = [t for t in texts if encoder.encode(t) != library_ids(encoder, t)]
