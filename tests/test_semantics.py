@@ -1,6 +1,7 @@
 """Rules of cleaning, pivoting, events, state, features and risk on hand-made rows."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -177,6 +178,24 @@ def test_envelope_roundtrip_keeps_nested_payload(spark):
     assert events.parse_envelope(spark.createDataFrame([("not json",)], "value string")).first()["event_id"] is None
 
 
+def test_envelope_keeps_the_text_of_numbers(spark):
+    sent = '{"a":26.0,"n":{"x":1.50},\n"c":0.10000000000000000001,"s":"1.0"}'
+    texts = [sent, '{"a":1.0},"event_id":"other"', '{"a":1.0}} x', "{broken", None]
+    rows = [(str(i), "p", "MEDICATION", "t", text) for i, text in enumerate(texts)]
+    got = [r["value"] for r in events.serialize_envelope(event(spark, *rows)).collect()]
+    assert sent.replace("\n", " ") in got[0]
+    assert [json.loads(v).get("payload") for v in got[1:]] == [{"a": 1}, {"a": 1}, None, None]
+    assert [json.loads(v)["event_id"] for v in got] == ["0", "1", "2", "3", "4"]
+
+
+def test_merged_defaults_keep_the_text_of_numbers(spark):
+    sent = '{"REASONCODE":null,"END_DATE":1.0,"x":26.5,"u":-100.0,"i":7,"s":"3.0","z":10000000000000000000000.0,"q\\"":true}'
+    got = events.merge_defaults(event(spark, ("e", "p", "MEDICATION", "t", sent))).first()["payload"]
+    for part in ('"END_DATE":1.0,', '"x":26.5,', '"u":-100.0,', '"i":7,', '"s":"3.0",', '"z":10000000000000000000000.0,', '"q\\"":true,'):
+        assert part in got
+    assert json.loads(got)["REASONCODE"] == S.DEFAULT_FIELDS["MEDICATION"]["REASONCODE"]
+
+
 # --- state ------------------------------------------------------------------------
 def test_name_search_is_literal(spark):
     df = strings(spark, ["PATIENT_ID", "FULL_NAME"], [("1", "Ann Smith"), ("2", "A%b"), ("3", "smithers")])
@@ -270,3 +289,10 @@ def test_percent_rounds_by_binary_value(spark):
     df = spark.createDataFrame([(v,) for v in values], "p double")
     got = [r[0] for r in df.select(risk.percent(F.col("p"))).collect()]
     assert got == [round(v * 100, 1) for v in values]
+
+
+def test_long_features_round_by_binary_value(spark):
+    # 23.67375 times 10 000 is 236737.49999999997 in doubles
+    row = spark.createDataFrame([("1", 23.67375)], "PATIENT_ID string, AVG_BMI double")
+    long = features.features_long(features.feature_contract(row))
+    assert long.filter("FEATURE = 'AVG_BMI'").first()["VALUE"] == "23.6737"

@@ -39,18 +39,27 @@ def parse_envelope(df: DataFrame, value: str = "value", keep: Sequence[str | Col
 def serialize_envelope(df: DataFrame, value: str = "value") -> DataFrame:
     """Envelope columns to `key` (the patient, for partition affinity) and JSON `value`.
 
-    The payload is embedded as an object, not as quoted text.
+    The payload is embedded as an object, not as quoted text, and as it was sent: a reader sees 26.0
+    where 26.0 was sent. Only its line breaks, which can stand between its tokens alone, become blanks.
     """
-    body = F.to_json(
-        F.struct(
-            "event_id",
-            "patient_id",
-            "event_type",
-            "event_timestamp",
-            F.try_parse_json("payload").alias("payload"),
-        )
-    )
-    return df.select(F.col("patient_id").alias("key"), body.alias(value))
+    head = F.to_json(F.struct("event_id", "patient_id", "event_type", "event_timestamp"))
+    first = F.to_json(F.try_parse_json("payload"))
+    text = F.when(_is_one_value("payload"), F.translate("payload", "\r\n", "  ")).otherwise(first)
+    comma = F.when(head == "{}", "").otherwise(",")
+    whole = F.concat(F.substr(head, F.lit(1), F.length(head) - 1), comma, F.lit('"payload":'), text, F.lit("}"))
+    return df.select(F.col("patient_id").alias("key"), F.coalesce(whole, head).alias(value))
+
+
+def _is_one_value(payload: str) -> Column:
+    """Whether the text is one JSON value with nothing behind it, which parsing alone leaves open.
+
+    It is read as a field of an object with another one behind it, whose name no text can hold that
+    closes the object itself.
+    """
+    end = F.sha2(payload, 256)
+    framed = F.concat(F.lit('{"payload":'), payload, F.lit(',"'), end, F.lit('":0}'))
+    names = F.map_keys(F.try_parse_json(framed).cast("map<string,variant>"))
+    return F.coalesce((F.size(names) == 2) & F.array_contains(names, end), F.lit(False))
 
 
 def guard(df: DataFrame) -> DataFrame:
@@ -211,7 +220,19 @@ def merge_defaults(df: DataFrame) -> DataFrame:
     there = F.map_keys(F.map_filter(sent, lambda k, v: ~missing(k, v)))
     added = F.map_filter(defaults, lambda k, v: ~F.array_contains(there, k))
     kept = F.map_filter(sent, lambda k, v: ~F.array_contains(F.map_keys(added), k))
-    return df.withColumn("payload", F.to_json(F.map_concat(kept, added), {"ignoreNullFields": "false"}))
+    texts = F.from_json("payload", "map<string,string>")
+
+    def field(k: Column, v: Column) -> Column:
+        # a variant forgets the zeros behind a number's point
+        shown = F.to_json(v)
+        cut = F.schema_of_variant(v).startswith("DECIMAL") & F.element_at(texts, k).contains(".") & ~shown.contains(".")
+        shown = F.when(cut, F.concat(shown, F.lit(".0"))).otherwise(shown)
+        return F.concat(F.to_json(k.cast("variant")), F.lit(":"), F.coalesce(shown, F.lit("null")))
+
+    merged = F.map_concat(kept, added)
+    fields = F.transform(F.map_entries(merged), lambda e: field(e["key"], e["value"]))
+    payload = F.concat(F.lit("{"), F.array_join(fields, ","), F.lit("}"))
+    return df.withColumn("payload", payload)
 
 
 def make_observation_events(df: DataFrame, at: Column | None = None) -> DataFrame:
