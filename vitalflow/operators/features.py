@@ -245,7 +245,10 @@ def features_ablated(df: DataFrame, keep: Sequence[str] = ("PATIENT_ID",)) -> Da
 
 
 def features_long(df: DataFrame, keep: Sequence[str] = ("PATIENT_ID",)) -> DataFrame:
-    """One row per patient and feature as text, numbers rounded to four digits."""
-    texts = [F.round(F.col(c), 4).cast("string").alias(c) for c in S.NUMERIC_FEATURES]
+    """One row per patient and feature as text, numbers rounded to four digits by their binary value.
+
+    Rounding a double itself would go by its shortest decimal text: 23.67375, held as a little less, to 23.6738.
+    """
+    texts = [(F.round(F.col(c) * 10_000) / 10_000).cast("string").alias(c) for c in S.NUMERIC_FEATURES]
     shown = df.select(*keep, *texts, *S.CATEGORICAL_FEATURES)
     return shown.unpivot(list(keep), S.FEATURES, "FEATURE", "VALUE")
