@@ -186,3 +186,31 @@ def test_registry_holds_the_figures_of_the_fitted_models(spark, prepared):
         ("Stroke", models.FULL, True), ("Stroke", models.ABLATED, True), ("Asthma", None, False)
     }
     assert all(r["ROC_AUC"] > 0.9 for r in got if r["AVAILABLE"])
+
+
+@pytest.mark.parametrize("rows_alone", [0, 45, 1000])
+def test_models_are_the_same_grown_alone_and_level_by_level(spark, rows_alone):
+    rng = np.random.default_rng(7)
+    shape = boosting._Shape(2, (6, 4, 3), ((0, 1, 2), (1, 2)), 2)
+
+    def block(n):
+        bins = np.column_stack([rng.integers(0, w, n) for w in shape.widths])
+        label = ((bins[:, 0] + rng.random(n) * 3) > 3).astype(np.int8)
+        return rng.integers(0, 2, n), bins, label, np.ones(n), np.zeros((2, n))
+
+    blocks = [block(n) for n in (30, 1, 20, 40)]
+    made, jobs = [], []
+    for limit in (1000, rows_alone):
+        growth = boosting.Growth(trees=4, depth=3, step=0.3, settle_every=2, rows_alone=limit)
+        group = f"grown-{rows_alone}-{len(made)}"
+        spark.sparkContext.setJobGroup(group, group)
+        forests = boosting.grow(spark.sparkContext.parallelize(blocks, 4), shape, growth)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+        made.append([f for row in forests for f in row])
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for one, other in zip(*made):
+        assert (one.column == other.column).all() and (one.bin == other.bin).all()
+        assert np.allclose(one.value, other.value)
+    # a job per level costs time whatever the number of rows
+    assert jobs[0] <= 3
+    assert jobs[1] <= 3 if rows_alone == 1000 else jobs[1] > 4 * 2

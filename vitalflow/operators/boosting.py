@@ -10,8 +10,12 @@ rows stand as blocks of arrays in a persisted RDD that starts from a written tab
 costs a fraction of the same sums through a DataFrame plan. Every few trees the blocks are made anew
 from the first ones, with the margins of all trees so far, which are broadcast: some 2 MB for ten
 models of 300 trees. So a lost block is two steps from the table, and a job late in training costs
-what an early one costs. Rows that fill one task only need no sums of others: there a job grows
-several trees by the same steps, and a lost task costs the trees of one job.
+what an early one costs.
+
+Most tables need none of these jobs: while no target has more than `Growth.rows_alone` training rows,
+some 20 bytes each as bin numbers, the rows are dealt to one task a model, and each task grows its trees
+by the same steps without waiting for others. A lost task costs its model. The limit bounds a task's
+memory; with a target above it every level is a job again.
 
 A split sends a row right if its bin is above the split's (numbers) or is the split's (one value of
 a categorical column, as a 0/1 column per value would). Gain, leaf value and the least hessian of a
@@ -35,6 +39,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Fewer tasks than this send their sums to the driver directly; more are added up in a tree.
 DIRECT_TASKS = 32
+#: Rows that a task which grows a model alone adds up at once, so that they stay in the processor's cache.
+ROWS_AT_ONCE = 32_768
 LEAST_GAIN = 1e-6
 
 
@@ -47,8 +53,8 @@ class Growth:
     least_hessian: float = 1.0
     #: trees after which margins are moved into the blocks
     settle_every: int = 5
-    #: trees that a task which holds all rows grows in one job
-    trees_a_job: int = 25
+    #: training rows of a target up to which a task grows a model by itself
+    rows_alone: int = 1_000_000
 
 
 @dataclass
@@ -160,21 +166,25 @@ Block = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 def _level_sums(shape: _Shape, blocks, settled: list[list[Settled]], growing: list[_Tree], level: int):
     """Sums (feature set, gradient or hessian, model and node of the level, cell) over some blocks."""
-    first, nodes, cells = 2**level - 1, 2**level, int(shape.starts[-1])
+    first, nodes, starts = 2**level - 1, 2**level, shape.starts
     places = shape.models * nodes
-    out = np.zeros((len(shape.sets), 2, places * cells))
+    out = np.zeros((len(shape.sets), 2, places, int(starts[-1])))
     for block in blocks:
         model, bins, label, weight, margins = _settle(shape, block, settled)
         for s, tree in enumerate(growing):
             at = _walk(bins, shape.numeric, tree.column, tree.bin, model) - first
             open_ = np.flatnonzero(at >= 0)
             p = 1.0 / (1.0 + np.exp(-margins[s, open_]))
-            w = weight[open_]
-            # one cell number per row and column, so that all columns are added up at once
-            key = (model[open_] * nodes + at[open_])[:, None] * cells + shape.starts[:-1] + bins[open_]
-            for k, part in enumerate((w * (p - label[open_]), w * p * (1.0 - p))):
-                out[s, k] += np.bincount(key.ravel(), np.repeat(part, bins.shape[1]), places * cells)
-    return out.reshape(len(shape.sets), 2, places, cells)
+            w, rows = weight[open_], bins[open_]
+            parts = w * (p - label[open_]), w * p * (1.0 - p)
+            place = model[open_] * nodes + at[open_]
+            for j in shape.sets[s]:
+                width = shape.widths[j]
+                key = place * width + rows[:, j]
+                for k, part in enumerate(parts):
+                    found = np.bincount(key, part, places * width).reshape(places, width)
+                    out[s, k, :, starts[j] : starts[j + 1]] += found
+    return out
 
 
 def _settle(shape: _Shape, block: Block, trees: list[list[Settled]]) -> Block:
@@ -261,26 +271,44 @@ def _plain(growing: list[_Tree]) -> list[tuple[np.ndarray, np.ndarray, np.ndarra
     return [(t.column, t.bin, t.value, t.gain) for t in growing]
 
 
-def _grow_in_one_task(base: RDD, shape: _Shape, growth: Growth) -> Grown:
-    """All rows are in one task: a job grows some trees, from the margins of those before."""
-    done: Grown = []
-    while len(done) < growth.trees:
-        so_far = [[(c, at.astype(np.uint16), value) for c, at, value, _ in trees] for trees in done]
-        shared = base.context.broadcast(so_far)
-        count = min(growth.trees_a_job, growth.trees - len(done))
-
-        def some(part, shared=shared, count=count):
-            blocks = [_settle(shape, block, shared.value) for block in part]
-            grown = []
-            for _ in range(count):
-                trees = _grow_trees(shape, growth, lambda now, level: _level_sums(shape, blocks, [], now, level))
-                blocks = [_settle(shape, block, [[t.settled() for t in trees]]) for block in blocks]
-                grown.append(_plain(trees))
-            yield grown
-
-        done += base.mapPartitions(some).first()
-        shared.unpersist()
-    return done
+def _grow_by_models(base: RDD, shape: _Shape, growth: Growth) -> Grown:
+    """A task per feature set and target holds its rows and grows all trees of its model."""
+    sets = len(shape.sets)
+
+    def dealt(number, part):
+        for turn, (model, bins, label, weight, _) in enumerate(part):
+            for m in np.unique(model).tolist():
+                mine = model == m
+                for s in range(sets):
+                    yield m * sets + s, ((number, turn), bins[mine], label[mine], weight[mine])
+
+    def grown(number, part):
+        # in the order of the table, so that sums of doubles are the same in every run
+        found = sorted((piece for _, piece in part), key=lambda piece: piece[0])
+        if not found:
+            return
+        bins = np.asfortranarray(np.concatenate([piece[1] for piece in found]))
+        label, weight = (np.concatenate([piece[k] for piece in found]) for k in (2, 3))
+        del found
+        alone = _Shape(shape.numeric, shape.widths, (shape.sets[number % sets],), 1)
+        blocks = []
+        for i in range(0, len(bins), ROWS_AT_ONCE):
+            here, n = slice(i, i + ROWS_AT_ONCE), len(bins[i : i + ROWS_AT_ONCE])
+            blocks.append((np.zeros(n, np.int64), bins[here], label[here], weight[here], np.zeros((1, n))))
+        for _ in range(growth.trees):
+            trees = _grow_trees(alone, growth, lambda now, level: _level_sums(alone, blocks, [], now, level))
+            blocks = [_settle(alone, block, [[t.settled() for t in trees]]) for block in blocks]
+            yield number, _plain(trees)[0]
+
+    models = base.mapPartitionsWithIndex(dealt).partitionBy(shape.models * sets, lambda number: number)
+    trees: dict[int, list] = {}
+    for number, tree in models.mapPartitionsWithIndex(grown).collect():
+        trees.setdefault(number, []).append(tree)
+
+    def together(t: int, s: int):
+        return tuple(np.concatenate([trees[m * sets + s][t][k] for m in range(shape.models)]) for k in range(4))
+
+    return [[together(t, s) for s in range(sets)] for t in range(growth.trees)]
 
 
 def _grow_by_levels(base: RDD, shape: _Shape, growth: Growth) -> Grown:
@@ -315,8 +343,9 @@ def _grow_by_levels(base: RDD, shape: _Shape, growth: Growth) -> Grown:
 def grow(blocks: RDD, shape: _Shape, growth: Growth) -> list[list[Forest]]:
     """The forests of each feature set and model. `blocks` are rebuilt from storage when lost."""
     base = blocks.persist()
-    alone = base.getNumPartitions() == 1
-    done = (_grow_in_one_task if alone else _grow_by_levels)(base, shape, growth)
+    rows = base.map(lambda block: np.bincount(block[0], minlength=shape.models)).treeReduce(np.add)
+    alone = rows.max() <= growth.rows_alone
+    done = (_grow_by_models if alone else _grow_by_levels)(base, shape, growth)
     base.unpersist()
 
     def forest(s: int, m: int) -> Forest:
