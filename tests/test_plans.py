@@ -60,3 +60,13 @@ def test_days_are_not_joined_with_index_dates(spark, sf_dir):
     plan = QUERIES["features_asof"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "FACT_DATE" in plan and not re.search(r"Join .*FACT_DATE", plan)
     assert c.dates.columns == ["PATIENT_ID", "TARGET_NAME", "INDEX_DATE"]
+
+
+def test_lines_of_several_entities_are_joined_once(spark, sf_dir):
+    plan = QUERIES["null_profile"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1, "the readings alone, whose lines need no item"
+    plain, joined = Clinic(spark, sf_dir), Clinic(spark, sf_dir, ["conditions", "careplans"])
+    for entity in ("conditions", "careplans"):
+        assert joined.raw(entity).columns == plain.raw(entity).columns
+        assert joined.raw(entity).exceptAll(plain.raw(entity)).isEmpty()
+        assert plain.raw(entity).exceptAll(joined.raw(entity)).isEmpty()

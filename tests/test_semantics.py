@@ -196,6 +196,16 @@ def test_merged_defaults_keep_the_text_of_numbers(spark):
     assert json.loads(got)["REASONCODE"] == S.DEFAULT_FIELDS["MEDICATION"]["REASONCODE"]
 
 
+def test_ids_of_first_events_move_no_payloads(spark):
+    rows = [("e", "p", "CONDITION", "2026-09-01T10:00:00Z", "b"), ("e", "p", "CONDITION", "2026-09-01T10:00:00Z", "a"),
+            ("e", "p", "ALLERGY", "2026-09-01T11:00:00Z", "a"), ("f", None, "ALLERGY", None, None), ("f", "p", "CONDITION", None, "x")]
+    named = events.identify(event(spark, *rows), F.lit(AS_OF).cast("timestamp"))
+    ids = events.dedup_ids(named)
+    assert sorted(ids.collect()) == sorted(events.dedup_events(named).select("event_id", "event_type").collect())
+    aggregate = ids._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[1].splitlines()[0]
+    assert "patient_id" in aggregate and "payload" not in aggregate
+
+
 # --- state ------------------------------------------------------------------------
 def test_name_search_is_literal(spark):
     df = strings(spark, ["PATIENT_ID", "FULL_NAME"], [("1", "Ann Smith"), ("2", "A%b"), ("3", "smithers")])

@@ -409,15 +409,37 @@ def route_counts(df: DataFrame) -> DataFrame:
 
 
 def dedup_events(df: DataFrame, arrival: str = "ARRIVAL_TS") -> DataFrame:
-    """One row per id of identified events: the earliest by event time, arrival, then content.
+    """One row per id of identified events: the earliest by time, arrival, then content.
 
     Events need their ids first: without, all that lack one would count as copies of another.
     min over a struct combines map-side, so many copies of one event cost one row per task.
     """
-    order = [c for c in ("EVENT_TS", arrival, *S.ENVELOPE_SCHEMA.names) if c in df.columns and c != "event_id"]
+    order = _dedup_order(df, arrival)
     rest = order + [c for c in df.columns if c not in order and c != "event_id"]
-    first = F.min(F.struct(*rest)).alias("r")
-    return df.groupBy("event_id").agg(first).select("event_id", "r.*").select(*df.columns)
+    return _first_of_each(df, rest).select(*df.columns)
+
+
+def _dedup_order(df: DataFrame, arrival: str) -> list[str]:
+    return [c for c in ("EVENT_TS", arrival, *S.ENVELOPE_SCHEMA.names) if c in df.columns and c != "event_id"]
+
+
+def _first_of_each(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.groupBy("event_id").agg(F.min(F.struct(*columns)).alias("r")).select("event_id", "r.*")
+
+
+def dedup_ids(df: DataFrame, arrival: str = "ARRIVAL_TS") -> DataFrame:
+    """event_id and event_type of the rows that dedup_events keeps.
+
+    What stands behind the type in the order, the payload above all, decides among rows of one type
+    only, so it is not sorted nor moved.
+    """
+    order = _dedup_order(df, arrival)
+    return _first_of_each(df, order[: order.index("event_type") + 1]).select("event_id", "event_type")
+
+
+def ingest_ids(df: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """event_id and event_type of the rows that ingest gives."""
+    return dedup_ids(accepted(identify(df, as_of)))
 
 
 def events_per_window(df: DataFrame, width: str = "1 day") -> DataFrame:
@@ -438,10 +460,22 @@ def event_ids(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def persisted_events(published: DataFrame, tables: dict[str, DataFrame], pending: bool = False) -> DataFrame:
-    """Published events found in the table of their type, or with `pending` those not found."""
+def routed(ids: DataFrame) -> DataFrame:
+    """Ids and types of events to EVENT_ID and the TABLE_NAME that stores them."""
+    target = F.create_map(*[F.lit(x) for pair in S.EVENT_TABLES.items() for x in pair])
+    return ids.select(F.col("event_id").alias("EVENT_ID"), target[F.col("event_type")].alias("TABLE_NAME"))
+
+
+def persisted_events(
+    published: DataFrame, tables: dict[str, DataFrame] | DataFrame, pending: bool = False
+) -> DataFrame:
+    """Published events found in the table of their type, or with `pending` those not found.
+
+    `tables` are the stored tables, or their ids at once as event_ids gives them.
+    """
     target = F.create_map(*[F.lit(x) for pair in S.EVENT_TABLES.items() for x in pair])
     wanted = published.withColumn("TABLE_NAME", target[F.upper("event_type")])
+    ids = tables if isinstance(tables, DataFrame) else event_ids(tables)
     # one row per id, so that many copies of an id do not meet in one task
-    stored = event_ids(tables).distinct().withColumnRenamed("EVENT_ID", "event_id")
+    stored = ids.distinct().withColumnRenamed("EVENT_ID", "event_id")
     return wanted.join(stored, ["event_id", "TABLE_NAME"], "left_anti" if pending else "left_semi")

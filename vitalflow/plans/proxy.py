@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators import cohort, events, features, silver
 from ..operators import gold as G
+from ..session import write_through
 
 AS_OF = "2024-06-01"
 SOURCE_SYSTEM = "BATCH_1"
@@ -108,11 +109,19 @@ _WHY = """CASE WHEN l_suppkey % 4 <> 0 THEN 'R' || CAST(l_suppkey % 13 AS STRING
   CASE WHEN l_suppkey % 5 <> 0 THEN 'Reason ' || CAST(l_suppkey % 13 AS STRING) END AS REASONDESCRIPTION"""
 _PLAN_ID = "CAST(o_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) AS ID"
 
+_LINES = "{lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey"
+# the same rows, those of some items: the items go first, so that fewer lines meet the orders
+_SOME_LINES = """
+SELECT o_custkey, o_orderkey, o_orderdate, l_partkey, l_suppkey, l_linenumber, l_linestatus, l_shipdate, p_type, p_brand, p_name
+FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey JOIN {{orders}} ON l_orderkey = o_orderkey
+WHERE p_type IN ({types})
+"""
+
 
 def _entity(entity: str, columns: list[str]) -> str:
     return f"""
 SELECT {', '.join(columns)}
-FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey
+FROM {_LINES}
 WHERE p_type = '{ENTITY_TYPES[entity]}'
 """
 
@@ -216,11 +225,16 @@ class Lazy(Mapping):
 
 
 class Clinic:
-    """All views over one folder of sample tables, built lazily and never cached."""
+    """All views over one folder of sample tables, built lazily.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    What several views of a query start from is written once to the shared folder: the lines of the
+    entities named in `joined`, the events that are kept, and the index dates of a labelled table.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, joined: Iterable[str] = ()):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.joined = tuple(joined)
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -244,7 +258,15 @@ class Clinic:
         used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
         return self.spark.sql(text, **used)
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        types = ", ".join(f"'{ENTITY_TYPES[e]}'" for e in self.joined)
+        used = {t: self.table(t) for t in ("lineitem", "part", "orders")}
+        return write_through(self.spark.sql(_SOME_LINES.format(types=types), **used), "lines")
+
     def raw(self, entity: str) -> DataFrame:
+        if entity in self.joined:
+            return self.spark.sql(RAW_SQL[f"{entity}_raw"].replace(_LINES, "{lines}"), lines=self.lines)
         return self.view(f"{entity}_raw")
 
     def bronze(self, entity: str) -> DataFrame:
@@ -274,14 +296,21 @@ class Clinic:
         return self._typed(self.events)
 
     @cached_property
-    def arrived(self) -> Mapping[str, DataFrame]:
-        """The realtime tables while some published events are still on their way."""
-        return self._typed(self.view("events_arrived"))
+    def arrived(self) -> DataFrame:
+        """Ids and tables of what is stored while some published events are still on their way."""
+        return events.routed(events.ingest_ids(self.view("events_arrived"), self.now))
 
     def _typed(self, raw: DataFrame) -> Mapping[str, DataFrame]:
-        good = events.ingest(raw, self.now)
+        kept: list[DataFrame] = []
         kinds = {table: t for t, table in S.EVENT_TABLES.items()}
-        return Lazy(S.REALTIME_SCHEMAS, lambda table: events.parse_type(good, kinds[table], self.now))
+
+        def table(name: str) -> DataFrame:
+            if not kept:
+                kept.append(write_through(events.ingest(raw, self.now).drop("P"), "events"))
+            of_kind = kept[0].filter(F.col("event_type") == kinds[name])
+            return events.parse_type(events.with_payload(of_kind), kinds[name], self.now)
+
+        return Lazy(S.REALTIME_SCHEMAS, table)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -296,4 +325,5 @@ class Clinic:
         return self.labelled(S.TARGETS)
 
     def labelled(self, targets: list[str]) -> DataFrame:
-        return cohort.features_targets_long(self.patients, self.dates, self.gold, self.rt, targets)
+        dates = write_through(self.dates, "index-dates")
+        return cohort.features_targets_long(self.patients, dates, self.gold, self.rt, targets)

@@ -39,14 +39,26 @@ def render(df: DataFrame) -> DataFrame:
 QUERIES: dict[str, Query] = {}
 
 
+#: Entities whose lines a query that reads several of them joins once.
+JOINED = dict.fromkeys(["null_profile", "null_profile_pct", "merged_profile", "duplicate_rows", "layer_report"], tuple(ENTITY_TYPES))
+JOINED["interval_anomalies"] = ("conditions", "medications", "allergies", "careplans")
+JOINED |= dict.fromkeys(
+    """obt_patient_encounters patient_features incremental_features feature_contract features_ablated features_long
+    activity_counts features_asof features_buffered features_targets_long features_for_target median_impute onehot
+    train_score train_score_rows feature_importance importance_rows experiment_comparison comparison_rows
+    risk_scores risk_scores_rows patient_risk trained_registry registry_keys""".split(),
+    ("conditions", "medications"),
+)
+
+
 def query(build: Callable[[Clinic], DataFrame]) -> Callable[[Clinic], DataFrame]:
     """Register `build` under its own name."""
-    QUERIES[build.__name__] = lambda spark, sf_dir: render(build(Clinic(spark, sf_dir)))
+    simple(build.__name__, build)
     return build
 
 
 def simple(name: str, build: Callable[[Clinic], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, sf_dir: render(build(Clinic(spark, sf_dir)))
+    QUERIES[name] = lambda spark, sf_dir: render(build(Clinic(spark, sf_dir, JOINED.get(name, ()))))
 
 
 # --- sources, bronze, quality -------------------------------------------------------
@@ -232,7 +244,7 @@ simple("route_counts", lambda c: events.route_counts(events.ingest(c.events, c.n
 
 
 def _stored(c: Clinic, pending: bool) -> DataFrame:
-    published = events.dedup_events(_identified(c)).select("event_id", "event_type")
+    published = events.dedup_ids(_identified(c))
     return events.persisted_events(published, c.arrived, pending).select("event_id", "event_type", "TABLE_NAME")
 
 
