@@ -214,3 +214,29 @@ def test_models_are_the_same_grown_alone_and_level_by_level(spark, rows_alone):
     # a job per level costs time whatever the number of rows
     assert jobs[0] <= 3
     assert jobs[1] <= 3 if rows_alone == 1000 else jobs[1] > 4 * 2
+
+
+def test_trees_do_not_depend_on_the_order_of_rows(spark):
+    """A child's sums are taken as its parent's less its sibling's, which is exact for rounded gradients."""
+    rng = np.random.default_rng(5)
+    n = 4000
+    model, label = rng.integers(0, 2, n), rng.integers(0, 2, n).astype(np.int8)
+    bins = np.stack([rng.integers(0, 40, n), label * 3 + rng.integers(0, 5, n), rng.integers(0, 4, n)], 1).astype(np.uint8)
+    shape = boosting._Shape(2, (40, 8, 4), ((0, 1, 2), (1, 2)), 2)
+    weight, made = np.where(label == 1, 1.7, 1.0), []
+    for rows_alone in (n, 0):
+        for order in (np.arange(n), rng.permutation(n)):
+            cut = [(model[i], bins[i], label[i], weight[i], np.zeros((2, len(i)))) for i in np.array_split(order, 3)]
+            growth = boosting.Growth(trees=6, depth=4, step=0.3, rows_alone=rows_alone)
+            made.append(boosting.grow(spark.sparkContext.parallelize(cut, 3), shape, growth))
+    for other in made[1:]:
+        for one, two in zip(sum(made[0], []), sum(other, [])):
+            for name in ("column", "bin", "value", "gain"):
+                assert np.array_equal(getattr(one, name), getattr(two, name)), name
+    for s, m in ((0, 0), (1, 1)):
+        forest = made[0][s][m]
+        walked = sum(
+            v[boosting._walk(bins, 2, c[None], b[None], np.zeros(n, np.int64))]
+            for c, b, v in zip(forest.column, forest.bin, forest.value)
+        )
+        assert np.array_equal(forest.margins(bins), walked)

@@ -14,8 +14,12 @@ what an early one costs.
 
 Most tables need none of these jobs: while no target has more than `Growth.rows_alone` training rows,
 some 20 bytes each as bin numbers, the rows are dealt to one task a model, and each task grows its trees
-by the same steps without waiting for others. A lost task costs its model. The limit bounds a task's
-memory; with a target above it every level is a job again.
+without waiting for others. It keeps the rows in the order of their nodes and adds up only the smaller
+child of a split; the other child is what remains of its parent. A lost task costs its model. The limit
+bounds a task's memory; with a target above it every level is a job again.
+
+Gradients and hessians are rounded to a power of two so fine that a double holds every sum of them
+exactly. So sums are the same in any order, and a difference is what adding up would have given.
 
 A split sends a row right if its bin is above the split's (numbers) or is the split's (one value of
 a categorical column, as a 0/1 column per value would). Gain, leaf value and the least hessian of a
@@ -26,10 +30,11 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import RDD, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +44,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Fewer tasks than this send their sums to the driver directly; more are added up in a tree.
 DIRECT_TASKS = 32
-#: Rows that a task which grows a model alone adds up at once, so that they stay in the processor's cache.
-ROWS_AT_ONCE = 32_768
+#: Rows that walk through the trees at once, so that they stay in the processor's cache.
+ROWS_AT_ONCE = 8_192
+#: Bits of a sum of gradients or hessians; a double holds 53.
+SUM_BITS = 51
 LEAST_GAIN = 1e-6
 
 
@@ -81,8 +88,8 @@ class Encoding:
             x = batch.column(c).to_numpy(zero_copy_only=False).astype(float)
             out[:, j] = np.searchsorted(edges, np.where(np.isnan(x), self.medians[c], x), "left")
         for j, (c, values) in enumerate(self.values.items(), len(self.edges)):
-            number = {v: i for i, v in enumerate(values)}
-            out[:, j] = [number.get(v, len(values)) for v in batch.column(c).to_pylist()]
+            known = pa.array(values, batch.column(c).type)
+            out[:, j] = pc.fill_null(pc.index_in(batch.column(c), known), len(values)).to_numpy(zero_copy_only=False)
         return out
 
 
@@ -97,9 +104,28 @@ class Forest:
     numeric: int
 
     def margins(self, bins: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(bins))
-        for column, at, value in zip(self.column, self.bin, self.value):
-            out += value[_walk(bins, self.numeric, column[None], at[None], np.zeros(len(bins), np.int64))]
+        """The sum of the leaf values that each row reaches.
+
+        A node sends a row right if its bin lies in the node's range, of `span` bins from `first`; below a
+        leaf all nodes send left, so that every row takes as many steps and ends in the lowest level.
+        """
+        numbers = self.column < self.numeric
+        first = np.where(self.column < 0, 0, np.where(numbers, self.bin + 1, self.bin)).astype(np.uint16)
+        span = np.where(self.column < 0, 0, np.where(numbers, 2**16 - 1 - self.bin, 1)).astype(np.uint16)
+        column, value, inner = np.maximum(self.column, 0).astype(np.intp), self.value.copy(), self.value.shape[1] // 2
+        for node in range(inner):
+            leaf = self.column[:, node] < 0
+            value[leaf, 2 * node + 1] = value[leaf, node]
+        out, width = np.zeros(len(bins)), bins.shape[1]
+        for i in range(0, len(bins), ROWS_AT_ONCE):
+            cells = bins[i : i + ROWS_AT_ONCE].astype(np.uint16).ravel()
+            row = np.arange(0, len(cells), width)
+            for t in range(len(column)):
+                node = np.zeros(len(row), np.intp)
+                for _ in range(int(np.log2(inner + 1))):
+                    right = cells.take(row + column[t].take(node)) - first[t].take(node) < span[t].take(node)
+                    node = 2 * node + 1 + right
+                out[i : i + len(row)] += value[t].take(node)
         return out
 
     def probabilities(self, bins: np.ndarray) -> np.ndarray:
@@ -155,6 +181,8 @@ class _Shape:
     #: per feature set the columns that its models may split on
     sets: tuple[tuple[int, ...], ...]
     models: int
+    #: gradients and hessians are multiples of one over this; 0: as they are
+    parts: float = 0.0
 
     @property
     def starts(self) -> np.ndarray:
@@ -164,6 +192,18 @@ class _Shape:
 Block = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
+def _exact_parts(weight: float) -> float:
+    """The largest power of two by which sums of rows of this weight in all are exact."""
+    return 2.0 ** (SUM_BITS - int(np.ceil(np.log2(max(weight, 1.0)))))
+
+
+def _slopes(shape: _Shape, label, weight, margins) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and hessian of each row."""
+    p = 1.0 / (1.0 + np.exp(-margins))
+    found = weight * (p - label), weight * p * (1.0 - p)
+    return tuple(np.rint(x * shape.parts) / shape.parts for x in found) if shape.parts else found
+
+
 def _level_sums(shape: _Shape, blocks, settled: list[list[Settled]], growing: list[_Tree], level: int):
     """Sums (feature set, gradient or hessian, model and node of the level, cell) over some blocks."""
     first, nodes, starts = 2**level - 1, 2**level, shape.starts
@@ -174,9 +214,8 @@ def _level_sums(shape: _Shape, blocks, settled: list[list[Settled]], growing: li
         for s, tree in enumerate(growing):
             at = _walk(bins, shape.numeric, tree.column, tree.bin, model) - first
             open_ = np.flatnonzero(at >= 0)
-            p = 1.0 / (1.0 + np.exp(-margins[s, open_]))
-            w, rows = weight[open_], bins[open_]
-            parts = w * (p - label[open_]), w * p * (1.0 - p)
+            rows = bins[open_]
+            parts = _slopes(shape, label[open_], weight[open_], margins[s, open_])
             place = model[open_] * nodes + at[open_]
             for j in shape.sets[s]:
                 width = shape.widths[j]
@@ -271,6 +310,59 @@ def _plain(growing: list[_Tree]) -> list[tuple[np.ndarray, np.ndarray, np.ndarra
     return [(t.column, t.bin, t.value, t.gain) for t in growing]
 
 
+def _grow_alone(shape: _Shape, growth: Growth, bins, label, weight):
+    """The trees of one model, whose rows are all here; `bins` holds an array per column."""
+    columns, starts = shape.sets[0], shape.starts
+    margins = np.zeros(len(label))
+    cells = int(starts[-1])
+
+    def added(rows, slopes) -> np.ndarray:
+        """Sums (gradient or hessian, cell) over some rows, None for all."""
+        out = np.zeros((2, cells))
+        here = slopes if rows is None else [part.take(rows) for part in slopes]
+        for j in columns:
+            x = (bins[j] if rows is None else bins[j].take(rows)).astype(np.intp)
+            for k, part in enumerate(here):
+                out[k, starts[j] : starts[j + 1]] = np.bincount(x, part, shape.widths[j])
+        return out
+
+    for _ in range(growth.trees):
+        slopes = _slopes(shape, label, weight, margins)
+        tree = _Tree.new(1, growth.depth)
+        # rows and sums of the nodes of a level that may still be split
+        open_ = {0: (None, added(None, slopes))}
+        leaves = []
+        for level in range(growth.depth):
+            first, nodes = 2**level - 1, 2**level
+            sums = np.zeros((2, nodes, cells))
+            for node, (_, found) in open_.items():
+                sums[:, node - first] = found
+            more = _extend(tree, sums, shape, columns, level, growth)
+            below, last = {}, level == growth.depth - 1
+            for node, (rows, found) in open_.items():
+                j = tree.column[0, node]
+                if j < 0:
+                    leaves.append((node, rows))
+                    continue
+                x, at = bins[j] if rows is None else bins[j].take(rows), tree.bin[0, node]
+                goes = x > at if j < shape.numeric else x == at
+                parts = [np.flatnonzero(side) if rows is None else rows[side] for side in (~goes, goes)]
+                if last:
+                    leaves += zip((2 * node + 1, 2 * node + 2), parts)
+                    continue
+                less = int(len(parts[1]) < len(parts[0]))
+                mine = added(parts[less], slopes)
+                both = (found - mine, mine) if less else (mine, found - mine)
+                below |= {2 * node + 1 + side: (parts[side], both[side]) for side in (0, 1)}
+            open_ = below
+            if not more:
+                break
+        _end(tree, growth)
+        for node, rows in leaves:
+            margins[slice(None) if rows is None else rows] += tree.value[0, node]
+        yield _plain([tree])[0]
+
+
 def _grow_by_models(base: RDD, shape: _Shape, growth: Growth) -> Grown:
     """A task per feature set and target holds its rows and grows all trees of its model."""
     sets = len(shape.sets)
@@ -287,18 +379,12 @@ def _grow_by_models(base: RDD, shape: _Shape, growth: Growth) -> Grown:
         found = sorted((piece for _, piece in part), key=lambda piece: piece[0])
         if not found:
             return
-        bins = np.asfortranarray(np.concatenate([piece[1] for piece in found]))
+        bins = list(np.ascontiguousarray(np.concatenate([piece[1] for piece in found]).T))
         label, weight = (np.concatenate([piece[k] for piece in found]) for k in (2, 3))
         del found
-        alone = _Shape(shape.numeric, shape.widths, (shape.sets[number % sets],), 1)
-        blocks = []
-        for i in range(0, len(bins), ROWS_AT_ONCE):
-            here, n = slice(i, i + ROWS_AT_ONCE), len(bins[i : i + ROWS_AT_ONCE])
-            blocks.append((np.zeros(n, np.int64), bins[here], label[here], weight[here], np.zeros((1, n))))
-        for _ in range(growth.trees):
-            trees = _grow_trees(alone, growth, lambda now, level: _level_sums(alone, blocks, [], now, level))
-            blocks = [_settle(alone, block, [[t.settled() for t in trees]]) for block in blocks]
-            yield number, _plain(trees)[0]
+        alone = replace(shape, sets=(shape.sets[number % sets],), models=1)
+        for tree in _grow_alone(alone, growth, bins, label, weight):
+            yield number, tree
 
     models = base.mapPartitionsWithIndex(dealt).partitionBy(shape.models * sets, lambda number: number)
     trees: dict[int, list] = {}
@@ -343,7 +429,11 @@ def _grow_by_levels(base: RDD, shape: _Shape, growth: Growth) -> Grown:
 def grow(blocks: RDD, shape: _Shape, growth: Growth) -> list[list[Forest]]:
     """The forests of each feature set and model. `blocks` are rebuilt from storage when lost."""
     base = blocks.persist()
-    rows = base.map(lambda block: np.bincount(block[0], minlength=shape.models)).treeReduce(np.add)
+    def sizes(block):
+        return np.array([np.bincount(block[0], part, shape.models) for part in (None, block[3])])
+
+    rows, weights = base.map(sizes).treeReduce(np.add)
+    shape = replace(shape, parts=_exact_parts(weights.max()))
     alone = rows.max() <= growth.rows_alone
     done = (_grow_by_models if alone else _grow_by_levels)(base, shape, growth)
     base.unpersist()
