@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from vitalflow import schemas as S
 from vitalflow.operators import feature_state, name_index, quality, silver, state
+from vitalflow.operators import gold as G
 from vitalflow.plans.proxy import AS_OF, Clinic
-from vitalflow.plans.registry import render
+from vitalflow.plans.registry import JOINED, render
 from vitalflow.sources import Lake
 
 
@@ -87,3 +88,24 @@ def test_hot_readings_are_numbered_as_all_others(spark):
     for hot_rows in (0, 5, 20):
         other = silver.reading_seq(typed, hot_rows=hot_rows)
         assert plain.exceptAll(other).isEmpty() and other.count() == 90
+
+
+def test_readings_are_moved_once_for_numbers_and_pivot(spark, sf_dir):
+    """Numbering and pivot share one exchange, and no hash is moved with the rows."""
+    rows = [("2020-01-01", f"p{i % 9}", f"e{i % 30}", "c", "Glucose", str(i % 4), f"u{i % 5}") for i in range(300)]
+    typed = silver.split_value(silver.bronze_stamp(strings(spark, S.RAW_SCHEMAS["observations"].names, rows), "B", AS_OF))
+    wide = G.observations(silver.reading_seq(typed))
+    assert wide.count() == len({(r["PATIENT_ID"], r["ENCOUNTER_ID"], r["READING_SEQ"]) for r in wide.collect()})
+    plan = wide._jdf.queryExecution().executedPlan()
+    final = plan.toString().split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning(PATIENT_ID") == 1, final
+
+
+def test_all_entities_of_a_query_start_from_lines_joined_once(spark, sf_dir):
+    joined = JOINED["clinical_timeline"]
+    clinic, plain = Clinic(spark, sf_dir, joined), Clinic(spark, sf_dir)
+    for entity in joined:
+        made = clinic.raw(entity)
+        assert all("lineitem" not in f and "orders" not in f for f in made.inputFiles()), entity
+        other = plain.raw(entity)
+        assert made.exceptAll(other).isEmpty() and other.exceptAll(made).isEmpty(), entity

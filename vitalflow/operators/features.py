@@ -38,7 +38,9 @@ def _vital_parts(values: dict[str, Column]) -> dict[str, Column]:
 
 def _vital_sources(gold: Tables, rt: Tables) -> list[DataFrame]:
     one = {"OBSERVATION_COUNT": F.lit(1)}
-    wide = {f: parse_number(F.col(f"`{m}`")) for f, m in S.VITAL_FEATURES.items()}
+    # most cells say that nothing was recorded, and a text that is no number is slow to parse
+    cells = {f: F.col(f"`{m}`") for f, m in S.VITAL_FEATURES.items()}
+    wide = {f: F.when(c != S.NOT_RECORDED, parse_number(c)) for f, c in cells.items()}
     hist = _contribution(gold["observations"], F.col("OBSERVATION_DATE"), {**_vital_parts(wide), **one})
     name = F.upper("DESCRIPTION")
     long = {f: F.when(name == m.upper(), F.col("VALUE_NUMERIC")) for f, m in S.VITAL_FEATURES.items()}
@@ -132,6 +134,11 @@ def _categories() -> list[Column]:
     ]
 
 
+def patient_categories(patients: DataFrame) -> DataFrame:
+    """PATIENT_ID and the categorical features, which come from the patient alone."""
+    return patients.select("PATIENT_ID", *_categories())
+
+
 def _rows(df: DataFrame, age: Column, keep: Sequence[str]) -> DataFrame:
     typed = df.select(
         *keep, age.alias("AGE_AT_INDEX"), *_averages(), *_counts(), *_flags(), *_categories()

@@ -24,6 +24,8 @@ from ..functions import (
 
 READING_KEYS = ["PATIENT_ID", "ENCOUNTER_ID", "CODE", "OBSERVATION_DATE", "VALUE_TEXT", "VALUE_NUMERIC"]
 VISIT_KEYS = ["PATIENT_ID", "ENCOUNTER_ID", "CODE", "OBSERVATION_DATE"]
+#: What readings are moved by: the pivot groups by these too and then moves nothing.
+PLACE_KEYS = ["PATIENT_ID", "ENCOUNTER_ID"]
 
 
 def _stamp(as_of: str | None) -> Column:
@@ -114,35 +116,41 @@ def split_value(df: DataFrame) -> DataFrame:
 
 #: Rows that share keys beyond this number are numbered in pieces.
 HOT_ROWS = 1_000_000
+#: Slots that readings are counted in by a hash, so that counting moves a bounded number of rows a task.
+SLOTS = 65_536
 
 
 def reading_seq(df: DataFrame, keys: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Number repeated readings within `keys`, in order of ingestion.
 
-    The order inside one ingestion time is by content hash, so it is total and repeatable. Keys
-    with more than `hot_rows` rows are told by one count over a hash of the keys; of these there
-    are at most rows / hot_rows, which bounds what is broadcast. Their fully equal rows are counted
-    before the shuffle and they are cut by hash, so no key lands whole in one task. All other
-    readings are moved and numbered once. Both ways give the same numbers.
+    The order inside one ingestion time is by content hash, so it is total and repeatable. Readings
+    are counted by a hash of what they are moved by, in `SLOTS` slots. Those of a slot with more than
+    `hot_rows` rows may be too many for a task: their fully equal rows are counted before the shuffle
+    and they are cut by hash, so no key lands whole in one task. All other readings are moved and
+    numbered once, and only those whose keys occur again are hashed. Both ways give the same numbers.
     """
     keys = READING_KEYS if keys is None else keys
+    place = [k for k in PLACE_KEYS if k in keys] or keys
     slot, count = "__slot", F.count(F.lit(1))
-    sent = df.withColumn(slot, F.xxhash64(*keys))
+    sent = df.withColumn(slot, F.pmod(F.xxhash64(*place), F.lit(SLOTS)))
     hot = F.broadcast(sent.groupBy(slot).agg(count.alias("__n")).filter(F.col("__n") > hot_rows).select(slot))
     few, many = sent.join(hot, slot, "left_anti").drop(slot), sent.join(hot, slot, "left_semi").drop(slot)
     order = Window.partitionBy(*keys).orderBy("__at", "__h")
-    plain = _placed(few, df.columns).withColumn("READING_SEQ", F.row_number().over(order))
+    again = count.over(Window.partitionBy(*keys)) > 1
+    moved = few.repartition(*place).withColumn("__again", again)
+    plain = _placed(moved, df.columns, F.col("__again")).withColumn("READING_SEQ", F.row_number().over(order))
     cut = _placed(count_copies(many, "__n"), df.columns).withColumn("__p", F.substring("__h", 1, 2))
     numbered = split_row_number(cut, keys, ["__at", "__p"], [F.col("__h")], "READING_SEQ", "__n")
     seq = F.col("READING_SEQ").cast("int").alias("READING_SEQ")
     return plain.select(*df.columns, seq).unionByName(numbered.select(*df.columns, seq))
 
 
-def _placed(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Adds what readings are ordered by: the ingestion time and a hash of the content."""
+def _placed(df: DataFrame, columns: list[str], needed: Column | None = None) -> DataFrame:
+    """Adds what readings are ordered by: the ingestion time and, where `needed`, a hash of the content."""
     earliest = F.lit("0001-01-01").cast("timestamp")
     at = F.coalesce(F.col("INGESTION_TIMESTAMP").cast("timestamp"), earliest)
-    return df.withColumns({"__at": at, "__h": hash_key(*sorted(set(columns) - {"INGESTION_TIMESTAMP"}))})
+    content = hash_key(*sorted(set(columns) - {"INGESTION_TIMESTAMP"}))
+    return df.withColumns({"__at": at, "__h": content if needed is None else F.when(needed, content)})
 
 
 def observations(df: DataFrame, resequence: bool = False) -> DataFrame:

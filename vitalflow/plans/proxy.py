@@ -109,7 +109,18 @@ _WHY = """CASE WHEN l_suppkey % 4 <> 0 THEN 'R' || CAST(l_suppkey % 13 AS STRING
   CASE WHEN l_suppkey % 5 <> 0 THEN 'Reason ' || CAST(l_suppkey % 13 AS STRING) END AS REASONDESCRIPTION"""
 _PLAN_ID = "CAST(o_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) AS ID"
 
-_LINES = "{lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey"
+_VISITS = "{lineitem} JOIN {orders} ON l_orderkey = o_orderkey"
+_LINES = f"{_VISITS} JOIN {{part}} ON l_partkey = p_partkey"
+# the lines that observations and entities start from
+_ALL_LINES = f"""
+SELECT o_custkey, o_orderkey, o_orderdate, l_partkey, l_suppkey, l_linenumber, l_linestatus, l_shipdate, l_quantity, l_returnflag
+FROM {_VISITS}
+"""
+_TYPED_LINES = """
+SELECT o_custkey, o_orderkey, o_orderdate, l_partkey, l_suppkey, l_linenumber, l_linestatus, l_shipdate, p_type, p_brand, p_name
+FROM {{visits}} JOIN {{part}} ON l_partkey = p_partkey
+WHERE p_type IN ({types})
+"""
 # the same rows, those of some items: the items go first, so that fewer lines meet the orders
 _SOME_LINES = """
 SELECT o_custkey, o_orderkey, o_orderdate, l_partkey, l_suppkey, l_linenumber, l_linestatus, l_shipdate, p_type, p_brand, p_name
@@ -228,13 +239,15 @@ class Clinic:
     """All views over one folder of sample tables, built lazily.
 
     What several views of a query start from is written once to the shared folder: the lines of the
-    entities named in `joined`, the events that are kept, and the index dates of a labelled table.
+    entities named in `joined`, the lines with their orders where it names observations, the events
+    that are kept, and the index dates of a labelled table; with `keep_readings` the wide readings too.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, joined: Iterable[str] = ()):
+    def __init__(self, spark: SparkSession, sf_dir: str, joined: Iterable[str] = (), keep_readings: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.joined = tuple(joined)
+        self.keep_readings = keep_readings
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -260,11 +273,21 @@ class Clinic:
 
     @cached_property
     def lines(self) -> DataFrame:
-        types = ", ".join(f"'{ENTITY_TYPES[e]}'" for e in self.joined)
-        used = {t: self.table(t) for t in ("lineitem", "part", "orders")}
-        return write_through(self.spark.sql(_SOME_LINES.format(types=types), **used), "lines")
+        types = ", ".join(f"'{ENTITY_TYPES[e]}'" for e in self.joined if e in ENTITY_TYPES)
+        if "observations" in self.joined:
+            text, used = _TYPED_LINES, {"visits": self.visits, "part": self.table("part")}
+        else:
+            text, used = _SOME_LINES, {t: self.table(t) for t in ("lineitem", "part", "orders")}
+        return write_through(self.spark.sql(text.format(types=types), **used), "lines")
+
+    @cached_property
+    def visits(self) -> DataFrame:
+        used = {t: self.table(t) for t in ("lineitem", "orders")}
+        return write_through(self.spark.sql(_ALL_LINES, **used), "visits")
 
     def raw(self, entity: str) -> DataFrame:
+        if entity == "observations" and entity in self.joined:
+            return self.spark.sql(OBSERVATIONS_SQL.replace(_VISITS, "{visits}"), visits=self.visits)
         if entity in self.joined:
             return self.spark.sql(RAW_SQL[f"{entity}_raw"].replace(_LINES, "{lines}"), lines=self.lines)
         return self.view(f"{entity}_raw")
@@ -277,7 +300,11 @@ class Clinic:
 
     @cached_property
     def gold(self) -> Mapping[str, DataFrame]:
-        return Lazy(S.ENTITIES, lambda e: G.GOLD_FROM_SILVER[e](self.silver(e)))
+        def build(entity: str) -> DataFrame:
+            made = G.GOLD_FROM_SILVER[entity](self.silver(entity))
+            return write_through(made, "readings") if self.keep_readings and entity == "observations" else made
+
+        return Lazy(S.ENTITIES, build)
 
     @property
     def patients(self) -> DataFrame:

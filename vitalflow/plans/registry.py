@@ -39,18 +39,32 @@ def render(df: DataFrame) -> DataFrame:
 QUERIES: dict[str, Query] = {}
 
 
-#: Entities whose lines a query that reads several of them joins once.
-JOINED = dict.fromkeys(["null_profile", "null_profile_pct", "merged_profile", "duplicate_rows", "layer_report"], tuple(ENTITY_TYPES))
+#: Entities whose lines a query that reads several of them, or reads them several times, joins once.
+_ALL = (*ENTITY_TYPES, "observations")
+JOINED = dict.fromkeys(
+    """null_profile null_profile_pct merged_profile duplicate_rows layer_report
+    clinical_timeline timeline_filtered timeline_day_breaks timeline_counts""".split(),
+    _ALL,
+)
 JOINED["interval_anomalies"] = ("conditions", "medications", "allergies", "careplans")
 JOINED |= dict.fromkeys(
     """obt_patient_encounters patient_features incremental_features feature_contract features_ablated features_long
     activity_counts features_asof features_buffered features_targets_long features_for_target median_impute onehot
     train_score train_score_rows feature_importance importance_rows experiment_comparison comparison_rows
-    risk_scores risk_scores_rows patient_risk trained_registry registry_keys""".split(),
-    ("conditions", "medications"),
+    risk_scores risk_scores_rows patient_risk trained_registry registry_keys patient_360""".split(),
+    ("conditions", "medications", "observations"),
+)
+JOINED |= dict.fromkeys(
+    """silver_observations reading_seq observations_pivot reading_base gold_observations make_observation_events
+    latest_obs_hist observations_long vital_averages reading_flags""".split(),
+    ("observations",),
 )
 
 
+#: Queries that read the wide readings twice, for the labelled rows and for the live ones.
+TWICE = frozenset("risk_scores risk_scores_rows patient_risk".split())
+
+
 def query(build: Callable[[Clinic], DataFrame]) -> Callable[[Clinic], DataFrame]:
     """Register `build` under its own name."""
     simple(build.__name__, build)
@@ -58,7 +72,7 @@ def query(build: Callable[[Clinic], DataFrame]) -> Callable[[Clinic], DataFrame]
 
 
 def simple(name: str, build: Callable[[Clinic], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, sf_dir: render(build(Clinic(spark, sf_dir, JOINED.get(name, ()))))
+    QUERIES[name] = lambda spark, sf_dir: render(build(Clinic(spark, sf_dir, JOINED.get(name, ()), name in TWICE)))
 
 
 # --- sources, bronze, quality -------------------------------------------------------
@@ -384,7 +398,7 @@ def median_impute(c: Clinic) -> DataFrame:
 def onehot(c: Clinic) -> DataFrame:
     """The vocabulary of every target's train part, applied to all patients."""
     train = models.prepare(c.long).filter(F.col("SPLIT") == "train")
-    return models.hot_features(c.features, train, ["PATIENT_ID"])
+    return models.hot_features(features.patient_categories(c.patients), train, ["PATIENT_ID"])
 
 
 # --- models ----------------------------------------------------------------------------------
