@@ -240,3 +240,97 @@ def test_trees_do_not_depend_on_the_order_of_rows(spark):
             for c, b, v in zip(forest.column, forest.bin, forest.value)
         )
         assert np.array_equal(forest.margins(bins), walked)
+
+
+class LocalRows:
+    """As much of an RDD as growth by levels asks for, in this process; kept blocks are made once."""
+
+    context = property(lambda self: self)
+
+    def __init__(self, blocks):
+        self.blocks = blocks
+
+    def getNumPartitions(self):
+        return 1
+
+    def broadcast(self, value):
+        self.value = value
+        return self
+
+    def persist(self):
+        return self
+
+    unpersist = persist
+
+    def map(self, f):
+        return LocalRows([f(block) for block in self.blocks])
+
+    def mapPartitions(self, f):
+        return LocalRows(list(f(self.blocks)))
+
+    def collect(self):
+        return self.blocks
+
+
+def test_a_late_tree_grown_by_levels_costs_what_an_early_one_costs(monkeypatch):
+    rng = np.random.default_rng(2)
+    n = 300
+    bins = np.stack([rng.integers(0, 9, n), rng.integers(0, 5, n)], 1).astype(np.uint8)
+    label = (bins[:, 0] + rng.random(n) * 6 > 7).astype(np.int8)
+    block = np.zeros(n, np.int64), bins, label, np.ones(n), np.zeros((1, n))
+    shape, walks, real = boosting._Shape(2, (9, 5), ((0, 1),), 1), [], boosting._walk
+    monkeypatch.setattr(boosting, "_walk", lambda *given: walks.append(1) or real(*given))
+    found = {}
+    for trees in (20, 40):
+        walks.clear()
+        boosting._grow_by_levels(LocalRows([block]), shape, boosting.Growth(trees, 2, 0.1, least_hessian=0.1))
+        found[trees] = len(walks)
+    assert found[40] <= 2.2 * found[20]
+
+
+def test_blocks_made_anew_grow_the_same_trees(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    shape = boosting._Shape(1, (30, 4), ((0, 1), (0,)), 2)
+
+    def block(n):
+        bins = np.stack([rng.integers(0, 30, n), rng.integers(0, 4, n)], 1).astype(np.uint8)
+        return rng.integers(0, 2, n), bins, (bins[:, 0] + rng.random(n) * 20 > 25).astype(np.int8), np.ones(n), np.zeros((2, n))
+
+    blocks, made = [block(n) for n in (500, 70, 300)], []
+    for every, settle in ((50, 1), (3, 1), (4, 3)):
+        monkeypatch.setattr(boosting, "ANEW_EVERY", every)
+        growth = boosting.Growth(trees=8, depth=3, step=0.3, settle_every=settle, rows_alone=0)
+        made.append(boosting.grow(spark.sparkContext.parallelize(blocks, 2), shape, growth))
+    for other in made[1:]:
+        for one, two in zip(sum(made[0], []), sum(other, [])):
+            assert all(np.array_equal(getattr(one, k), getattr(two, k)) for k in ("column", "bin", "value", "gain"))
+
+
+def test_columns_are_added_up_together_where_rows_are_many():
+    shape = boosting._Shape(14, (64,) * 12 + (2, 2, 4, 7, 4, 6), (tuple(range(18)),), 1)
+    many, few = (boosting._Joint.groups(shape, shape.sets[0], n) for n in (1_000_000, 100))
+    assert len(many) <= 7 and len(few) >= 13
+    for groups in (many, few):
+        assert sorted(j for group in groups for j in group.columns) == list(range(18))
+        assert all(group.cells <= boosting.JOINT_CELLS for group in groups)
+    bins = np.random.default_rng(4).integers(0, shape.widths, (1000, 18))
+    for group in many:
+        keys = group.keys(bins)
+        assert all(np.array_equal(group.bins[j][keys], bins[:, j]) for j in group.columns)
+
+
+@pytest.mark.parametrize("depth", [1, 4, 5, 6, 7])
+def test_margins_of_deep_trees_are_those_of_a_walk(depth):
+    rng = np.random.default_rng(depth)
+    nodes, trees, n = 2 ** (depth + 1) - 1, 9, 500
+    column = rng.integers(-1, 4, (trees, nodes)).astype(np.int16)
+    column[:, nodes // 2 :] = -1
+    for node in range(1, nodes):  # nothing splits below a leaf
+        column[column[:, (node - 1) // 2] < 0, node] = -1
+    forest = boosting.Forest(column, rng.integers(0, 12, (trees, nodes)), rng.normal(size=(trees, nodes)), np.zeros((trees, nodes)), 2)
+    bins = rng.integers(0, 14, (n, 4)).astype(np.uint16)
+    walked = sum(
+        v[boosting._walk(bins, 2, c[None], b[None], np.zeros(n, np.int64))]
+        for c, b, v in zip(forest.column, forest.bin, forest.value)
+    )
+    assert np.array_equal(forest.margins(bins), walked)

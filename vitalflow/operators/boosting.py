@@ -5,18 +5,18 @@ level by level for all models at once: every task adds up gradient and hessian p
 feature, bin) over its rows, the sums of tasks are added, and the driver picks the best split of
 each node from them. The sums' size is fixed by models, nodes and bins, whatever the number of rows.
 
-Each level of each tree is one job, 1500 for 300 trees of depth 5, so a job's own cost counts. The
-rows stand as blocks of arrays in a persisted RDD that starts from a written table: a job over it
-costs a fraction of the same sums through a DataFrame plan. Every few trees the blocks are made anew
-from the first ones, with the margins of all trees so far, which are broadcast: some 2 MB for ten
-models of 300 trees. So a lost block is two steps from the table, and a job late in training costs
-what an early one costs.
-
-Most tables need none of these jobs: while no target has more than `Growth.rows_alone` training rows,
-some 20 bytes each as bin numbers, the rows are dealt to one task a model, and each task grows its trees
-without waiting for others. It keeps the rows in the order of their nodes and adds up only the smaller
-child of a split; the other child is what remains of its parent. A lost task costs its model. The limit
-bounds a task's memory; with a target above it every level is a job again.
+While no target has more than `Growth.rows_alone` training rows, the rows are dealt to one task a model,
+and each task grows its trees without waiting for others, all in one job. It keeps the rows in the order of
+their nodes and adds up only the smaller child of a split; the other child is what remains of its parent.
+Columns are added up together, by the joint bin of as many as leave the sums in the cache. A lost task costs
+its model. The limit bounds a task's memory.
+
+With a target above it, each level of each tree is one job, 1500 for 300 trees of depth 5, so a job's own
+cost counts. The rows stand as blocks of arrays in a persisted RDD that starts from a written table: a job
+over it costs a fraction of the same sums through a DataFrame plan. A tree's leaf values are moved into the
+blocks once, with the first job of the next tree; every ANEW_EVERY trees the blocks are made anew from the
+first ones, with the margins of all trees so far, which are broadcast: some 2 MB for ten models of 300 trees.
+So a lost block is a few steps from the table, and a job late in training costs what an early one costs.
 
 Gradients and hessians are rounded to a power of two so fine that a double holds every sum of them
 exactly. So sums are the same in any order, and a difference is what adding up would have given.
@@ -44,8 +44,18 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Fewer tasks than this send their sums to the driver directly; more are added up in a tree.
 DIRECT_TASKS = 32
-#: Rows that walk through the trees at once, so that they stay in the processor's cache.
-ROWS_AT_ONCE = 8_192
+#: Marks of rows and trees that are united at once, so that they stay in the processor's cache.
+MARKS_AT_ONCE = 131_072
+#: Bits of a mark.
+WORD = 32
+#: Rows whose gradients are made, and added up, at once, for the same reason.
+ROWS_ADDED = 65_536
+#: Most joint bins of columns that are added up together; so many sums stay in the cache.
+JOINT_CELLS = 16_384
+#: Rows that a cell of joint sums must save others to repay its own cost.
+ROWS_PER_CELL = 8
+#: Trees after which blocks are made anew from the first ones.
+ANEW_EVERY = 50
 #: Bits of a sum of gradients or hessians; a double holds 53.
 SUM_BITS = 51
 LEAST_GAIN = 1e-6
@@ -59,9 +69,9 @@ class Growth:
     l2: float = 1.0
     least_hessian: float = 1.0
     #: trees after which margins are moved into the blocks
-    settle_every: int = 5
-    #: training rows of a target up to which a task grows a model by itself
-    rows_alone: int = 1_000_000
+    settle_every: int = 1
+    #: training rows of a target up to which a task grows a model by itself, in some 80 bytes a row
+    rows_alone: int = 8_000_000
 
 
 @dataclass
@@ -104,34 +114,63 @@ class Forest:
     numeric: int
 
     def margins(self, bins: np.ndarray) -> np.ndarray:
-        """The sum of the leaf values that each row reaches.
+        """The sum of the leaf values that each row reaches, added up tree by tree.
 
-        A node sends a row right if its bin lies in the node's range, of `span` bins from `first`; below a
-        leaf all nodes send left, so that every row takes as many steps and ends in the lowest level.
+        All places of a tree's lowest level are bits of one number. A node that sends a row right rules out
+        the places below its left child, so a row ends in the lowest place that no node rules out. Per column
+        and bin the places that are left stand in one line for all trees, and a row's lines are united by AND.
+        Below a leaf all nodes send left, so its value stands in the first place below it.
         """
-        numbers = self.column < self.numeric
-        first = np.where(self.column < 0, 0, np.where(numbers, self.bin + 1, self.bin)).astype(np.uint16)
-        span = np.where(self.column < 0, 0, np.where(numbers, 2**16 - 1 - self.bin, 1)).astype(np.uint16)
-        column, value, inner = np.maximum(self.column, 0).astype(np.intp), self.value.copy(), self.value.shape[1] // 2
+        trees, nodes = self.value.shape
+        inner, value, width = nodes // 2, self.value.copy(), nodes - nodes // 2
         for node in range(inner):
             leaf = self.column[:, node] < 0
             value[leaf, 2 * node + 1] = value[leaf, node]
-        out, width = np.zeros(len(bins)), bins.shape[1]
-        for i in range(0, len(bins), ROWS_AT_ONCE):
-            cells = bins[i : i + ROWS_AT_ONCE].astype(np.uint16).ravel()
-            row = np.arange(0, len(cells), width)
-            for t in range(len(column)):
-                node = np.zeros(len(row), np.intp)
-                for _ in range(int(np.log2(inner + 1))):
-                    right = cells.take(row + column[t].take(node)) - first[t].take(node) < span[t].take(node)
-                    node = 2 * node + 1 + right
-                out[i : i + len(row)] += value[t].take(node)
+        value = np.ascontiguousarray(value[:, inner:]).ravel()
+        words = -(-width // WORD)
+        lines = [(j, self._left(int(j), words)) for j in np.unique(self.column[self.column >= 0])]
+        first, at_once = np.arange(trees) * width, max(1, MARKS_AT_ONCE // max(trees * words, 1))
+        out = np.zeros(len(bins))
+        for i in range(0, len(bins) if trees else 0, at_once):
+            part = bins[i : i + at_once]
+            left = np.full((len(part), words, trees), 2**WORD - 1, np.uint32)
+            more = np.empty_like(left)
+            for j, line in lines:
+                np.take(line, part[:, j], axis=0, out=more, mode="clip")
+                left &= more
+            place = _lowest(left[:, 0])
+            for word in range(1, words):
+                place = np.where(left[:, :word].any(axis=1), place, WORD * word + _lowest(left[:, word]))
+            out[i : i + at_once] = np.cumsum(value.take(place + first), axis=1)[:, -1]
         return out
 
+    def _left(self, j: int, words: int) -> np.ndarray:
+        """The places that the splits on a column leave, (bin, word, tree); the last bin stands for all above."""
+        inner = self.column.shape[1] // 2
+        tree, node = np.nonzero(self.column[:, :inner] == j)
+        at = self.bin[tree, node].astype(np.int64)
+        line = np.full((int(at.max()) + 2, words, self.column.shape[0]), 2**WORD - 1, np.uint32)
+        x = np.arange(len(line))
+        for t, v, b in zip(tree.tolist(), node.tolist(), at.tolist()):
+            level = (v + 1).bit_length() - 1
+            below = (inner + 1) >> level
+            start, gone = (v + 1 - (1 << level)) * below, (1 << below // 2) - 1
+            right = x > b if j < self.numeric else x == b
+            for word in range(words):
+                bits = (gone << start >> WORD * word) & (2**WORD - 1)
+                if bits:
+                    line[right, word, t] &= np.uint32(2**WORD - 1 - bits)
+        return line
+
     def probabilities(self, bins: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-self.margins(bins)))
 
 
+def _lowest(marks: np.ndarray) -> np.ndarray:
+    """The number of the lowest bit of each number; a power of two is exact as a float, which holds its exponent."""
+    return ((marks & -marks).astype(np.float32).view(np.int32) >> 23) - 127
+
+
 def _walk(bins, numeric: int, column, at, model) -> np.ndarray:
     """The node that each row reaches in its model's tree."""
     node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
@@ -204,19 +243,22 @@ def _slopes(shape: _Shape, label, weight, margins) -> tuple[np.ndarray, np.ndarr
     return tuple(np.rint(x * shape.parts) / shape.parts for x in found) if shape.parts else found
 
 
-def _level_sums(shape: _Shape, blocks, settled: list[list[Settled]], growing: list[_Tree], level: int):
-    """Sums (feature set, gradient or hessian, model and node of the level, cell) over some blocks."""
-    first, nodes, starts = 2**level - 1, 2**level, shape.starts
-    places = shape.models * nodes
+def _level_sums(shape: _Shape, blocks, settled: list[list[Settled]], growing: list[_Tree], level: int, asked):
+    """Sums (feature set, gradient or hessian, model and pair of nodes of the level, cell) over some blocks.
+
+    Of each pair only one node is added up: `asked` tells per feature set, model and node which.
+    """
+    first, pairs, starts = 2**level - 1, max(2**level // 2, 1), shape.starts
+    places = shape.models * pairs
     out = np.zeros((len(shape.sets), 2, places, int(starts[-1])))
     for block in blocks:
         model, bins, label, weight, margins = _settle(shape, block, settled)
         for s, tree in enumerate(growing):
             at = _walk(bins, shape.numeric, tree.column, tree.bin, model) - first
-            open_ = np.flatnonzero(at >= 0)
+            open_ = np.flatnonzero((at >= 0) & asked[s][model, np.maximum(at, 0)])
             rows = bins[open_]
             parts = _slopes(shape, label[open_], weight[open_], margins[s, open_])
-            place = model[open_] * nodes + at[open_]
+            place = model[open_] * pairs + (at[open_] >> 1)
             for j in shape.sets[s]:
                 width = shape.widths[j]
                 key = place * width + rows[:, j]
@@ -238,6 +280,17 @@ def _settle(shape: _Shape, block: Block, trees: list[list[Settled]]) -> Block:
     return model, bins, label, weight, margins
 
 
+def _anew(shape: _Shape, block: Block, done: Grown) -> Block:
+    """The block with the margins of all trees so far."""
+    model, bins, label, weight, margins = block
+    margins, forests = np.zeros_like(margins), _forests(shape, done)
+    for m in np.unique(model).tolist():
+        mine = np.flatnonzero(model == m)
+        for s, row in enumerate(forests):
+            margins[s, mine] = row[m].margins(bins[mine])
+    return model, bins, label, weight, margins
+
+
 def best_splits(sums: np.ndarray, shape: _Shape, columns: Sequence[int], growth: Growth):
     """Per node: gain, column, bin and the two children's sums of the best split; gain 0 for none.
 
@@ -289,11 +342,29 @@ def _end(tree: _Tree, growth: Growth) -> None:
     tree.value = np.where(tree.column < 0, -growth.step * g / (h + growth.l2), 0.0)
 
 
-def _grow_trees(shape: _Shape, growth: Growth, sums: Callable[[list[_Tree], int], np.ndarray]) -> list[_Tree]:
-    """One tree per feature set for all models; `sums` adds up a level of the trees as they are."""
+def _grow_trees(shape: _Shape, growth: Growth, sums: Callable[[list[_Tree], int, list], np.ndarray]) -> list[_Tree]:
+    """One tree per feature set for all models; `sums` adds up a level of the trees as they are.
+
+    Of the children of a split the lighter one is added up; the other is what remains of the parent.
+    """
     growing = [_Tree.new(shape.models, growth.depth) for _ in shape.sets]
+    found = None
     for level in range(growth.depth):
-        found = sums(growing, level)
+        first, nodes = 2**level - 1, 2**level
+        if level == 0:
+            found = sums(growing, 0, [np.ones((shape.models, 1), bool) for _ in growing])
+        else:
+            split = [tree.column[:, first // 2 : first] >= 0 for tree in growing]
+            left, right = ([t.totals[1, :, first + k : first + nodes : 2] for t in growing] for k in (0, 1))
+            light = [r <= l for l, r in zip(left, right)]
+            asked = [np.stack([x & ~r, x & r], 2).reshape(shape.models, nodes) for x, r in zip(split, light)]
+            mine = sums(growing, level, asked)
+            # (feature set, gradient or hessian, model and parent, side, cell)
+            there = np.array(split).reshape(len(growing), 1, -1, 1)
+            rest = np.where(there, found - mine, 0.0)
+            goes = np.array(light).reshape(len(growing), 1, -1, 1)
+            found = np.stack([np.where(goes, rest, mine), np.where(goes, mine, rest)], 3)
+            found = found.reshape(*rest.shape[:2], -1, rest.shape[-1])
         more = [_extend(t, found[s], shape, shape.sets[s], level, growth) for s, t in enumerate(growing)]
         if not any(more):
             break
@@ -310,48 +381,117 @@ def _plain(growing: list[_Tree]) -> list[tuple[np.ndarray, np.ndarray, np.ndarra
     return [(t.column, t.bin, t.value, t.gain) for t in growing]
 
 
-def _grow_alone(shape: _Shape, growth: Growth, bins, label, weight):
-    """The trees of one model, whose rows are all here; `bins` holds an array per column."""
+class _Joint:
+    """The bins of some columns as one number a row, their joint bin, and the way back to each column."""
+
+    def __init__(self, shape: _Shape, columns: Sequence[int]):
+        self.columns, self.dims = tuple(columns), tuple(shape.widths[j] for j in columns)
+        self.cells = int(np.prod(self.dims))
+        places = np.unravel_index(np.arange(self.cells), self.dims)
+        #: per column the bin that each joint bin holds
+        self.bins = {j: place.astype(np.uint16) for j, place in zip(self.columns, places)}
+
+    @staticmethod
+    def groups(shape: _Shape, columns: Sequence[int], rows: int) -> list[_Joint]:
+        """All columns, the widest first, each in the first group whose joint bins stay few beside the rows."""
+        most = min(JOINT_CELLS, rows // ROWS_PER_CELL)
+        found: list[list[int]] = []
+        for j in sorted(columns, key=lambda j: -shape.widths[j]):
+            cells = [int(np.prod([shape.widths[k] for k in [*group, j]])) for group in found]
+            place = next((i for i, n in enumerate(cells) if n <= most), None)
+            found.append([j]) if place is None else found[place].append(j)
+        # narrow columns first: sums over them then run along whole rows of cells
+        return [_Joint(shape, group[::-1]) for group in found]
+
+    def keys(self, bins: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(bins), np.intp)
+        for j, width in zip(self.columns, self.dims):
+            out = out * width + bins[:, j]
+        return out.astype(np.uint16)
+
+
+def _grow_alone(shape: _Shape, growth: Growth, groups: Sequence[_Joint], keys: Sequence[np.ndarray], label, weight):
+    """The trees of one model, whose rows are all here; `keys` holds the joint bins of each group of columns."""
     columns, starts = shape.sets[0], shape.starts
-    margins = np.zeros(len(label))
-    cells = int(starts[-1])
+    margins, slopes = np.zeros(len(label)), (np.empty(len(label)), np.empty(len(label)))
+    cells, joint_cells = int(starts[-1]), sum(group.cells for group in groups if len(group.columns) > 1)
+    of = {j: i for i, group in enumerate(groups) for j in group.columns}
+
+    def cut(rows) -> list:
+        """Some rows, None for all, in parts whose values stay in the cache."""
+        n = len(label) if rows is None else len(rows)
+        parts = [slice(i, min(i + ROWS_ADDED, n)) for i in range(0, n, ROWS_ADDED)]
+        return parts if rows is None else [rows[part].astype(np.intp) for part in parts]
+
+    def at_rows(x, here):
+        return x[here] if isinstance(here, slice) else x.take(here)
 
-    def added(rows, slopes) -> np.ndarray:
+    def added(rows) -> np.ndarray:
         """Sums (gradient or hessian, cell) over some rows, None for all."""
         out = np.zeros((2, cells))
-        here = slopes if rows is None else [part.take(rows) for part in slopes]
-        for j in columns:
-            x = (bins[j] if rows is None else bins[j].take(rows)).astype(np.intp)
-            for k, part in enumerate(here):
-                out[k, starts[j] : starts[j + 1]] = np.bincount(x, part, shape.widths[j])
+        # a joint histogram costs its cells, which few rows don't repay
+        joint = rows is None or len(rows) * ROWS_PER_CELL >= joint_cells
+        sums = [np.zeros((2, group.cells)) for group in groups] if joint else []
+        for here in cut(rows):
+            given = [at_rows(x, here) for x in slopes]
+            for i, group in enumerate(groups):
+                key = at_rows(keys[i], here).astype(np.intp)
+                if joint:
+                    for k, x in enumerate(given):
+                        sums[i][k] += np.bincount(key, x, group.cells)
+                    continue
+                for j in group.columns:
+                    x = key if len(group.columns) == 1 else group.bins[j].take(key)
+                    for k, values in enumerate(given):
+                        out[k, starts[j] : starts[j + 1]] += np.bincount(x, values, shape.widths[j])
+        for group, found in zip(groups, sums):
+            for j, width in zip(group.columns, group.dims):
+                found = found.reshape(2, width, -1)
+                out[:, starts[j] : starts[j + 1]] = found.sum(axis=2)
+                found = found.sum(axis=1)
         return out
 
+    def sides(rows, goes: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
+        """The rows whose joint bin goes left, and those whose goes right."""
+        found = []
+        for here in cut(rows):
+            right = goes.take(at_rows(key, here))
+            if isinstance(here, slice):
+                found.append([(np.flatnonzero(x) + here.start).astype(np.int32) for x in (~right, right)])
+            else:
+                found.append([here.compress(x).astype(np.int32) for x in (~right, right)])
+        return [np.concatenate(x) for x in zip(*found)]
+
     for _ in range(growth.trees):
-        slopes = _slopes(shape, label, weight, margins)
+        for here in cut(None):
+            for whole, x in zip(slopes, _slopes(shape, label[here], weight[here], margins[here])):
+                whole[here] = x
         tree = _Tree.new(1, growth.depth)
         # rows and sums of the nodes of a level that may still be split
-        open_ = {0: (None, added(None, slopes))}
-        leaves = []
+        open_ = {0: (None, added(None))}
+        # rows of nodes that end, and of nodes that are split in the last level
+        leaves, last = [], []
         for level in range(growth.depth):
             first, nodes = 2**level - 1, 2**level
             sums = np.zeros((2, nodes, cells))
             for node, (_, found) in open_.items():
                 sums[:, node - first] = found
             more = _extend(tree, sums, shape, columns, level, growth)
-            below, last = {}, level == growth.depth - 1
+            below = {}
             for node, (rows, found) in open_.items():
                 j = tree.column[0, node]
                 if j < 0:
                     leaves.append((node, rows))
                     continue
-                x, at = bins[j] if rows is None else bins[j].take(rows), tree.bin[0, node]
-                goes = x > at if j < shape.numeric else x == at
-                parts = [np.flatnonzero(side) if rows is None else rows[side] for side in (~goes, goes)]
-                if last:
-                    leaves += zip((2 * node + 1, 2 * node + 2), parts)
+                key, at, bins = keys[of[j]], tree.bin[0, node], groups[of[j]].bins[j]
+                # looked up by joint bin
+                goes = bins > at if j < shape.numeric else bins == at
+                if level == growth.depth - 1:
+                    last.append((node, rows, goes, key))
                     continue
+                parts = sides(rows, goes, key)
                 less = int(len(parts[1]) < len(parts[0]))
-                mine = added(parts[less], slopes)
+                mine = added(parts[less])
                 both = (found - mine, mine) if less else (mine, found - mine)
                 below |= {2 * node + 1 + side: (parts[side], both[side]) for side in (0, 1)}
             open_ = below
@@ -359,7 +499,12 @@ def _grow_alone(shape: _Shape, growth: Growth, bins, label, weight):
                 break
         _end(tree, growth)
         for node, rows in leaves:
-            margins[slice(None) if rows is None else rows] += tree.value[0, node]
+            for here in cut(rows):
+                margins[here] += tree.value[0, node]
+        for node, rows, goes, key in last:
+            value = np.where(goes, tree.value[0, 2 * node + 2], tree.value[0, 2 * node + 1])
+            for here in cut(rows):
+                margins[here] += value.take(at_rows(key, here))
         yield _plain([tree])[0]
 
 
@@ -379,11 +524,12 @@ def _grow_by_models(base: RDD, shape: _Shape, growth: Growth) -> Grown:
         found = sorted((piece for _, piece in part), key=lambda piece: piece[0])
         if not found:
             return
-        bins = list(np.ascontiguousarray(np.concatenate([piece[1] for piece in found]).T))
+        alone = replace(shape, sets=(shape.sets[number % sets],), models=1)
+        groups = _Joint.groups(alone, alone.sets[0], sum(len(piece[2]) for piece in found))
+        keys = [np.concatenate([group.keys(piece[1]) for piece in found]) for group in groups]
         label, weight = (np.concatenate([piece[k] for piece in found]) for k in (2, 3))
         del found
-        alone = replace(shape, sets=(shape.sets[number % sets],), models=1)
-        for tree in _grow_alone(alone, growth, bins, label, weight):
+        for tree in _grow_alone(alone, growth, groups, keys, label, weight):
             yield number, tree
 
     models = base.mapPartitionsWithIndex(dealt).partitionBy(shape.models * sets, lambda number: number)
@@ -402,30 +548,43 @@ def _grow_by_levels(base: RDD, shape: _Shape, growth: Growth) -> Grown:
     state, pending, done, shared = base, [], [], []
     direct = base.getNumPartitions() <= DIRECT_TASKS
     for _ in range(growth.trees):
-        def added(now, level):
+        def added(now, level, asked):
             def sums(part, trees=pending):
-                yield _level_sums(shape, part, trees, now, level)
+                yield _level_sums(shape, part, trees, now, level, asked)
 
             job = state.mapPartitions(sums)
             return sum(job.collect()) if direct else job.treeReduce(np.add)
 
         growing = _grow_trees(shape, growth, added)
+        # the blocks before these are needed no more: the job has stored these
+        for old in shared[:-1]:
+            old.unpersist()
+        shared = shared[-1:]
         done.append(growing)
         pending = [*pending, [tree.settled() for tree in growing]]
-        if len(pending) == growth.settle_every:
-            if state is not base:
-                state.unpersist()
-            so_far = base.context.broadcast([[tree.settled() for tree in trees] for trees in done])
-            shared.append(so_far)
-            state = base.map(lambda block, trees=so_far: _settle(shape, block, trees.value)).persist()
+        if len(pending) >= growth.settle_every:
+            anew = len(done) // ANEW_EVERY > (len(done) - len(pending)) // ANEW_EVERY
+            if anew:
+                # all trees so far on the first blocks, so that a lost block is a few steps from the table
+                # plain arrays: a broadcast is read without this module
+                so_far = base.context.broadcast([_plain(trees) for trees in done])
+                state = base.map(lambda block, trees=so_far: _anew(shape, block, trees.value)).persist()
+            else:
+                state = state.map(lambda block, trees=pending: _settle(shape, block, trees)).persist()
+            shared.append(state)
             pending = []
-    if state is not base:
-        state.unpersist()
-    for one in shared:
-        one.unpersist()
+    for old in shared:
+        old.unpersist()
     return [_plain(trees) for trees in done]
 
 
+def _forests(shape: _Shape, done: Grown) -> list[list[Forest]]:
+    def forest(s: int, m: int) -> Forest:
+        return Forest(*(np.array([trees[s][k][m] for trees in done]) for k in range(4)), shape.numeric)
+
+    return [[forest(s, m) for m in range(shape.models)] for s in range(len(shape.sets))]
+
+
 def grow(blocks: RDD, shape: _Shape, growth: Growth) -> list[list[Forest]]:
     """The forests of each feature set and model. `blocks` are rebuilt from storage when lost."""
     base = blocks.persist()
@@ -437,11 +596,7 @@ def grow(blocks: RDD, shape: _Shape, growth: Growth) -> list[list[Forest]]:
     alone = rows.max() <= growth.rows_alone
     done = (_grow_by_models if alone else _grow_by_levels)(base, shape, growth)
     base.unpersist()
-
-    def forest(s: int, m: int) -> Forest:
-        return Forest(*(np.array([trees[s][k][m] for trees in done]) for k in range(4)), shape.numeric)
-
-    return [[forest(s, m) for m in range(shape.models)] for s in range(len(shape.sets))]
+    return _forests(shape, done)
 
 
 # --- from and to tables -------------------------------------------------------------------
