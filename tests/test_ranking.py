@@ -84,3 +84,26 @@ def test_keep_top_limits_before_the_shuffle(spark):
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
     assert top.filter("k = 'hot'").count() == 3
+
+
+def test_edges_below_a_value_are_found_by_halving(spark):
+    from vitalflow.functions.ranking import edges_below
+
+    rng = random.Random(9)
+    rows = []
+    for n in (0, 1, 2, 7, 8, 9, 254, 255):
+        edges = sorted({round(rng.random(), 4) for _ in range(n)})
+        values = [None, float("nan"), float("-inf"), -1.0, 2.0, *edges[:3], *edges[-2:], *[rng.random() for _ in range(20)]]
+        rows += [(edges, v) for v in values]
+    df = spark.createDataFrame(rows, "E array<double>, V double")
+    found = df.select(edges_below(F.col("E"), F.col("V"), 256).alias("N"), F.size(F.filter("E", lambda e: e < F.col("V"))).alias("M"))
+    assert all(r["N"] == r["M"] for r in found.collect())
+    plan = running_totals(df.select(F.lit(1).alias("K"), "V", F.lit(1).alias("C")), ["K"], "V", {"T": "C"})
+    assert "lambdafunction((edge" not in plan._jdf.queryExecution().optimizedPlan().toString(), "each value meets every edge"
+
+
+def test_pieces_are_cut_once(spark):
+    """Merged in another order, sketches give other cuts; offsets and rows of other pieces don't belong together."""
+    df = spark.range(1000).select(F.lit(1).alias("K"), F.rand(1).alias("V"), F.lit(1).alias("C"))
+    plan = running_totals(df, ["K"], "V", {"T": "C"})._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile_approx" not in plan

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import write_through
+
 # Pieces per key when they are cut from the data. Bounded: it is the size of one
 # array per key and the number of offset rows per key.
 PIECES = 256
@@ -107,6 +109,14 @@ def split_row_number(
     return dealt.select(*given, F.explode(numbers).alias(name))
 
 
+def edges_below(edges: Column, value: Column, most: int) -> Column:
+    """How many of fewer than `most` sorted edges lie below a value, by halving: 8 steps for 256."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))])
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(edges, at + step - 1) < value, at + step).otherwise(at)
+    )
+
+
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
@@ -129,9 +139,10 @@ def running_totals(
     cuts = df.groupBy(*keys).agg(
         F.array_sort(F.array_distinct(F.percentile_approx(order, fractions, 10 * pieces))).alias(cut)
     )
-    # one small row per key; the optimizer decides on broadcast from its size
-    placed = df.join(cuts, keys)
-    slots = F.size(F.filter(F.col(cut), lambda edge: edge < F.col(order)))
+    # The rows are placed twice below, and sketches merged in another order give other cuts: written, they
+    # are the same for both. One small row per key; the optimizer decides on broadcast from its size.
+    placed = df.join(write_through(cuts, "cuts"), keys)
+    slots = edges_below(F.col(cut), F.col(order), pieces)
     placed = placed.withColumn(slot, -slots if descending else slots).drop(cut)
     sums = placed.groupBy(*keys, slot).agg(*[F.sum(c).alias(f"__s_{n}") for n, c in totals.items()])
     before = Window.partitionBy(*keys).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
@@ -153,16 +164,17 @@ def running_totals(
     )
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "MEDIAN") -> DataFrame:
+def exact_median(
+    df: DataFrame, keys: Sequence[str], value: str, name: str = "MEDIAN", times: str | None = None
+) -> DataFrame:
     """Exact median per key: the mean of the middle one or two values, nulls left out.
 
     Values are counted first, so repeated values cost nothing, and the position of each
-    value comes from piecewise running totals.
+    value comes from piecewise running totals. With `times` each row stands for that many.
     """
     keys = list(keys)
-    counted = (
-        df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
-    )
+    size = F.count(F.lit(1)) if times is None else F.sum(times)
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(size.alias("__c"))
     last = running_totals(counted, keys, value, {"__last": "__c"})
     size = counted.groupBy(*keys).agg(F.sum("__c").alias("__n"))
     placed = last.join(size, keys)
